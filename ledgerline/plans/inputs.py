@@ -187,3 +187,43 @@ ERROR_EVENTS_SQL = (
     + "CASE WHEN value < 1 THEN NULL WHEN event_id % 5 = 0 THEN '' ELSE event_type || ' ' || props END AS detail "
     + "FROM events"
 )
+
+
+# --- change log ---------------------------------------------------------------
+
+def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as entity changes, entity = user_id, in (ts, event_id) order.
+
+    The first event of a user is CREATE 'd0'; afterwards error -> DELETE,
+    signup -> RESTORE, purchase -> UPDATE 'd' || floor(value / 20),
+    click -> UPDATE '' and view -> UPDATE '  ' (both blank, so rejected).
+
+    The first event is found with a per-user min aggregate (partial
+    aggregation, so a user holding a third of all events costs nothing
+    special) joined back on the unique event_id, not with a per-user window.
+    """
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    firsts = ev.groupBy("user_id").agg(F.min(F.struct("ts", "event_id"))["event_id"].alias("event_id"))
+    ev = ev.join(firsts.select("event_id", F.lit(True).alias("is_first")), "event_id", "left")
+    first = F.coalesce(F.col("is_first"), F.lit(False))
+    et = F.col("event_type")
+    op = (F.when(first, F.lit("CREATE")).when(et == "error", F.lit("DELETE"))
+          .when(et == "signup", F.lit("RESTORE")).otherwise(F.lit("UPDATE")))
+    desc = (F.when(first, F.lit("d0"))
+            .when(et == "purchase", F.concat(F.lit("d"), F.floor(F.col("value") / 20).cast("bigint").cast("string")))
+            .when(et == "click", F.lit("")).when(et == "view", F.lit("  ")))
+    return ev.select(F.col("user_id").alias("id"), "event_id", "ts", op.alias("op"), desc.alias("description"))
+
+
+CHANGE_LOG_SQL = """
+SELECT user_id AS id, event_id, ts,
+  CASE WHEN rn = 1 THEN 'CREATE' WHEN event_type = 'error' THEN 'DELETE'
+       WHEN event_type = 'signup' THEN 'RESTORE' ELSE 'UPDATE' END AS op,
+  CASE WHEN rn = 1 THEN 'd0'
+       WHEN event_type = 'purchase' THEN 'd' || CAST(CAST(floor(value / 20) AS BIGINT) AS VARCHAR)
+       WHEN event_type = 'click' THEN '' WHEN event_type = 'view' THEN '  ' END AS description
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) t
+"""
+
+# Fixed value: where lifecycle_incremental splits the log (snapshot before, slice after).
+INCREMENTAL_CUT = "2024-01-16 00:00:00"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import BLANK_PATTERN, QUOTED_TOKEN_PATTERN
-from ledgerline.operators import errors, lookup, validate
+from ledgerline.operators import errors, lifecycle, lookup, validate
 from ledgerline.operators.envelope import flatten_envelope
 from ledgerline.plans import inputs
 
@@ -197,3 +197,51 @@ def quoted_token(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "reason", token_of(F.col("reason")).alias("token"), t.alias("error_type"),
         errors.resolve_message(t, validate.missing_value_message(F.col("reason"))).alias("message"),
     )
+
+
+# --- step 4: lifecycle fold ------------------------------------------------------
+
+def _fold_sql(changes_sql: str) -> str:
+    return f"""
+WITH c AS ({changes_sql}),
+v AS (SELECT * FROM c WHERE NOT (op = 'UPDATE' AND coalesce(regexp_matches(description, {_q(BLANK_PATTERN)}), true))),
+m AS (SELECT *, CASE WHEN op IN ('DELETE', 'RESTORE') THEN 'mark' ELSE 'value' END AS kind,
+             CASE WHEN op IN ('DELETE', 'RESTORE') THEN op ELSE description END AS x FROM v),
+l AS (SELECT *, lag(x) OVER w AS prev, lag(event_id) OVER w IS NOT NULL AS has_prev
+      FROM m WINDOW w AS (PARTITION BY id, kind ORDER BY ts, event_id)),
+e AS (SELECT *, CASE WHEN op = 'CREATE' THEN true
+                     WHEN op = 'UPDATE' THEN NOT has_prev OR x IS DISTINCT FROM prev
+                     WHEN op = 'DELETE' THEN NOT has_prev OR prev = 'RESTORE'
+                     WHEN op = 'RESTORE' THEN has_prev AND prev = 'DELETE' ELSE false END AS eff FROM l)
+SELECT id,
+  arg_max(x, ts) FILTER (WHERE kind = 'value') AS description,
+  coalesce(min(ts) FILTER (WHERE op = 'CREATE'), min(ts)) AS created_at,
+  max(ts) FILTER (WHERE eff) AS updated_at,
+  CASE WHEN arg_max(op, ts) FILTER (WHERE kind = 'mark' AND eff) = 'DELETE'
+       THEN max(ts) FILTER (WHERE kind = 'mark' AND eff) END AS deleted_at
+FROM e GROUP BY id
+"""
+
+
+@register("lifecycle_snapshot", sql=_fold_sql(inputs.CHANGE_LOG_SQL))
+def lifecycle_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lifecycle.fold(inputs.change_log(spark, sf_dir))
+
+
+@register("lifecycle_incremental", sql=_fold_sql(inputs.CHANGE_LOG_SQL))
+def lifecycle_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fold the log before the cut, then apply the rest incrementally; must
+    equal the full fold."""
+    log = inputs.change_log(spark, sf_dir)
+    cut = F.lit(inputs.INCREMENTAL_CUT).cast("timestamp_ntz")
+    snap = lifecycle.fold(log.where(F.col("ts") < cut))
+    return lifecycle.fold_incremental(snap, log.where(F.col("ts") >= cut))
+
+
+@register("lifecycle_rejects", sql=f"""
+SELECT id, event_id, ts, op, description, 'BAD_REQUEST' AS error_type, 'Description must not be blank.' AS message
+FROM ({inputs.CHANGE_LOG_SQL}) c
+WHERE op = 'UPDATE' AND coalesce(regexp_matches(description, {_q(BLANK_PATTERN)}), true)
+""")
+def lifecycle_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lifecycle.rejected_changes(inputs.change_log(spark, sf_dir))
