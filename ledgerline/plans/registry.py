@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import BLANK_PATTERN, QUOTED_TOKEN_PATTERN
-from ledgerline.operators import errors, lifecycle, lookup, validate
+from ledgerline.functions.timefmt import to_service_zone
+from ledgerline.operators import errors, keys, lifecycle, lookup, validate
 from ledgerline.operators.envelope import flatten_envelope
 from ledgerline.plans import inputs
 
@@ -245,3 +246,27 @@ WHERE op = 'UPDATE' AND coalesce(regexp_matches(description, {_q(BLANK_PATTERN)}
 """)
 def lifecycle_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.rejected_changes(inputs.change_log(spark, sf_dir))
+
+
+@register("assign_keys", sql=f"""
+SELECT (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY doc_id) AS id,
+  doc_id, source AS name, lang AS description
+FROM documents
+""")
+def assign_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document appended to the part-entity table gets the next id in
+    doc_id order. Small ranges here so the multi-range path is exercised."""
+    docs = inputs.read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("source").alias("name"), F.col("lang").alias("description"))
+    return keys.next_ids(docs, inputs.entities_from_part(spark, sf_dir), ["doc_id"], rows_per_range=100)
+
+
+@register("kst_render", sql="""
+SELECT event_id, ts, ts + INTERVAL 9 HOUR AS ts_local,
+  CAST(hour(ts + INTERVAL 9 HOUR) AS INTEGER) AS local_hour
+FROM events
+""")
+def kst_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = inputs.read_table(spark, sf_dir, "events")
+    local = to_service_zone(F.col("ts"))
+    return ev.select("event_id", "ts", local.alias("ts_local"), F.hour(local).alias("local_hour"))
