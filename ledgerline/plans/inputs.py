@@ -227,3 +227,46 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) A
 
 # Fixed value: where lifecycle_incremental splits the log (snapshot before, slice after).
 INCREMENTAL_CUT = "2024-01-16 00:00:00"
+
+
+# --- run and step logs ------------------------------------------------------------
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per event: starts at ts, lasts round(value * 600000) ms (up to
+    several days, so hours exceed 24)."""
+    ev = read_table(spark, sf_dir, "events")
+    start = epoch_ms(F.col("ts"))
+    return ev.select(
+        F.col("event_id").alias("run_id"),
+        F.concat(F.lit("job-"), F.col("event_type")).alias("job_name"),
+        start.alias("start_ms"),
+        (start + F.round(F.col("value") * 600000).cast("bigint")).alias("end_ms"),
+    )
+
+
+RUN_LOG_SQL = (
+    "SELECT event_id AS run_id, 'job-' || event_type AS job_name, "
+    + EPOCH_MS_SQL.format(ts="ts") + " AS start_ms, "
+    + EPOCH_MS_SQL.format(ts="ts") + " + CAST(round(value * 600000) AS BIGINT) AS end_ms FROM events"
+)
+
+
+def step_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps = users; a row fails when its event is an error; the message is
+    null when event_id % 3 = 0."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("user_id").alias("step_id"), "event_id", "ts",
+        (F.col("event_type") == "error").alias("failed"),
+        F.when(F.pmod(F.col("event_id"), F.lit(3)) != 0,
+               F.concat(F.col("event_type"), F.lit(" "), F.col("props"))).alias("message"),
+    )
+
+
+STEP_LOG_SQL = (
+    "SELECT user_id AS step_id, event_id, ts, event_type = 'error' AS failed, "
+    "CASE WHEN event_id % 3 <> 0 THEN event_type || ' ' || props END AS message FROM events"
+)
+
+# Fixed value: the date the registered daily job is run for.
+DAILY_REQUEST_DATE = "1997-06-15"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import BLANK_PATTERN, QUOTED_TOKEN_PATTERN
 from ledgerline.functions.timefmt import to_service_zone
-from ledgerline.operators import errors, keys, lifecycle, lookup, validate
+from ledgerline.operators import errors, keys, lifecycle, lookup, metrics, runs, validate
 from ledgerline.operators.envelope import flatten_envelope
 from ledgerline.plans import inputs
 
@@ -270,3 +270,60 @@ def kst_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = inputs.read_table(spark, sf_dir, "events")
     local = to_service_zone(F.col("ts"))
     return ev.select("event_id", "ts", local.alias("ts_local"), F.hour(local).alias("local_hour"))
+
+
+# --- step 5: batch job, run accounting, metrics -----------------------------------
+
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@register("daily_slice", sql=f"""
+SELECT {", ".join(ORDER_COLUMNS)} FROM orders
+WHERE o_orderdate >= DATE '{inputs.DAILY_REQUEST_DATE}' AND o_orderdate < DATE '{inputs.DAILY_REQUEST_DATE}' + INTERVAL 1 DAY
+""")
+def daily_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = runs.run_daily(inputs.read_table(spark, sf_dir, "orders"), "o_orderdate",
+                            inputs.DAILY_REQUEST_DATE, columns=ORDER_COLUMNS)
+    return result.rows
+
+
+@register("run_durations", sql=f"""
+WITH r AS ({inputs.RUN_LOG_SQL})
+SELECT run_id, job_name,
+  make_timestamp(start_ms * 1000) + INTERVAL 9 HOUR AS start_local,
+  make_timestamp(end_ms * 1000) + INTERVAL 9 HOUR AS end_local,
+  end_ms - start_ms AS total_ms,
+  (end_ms - start_ms) // 3600000 AS hours,
+  ((end_ms - start_ms) // 60000) % 60 AS minutes,
+  ((end_ms - start_ms) // 1000) % 60 AS seconds
+FROM r
+""")
+def run_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_durations(inputs.run_log(spark, sf_dir))
+
+
+@register("step_status", sql=f"""
+WITH s AS ({inputs.STEP_LOG_SQL})
+SELECT step_id, count(*) AS n_rows, count(*) FILTER (WHERE failed) AS n_failures,
+  CASE WHEN bool_or(failed) THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+  coalesce(string_agg(message, chr(10) ORDER BY ts, event_id) FILTER (WHERE failed), '') AS messages
+FROM s GROUP BY step_id
+""")
+def step_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.step_status(inputs.step_log(spark, sf_dir))
+
+
+def _histogram_sql() -> str:
+    les = ", ".join(f"count(*) FILTER (WHERE value <= {b}) AS {metrics.bound_name(b)}"
+                    for b in sorted(metrics.DEFAULT_BOUNDS))
+    return f"""
+SELECT event_type, {les}, count(value) AS count,
+  CAST(sum(CAST(value AS DECIMAL(20,6))) AS DOUBLE) AS sum, 'ledgerline' AS application
+FROM events GROUP BY event_type
+"""
+
+
+@register("latency_histogram", sql=_histogram_sql())
+def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = inputs.read_table(spark, sf_dir, "events")
+    return metrics.latency_histogram(ev, "value", ["event_type"], application="ledgerline")
