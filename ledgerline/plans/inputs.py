@@ -270,3 +270,59 @@ STEP_LOG_SQL = (
 
 # Fixed value: the date the registered daily job is run for.
 DAILY_REQUEST_DATE = "1997-06-15"
+
+
+# --- JSON payloads ------------------------------------------------------------------
+
+def json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, payload) from events.props (``{"k": n}``) by event_id % 12:
+    full record; unknown property; "" for an object; scalar for an array;
+    object for an array; null primitive; missing primitive; text for an int;
+    unknown enum; truncated text; numeric text with a nested object; a
+    fractional number with a number for the array."""
+    ev = read_table(spark, sf_dir, "events")
+    base = F.expr("left(props, length(props) - 1)")  # '{"k": n'
+    et, uid = F.col("event_type"), F.col("user_id").cast("string")
+    payload = _case(F.col("event_id"), [
+        F.concat(base, F.lit(', "tags": ["'), et, F.lit('", "x"], "level": "LOW"}')),
+        F.concat(base, F.lit(', "extra": true, "level": "MID"}')),
+        F.concat(base, F.lit(', "meta": ""}')),
+        F.concat(base, F.lit(', "tags": "'), et, F.lit('"}')),
+        F.concat(base, F.lit(', "tags": {"a": 1}}')),
+        F.lit('{"k": null, "level": "HIGH"}'),
+        F.lit('{"level": "LOW", "tags": []}'),
+        F.concat(F.lit('{"k": "'), et, F.lit('"}')),
+        F.concat(base, F.lit(', "level": "ULTRA"}')),
+        F.expr("left(props, length(props) - 3)"),
+        F.concat(F.lit('{"k": "'), uid, F.lit('", "meta": {"source": "'), et, F.lit('"}}')),
+        F.concat(F.lit('{"k": '), F.floor(F.col("value")).cast("string"), F.lit('.5, "tags": 7, "level": 2}')),
+    ])
+    return ev.select(F.col("event_id").alias("id"), payload.alias("payload"))
+
+
+JSON_PAYLOADS_SQL = "SELECT event_id AS id, " + _sql_case("event_id", [
+    """left(props, length(props) - 1) || ', "tags": ["' || event_type || '", "x"], "level": "LOW"}'""",
+    """left(props, length(props) - 1) || ', "extra": true, "level": "MID"}'""",
+    """left(props, length(props) - 1) || ', "meta": ""}'""",
+    """left(props, length(props) - 1) || ', "tags": "' || event_type || '"}'""",
+    """left(props, length(props) - 1) || ', "tags": {"a": 1}}'""",
+    """'{"k": null, "level": "HIGH"}'""",
+    """'{"level": "LOW", "tags": []}'""",
+    """'{"k": "' || event_type || '"}'""",
+    """left(props, length(props) - 1) || ', "level": "ULTRA"}'""",
+    """left(props, length(props) - 3)""",
+    """'{"k": "' || CAST(user_id AS VARCHAR) || '", "meta": {"source": "' || event_type || '"}}'""",
+    """'{"k": ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || '.5, "tags": 7, "level": 2}'""",
+]) + " AS payload FROM events"
+
+
+def encodable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows to encode: a small decimal that would print with an exponent,
+    a note that is null for every fourth event, and a nested object."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id", "event_type",
+        (F.col("value") / F.lit(1e9)).cast("decimal(20,12)").alias("amount"),
+        F.when(F.pmod(F.col("event_id"), F.lit(4)) != 0, F.col("props")).alias("note"),
+        F.struct(F.col("user_id").alias("user"), F.lit(None).cast("string").alias("tag")).alias("meta"),
+    )

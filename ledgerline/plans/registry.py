@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import BLANK_PATTERN, QUOTED_TOKEN_PATTERN
 from ledgerline.functions.timefmt import to_service_zone
-from ledgerline.operators import errors, keys, lifecycle, lookup, metrics, runs, validate
+from ledgerline.operators import errors, jsonio, keys, lifecycle, lookup, metrics, runs, validate
 from ledgerline.operators.envelope import flatten_envelope
 from ledgerline.plans import inputs
 
@@ -327,3 +327,140 @@ FROM events GROUP BY event_type
 def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = inputs.read_table(spark, sf_dir, "events")
     return metrics.latency_histogram(ev, "value", ["event_type"], application="ledgerline")
+
+
+# --- step 6: JSON decode / rejects / encode -------------------------------------------
+
+LEVELS = ("LOW", "MID", "HIGH")
+PAYLOAD_SCHEMA = (
+    jsonio.Field("k", "int", required=True),
+    jsonio.Field("tags", "string_array"),
+    jsonio.Field("level", "enum", values=LEVELS),
+    jsonio.Field("meta", "object", fields=(jsonio.Field("source", "string"),)),
+)
+
+
+def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jsonio.decode(inputs.json_payloads(spark, sf_dir), "payload", PAYLOAD_SCHEMA)
+
+
+def _cat(t: str) -> str:
+    return (f"CASE WHEN {t} IS NULL THEN 'missing' WHEN {t} = 'NULL' THEN 'null' WHEN {t} = 'ARRAY' THEN 'array' "
+            f"WHEN {t} = 'OBJECT' THEN 'object' WHEN {t} = 'VARCHAR' THEN 'string' WHEN {t} = 'BOOLEAN' THEN 'boolean' "
+            f"ELSE 'number' END")
+
+
+def _wrong(path: str, value: str, type_name: str, allowed: str = "") -> str:
+    head = _q(f"Field '{path}' has value '")
+    tail = _q(f"', which does not match the expected type ({type_name}).{allowed}")
+    return f"{{'kind': 'wrong_type', 'path': {_q(path)}, 'message': {head} || {value} || {tail}}}"
+
+
+def _shape(path: str) -> str:
+    msg = _q(f"Required field '{path}' is missing or has the wrong shape.")
+    return f"{{'kind': 'missing_field', 'path': {_q(path)}, 'message': {msg}}}"
+
+
+_LEVELS_SQL = "[" + ", ".join(_q(x) for x in LEVELS) + "]"
+_LEVELS_IN = "(" + ", ".join(_q(x) for x in LEVELS) + ")"
+_ALLOWED_TEXT = " Allowed values: [" + ", ".join(LEVELS) + "]"
+
+JSON_DECODE_SQL = f"""
+WITH p AS ({inputs.JSON_PAYLOADS_SQL}),
+v AS (SELECT id, payload, json_valid(payload) AS valid FROM p),
+t AS (
+  SELECT id, payload, valid,
+    CASE WHEN valid THEN json_type(payload) END AS root_t,
+    CASE WHEN valid THEN {_cat("json_type(payload, '$.k')")} END AS k_c,
+    CASE WHEN valid THEN json_extract_string(payload, '$.k') END AS k_s,
+    CASE WHEN valid THEN {_cat("json_type(payload, '$.tags')")} END AS tags_c,
+    CASE WHEN valid THEN json_extract_string(payload, '$.tags') END AS tags_s,
+    CASE WHEN valid THEN json_extract_string(payload, '$.tags[*]') END AS tags_l,
+    CASE WHEN valid THEN list_has_any(json_type(payload, '$.tags[*]'), ['ARRAY', 'OBJECT']) END AS tags_nested,
+    CASE WHEN valid THEN {_cat("json_type(payload, '$.level')")} END AS level_c,
+    CASE WHEN valid THEN json_extract_string(payload, '$.level') END AS level_s,
+    CASE WHEN valid THEN {_cat("json_type(payload, '$.meta')")} END AS meta_c,
+    CASE WHEN valid THEN json_extract_string(payload, '$.meta') END AS meta_s,
+    CASE WHEN valid THEN {_cat("json_type(payload, '$.meta.source')")} END AS src_c,
+    CASE WHEN valid THEN json_extract_string(payload, '$.meta.source') END AS src_s
+  FROM v
+),
+n AS (
+  SELECT t.*,
+    CASE WHEN k_c = 'number' THEN TRY_CAST(trunc(TRY_CAST(k_s AS DOUBLE)) AS INTEGER)
+         WHEN k_c = 'string' THEN TRY_CAST(k_s AS INTEGER) END AS k_num,
+    CASE WHEN level_c = 'number' THEN TRY_CAST(trunc(TRY_CAST(level_s AS DOUBLE)) AS INTEGER) END AS level_idx
+  FROM t
+),
+r AS (
+  SELECT n.*,
+    CASE WHEN NOT valid THEN {{'kind': 'unreadable', 'path': '', 'message': {_q(jsonio.UNREADABLE_MESSAGE)}}}
+         WHEN root_t <> 'OBJECT' THEN {_shape("")}
+         WHEN k_c IN ('number', 'string') AND k_num IS NULL THEN {_wrong("k", "k_s", "Integer")}
+         WHEN k_c IN ('boolean', 'array', 'object', 'null') THEN {_shape("k")}
+         WHEN tags_c = 'array' AND tags_nested THEN {_shape("tags.?")}
+         WHEN tags_c = 'object' THEN {_shape("tags")}
+         WHEN (level_c = 'string' AND level_s NOT IN {_LEVELS_IN} AND level_s <> '')
+           OR (level_c = 'number' AND NOT coalesce(level_idx BETWEEN 0 AND {len(LEVELS) - 1}, false))
+           THEN {_wrong("level", "level_s", "Enum", _ALLOWED_TEXT)}
+         WHEN level_c IN ('boolean', 'array', 'object') THEN {_shape("level")}
+         WHEN meta_c = 'object' AND src_c IN ('array', 'object') THEN {_shape("meta.source")}
+         WHEN meta_c IN ('array', 'boolean', 'number') OR (meta_c = 'string' AND meta_s <> '') THEN {_shape("meta")}
+         WHEN k_c = 'missing' THEN {_shape("k")}
+    END AS reject
+  FROM n
+),
+d AS (
+  SELECT r.*, reject IS NULL AS accepted,
+    CASE WHEN reject IS NULL THEN
+      CASE WHEN tags_c = 'array' THEN tags_l WHEN tags_c IN ('string', 'number', 'boolean') THEN [tags_s] END
+    END AS tags_list
+  FROM r
+)
+SELECT id, payload, accepted,
+  CASE WHEN accepted THEN k_num END AS k,
+  array_to_string(tags_list, '|') AS tags,
+  CAST(len(tags_list) AS INTEGER) AS n_tags,
+  CASE WHEN accepted THEN
+    CASE WHEN level_c = 'string' AND level_s IN {_LEVELS_IN} THEN level_s
+         WHEN level_c = 'number' THEN list_extract({_LEVELS_SQL}, level_idx + 1) END
+  END AS level,
+  CASE WHEN accepted AND meta_c = 'object' AND src_c IN ('string', 'number', 'boolean') THEN src_s END AS meta_source,
+  reject.kind AS reject_kind, reject.path AS reject_path, reject.message AS message
+FROM d
+"""
+
+
+@register("json_decode", sql=JSON_DECODE_SQL)
+def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _decoded(spark, sf_dir)
+    r = F.col("reject")
+    return d.select(
+        "id", "payload", "accepted", "k",
+        F.array_join("tags", "|").alias("tags"), F.size("tags").alias("n_tags"),
+        "level", "meta_source",
+        r["kind"].alias("reject_kind"), r["path"].alias("reject_path"), r["message"].alias("message"),
+    )
+
+
+@register("json_rejects", sql=f"""
+SELECT id, payload, reject_kind, reject_path, message, 'BAD_REQUEST' AS error_type
+FROM ({JSON_DECODE_SQL}) x WHERE NOT accepted
+""")
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jsonio.rejects(_decoded(spark, sf_dir)).select(
+        "id", "payload", "reject_kind", "reject_path", "message", "error_type")
+
+
+@register("json_encode", sql="""
+SELECT event_id,
+  '{' || concat_ws(',',
+     '"event_id":' || CAST(event_id AS VARCHAR),
+     '"event_type":' || CAST(to_json(event_type) AS VARCHAR),
+     '"amount":' || CAST(CAST(value / 1e9 AS DECIMAL(20,12)) AS VARCHAR),
+     CASE WHEN event_id % 4 <> 0 THEN '"note":' || CAST(to_json(props) AS VARCHAR) END,
+     '"meta":{"user":' || CAST(user_id AS VARCHAR) || '}') || '}' AS json
+FROM events
+""")
+def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jsonio.encode(inputs.encodable_rows(spark, sf_dir)).select("event_id", "json")
