@@ -81,18 +81,28 @@ def _wrong_type(path: str, value: Column, f: Field) -> Column:
         f"Field '{path}' has value '%s', which does not match the expected type ({f.type_name}).{allowed}", value))
 
 
-def _decode_field(v: Column, f: Field, prefix: str) -> tuple[dict[str, Column], list[Column], list[Column]]:
-    """Columns for ``f``, its in-order rejects and its missing-required rejects."""
+def _decode_field(v: Column, f: Field, prefix: str, probes: dict[str, Column]
+                  ) -> tuple[dict[str, Column], list[Column], list[Column]]:
+    """Columns for ``f``, its in-order rejects and its missing-required rejects.
+
+    Per-field reads of the variant go into ``probes`` (computed once per row
+    in a projection of their own); the rules below only reference them.
+    """
     path = f"{prefix}{f.name}"
     jpath = f"$.{path}"
-    sub = F.try_variant_get(v, jpath, "variant")
-    cat = _category(sub)
     col_name = path.replace(".", "_")
-    as_string = F.try_variant_get(v, jpath, "string")
+
+    def probe(tag: str, expr: Column) -> Column:
+        name = f"_{col_name}_{tag}"
+        probes[name] = expr
+        return F.col(name)
+
+    cat = probe("cat", _category(F.try_variant_get(v, jpath, "variant")))
+    as_string = probe("str", F.try_variant_get(v, jpath, "string"))
     rejects: list[Column] = []
     late: list[Column] = []
     if f.kind == "int":
-        num = F.try_variant_get(v, jpath, "int")
+        num = probe("int", F.try_variant_get(v, jpath, "int"))
         ok = cat.isin("number", "string") & num.isNotNull()
         cols = {col_name: F.when(ok, num)}
         rejects.append(F.when(cat.isin("number", "string") & num.isNull(), _wrong_type(path, as_string, f)))
@@ -105,7 +115,7 @@ def _decode_field(v: Column, f: Field, prefix: str) -> tuple[dict[str, Column],
         if f.required:
             late.append(F.when(cat.isin("missing", "null"), _missing(path)))
     elif f.kind == "enum":
-        idx = F.try_variant_get(v, jpath, "int")
+        idx = probe("int", F.try_variant_get(v, jpath, "int"))
         allowed = F.array(*[F.lit(x) for x in f.values])
         valid_text = (cat == "string") & as_string.isin(*f.values)
         in_range = (cat == "number") & idx.between(0, len(f.values) - 1)
@@ -118,9 +128,9 @@ def _decode_field(v: Column, f: Field, prefix: str) -> tuple[dict[str, Column],
             late.append(F.when(cat.isin("missing", "null") | empty, _missing(path)))
     elif f.kind == "string_array":
         elems = F.try_variant_get(v, jpath, "array<variant>")
-        nested = F.exists(elems, lambda e: F.schema_of_variant(e).startswith("ARRAY")
-                          | F.schema_of_variant(e).startswith("OBJECT"))
-        arr = F.try_variant_get(v, jpath, "array<string>")
+        nested = probe("nested", F.exists(elems, lambda e: F.schema_of_variant(e).startswith("ARRAY")
+                                          | F.schema_of_variant(e).startswith("OBJECT")))
+        arr = probe("arr", F.try_variant_get(v, jpath, "array<string>"))
         cols = {col_name: F.when((cat == "array") & ~nested, arr)
                 .when(cat.isin("string", "number", "boolean"), F.array(as_string))}
         rejects.append(F.when((cat == "array") & nested, _missing(f"{path}.?")))
@@ -131,7 +141,7 @@ def _decode_field(v: Column, f: Field, prefix: str) -> tuple[dict[str, Column],
         is_obj = cat == "object"
         cols = {}
         for sf in f.fields:
-            c, r, lt = _decode_field(v, sf, f"{path}.")
+            c, r, lt = _decode_field(v, sf, f"{path}.", probes)
             cols.update({k: F.when(is_obj, x) for k, x in c.items()})
             rejects.extend(F.when(is_obj, x) for x in r)
             late.extend(F.when(is_obj, x) for x in lt)
@@ -147,24 +157,27 @@ def _decode_field(v: Column, f: Field, prefix: str) -> tuple[dict[str, Column],
 def decode(df: DataFrame, payload: str, schema: tuple[Field, ...]) -> DataFrame:
     """J1 + V4: add one column per declared field, ``accepted`` and a
     ``reject`` struct (kind, path, message), null when accepted."""
-    v = F.try_parse_json(F.col(payload))
+    parsed = df.withColumn("_v", F.try_parse_json(F.col(payload)))
+    v = F.col("_v")
     cols: dict[str, Column] = {}
     rejects: list[Column] = []
     late: list[Column] = []
+    probes: dict[str, Column] = {"_root": F.schema_of_variant(v)}
     for f in schema:
-        c, r, lt = _decode_field(v, f, "")
+        c, r, lt = _decode_field(v, f, "", probes)
         cols.update(c)
         rejects.extend(r)
         late.extend(lt)
-    root_ok = F.schema_of_variant(v).startswith("OBJECT")
+    probed = parsed.withColumns(probes)
     reject = (
-        F.when(v.isNull(), _reject(UNREADABLE, "", F.lit(UNREADABLE_MESSAGE)))
-        .when(~root_ok, _missing(""))
+        F.when(F.col("_v").isNull(), _reject(UNREADABLE, "", F.lit(UNREADABLE_MESSAGE)))
+        .when(~F.col("_root").startswith("OBJECT"), _missing(""))
         .otherwise(F.coalesce(*rejects, *late))
     )
-    out = df.withColumn("reject", reject)
+    out = probed.withColumn("reject", reject)
     accepted = F.col("reject").isNull()
-    return out.withColumns({**{k: F.when(accepted, x) for k, x in cols.items()}, "accepted": accepted})
+    out = out.withColumns({**{k: F.when(accepted, x) for k, x in cols.items()}, "accepted": accepted})
+    return out.drop("_v", *probes.keys())
 
 
 def rejects(decoded: DataFrame) -> DataFrame:

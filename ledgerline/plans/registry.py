@@ -464,3 +464,104 @@ FROM events
 """)
 def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonio.encode(inputs.encodable_rows(spark, sf_dir)).select("event_id", "json")
+
+
+# --- step 7: streaming ingestion, chunk counts, Kafka shaping, append -----------------
+
+def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON payloads as Kafka-shaped records: key = id, offset = id, three
+    topic partitions by key hash."""
+    p = inputs.json_payloads(spark, sf_dir)
+    return p.select(
+        F.col("id").cast("string").cast("binary").alias("key"),
+        F.col("payload").cast("binary").alias("value"),
+        F.lit("ledger-events").alias("topic"),
+        F.pmod(F.hash("id"), F.lit(3)).cast("int").alias("partition"),
+        F.col("id").alias("offset"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"),
+    )
+
+
+def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Write the records as files, consume them as a stream through the
+    idempotent batch writer; returns (output path, counts path)."""
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming import ingest
+
+    src, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
+    counts, ckpt = scratch_path(spark, "stream-counts"), scratch_path(spark, "stream-ckpt")
+    ingest.write_records(_stream_records(spark, sf_dir), src, n_files=6)
+
+    def transform(batch: DataFrame) -> DataFrame:
+        recs = ingest.decode_value(batch).select(F.col("key").cast("bigint").alias("id"), F.col("value").alias("payload"))
+        d = jsonio.decode(recs, "payload", PAYLOAD_SCHEMA)
+        return d.select("id", "accepted", "k", "level", "meta_source", F.col("reject")["kind"].alias("reject_kind"))
+
+    fn = ingest.idempotent_batch_writer(transform, out, counts, partition_by=("accepted",))
+    ingest.ingest_available(spark, ingest.file_stream(spark, src, files_per_trigger=2), fn, ckpt)
+    return out, counts
+
+
+@register("stream_ingest", sql=f"""
+SELECT id, accepted, k, level, meta_source, reject_kind FROM ({JSON_DECODE_SQL}) x
+""")
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records consumed in micro-batches (2 files per trigger) equal the
+    batch decode of the whole input."""
+    out, _ = _run_stream(spark, sf_dir)
+    # Partition values are discovered as text; the column is boolean.
+    return spark.read.parquet(out).select("id", F.col("accepted").cast("boolean").alias("accepted"),
+                                          "k", "level", "meta_source", "reject_kind")
+
+
+@register("chunk_counts")
+def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4: rows read and written per micro-batch (batch boundaries depend on
+    file arrival, so there is no SQL twin; the totals are tested)."""
+    _, counts = _run_stream(spark, sf_dir)
+    return spark.read.parquet(counts).select("batch_id", "read_count", "write_count")
+
+
+@register("kafka_shape", sql="""
+SELECT CAST(p_partkey AS VARCHAR) AS key,
+  '{"id":' || CAST(p_partkey AS VARCHAR) || ',"name":' || CAST(to_json(p_name) AS VARCHAR)
+  || ',"description":' || CAST(to_json(p_type) AS VARCHAR) || '}' AS value
+FROM part
+""")
+def kafka_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4: entities as (string key, JSON value); text here, bytes at the sink."""
+    from ledgerline.streaming import to_kafka_records
+
+    return to_kafka_records(inputs.entities_from_part(spark, sf_dir), "id", as_binary=False)
+
+
+@register("append_entities", sql=f"""
+WITH c AS ({inputs.BLANK_CANDIDATES_SQL}),
+ok AS (
+  SELECT * FROM c
+  WHERE NOT regexp_matches(name, {_q(BLANK_PATTERN)}) AND NOT regexp_matches(description, {_q(BLANK_PATTERN)})
+)
+SELECT id, name, description FROM ({inputs.ENTITIES_PART_SQL}) e
+UNION ALL
+SELECT (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY id) AS id, name, description FROM ok
+""")
+def append_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5: guard (V1) -> identity keys (L6) -> stamp (L1) -> append; the
+    table read back holds the old entities and the accepted new ones."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources.tables import write_append
+
+    table = scratch_path(spark, "entities")
+    existing = inputs.entities_from_part(spark, sf_dir)
+    stamp = F.current_timestamp().cast("timestamp_ntz")
+    stamped = existing.withColumns({"created_at": stamp, "updated_at": stamp,
+                                    "deleted_at": F.lit(None).cast("timestamp_ntz")})
+    write_append(stamped, table)
+    accepted, _ = validate.split(inputs.blank_candidates(spark, sf_dir), validate.entity_rules())
+    target = spark.read.parquet(table)
+    new = keys.next_ids(accepted.withColumnRenamed("id", "source_id"), target, ["source_id"],
+                        rows_per_range=1000).drop("source_id")
+    write_append(new.withColumns({"created_at": stamp, "updated_at": stamp,
+                                  "deleted_at": F.lit(None).cast("timestamp_ntz")})
+                 .select("id", "name", "description", "created_at", "updated_at", "deleted_at"), table)
+    return spark.read.parquet(table).select("id", "name", "description")
