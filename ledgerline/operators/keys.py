@@ -38,10 +38,13 @@ def assign_ids(df: DataFrame, order_by: list[str], start: int, id_col: str = "id
     if n_ranges > 1:
         probs = [i / n_ranges for i in range(1, n_ranges)]
         cuts = sorted(set(df.approxQuantile(lead, probs, 1.0 / (4 * n_ranges))))
-    keyed = df.withColumn("_lead", F.col(lead).cast("double"))
-    bucketizer = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_lead", outputCol="_range",
-                            handleInvalid="keep")
-    ranged = bucketizer.transform(keyed).drop("_lead")
+    if cuts:
+        keyed = df.withColumn("_lead", F.col(lead).cast("double"))
+        bucketizer = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_lead", outputCol="_range",
+                                handleInvalid="keep")
+        ranged = bucketizer.transform(keyed).drop("_lead")
+    else:
+        ranged = df.withColumn("_range", F.lit(0.0))
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_range",
