@@ -97,12 +97,13 @@ def _decode_field(v: Column, f: Field, prefix: str, probes: dict[str, Column]
         probes[name] = expr
         return F.col(name)
 
-    cat = probe("cat", _category(F.try_variant_get(v, jpath, "variant")))
-    as_string = probe("str", F.try_variant_get(v, jpath, "string"))
+    sub = probe("sub", F.try_variant_get(v, jpath, "variant"))
+    cat = probe("cat", _category(sub))
+    as_string = probe("str", F.try_variant_get(sub, "$", "string"))
     rejects: list[Column] = []
     late: list[Column] = []
     if f.kind == "int":
-        num = probe("int", F.try_variant_get(v, jpath, "int"))
+        num = probe("int", F.try_variant_get(sub, "$", "int"))
         ok = cat.isin("number", "string") & num.isNotNull()
         cols = {col_name: F.when(ok, num)}
         rejects.append(F.when(cat.isin("number", "string") & num.isNull(), _wrong_type(path, as_string, f)))
@@ -115,7 +116,7 @@ def _decode_field(v: Column, f: Field, prefix: str, probes: dict[str, Column]
         if f.required:
             late.append(F.when(cat.isin("missing", "null"), _missing(path)))
     elif f.kind == "enum":
-        idx = probe("int", F.try_variant_get(v, jpath, "int"))
+        idx = probe("int", F.try_variant_get(sub, "$", "int"))
         allowed = F.array(*[F.lit(x) for x in f.values])
         valid_text = (cat == "string") & as_string.isin(*f.values)
         in_range = (cat == "number") & idx.between(0, len(f.values) - 1)
@@ -127,10 +128,10 @@ def _decode_field(v: Column, f: Field, prefix: str, probes: dict[str, Column]
         if f.required:
             late.append(F.when(cat.isin("missing", "null") | empty, _missing(path)))
     elif f.kind == "string_array":
-        elems = F.try_variant_get(v, jpath, "array<variant>")
+        elems = F.try_variant_get(sub, "$", "array<variant>")
         nested = probe("nested", F.exists(elems, lambda e: F.schema_of_variant(e).startswith("ARRAY")
                                           | F.schema_of_variant(e).startswith("OBJECT")))
-        arr = probe("arr", F.try_variant_get(v, jpath, "array<string>"))
+        arr = probe("arr", F.try_variant_get(sub, "$", "array<string>"))
         cols = {col_name: F.when((cat == "array") & ~nested, arr)
                 .when(cat.isin("string", "number", "boolean"), F.array(as_string))}
         rejects.append(F.when((cat == "array") & nested, _missing(f"{path}.?")))
@@ -168,7 +169,9 @@ def decode(df: DataFrame, payload: str, schema: tuple[Field, ...]) -> DataFrame:
         cols.update(c)
         rejects.extend(r)
         late.extend(lt)
-    probed = parsed.withColumns(probes)
+    # Navigate to each field once, then derive type, text and number from it.
+    subs = {k: x for k, x in probes.items() if k.endswith("_sub")}
+    probed = parsed.withColumns(subs).withColumns({k: x for k, x in probes.items() if k not in subs})
     reject = (
         F.when(F.col("_v").isNull(), _reject(UNREADABLE, "", F.lit(UNREADABLE_MESSAGE)))
         .when(~F.col("_root").startswith("OBJECT"), _missing(""))
@@ -180,10 +183,21 @@ def decode(df: DataFrame, payload: str, schema: tuple[Field, ...]) -> DataFrame:
     return out.drop("_v", *probes.keys())
 
 
+def _fence(df: DataFrame) -> DataFrame:
+    """Keep later filters above this point.
+
+    A filter on a decode result references columns built from the whole
+    decode; pushed down, Catalyst would inline the decode into the filter and
+    evaluate it twice (and below any repartition). Filters are not pushed
+    through a generator's output, and a one-element ``inline`` is free.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def rejects(decoded: DataFrame) -> DataFrame:
     """V4: only the rejected rows, flattened, typed BAD_REQUEST."""
     r = F.col("reject")
-    return decoded.where(~F.col("accepted")).withColumns({
+    return _fence(decoded).where(~F.col("accepted")).withColumns({
         "reject_kind": r["kind"], "reject_path": r["path"], "message": r["message"],
         "error_type": F.lit("BAD_REQUEST")}).drop("reject")
 

@@ -17,6 +17,7 @@ from ledgerline.functions.timefmt import to_service_zone
 from ledgerline.operators import errors, jsonio, keys, lifecycle, lookup, metrics, runs, validate
 from ledgerline.operators.envelope import flatten_envelope
 from ledgerline.plans import inputs
+from ledgerline.plans.layout import spread
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -341,7 +342,7 @@ PAYLOAD_SCHEMA = (
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jsonio.decode(inputs.json_payloads(spark, sf_dir), "payload", PAYLOAD_SCHEMA)
+    return jsonio.decode(spread(inputs.json_payloads(spark, sf_dir)), "payload", PAYLOAD_SCHEMA)
 
 
 def _cat(t: str) -> str:
