@@ -50,7 +50,9 @@ def rejected_changes(changes: DataFrame) -> DataFrame:
 
 def _bucket(ts: Column, grain_seconds: int) -> Column:
     secs = F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), ts)
-    return F.floor(secs / F.lit(grain_seconds)).cast("bigint")
+    # Non-nullable on purpose: both uses of the sliced rows then get the same
+    # inferred filters, so Spark reuses one shuffle of the log for both.
+    return F.coalesce(F.floor(secs / F.lit(grain_seconds)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _with_effective(changes: DataFrame, grain_seconds: int, prior: DataFrame | None) -> DataFrame:
@@ -67,28 +69,34 @@ def _with_effective(changes: DataFrame, grain_seconds: int, prior: DataFrame | N
         _bucket(F.col("ts"), grain_seconds).alias("bucket"),
     )
     in_slice = Window.partitionBy("id", "kind", "bucket").orderBy("ts", "event_id")
+    whole_slice = in_slice.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumns({"lag_x": F.lag("x").over(in_slice),
-                             "first_in_slice": F.lag("event_id").over(in_slice).isNull()})
-
-    # One row per (id, kind, slice): its last value, and the previous slice's.
-    slices = rows.groupBy("id", "kind", "bucket").agg(
-        F.max_by("x", F.struct("ts", "event_id")).alias("last_x"))
+                             "first_in_slice": F.lag("event_id").over(in_slice).isNull(),
+                             "last_x": F.last("x").over(whole_slice)})
+    cols = ["id", "event_id", "ts", "op", "kind", "x"]
+
+    # Rows after the first of their slice: the previous element is in the slice.
+    inner = rows.where(~F.col("first_in_slice")).select(
+        *cols, F.col("lag_x").alias("prev"), F.lit(True).alias("has_prev"))
+
+    # The first row of each slice (one per slice, few next to the log) takes
+    # the last value of the id's previous slice. Both branches read the same
+    # shuffle of the log.
+    heads = rows.where("first_in_slice").select(*cols, "bucket", "last_x")
     across = Window.partitionBy("id", "kind").orderBy("bucket")
-    slices = slices.withColumns({"carry": F.lag("last_x").over(across),
-                                 "carry_exists": F.lag("bucket").over(across).isNotNull()})
+    heads = heads.withColumns({"prev": F.lag("last_x").over(across),
+                               "has_prev": F.lag("bucket").over(across).isNotNull()})
     if prior is not None:
         seed = prior.select("id", F.col("prev_value"), F.col("prev_mark"))
-        slices = slices.join(seed, "id", "left").withColumns({
-            "carry": F.when(F.col("carry_exists"), F.col("carry"))
-                      .when(F.col("kind") == "mark", F.col("prev_mark"))
-                      .otherwise(F.col("prev_value")),
-            "carry_exists": F.col("carry_exists") | F.col("prev_mark").isNotNull(),
-        }).drop("prev_value", "prev_mark")
-    rows = rows.join(slices.select("id", "kind", "bucket", "carry", "carry_exists"), ["id", "kind", "bucket"])
-
-    first = F.col("first_in_slice")
-    prev = F.when(first, F.col("carry")).otherwise(F.col("lag_x"))
-    has_prev = F.when(first, F.col("carry_exists")).otherwise(F.lit(True))
+        heads = heads.join(seed, "id", "left").withColumns({
+            "prev": F.when(F.col("has_prev"), F.col("prev"))
+                     .when(F.col("kind") == "mark", F.col("prev_mark"))
+                     .otherwise(F.col("prev_value")),
+            "has_prev": F.col("has_prev") | F.col("prev_mark").isNotNull(),
+        })
+    rows = inner.unionByName(heads.select(*cols, "prev", "has_prev"))
+
+    prev, has_prev = F.col("prev"), F.col("has_prev")
     x = F.col("x")
     effective = (
         F.when(op == "CREATE", F.lit(True))

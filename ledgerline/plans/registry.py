@@ -232,12 +232,15 @@ def lifecycle_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("lifecycle_incremental", sql=_fold_sql(inputs.CHANGE_LOG_SQL))
 def lifecycle_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fold the log before the cut, then apply the rest incrementally; must
-    equal the full fold."""
+    """Fold the log before the cut into a stored snapshot, then apply the rest
+    incrementally to it; must equal the full fold."""
+    from ledgerline.session import scratch_path
+
     log = inputs.change_log(spark, sf_dir)
     cut = F.lit(inputs.INCREMENTAL_CUT).cast("timestamp_ntz")
-    snap = lifecycle.fold(log.where(F.col("ts") < cut))
-    return lifecycle.fold_incremental(snap, log.where(F.col("ts") >= cut))
+    path = scratch_path(spark, "snapshot")
+    lifecycle.fold(log.where(F.col("ts") < cut)).write.parquet(path)
+    return lifecycle.fold_incremental(spark.read.parquet(path), log.where(F.col("ts") >= cut))
 
 
 @register("lifecycle_rejects", sql=f"""
