@@ -24,9 +24,11 @@ writes a field-less object as ``{}``.
 
 from __future__ import annotations
 
+import functools
 import json
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,10 +157,18 @@ def _decode_field(v: Column, f: Field, prefix: str, probes: dict[str, Column]
     return cols, rejects, late
 
 
-def decode(df: DataFrame, payload: str, schema: tuple[Field, ...]) -> DataFrame:
-    """J1 + V4: add one column per declared field, ``accepted`` and a
-    ``reject`` struct (kind, path, message), null when accepted."""
-    parsed = df.withColumn("_v", F.try_parse_json(F.col(payload)))
+@dataclass(frozen=True)
+class _Plan:
+    subs: dict
+    probes: dict
+    reject: Column
+    outputs: dict
+
+
+@functools.lru_cache(maxsize=64)
+def _compile(schema: tuple[Field, ...], context_key: int) -> _Plan:
+    """The decode expressions for ``schema``, built once and reused for every
+    call and every micro-batch (building them is most of the planning cost)."""
     v = F.col("_v")
     cols: dict[str, Column] = {}
     rejects: list[Column] = []
@@ -169,18 +179,31 @@ def decode(df: DataFrame, payload: str, schema: tuple[Field, ...]) -> DataFrame:
         cols.update(c)
         rejects.extend(r)
         late.extend(lt)
-    # Navigate to each field once, then derive type, text and number from it.
     subs = {k: x for k, x in probes.items() if k.endswith("_sub")}
-    probed = parsed.withColumns(subs).withColumns({k: x for k, x in probes.items() if k not in subs})
+    rest = {k: x for k, x in probes.items() if k not in subs}
     reject = (
-        F.when(F.col("_v").isNull(), _reject(UNREADABLE, "", F.lit(UNREADABLE_MESSAGE)))
+        F.when(v.isNull(), _reject(UNREADABLE, "", F.lit(UNREADABLE_MESSAGE)))
         .when(~F.col("_root").startswith("OBJECT"), _missing(""))
         .otherwise(F.coalesce(*rejects, *late))
     )
-    out = probed.withColumn("reject", reject)
     accepted = F.col("reject").isNull()
-    out = out.withColumns({**{k: F.when(accepted, x) for k, x in cols.items()}, "accepted": accepted})
-    return out.drop("_v", *probes.keys())
+    outputs = {**{k: F.when(accepted, x) for k, x in cols.items()}, "accepted": accepted}
+    return _Plan(subs, rest, reject, outputs)
+
+
+def decode(df: DataFrame, payload: str, schema: tuple[Field, ...]) -> DataFrame:
+    """J1 + V4: add one column per declared field, ``accepted`` and a
+    ``reject`` struct (kind, path, message), null when accepted.
+
+    Stages: parse once to VARIANT; navigate to each field once; derive type,
+    text and number from that; then the rules, which only read those columns.
+    """
+    plan = _compile(tuple(schema), id(SparkContext._active_spark_context))
+    out = (df.withColumn("_v", F.try_parse_json(F.col(payload)))
+           .withColumns(plan.subs).withColumns(plan.probes)
+           .withColumn("reject", plan.reject)
+           .withColumns(plan.outputs))
+    return out.drop("_v", *plan.subs.keys(), *plan.probes.keys())
 
 
 def _fence(df: DataFrame) -> DataFrame:

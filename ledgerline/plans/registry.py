@@ -498,7 +498,7 @@ def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
     def transform(batch: DataFrame) -> DataFrame:
         recs = ingest.decode_value(batch).select(F.col("key").cast("bigint").alias("id"), F.col("value").alias("payload"))
-        d = jsonio.decode(recs, "payload", PAYLOAD_SCHEMA)
+        d = jsonio.decode(spread(recs), "payload", PAYLOAD_SCHEMA)
         return d.select("id", "accepted", "k", "level", "meta_source", F.col("reject")["kind"].alias("reject_kind"))
 
     fn = ingest.idempotent_batch_writer(transform, out, counts, partition_by=("accepted",))
