@@ -38,22 +38,37 @@ def date_scope(df: DataFrame, date_col: str, request_date: str | dt.date) -> Dat
 
 
 def run_daily(df: DataFrame, date_col: str, request_date: str | dt.date | None,
-              columns: list[str] | None = None, out_path: str | None = None) -> JobResult:
+              columns: list[str] | None = None, out_path: str | None = None,
+              run_log_path: str | None = None, job_name: str = "daily") -> JobResult:
     """B1: the job needs ``request_date``; without it the run FAILS.
 
     With ``out_path`` the slice is written with dynamic partition overwrite,
-    so re-running a date replaces only that date.
+    so re-running a date replaces only that date. With ``run_log_path`` the
+    run appends one row (run_id, job_name, start_ms, end_ms, status,
+    request_date) that B2 and B3 read.
     """
+    import time
+
+    start_ms = int(time.time() * 1000)
     if request_date is None:
-        return JobResult(FAILED, None, "Required job parameter 'requestDate' is missing.")
-    rows = date_scope(df, date_col, request_date)
-    if columns:
-        rows = rows.select(*columns)
-    if out_path is not None:
-        rows = rows.withColumn("request_date", F.lit(str(request_date)))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("request_date").parquet(out_path))
-    return JobResult(COMPLETED, rows)
+        result = JobResult(FAILED, None, "Required job parameter 'requestDate' is missing.")
+    else:
+        rows = date_scope(df, date_col, request_date)
+        if columns:
+            rows = rows.select(*columns)
+        if out_path is not None:
+            rows = rows.withColumn("request_date", F.lit(str(request_date)))
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("request_date").parquet(out_path))
+        result = JobResult(COMPLETED, rows)
+    if run_log_path is not None:
+        end_ms = int(time.time() * 1000)
+        row = [(start_ms, job_name, start_ms, end_ms, result.status,
+                None if request_date is None else str(request_date))]
+        (df.sparkSession.createDataFrame(
+            row, "run_id bigint, job_name string, start_ms bigint, end_ms bigint, status string, request_date string")
+         .write.mode("append").parquet(run_log_path))
+    return result
 
 
 def run_durations(runs: DataFrame) -> DataFrame:
@@ -83,10 +98,8 @@ def step_status(steps: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS) ->
     the slices' texts are joined in slice order. Only failed rows with a
     message travel past the first aggregation.
     """
-    failed = steps.where(F.col("failed") & F.col("message").isNotNull())
-    part = failed.groupBy("step_id", _slice(F.col("ts"), grain_seconds).alias("_slice")).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", "message"))),
-                                 lambda x: x["message"]), "\n").alias("_text"))
+    part = step_failure_texts(steps, grain_seconds).select(
+        "step_id", F.col("slice").alias("_slice"), F.col("text").alias("_text"))
     texts = part.groupBy("step_id").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_slice", "_text"))),
                                  lambda x: x["_text"]), "\n").alias("messages"))
@@ -102,6 +115,19 @@ def step_status(steps: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS) ->
     )
 
 
+def step_failure_texts(steps: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS) -> DataFrame:
+    """B3 without the final join: one row per (step, time slice) with that
+    slice's failure messages in order. Each row is bounded by the slice, so
+    this is the form to keep when a step's failures are too many for one
+    value (Spark values are limited to 2 GB); ordering by (step_id, slice)
+    and concatenating gives ``step_status``'s ``messages``."""
+    failed = steps.where(F.col("failed") & F.col("message").isNotNull())
+    return failed.groupBy("step_id", _slice(F.col("ts"), grain_seconds).alias("slice")).agg(
+        F.count(F.lit(1)).alias("n_messages"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", "message"))),
+                                 lambda x: x["message"]), "\n").alias("text"))
+
+
 def observe_counts(df: DataFrame, name: str = "chunk") -> tuple[DataFrame, Observation]:
     """B4: read count of a batch, collected as a side effect of the action
     that consumes ``df`` (no second pass)."""

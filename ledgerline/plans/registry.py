@@ -114,7 +114,7 @@ def bulk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("api_lookup", sql=_answer_sql(inputs.RAW_KEY_REQUESTS_SQL, inputs.ENTITIES_PART_SQL))
 def api_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw request keys -> V3/V2 -> lookup -> projection -> envelope."""
-    return _answer(inputs.raw_key_requests(spark, sf_dir), inputs.entities_from_part(spark, sf_dir))
+    return _answer(spread(inputs.raw_key_requests(spark, sf_dir)), inputs.entities_from_part(spark, sf_dir))
 
 
 @register("typed_key_check", sql=f"""
@@ -131,7 +131,7 @@ SELECT request_id, raw_id, id,
 FROM r
 """)
 def typed_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = validate.check_key(inputs.raw_key_requests(spark, sf_dir), raw="raw_id", out="id")
+    checked = validate.check_key(spread(inputs.raw_key_requests(spark, sf_dir)), raw="raw_id", out="id")
     kind = F.col("error_kind")
     return checked.select(
         "request_id", "raw_id", "id", "error_kind",
@@ -178,7 +178,7 @@ SELECT id, name, description, rule, rule IS NULL AS accepted,
 FROM v
 """)
 def blank_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = validate.apply_rules(inputs.blank_candidates(spark, sf_dir), validate.entity_rules())
+    out = validate.apply_rules(spread(inputs.blank_candidates(spark, sf_dir)), validate.entity_rules())
     return out.withColumnRenamed("custom_message", "message")
 
 
@@ -193,7 +193,7 @@ FROM t
 def quoted_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.functions.text import quoted_token as token_of
 
-    r = inputs.reason_texts(spark, sf_dir)
+    r = spread(inputs.reason_texts(spark, sf_dir))
     t = F.lit("BAD_REQUEST")
     return r.select(
         "id", "reason", token_of(F.col("reason")).alias("token"), t.alias("error_type"),
@@ -303,7 +303,7 @@ SELECT run_id, job_name,
 FROM r
 """)
 def run_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.run_durations(inputs.run_log(spark, sf_dir))
+    return runs.run_durations(spread(inputs.run_log(spark, sf_dir)))
 
 
 @register("step_status", sql=f"""
@@ -467,7 +467,7 @@ SELECT event_id,
 FROM events
 """)
 def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jsonio.encode(inputs.encodable_rows(spark, sf_dir)).select("event_id", "json")
+    return jsonio.encode(spread(inputs.encodable_rows(spark, sf_dir))).select("event_id", "json")
 
 
 # --- step 7: streaming ingestion, chunk counts, Kafka shaping, append -----------------
@@ -569,3 +569,14 @@ def append_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "deleted_at": F.lit(None).cast("timestamp_ntz")})
                  .select("id", "name", "description", "created_at", "updated_at", "deleted_at"), table)
     return spark.read.parquet(table).select("id", "name", "description")
+
+
+@register("step_failures", sql=f"""
+WITH s AS ({inputs.STEP_LOG_SQL})
+SELECT step_id, CAST(floor(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', ts) / 3600) AS BIGINT) AS slice,
+  count(*) AS n_messages, string_agg(message, chr(10) ORDER BY ts, event_id) AS text
+FROM s WHERE failed AND message IS NOT NULL GROUP BY 1, 2
+""")
+def step_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 in its bounded form: failure messages per (step, hour)."""
+    return runs.step_failure_texts(inputs.step_log(spark, sf_dir))

@@ -70,3 +70,24 @@ def test_histogram_is_cumulative(spark):
     a = got["a"]
     assert (a.le_1, a.le_2_5, a.le_5, a["count"], a["sum"], a.application) == (1, 1, 2, 4, 312.5, "app")
     assert got["b"].le_1 == 1
+
+
+def test_failure_texts_concatenate_to_step_messages(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, i, t + dt.timedelta(minutes=37 * i), i % 2 == 0, f"m{i}") for i in range(40)]
+    steps = spark.createDataFrame(rows, schemas.STEP_LOG)
+    parts = runs.step_failure_texts(steps, 3600).orderBy("slice").collect()
+    assert len(parts) > 1 and sum(p.n_messages for p in parts) == 20
+    whole = runs.step_status(steps, 3600).first().messages
+    assert whole == "\n".join(p.text for p in parts) == "\n".join(f"m{i}" for i in range(0, 40, 2))
+
+
+def test_daily_job_appends_run_log(spark, tmpdir_fresh):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    log = tmpdir_fresh + "/runs"
+    runs.run_daily(orders, "o_orderdate", None, run_log_path=log)
+    runs.run_daily(orders, "o_orderdate", "1997-06-15", run_log_path=log)
+    got = sorted((r.status, r.request_date) for r in spark.read.parquet(log).collect())
+    assert got == [("COMPLETED", "1997-06-15"), ("FAILED", None)]
+    durations = runs.run_durations(spark.read.parquet(log).select("run_id", "job_name", "start_ms", "end_ms"))
+    assert all(r.total_ms >= 0 for r in durations.collect())
