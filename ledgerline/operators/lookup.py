@@ -4,7 +4,7 @@ Set-at-a-time: a batch of requests is answered by one join against the
 entity table instead of one point query per key.
 
 Join strategy (checked, not assumed):
-* If the request batch has at most ``max_broadcast_rows`` rows (counted with a
+* If the request batch has at most ``max_broadcast_rows`` rows (default 1M; counted with a
   bounded ``limit(n + 1).count()``), the requests' keys are broadcast and the
   entity table is filtered by a left-semi join while it is scanned: the entity
   table is never shuffled. The hits that survive are at most one per request
@@ -23,7 +23,7 @@ from ledgerline.operators.envelope import envelope
 from ledgerline.operators.errors import status_of
 
 PROJECTION = ("id", "name", "description")
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def at_most(df: DataFrame, n: int) -> bool:

@@ -61,3 +61,40 @@ def test_projection_prunes_audit_columns(spark, tmpdir_fresh):
     plan = lookup.project(lookup.find(scanned, 1))._jdf.queryExecution().executedPlan().toString()
     assert "created_at" not in plan
     assert "PushedFilters: [IsNotNull(id), EqualTo(id,1)]" in plan
+
+
+def test_hot_request_key_is_split_by_aqe(spark):
+    """A third of the requests ask for one id. On the shuffle path AQE's skew
+    join splits that partition; answers stay whole and correct."""
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        req = spark.range(n).select(
+            F.col("id").alias("request_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000 + 1).alias("id"))
+        ents = spark.range(1, 4001).select("id", F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"),
+                                           F.lit("d").alias("description"))
+        out = lookup.lookup(req, ents, max_broadcast_rows=0).select("request_id", "id", "found")
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len(rows) == n
+        assert sum(r.found for r in rows) == sum(1 for r in rows if r.id <= 4000)
+        assert "isSkewJoin=true" in plan or "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
