@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_RANGE = 4_000_000
-MAX_RANGES = 10_000
+MAX_RANGES = 100_000
 
 
 def assign_ids(df: DataFrame, order_by: list[str], start: int, id_col: str = "id",

@@ -1,3 +1,3 @@
-from ledgerline.sources.tables import read_table, scan_entities, jdbc_reader_options, write_append
+from ledgerline.sources.tables import jdbc_reader_options, read_table, save_bucketed, scan_entities, write_append
 
-__all__ = ["read_table", "scan_entities", "jdbc_reader_options", "write_append"]
+__all__ = ["jdbc_reader_options", "read_table", "save_bucketed", "scan_entities", "write_append"]

@@ -73,3 +73,13 @@ def write_append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: l
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+
+
+def save_bucketed(df: DataFrame, table: str, key: str = "id", buckets: int = 512, mode: str = "overwrite") -> None:
+    """Save an entity table bucketed and sorted by its key (catalog table
+    under ``spark.sql.warehouse.dir``).
+
+    Lookups against it (Q2's shuffle path) then shuffle only the request side
+    into the table's buckets; the entity side is read in place.
+    """
+    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)

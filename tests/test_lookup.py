@@ -98,3 +98,22 @@ def test_hot_request_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_bucketed_entities_are_not_shuffled(spark):
+    from ledgerline.sources.tables import save_bucketed
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ents = spark.range(1, 2001).select("id", F.lit("n").alias("name"), F.lit("d").alias("description"))
+        save_bucketed(ents, "entities_bucketed", buckets=8)
+        req = spark.range(5000).select(F.col("id").alias("request_id"), (F.col("id") % 3000).alias("id"))
+        out = lookup.lookup(req, spark.table("entities_bucketed"), max_broadcast_rows=0)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1  # requests only
+        assert out.where("found").count() == sum(1 for i in range(5000) if 1 <= i % 3000 <= 2000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
