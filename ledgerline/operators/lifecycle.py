@@ -158,3 +158,21 @@ def fold_incremental(snapshot: DataFrame, changes: DataFrame,
         F.when(F.col("d.last_mark").isNotNull(), F.col("d.deleted_at")).otherwise(F.col("s.deleted_at"))
         .alias("deleted_at"),
     )
+
+
+def apply_late_changes(snapshot: DataFrame, log: DataFrame, late: DataFrame,
+                       grain_seconds: int = DEFAULT_GRAIN_SECONDS, max_broadcast_ids: int = 1_000_000) -> DataFrame:
+    """Changes older than the snapshot cannot be applied on top of it: re-fold
+    the affected ids from their whole history (``log`` plus ``late``) and
+    swap them into the snapshot. Untouched ids are carried over as they are.
+
+    The affected id set is broadcast to filter the log while it is scanned
+    when it has at most ``max_broadcast_ids`` ids (checked); otherwise the
+    semi and anti joins shuffle on id.
+    """
+    ids = late.select("id").distinct()
+    small = ids.limit(max_broadcast_ids + 1).count() <= max_broadcast_ids
+    keep = F.broadcast(ids) if small else ids
+    history = log.unionByName(late).join(keep, "id", "left_semi")
+    refolded = fold(history, grain_seconds)
+    return snapshot.join(keep, "id", "left_anti").unionByName(refolded.select(*snapshot.columns))

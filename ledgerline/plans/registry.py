@@ -494,7 +494,7 @@ def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
     src, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     counts, ckpt = scratch_path(spark, "stream-counts"), scratch_path(spark, "stream-ckpt")
-    ingest.write_records(_stream_records(spark, sf_dir), src, n_files=6)
+    ingest.write_records(_stream_records(spark, sf_dir), src, n_files=4)
 
     def transform(batch: DataFrame) -> DataFrame:
         recs = ingest.decode_value(batch).select(F.col("key").cast("bigint").alias("id"), F.col("value").alias("payload"))

@@ -96,11 +96,29 @@ def test_incremental_equals_full_fold(spark, cut):
     assert inc == full
 
 
-def test_single_window_exchange_of_the_log(spark):
-    """The log is shuffled once for the sliced lag; later exchanges carry
-    per-slice or per-id rows only."""
+def test_log_is_shuffled_once(spark):
+    """One exchange of the log for the sliced lag, reused by the slice-head
+    branch; the other exchanges carry one row per slice or per id."""
+    import re
+
     rows = random_log(5, 100, seed=1)
-    df = lifecycle.fold(spark.createDataFrame(rows, schemas.CHANGE))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("hashpartitioning(id#") >= 1
-    assert df.count() == 5
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = lifecycle.fold(spark.createDataFrame(rows, schemas.CHANGE))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    log_exchanges = [line for line in plan.splitlines() if "ReusedExchange" not in line
+                     and re.search(r"Exchange hashpartitioning\(id#\d+L, kind#\d+, bucket#\d+L", line)]
+    assert len(log_exchanges) == 1
+    assert "ReusedExchange" in plan
+
+
+def test_late_changes_refold_only_affected_ids(spark):
+    rows = random_log(12, 600, seed=7, hot_share=0.3)
+    late = [r for r in rows if r[0] in (2, 5) and r[3] != "CREATE"][::3]
+    on_time = [r for r in rows if r not in late]
+    snap = lifecycle.fold(spark.createDataFrame(on_time, schemas.CHANGE))
+    fixed = lifecycle.apply_late_changes(snap, spark.createDataFrame(on_time, schemas.CHANGE),
+                                         spark.createDataFrame(late, schemas.CHANGE))
+    assert as_dict(fixed) == brute_force(rows)
