@@ -11,7 +11,11 @@ Join strategy (checked, not assumed):
   key (ids are unique), so they are broadcast back to the requests.
 * Otherwise both sides are shuffled on the key (sort-merge join). AQE's skew
   join splits a request key that holds a large share of the batch; the entity
-  side has one row per key so nothing on it can be hot.
+  side has one row per key so nothing on it can be hot. An entity table saved
+  with ``sources.tables.save_bucketed`` is not shuffled at all.
+
+The check reads at most ``n + 1`` rows per partition of the requests' key
+column; a caller who knows the sizes passes ``strategy`` and skips it.
 """
 
 from __future__ import annotations
@@ -53,12 +57,23 @@ def find_many(entities: DataFrame, keys: DataFrame, key: str = "id",
     return entities.join(k, "id", "left_semi")
 
 
+STRATEGIES = ("auto", "broadcast_requests", "shuffle")
+
+
 def lookup(requests: DataFrame, entities: DataFrame, key: str = "id",
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, strategy: str = "auto") -> DataFrame:
     """Q2: one output row per request (duplicates kept) with the entity's
-    projected columns as ``entity`` (null on a miss) and ``found``."""
+    projected columns as ``entity`` (null on a miss) and ``found``.
+
+    ``strategy``: ``auto`` checks the request count; ``broadcast_requests``
+    asserts the batch is small (at most ``max_broadcast_rows``); ``shuffle``
+    always joins on shuffled keys.
+    """
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
     ents = entities.select(F.col("id").alias("_eid"), F.struct(*PROJECTION).alias("entity"))
-    if at_most(requests, max_broadcast_rows):
+    small = strategy == "broadcast_requests" or (strategy == "auto" and at_most(requests, max_broadcast_rows))
+    if small:
         keys = F.broadcast(requests.select(F.col(key).alias("_eid")).where(F.col("_eid").isNotNull()))
         ents = F.broadcast(ents.join(keys, "_eid", "left_semi"))
     out = requests.join(ents, F.col(key) == F.col("_eid"), "left")
@@ -71,7 +86,7 @@ def not_found_message(key: Column) -> Column:
 
 
 def answer(requests: DataFrame, entities: DataFrame, key: str = "id",
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, strategy: str = "auto") -> DataFrame:
     """Q2 -> Q3 -> Q4/Q5: each request with its ``response`` envelope and
     ``status`` (200 on success, else the error type's status).
 
@@ -82,7 +97,7 @@ def answer(requests: DataFrame, entities: DataFrame, key: str = "id",
         requests = requests.withColumns({"error_type": F.lit(None).cast("string"),
                                          "custom_message": F.lit(None).cast("string")})
     rejected = F.col("error_type").isNotNull()
-    looked = lookup(requests, entities, key, max_broadcast_rows)
+    looked = lookup(requests, entities, key, max_broadcast_rows, strategy)
     miss = ~F.col("found") & ~rejected
     err_type = F.when(rejected, F.col("error_type")).when(miss, F.lit("NOT_FOUND"))
     custom = F.when(rejected, F.col("custom_message")).when(miss, not_found_message(F.col(key)))

@@ -36,10 +36,12 @@ def test_find_many_hits_only(spark):
     assert got == [2]
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_hit_miss_and_type_errors(spark, max_rows):
+@pytest.mark.parametrize("max_rows,strategy", [(0, "auto"), (1000, "auto"), (1000, "broadcast_requests"),
+                                               (1000, "shuffle")])
+def test_hit_miss_and_type_errors(spark, max_rows, strategy):
     ents = entities(spark, [(7, "seven", "lucky", None), (8, "eight", "round", T0)])
-    out = answer(spark, ents, ["7", "999", "-1", "일곱", None, " +8 ", "7"], max_broadcast_rows=max_rows)
+    out = answer(spark, ents, ["7", "999", "-1", "일곱", None, " +8 ", "7"], max_broadcast_rows=max_rows,
+                 strategy=strategy)
     assert out[0]["result"] == "SUCCESS" and out[0]["data_name"] == "seven" and out[0]["status"] == 200
     assert out[0]["error_code"] is None and out[0]["message"] is None
     assert out[1]["result"] == "FAIL" and out[1]["status"] == 404 and "999" in out[1]["message"]
