@@ -19,14 +19,36 @@ def to_service_zone(ts_utc_ntz: Column, zone: str = SERVICE_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts_utc_ntz)
 
 
-def render_local(epoch_ms: Column, zone: str = SERVICE_ZONE) -> Column:
-    """Epoch milliseconds -> local wall time in ``zone`` (TIMESTAMP_NTZ).
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def utc_epoch_millis(ts_utc_ntz: Column) -> Column:
+    """Milliseconds since the epoch of a UTC wall time, truncated.
 
-    The instant is cast to wall time in the session zone and converted from
-    there, so the result does not depend on which zone the session uses.
+    Built from the wall-clock fields only; ``timestampdiff`` would cast the
+    NTZ value through the session zone and shift across DST changes.
     """
-    session_wall = F.timestamp_millis(epoch_ms).cast("timestamp_ntz")
-    return F.convert_timezone(None, F.lit(zone), session_wall)
+    days = F.datediff(F.to_date(ts_utc_ntz), F.lit("1970-01-01").cast("date")).cast("bigint")
+    ms_of_second = F.floor(F.date_part(F.lit("SECOND"), ts_utc_ntz) * F.lit(1000)).cast("bigint")
+    return (days * F.lit(86_400_000) + F.hour(ts_utc_ntz).cast("bigint") * F.lit(3_600_000)
+            + F.minute(ts_utc_ntz).cast("bigint") * F.lit(60_000) + ms_of_second)
+
+
+def utc_epoch_seconds(ts_utc_ntz: Column) -> Column:
+    return F.floor(utc_epoch_millis(ts_utc_ntz) / F.lit(1000)).cast("bigint")
+
+
+def utc_wall_from_millis(epoch_ms: Column) -> Column:
+    """Epoch milliseconds -> UTC wall time (TIMESTAMP_NTZ), zone-free
+    (NTZ plus a day-time interval is pure wall-clock arithmetic)."""
+    secs = (epoch_ms.cast("decimal(20,3)") / F.lit(1000)).cast("decimal(18,6)")
+    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(secs=secs)
+
+
+def render_local(epoch_ms: Column, zone: str = SERVICE_ZONE) -> Column:
+    """Epoch milliseconds -> local wall time in ``zone`` (TIMESTAMP_NTZ),
+    independent of the session zone."""
+    return to_service_zone(utc_wall_from_millis(epoch_ms), zone)
 
 
 def duration_parts(total_ms: Column) -> dict[str, Column]:

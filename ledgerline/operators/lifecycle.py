@@ -32,9 +32,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import is_blank
+from ledgerline.functions.timefmt import utc_epoch_seconds
 
 MARKS = ["DELETE", "RESTORE"]
-EPOCH = "1970-01-01 00:00:00"
 DEFAULT_GRAIN_SECONDS = 3600
 
 
@@ -49,7 +49,7 @@ def rejected_changes(changes: DataFrame) -> DataFrame:
 
 
 def _bucket(ts: Column, grain_seconds: int) -> Column:
-    secs = F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), ts)
+    secs = utc_epoch_seconds(ts)
     # Non-nullable on purpose: both uses of the sliced rows then get the same
     # inferred filters, so Spark reuses one shuffle of the log for both.
     return F.coalesce(F.floor(secs / F.lit(grain_seconds)).cast("bigint"), F.lit(0).cast("bigint"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.timefmt import duration_parts, render_local
+from ledgerline.functions.timefmt import duration_parts, render_local, utc_epoch_seconds
 
 # Run outcomes.
 COMPLETED = "COMPLETED"
@@ -85,8 +85,7 @@ def run_durations(runs: DataFrame) -> DataFrame:
 
 
 def _slice(ts: Column, grain_seconds: int) -> Column:
-    secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-    return F.floor(secs / F.lit(grain_seconds)).cast("bigint")
+    return F.floor(utc_epoch_seconds(ts) / F.lit(grain_seconds)).cast("bigint")
 
 
 def step_status(steps: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS) -> DataFrame:

@@ -29,7 +29,9 @@ def _sql_case(selector: str, variants: list[str]) -> str:
 
 def epoch_ms(ts: Column) -> Column:
     """Milliseconds since the epoch of a UTC wall time (TIMESTAMP_NTZ), truncated."""
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    from ledgerline.functions.timefmt import utc_epoch_millis
+
+    return utc_epoch_millis(ts)
 
 
 EPOCH_MS_SQL = "date_diff('millisecond', TIMESTAMP '1970-01-01 00:00:00', {ts})"

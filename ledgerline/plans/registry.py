@@ -441,7 +441,8 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = F.col("reject")
     return d.select(
         "id", "payload", "accepted", "k",
-        F.array_join("tags", "|").alias("tags"), F.size("tags").alias("n_tags"),
+        F.array_join("tags", "|").alias("tags"),
+        F.when(F.col("tags").isNotNull(), F.size("tags")).alias("n_tags"),  # size(null) is -1 without ANSI
         "level", "meta_source",
         r["kind"].alias("reject_kind"), r["path"].alias("reject_path"), r["message"].alias("message"),
     )

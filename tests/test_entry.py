@@ -32,3 +32,16 @@ def test_query_matches_oracle(spark, duck, name):
     got = digest(ent.queries()[name](spark, SF).toPandas())
     want = digest(duck.sql(ent.oracle_sql()[name]).df())
     assert got[:3] == want[:3]
+
+
+@pytest.mark.parametrize("name", ["run_durations", "step_failures", "step_status", "lifecycle_snapshot",
+                                  "kst_render", "daily_slice"])
+def test_time_jobs_do_not_depend_on_session_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Apia")  # UTC-11 in 1970, UTC+13 now
+    try:
+        got = digest(ent.queries()[name](spark, SF).toPandas())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = digest(duck.sql(ent.oracle_sql()[name]).df())
+    assert got[:3] == want[:3]

@@ -91,3 +91,21 @@ def test_daily_job_appends_run_log(spark, tmpdir_fresh):
     assert got == [("COMPLETED", "1997-06-15"), ("FAILED", None)]
     durations = runs.run_durations(spark.read.parquet(log).select("run_id", "job_name", "start_ms", "end_ms"))
     assert all(r.total_ms >= 0 for r in durations.collect())
+
+
+def test_epoch_millis_is_zone_free(spark):
+    from ledgerline.functions.timefmt import utc_epoch_millis, utc_wall_from_millis
+
+    ts = [dt.datetime(2024, 1, 1, 0, 0, 7, 179575), dt.datetime(2024, 7, 1, 12, 30), dt.datetime(1970, 1, 1)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ["UTC", "Pacific/Apia", "America/New_York"]:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(t,) for t in ts], "ts timestamp_ntz")
+            got = df.select(utc_epoch_millis(F.col("ts")).alias("ms")).withColumn(
+                "back", utc_wall_from_millis(F.col("ms"))).collect()
+            want = [int((t - dt.datetime(1970, 1, 1)) / dt.timedelta(milliseconds=1)) for t in ts]
+            assert [r.ms for r in got] == want
+            assert [r.back for r in got] == [t.replace(microsecond=t.microsecond // 1000 * 1000) for t in ts]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
