@@ -230,7 +230,10 @@ def rejects(decoded: DataFrame) -> DataFrame:
 def _value_json(c: Column, dtype: T.DataType) -> Column:
     """JSON text of one value; null stays null so the field can be omitted."""
     if isinstance(dtype, T.DecimalType):
-        return c.cast("string")  # plain notation, scale kept
+        # Plain notation with the column's scale, exact (DecimalFormat on the
+        # BigDecimal), grouping commas removed. Not cast(... as string): with
+        # ANSI off that prints 6.6230E-8.
+        return F.translate(F.format_number(c, dtype.scale), ",", "")
     if isinstance(dtype, T.StructType):
         return _object_json([(f.name, c[f.name], f.dataType) for f in dtype.fields], c.isNull())
     wrapped = F.to_json(F.struct(c.alias("v")))

@@ -59,16 +59,27 @@ def test_wrong_type_before_missing(spark):
     assert r.reject.path == "level"
 
 
-def test_encode_plain_decimals_and_omitted_nulls(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_encode_plain_decimals_and_omitted_nulls(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        _check_encode(spark)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def _check_encode(spark):
     schema = T.StructType([
         T.StructField("id", T.LongType()), T.StructField("amount", T.DecimalType(20, 12)),
         T.StructField("note", T.StringType()),
         T.StructField("meta", T.StructType([T.StructField("a", T.StringType())])),
     ])
     rows = [(1, decimal.Decimal("0.000000012300"), None, None), (None, None, None, (None,)),
-            (3, decimal.Decimal("12.5"), 'q"uote', ("x",))]
+            (3, decimal.Decimal("12.5"), 'q"uote', ("x",)), (4, decimal.Decimal("-0.000000000001"), None, None)]
     got = [r.json for r in jsonio.encode(spark.createDataFrame(rows, schema)).orderBy(F.col("id").asc_nulls_first()).collect()]
     assert got[0] == '{"meta":{}}'
     assert got[1] == '{"id":1,"amount":0.000000012300}'
     assert got[2] == '{"id":3,"amount":12.500000000000,"note":"q\\"uote","meta":{"a":"x"}}'
+    assert got[3] == '{"id":4,"amount":-0.000000000001}'
     assert json.loads(got[2])["note"] == 'q"uote'
