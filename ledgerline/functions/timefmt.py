@@ -62,3 +62,10 @@ def duration_parts(total_ms: Column) -> dict[str, Column]:
         "minutes": F.pmod(F.floor(ms / F.lit(60_000)), F.lit(60)).cast("bigint"),
         "seconds": F.pmod(F.floor(ms / F.lit(1_000)), F.lit(60)).cast("bigint"),
     }
+
+
+def time_slice(ts_utc_ntz: Column, grain_seconds: int) -> Column:
+    """Index of the ``grain_seconds``-long slice holding ``ts`` (order
+    preserving, never null so both uses of a sliced plan stay identical)."""
+    return F.coalesce(F.floor(utc_epoch_seconds(ts_utc_ntz) / F.lit(grain_seconds)).cast("bigint"),
+                      F.lit(0).cast("bigint"))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import is_blank
-from ledgerline.functions.timefmt import utc_epoch_seconds
+from ledgerline.functions.timefmt import time_slice
 
 MARKS = ["DELETE", "RESTORE"]
 DEFAULT_GRAIN_SECONDS = 3600
@@ -48,13 +48,6 @@ def rejected_changes(changes: DataFrame) -> DataFrame:
         {"error_type": F.lit("BAD_REQUEST"), "message": F.lit("Description must not be blank.")})
 
 
-def _bucket(ts: Column, grain_seconds: int) -> Column:
-    secs = utc_epoch_seconds(ts)
-    # Non-nullable on purpose: both uses of the sliced rows then get the same
-    # inferred filters, so Spark reuses one shuffle of the log for both.
-    return F.coalesce(F.floor(secs / F.lit(grain_seconds)).cast("bigint"), F.lit(0).cast("bigint"))
-
-
 def _with_effective(changes: DataFrame, grain_seconds: int, prior: DataFrame | None) -> DataFrame:
     """Accepted changes with ``kind``, ``x`` (the compared value) and ``effective``.
 
@@ -66,7 +59,7 @@ def _with_effective(changes: DataFrame, grain_seconds: int, prior: DataFrame | N
         "id", "event_id", "ts", "op",
         F.when(op.isin(MARKS), F.lit("mark")).otherwise(F.lit("value")).alias("kind"),
         F.when(op.isin(MARKS), op).otherwise(F.col("description")).alias("x"),
-        _bucket(F.col("ts"), grain_seconds).alias("bucket"),
+        time_slice(F.col("ts"), grain_seconds).alias("bucket"),
     )
     in_slice = Window.partitionBy("id", "kind", "bucket").orderBy("ts", "event_id")
     whole_slice = in_slice.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

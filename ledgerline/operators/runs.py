@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.timefmt import duration_parts, render_local, utc_epoch_seconds
+from ledgerline.functions.timefmt import duration_parts, render_local, time_slice
 
 # Run outcomes.
 COMPLETED = "COMPLETED"
@@ -84,10 +84,6 @@ def run_durations(runs: DataFrame) -> DataFrame:
     )
 
 
-def _slice(ts: Column, grain_seconds: int) -> Column:
-    return F.floor(utc_epoch_seconds(ts) / F.lit(grain_seconds)).cast("bigint")
-
-
 def step_status(steps: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS) -> DataFrame:
     """B3: per step, FAILED if any row failed, with the failures' non-null
     messages joined by newline in (ts, event_id) order; else COMPLETED.
@@ -121,7 +117,7 @@ def step_failure_texts(steps: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECO
     value (Spark values are limited to 2 GB); ordering by (step_id, slice)
     and concatenating gives ``step_status``'s ``messages``."""
     failed = steps.where(F.col("failed") & F.col("message").isNotNull())
-    return failed.groupBy("step_id", _slice(F.col("ts"), grain_seconds).alias("slice")).agg(
+    return failed.groupBy("step_id", time_slice(F.col("ts"), grain_seconds).alias("slice")).agg(
         F.count(F.lit(1)).alias("n_messages"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", "message"))),
                                  lambda x: x["message"]), "\n").alias("text"))

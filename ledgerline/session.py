@@ -22,6 +22,22 @@ RECOMMENDED_CONF = {
 }
 
 
+# Starting points for a large cluster (~100 TB inputs, ~1000 executors). AQE
+# sizes shuffle partitions at run time from a high initial count; scans split
+# into 256 MB tasks; a partition five times the median and over 512 MB counts
+# as skewed and is split.
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerline") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

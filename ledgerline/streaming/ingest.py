@@ -28,13 +28,17 @@ CONSUMERS = 3
 PRODUCER_RETRIES = 3
 
 
-def kafka_source_options(bootstrap_servers: str, topic: str) -> dict[str, str]:
+def kafka_source_options(bootstrap_servers: str, topic: str, **overrides: str) -> dict[str, str]:
     """Options for ``spark.readStream.format("kafka")``.
 
     A trigger takes at most what all consumers would poll together; the topic
     is read by at least as many tasks as there were consumers; reading starts
     at the latest offset on first start (the checkpoint rules afterwards), and
     missing data fails the query instead of being skipped.
+
+    The defaults mirror the service's consumer settings. At cluster scale pass
+    larger ``maxOffsetsPerTrigger`` / ``minPartitions`` as overrides: a trigger
+    should carry enough records to keep every executor core busy.
     """
     return {
         "kafka.bootstrap.servers": bootstrap_servers,
@@ -43,6 +47,7 @@ def kafka_source_options(bootstrap_servers: str, topic: str) -> dict[str, str]:
         "maxOffsetsPerTrigger": str(RECORDS_PER_POLL * CONSUMERS),
         "minPartitions": str(CONSUMERS),
         "failOnDataLoss": "true",
+        **{k: str(v) for k, v in overrides.items()},
     }
 
 
