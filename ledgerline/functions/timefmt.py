@@ -39,10 +39,9 @@ def utc_epoch_seconds(ts_utc_ntz: Column) -> Column:
 
 
 def utc_wall_from_millis(epoch_ms: Column) -> Column:
-    """Epoch milliseconds -> UTC wall time (TIMESTAMP_NTZ), zone-free
-    (NTZ plus a day-time interval is pure wall-clock arithmetic)."""
-    secs = (epoch_ms.cast("decimal(20,3)") / F.lit(1000)).cast("decimal(18,6)")
-    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(secs=secs)
+    """Epoch milliseconds -> UTC wall time (TIMESTAMP_NTZ); adding to an NTZ
+    value is wall-clock arithmetic, independent of the session zone."""
+    return F.timestamp_add("MILLISECOND", epoch_ms, F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
 
 
 def render_local(epoch_ms: Column, zone: str = SERVICE_ZONE) -> Column:
