@@ -121,7 +121,8 @@ def _decode_field(v: Column, f: Field, prefix: str, probes: dict[str, Column]
         idx = probe("int", F.try_variant_get(sub, "$", "int"))
         allowed = F.array(*[F.lit(x) for x in f.values])
         valid_text = (cat == "string") & as_string.isin(*f.values)
-        in_range = (cat == "number") & idx.between(0, len(f.values) - 1)
+        # coalesce: an index that does not fit an int is null, and must count as out of range
+        in_range = (cat == "number") & F.coalesce(idx.between(0, len(f.values) - 1), F.lit(False))
         empty = (cat == "string") & (as_string == "")
         cols = {col_name: F.when(valid_text, as_string).when(in_range, F.try_element_at(allowed, idx + 1))}
         bad = ((cat == "string") & ~as_string.isin(*f.values) & ~empty) | ((cat == "number") & ~in_range)
