@@ -13,6 +13,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     It matters for a small file written as one row group, which Parquet
     cannot split: CPU-heavy per-row work (JSON, regex) would run in one task.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. Spark Connect): leave the layout alone
+        return df
     return df.repartition(want) if have < want else df

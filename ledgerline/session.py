@@ -58,15 +58,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session leaves it unset (tests, a laptop) do we create one.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext on the client
+        sc = None
+    d = d or (sc.getCheckpointDir() if sc is not None else None)
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # a core setting some sessions refuse to change at run time
             pass
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
