@@ -119,3 +119,29 @@ def test_bucketed_entities_are_not_shuffled(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("strategy", ["broadcast_requests", "shuffle"])
+def test_random_requests_match_brute_force(spark, strategy):
+    import random
+    import re as _re
+
+    r = random.Random(11)
+    ents = {i: (f"n{i}", f"d{i}", r.random() < 0.3) for i in r.sample(range(1, 400), 150)}
+    raws = [r.choice([str(r.randint(-5, 420)), f" +{r.randint(0, 400)} ", "x1", "5.0", None, "", "99999999999999999999",
+                      str(r.choice(list(ents)))]) for _ in range(600)]
+    got = answer(spark, entities(spark, [(i, n, d, T0 if dead else None) for i, (n, d, dead) in ents.items()]),
+                 raws, strategy=strategy)
+    for i, raw in enumerate(raws):
+        row = got[i]
+        ok_key = raw is not None and _re.fullmatch(r" *[+-]?[0-9]+ *", raw) and -2 ** 63 <= int(raw) < 2 ** 63
+        if raw is None:
+            want = (400, "FAIL", "Required parameter 'id' (type Long) is missing.", None)
+        elif not ok_key:
+            want = (400, "FAIL", f"Parameter 'id' (type Long) has an invalid value '{raw}'.", None)
+        elif int(raw) in ents:
+            want = (200, "SUCCESS", None, ents[int(raw)][0])  # soft-deleted rows are found too
+        else:
+            want = (404, "FAIL", f"No item was found for id {int(raw)}.", None)
+        assert (row.status, row.result, row.message, row.data_name) == want, raw
+        assert row.error_code == (None if want[0] == 200 else {400: "Bad Request", 404: "Not Found"}[want[0]])
