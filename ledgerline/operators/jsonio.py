@@ -192,13 +192,20 @@ def _compile(schema: tuple[Field, ...], context_key: int) -> _Plan:
     return _Plan(subs, rest, reject, outputs)
 
 
-def decode(df: DataFrame, payload: str, schema: tuple[Field, ...]) -> DataFrame:
+def decode(df: DataFrame, payload: str, schema: tuple[Field, ...], duplicate_keys: str = "last") -> DataFrame:
     """J1 + V4: add one column per declared field, ``accepted`` and a
     ``reject`` struct (kind, path, message), null when accepted.
 
     Stages: parse once to VARIANT; navigate to each field once; derive type,
     text and number from that; then the rules, which only read those columns.
+
+    ``duplicate_keys``: ``"last"`` (the last value of a repeated key wins, as
+    in the service) or ``"reject"`` (the payload is unreadable). Spark reads
+    this from the session when the plan runs, so it is set on the session.
     """
+    if duplicate_keys not in ("last", "reject"):
+        raise ValueError("duplicate_keys must be 'last' or 'reject'")
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", str(duplicate_keys == "last").lower())
     plan = _compile(tuple(schema), id(SparkContext._active_spark_context))
     out = (df.withColumn("_v", F.try_parse_json(F.col(payload)))
            .withColumns(plan.subs).withColumns(plan.probes)

@@ -19,6 +19,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # JSON objects with a repeated key keep the last value (J1).
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

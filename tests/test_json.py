@@ -83,3 +83,12 @@ def _check_encode(spark):
     assert got[2] == '{"id":3,"amount":12.500000000000,"note":"q\\"uote","meta":{"a":"x"}}'
     assert got[3] == '{"id":4,"amount":-0.000000000001}'
     assert json.loads(got[2])["note"] == 'q"uote'
+
+
+def test_duplicate_keys_last_wins_or_reject(spark):
+    df = spark.createDataFrame([(1, '{"k": 1, "level": "LOW", "k": 2}')], "id long, payload string")
+    r = jsonio.decode(df, "payload", PAYLOAD_SCHEMA).first()
+    assert r.accepted and r.k == 2
+    r = jsonio.decode(df, "payload", PAYLOAD_SCHEMA, duplicate_keys="reject").first()
+    assert r.reject.kind == "unreadable"
+    jsonio.decode(df, "payload", PAYLOAD_SCHEMA)  # back to the default for later tests
