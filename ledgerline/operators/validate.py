@@ -25,11 +25,14 @@ class Rule:
 
 
 def entity_rules(name: str = "name", description: str = "description") -> list[Rule]:
-    """V1: name must not be blank, then description must not be blank."""
+    """V1: name must not be blank, then description must not be blank.
+    A missing (null) value counts as blank."""
+    def blank(c: str) -> Column:
+        return F.coalesce(is_blank(F.col(c)), F.lit(True))
+
     return [
-        Rule("name_blank", is_blank(F.col(name)), "BAD_REQUEST", F.lit("Name must not be blank.")),
-        Rule("description_blank", is_blank(F.col(description)), "BAD_REQUEST",
-             F.lit("Description must not be blank.")),
+        Rule("name_blank", blank(name), "BAD_REQUEST", F.lit("Name must not be blank.")),
+        Rule("description_blank", blank(description), "BAD_REQUEST", F.lit("Description must not be blank.")),
     ]
 
 

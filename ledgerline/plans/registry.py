@@ -167,8 +167,8 @@ def error_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH c AS ({inputs.BLANK_CANDIDATES_SQL}),
 v AS (
   SELECT id, name, description,
-    CASE WHEN regexp_matches(name, {_q(BLANK_PATTERN)}) THEN 'name_blank'
-         WHEN regexp_matches(description, {_q(BLANK_PATTERN)}) THEN 'description_blank' END AS rule
+    CASE WHEN coalesce(regexp_matches(name, {_q(BLANK_PATTERN)}), true) THEN 'name_blank'
+         WHEN coalesce(regexp_matches(description, {_q(BLANK_PATTERN)}), true) THEN 'description_blank' END AS rule
   FROM c
 )
 SELECT id, name, description, rule, rule IS NULL AS accepted,

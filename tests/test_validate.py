@@ -11,12 +11,15 @@ def run(spark, rows):
 
 
 def test_valid_and_invalid_creates(spark):
-    got = run(spark, [(1, "name", "desc"), (2, "   ", "desc"), (3, "name", ""), (4, "", "\t")])
+    got = run(spark, [(1, "name", "desc"), (2, "   ", "desc"), (3, "name", ""), (4, "", "\t"), (5, None, "d"),
+                      (6, "n", None)])
     assert got[1].accepted and got[1].error_type is None
     assert got[2].rule == "name_blank" and got[2].error_type == "BAD_REQUEST"
     assert got[3].rule == "description_blank"
     # both blank: only the first rule fires
     assert got[4].rule == "name_blank"
+    # missing counts as blank
+    assert (got[5].rule, got[6].rule) == ("name_blank", "description_blank")
 
 
 def test_blank_semantics(spark):
