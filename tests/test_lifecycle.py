@@ -122,3 +122,15 @@ def test_late_changes_refold_only_affected_ids(spark):
     fixed = lifecycle.apply_late_changes(snap, spark.createDataFrame(on_time, schemas.CHANGE),
                                          spark.createDataFrame(late, schemas.CHANGE))
     assert as_dict(fixed) == brute_force(rows)
+
+
+def test_hot_id_is_spread_over_tasks(spark):
+    """An id with 40% of the log is processed by many tasks, not one."""
+    rows = random_log(20, 3000, seed=3, hot_share=0.4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        marked = lifecycle._with_effective(spark.createDataFrame(rows, schemas.CHANGE), 600, None)
+        tasks = (marked.where(F.col("id") == 0).select(F.spark_partition_id().alias("p")).distinct().count())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks >= 4
