@@ -128,13 +128,27 @@ def fold(changes: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS) -> Data
 
 
 def fold_incremental(snapshot: DataFrame, changes: DataFrame,
-                     grain_seconds: int = DEFAULT_GRAIN_SECONDS) -> DataFrame:
+                     grain_seconds: int = DEFAULT_GRAIN_SECONDS, max_broadcast_ids: int = 1_000_000) -> DataFrame:
     """Apply a slice of later changes to an existing snapshot.
 
     The snapshot seeds each id's previous value and mark; ids untouched by
-    the slice pass through. Changes older than the snapshot need a re-fold
-    of the affected ids instead.
+    the slice pass through. When the slice touches at most
+    ``max_broadcast_ids`` ids (checked), those ids are broadcast and the
+    snapshot is split into touched and untouched rows while it is scanned, so
+    the snapshot is never shuffled and only the touched rows are merged.
+    Otherwise the whole snapshot is merged with a shuffle join on id.
+    Changes older than the snapshot need :func:`apply_late_changes` instead.
     """
+    ids = changes.select("id").distinct()
+    if ids.limit(max_broadcast_ids + 1).count() <= max_broadcast_ids:
+        keep = F.broadcast(ids)
+        untouched = snapshot.join(keep, "id", "left_anti")
+        touched = snapshot.join(keep, "id", "left_semi")
+        return untouched.unionByName(_merge(touched, changes, grain_seconds).select(*untouched.columns))
+    return _merge(snapshot, changes, grain_seconds)
+
+
+def _merge(snapshot: DataFrame, changes: DataFrame, grain_seconds: int) -> DataFrame:
     prior = snapshot.select(
         "id",
         F.col("description").alias("prev_value"),

@@ -86,16 +86,29 @@ def test_fold_equals_state_machine(spark, grain):
 
 
 @pytest.mark.parametrize("cut", [5, 11, 600, 2500, 4999])
-def test_incremental_equals_full_fold(spark, cut):
+@pytest.mark.parametrize("max_ids", [0, 1000])
+def test_incremental_equals_full_fold(spark, cut, max_ids):
     rows = random_log(15, 800, seed=cut, hot_share=0.3)
     log = spark.createDataFrame(rows, schemas.CHANGE)
     full = as_dict(lifecycle.fold(log))
     t = at(cut)
     snap = lifecycle.fold(log.where(F.col("ts") < F.lit(t)))
-    inc = as_dict(lifecycle.fold_incremental(snap, log.where(F.col("ts") >= F.lit(t)), grain_seconds=120))
+    inc = as_dict(lifecycle.fold_incremental(snap, log.where(F.col("ts") >= F.lit(t)), grain_seconds=120,
+                                             max_broadcast_ids=max_ids))
     assert inc == full
 
 
+def test_incremental_leaves_untouched_ids_alone(spark):
+    rows = random_log(30, 300, seed=4)
+    log = spark.createDataFrame(rows, schemas.CHANGE)
+    snap = lifecycle.fold(log.where(F.col("ts") < F.lit(at(2000))))
+    later = log.where((F.col("ts") >= F.lit(at(2000))) & F.col("id").isin(1, 2))
+    out = as_dict(lifecycle.fold_incremental(snap, later))
+    before = as_dict(snap)
+    assert {k: v for k, v in out.items() if k not in (1, 2)} == {k: v for k, v in before.items() if k not in (1, 2)}
+    assert out == brute_force([r for r in rows if r[2] < at(2000) or r[0] in (1, 2)])
+
+
 def test_log_is_shuffled_once(spark):
     """One exchange of the log for the sliced lag, reused by the slice-head
     branch; the other exchanges carry one row per slice or per id."""
