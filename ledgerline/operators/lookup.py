@@ -5,10 +5,12 @@ entity table instead of one point query per key.
 
 Join strategy (checked, not assumed):
 * If the request batch has at most ``max_broadcast_rows`` rows (default 1M; counted with a
-  bounded ``limit(n + 1).count()``), the requests' keys are broadcast and the
-  entity table is filtered by a left-semi join while it is scanned: the entity
-  table is never shuffled. The hits that survive are at most one per request
-  key (ids are unique), so they are broadcast back to the requests.
+  bounded ``limit(n + 1).count()``), the requests' keys (one BIGINT each) are
+  broadcast and the entity table is filtered by a left-semi join while it is
+  scanned: the entity table is never shuffled. The hits are at most one per
+  request key, but their width depends on the entity columns, so the join back
+  to the requests is left to AQE, which broadcasts them only if their measured
+  size is under its threshold and otherwise joins two small shuffled sides.
 * Otherwise both sides are shuffled on the key (sort-merge join). AQE's skew
   join splits a request key that holds a large share of the batch; the entity
   side has one row per key so nothing on it can be hot. An entity table saved
@@ -75,7 +77,7 @@ def lookup(requests: DataFrame, entities: DataFrame, key: str = "id",
     small = strategy == "broadcast_requests" or (strategy == "auto" and at_most(requests, max_broadcast_rows))
     if small:
         keys = F.broadcast(requests.select(F.col(key).alias("_eid")).where(F.col("_eid").isNotNull()))
-        ents = F.broadcast(ents.join(keys, "_eid", "left_semi"))
+        ents = ents.join(keys, "_eid", "left_semi")
     out = requests.join(ents, F.col(key) == F.col("_eid"), "left")
     return out.withColumn("found", F.col("_eid").isNotNull()).drop("_eid")
 
