@@ -62,3 +62,13 @@ def test_parse_key(spark, raw, parsed):
     r = validate.check_key(df).first()
     assert r.id == parsed
     assert r.error_kind == (None if parsed is not None else ("missing_parameter" if raw is None else "type_mismatch"))
+
+
+def test_write_split_writes_both_sides_in_one_pass(spark, tmpdir_fresh):
+    df = spark.createDataFrame([(1, "a", "b"), (2, " ", "b"), (3, "a", ""), (4, "c", "d")],
+                               "id long, name string, description string")
+    path = tmpdir_fresh + "/split"
+    validate.write_split(df, validate.entity_rules(), path)
+    back = spark.read.parquet(path)
+    assert sorted(r.id for r in back.where("accepted").collect()) == [1, 4]
+    assert {r.id: r.rule for r in back.where("NOT accepted").collect()} == {2: "name_blank", 3: "description_blank"}
