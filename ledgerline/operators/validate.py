@@ -68,10 +68,18 @@ def split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     return accepted, rejected
 
 
+def verdict(accepted: Column) -> Column:
+    """Partition value for a split table: text, so it reads back unchanged
+    (partition discovery does not infer booleans)."""
+    return F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected"))
+
+
 def write_split(df: DataFrame, rules: list[Rule], path: str, mode: str = "overwrite") -> None:
-    """Write accepted and rejected rows in one pass, as ``accepted=true|false``
-    partitions of one table."""
-    apply_rules(df, rules).write.mode(mode).partitionBy("accepted").parquet(path)
+    """Write accepted and rejected rows in one pass, as ``verdict=accepted``
+    and ``verdict=rejected`` partitions of one table (``accepted`` stays a
+    boolean column in the files)."""
+    out = apply_rules(df, rules)
+    out.withColumn("verdict", verdict(F.col("accepted"))).write.mode(mode).partitionBy("verdict").parquet(path)
 
 
 def check_key(df: DataFrame, raw: str = "raw_id", out: str = "id",

@@ -500,9 +500,10 @@ def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     def transform(batch: DataFrame) -> DataFrame:
         recs = ingest.decode_value(batch).select(F.col("key").cast("bigint").alias("id"), F.col("value").alias("payload"))
         d = jsonio.decode(spread(recs), "payload", PAYLOAD_SCHEMA)
-        return d.select("id", "accepted", "k", "level", "meta_source", F.col("reject")["kind"].alias("reject_kind"))
+        return d.select("id", "accepted", "k", "level", "meta_source", F.col("reject")["kind"].alias("reject_kind"),
+                        validate.verdict(F.col("accepted")).alias("verdict"))
 
-    fn = ingest.idempotent_batch_writer(transform, out, counts, partition_by=("accepted",))
+    fn = ingest.idempotent_batch_writer(transform, out, counts, partition_by=("verdict",))
     ingest.ingest_available(spark, ingest.file_stream(spark, src, files_per_trigger=2), fn, ckpt)
     return out, counts
 
@@ -514,9 +515,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records consumed in micro-batches (2 files per trigger) equal the
     batch decode of the whole input."""
     out, _ = _run_stream(spark, sf_dir)
-    # Partition values are discovered as text; the column is boolean.
-    return spark.read.parquet(out).select("id", F.col("accepted").cast("boolean").alias("accepted"),
-                                          "k", "level", "meta_source", "reject_kind")
+    return spark.read.parquet(out).select("id", "accepted", "k", "level", "meta_source", "reject_kind")
 
 
 @register("chunk_counts")

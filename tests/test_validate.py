@@ -70,5 +70,7 @@ def test_write_split_writes_both_sides_in_one_pass(spark, tmpdir_fresh):
     path = tmpdir_fresh + "/split"
     validate.write_split(df, validate.entity_rules(), path)
     back = spark.read.parquet(path)
-    assert sorted(r.id for r in back.where("accepted").collect()) == [1, 4]
-    assert {r.id: r.rule for r in back.where("NOT accepted").collect()} == {2: "name_blank", 3: "description_blank"}
+    assert sorted(r.id for r in back.where("verdict = 'accepted'").collect()) == [1, 4]
+    assert {r.id: r.rule for r in back.where("verdict = 'rejected'").collect()} == {2: "name_blank",
+                                                                                   3: "description_blank"}
+    assert dict(back.dtypes)["accepted"] == "boolean"
