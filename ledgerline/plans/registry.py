@@ -58,8 +58,8 @@ SELECT id, name, description FROM ({inputs.ENTITIES_PART_SQL}) e
 WHERE id IN (SELECT doc_id FROM documents)
 """)
 def lookup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = inputs.document_requests(spark, sf_dir).select(F.col("request_id").alias("id"))
-    return lookup.project(lookup.find_many(inputs.entities_from_part(spark, sf_dir), keys))
+    wanted = inputs.document_requests(spark, sf_dir).select(F.col("request_id").alias("id"))
+    return lookup.project(lookup.find_many(inputs.entities_from_part(spark, sf_dir), wanted))
 
 
 # --- step 2: lookup with typed miss, envelope, typed keys, routing -----------
@@ -243,6 +243,23 @@ def lifecycle_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.fold_incremental(spark.read.parquet(path), log.where(F.col("ts") >= cut))
 
 
+@register("lifecycle_late", sql=_fold_sql(
+    f"SELECT * FROM ({inputs.CHANGE_LOG_SQL}) c WHERE ts < TIMESTAMP '{inputs.INCREMENTAL_CUT}'"))
+def lifecycle_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes before the cut, where every RESTORE arrives only after the
+    snapshot was stored: the affected ids are re-folded from their whole
+    history. Must equal the fold of all changes before the cut."""
+    from ledgerline.session import scratch_path
+
+    log = inputs.change_log(spark, sf_dir)
+    before = log.where(F.col("ts") < F.lit(inputs.INCREMENTAL_CUT).cast("timestamp_ntz"))
+    late = F.col("op") == "RESTORE"
+    on_time, arrived_late = before.where(~late), before.where(late)
+    path = scratch_path(spark, "snapshot")
+    lifecycle.fold(on_time).write.parquet(path)
+    return lifecycle.apply_late_changes(spark.read.parquet(path), on_time, arrived_late)
+
+
 @register("lifecycle_rejects", sql=f"""
 SELECT id, event_id, ts, op, description, 'BAD_REQUEST' AS error_type, 'Description must not be blank.' AS message
 FROM ({inputs.CHANGE_LOG_SQL}) c
