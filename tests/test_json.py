@@ -22,6 +22,7 @@ def decode_one(spark, payload):
     ('{"k": "7"}', 7, None, None, None),
     ('{"k": 1.5, "tags": 7, "level": 2}', 1, ["7"], "HIGH", None),
     ('{"k": 5, "meta": {"source": "web"}, "level": ""}', 5, None, None, "web"),
+    ('{"k": 6, "tags": ["a{b", "[x]", "q\\"{"]}', 6, ["a{b", "[x]", 'q"{'], None, None),
 ])
 def test_accepted(spark, payload, k, tags, level, source):
     r = decode_one(spark, payload)

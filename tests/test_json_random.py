@@ -13,7 +13,8 @@ from ledgerline.operators import jsonio
 from ledgerline.plans.registry import LEVELS, PAYLOAD_SCHEMA
 
 INT_MIN, INT_MAX = -2 ** 31, 2 ** 31 - 1
-STRINGS = ["7", " 8 ", "+9", "-3", "1.5", "abc", "", "LOW", "MID", "HIGH", "ULTRA", "x", "2147483648"]
+STRINGS = ["7", " 8 ", "+9", "-3", "1.5", "abc", "", "LOW", "MID", "HIGH", "ULTRA", "x", "2147483648", "a{b", "[x]",
+           'q"{', "back\\[", "]"]
 FLOATS = [1.5, -2.5, 0.25, 3.0, -0.5]
 
 
