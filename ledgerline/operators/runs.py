@@ -96,8 +96,7 @@ def step_status(steps: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS) ->
     part = step_failure_texts(steps, grain_seconds).select(
         "step_id", F.col("slice").alias("_slice"), F.col("text").alias("_text"))
     texts = part.groupBy("step_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_slice", "_text"))),
-                                 lambda x: x["_text"]), "\n").alias("messages"))
+        F.array_join(F.sort_array(F.collect_list(F.struct("_slice", "_text")))["_text"], "\n").alias("messages"))
     counts = steps.groupBy("step_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("failed")).alias("n_failures"),
@@ -119,8 +118,8 @@ def step_failure_texts(steps: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECO
     failed = steps.where(F.col("failed") & F.col("message").isNotNull())
     return failed.groupBy("step_id", time_slice(F.col("ts"), grain_seconds).alias("slice")).agg(
         F.count(F.lit(1)).alias("n_messages"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", "message"))),
-                                 lambda x: x["message"]), "\n").alias("text"))
+        F.array_join(F.sort_array(F.collect_list(F.struct("ts", "event_id", "message")))["message"], "\n")
+        .alias("text"))
 
 
 def observe_counts(df: DataFrame, name: str = "chunk") -> tuple[DataFrame, Observation]:
