@@ -4,9 +4,12 @@
 order. A global ``row_number()`` would sort everything in one task and
 ``monotonically_increasing_id()`` leaves gaps that depend on partitioning, so:
 
-1. cut the leading ordering column into ranges with ``approxQuantile`` (a
-   bounded list of cut points is all that reaches the driver) and place each
-   row in its range with ``Bucketizer`` (binary search in the JVM);
+1. cut the leading ordering column into ranges: one aggregate returns the row
+   count and a grid of 1,024 approximate quantiles, and the cut points are
+   picked from the grid (a second quantile pass only when more than 1,024
+   ranges are needed); a bounded list of cut points is all that reaches the
+   driver. ``Bucketizer`` places each row in its range (binary search in the
+   JVM);
 2. count rows per range (partial aggregation, one row per range) and turn
    the counts into offsets with a window over those few rows;
 3. number rows inside each range with ``row_number()`` partitioned by range.
@@ -26,16 +29,20 @@ from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_RANGE = 4_000_000
 MAX_RANGES = 100_000
+GRID = 1024
 
 
 def assign_ids(df: DataFrame, order_by: list[str], start: int, id_col: str = "id",
                rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
     """Add ``id_col`` = ``start`` + 1, 2, ... in ``order_by`` order."""
-    n = df.count()
-    n_ranges = max(1, min(MAX_RANGES, math.ceil(n / rows_per_range)))
     lead = order_by[0]
+    grid_probs = [i / GRID for i in range(1, GRID)]
+    n, grid = df.agg(F.count(F.lit(1)), F.percentile_approx(F.col(lead).cast("double"), grid_probs, 4 * GRID)).first()
+    n_ranges = max(1, min(MAX_RANGES, math.ceil(n / rows_per_range)))
     cuts: list[float] = []
-    if n_ranges > 1:
+    if 1 < n_ranges <= GRID:
+        cuts = sorted({grid[i * GRID // n_ranges - 1] for i in range(1, n_ranges)} - {None})
+    elif n_ranges > GRID:
         probs = [i / n_ranges for i in range(1, n_ranges)]
         cuts = sorted(set(df.approxQuantile(lead, probs, 1.0 / (4 * n_ranges))))
     if cuts:

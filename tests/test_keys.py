@@ -23,3 +23,10 @@ def test_recompute_is_deterministic(spark):
     a = sorted((r.src, r.id) for r in out.collect())
     b = sorted((r.src, r.id) for r in out.collect())
     assert a == b
+
+
+def test_more_ranges_than_the_grid(spark):
+    df = spark.range(0, 5000).select((F.col("id") * 7 % 5003).alias("src"))
+    out = keys.assign_ids(df, ["src"], start=0, rows_per_range=3)  # ~1667 ranges > 1024 grid points
+    got = sorted((r.src, r.id) for r in out.collect())
+    assert [i for _, i in got] == list(range(1, 5001))
