@@ -43,13 +43,16 @@ def run_daily(df: DataFrame, date_col: str, request_date: str | dt.date | None,
     """B1: the job needs ``request_date``; without it the run FAILS.
 
     With ``out_path`` the slice is written with dynamic partition overwrite,
-    so re-running a date replaces only that date. With ``run_log_path`` the
-    run appends one row (run_id, job_name, start_ms, end_ms, status,
-    request_date) that B2 and B3 read.
+    so re-running a date replaces only that date; the rows written are
+    counted during the write (B4). With ``run_log_path`` the run appends one
+    row (run_id, job_name, start_ms, end_ms, status, request_date,
+    write_count) that B2 and B3 read. Only written rows are observed: an
+    observation on the scan would stop the date filter reaching the reader.
     """
     import time
 
     start_ms = int(time.time() * 1000)
+    write_count = None
     if request_date is None:
         result = JobResult(FAILED, None, "Required job parameter 'requestDate' is missing.")
     else:
@@ -57,16 +60,19 @@ def run_daily(df: DataFrame, date_col: str, request_date: str | dt.date | None,
         if columns:
             rows = rows.select(*columns)
         if out_path is not None:
-            rows = rows.withColumn("request_date", F.lit(str(request_date)))
-            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            observed, obs = observe_counts(rows.withColumn("request_date", F.lit(str(request_date))), "written",
+                                           metric="write_count")
+            (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("request_date").parquet(out_path))
+            write_count = obs.get.get("write_count", 0)
         result = JobResult(COMPLETED, rows)
     if run_log_path is not None:
         end_ms = int(time.time() * 1000)
         row = [(start_ms, job_name, start_ms, end_ms, result.status,
-                None if request_date is None else str(request_date))]
+                None if request_date is None else str(request_date), write_count)]
         (df.sparkSession.createDataFrame(
-            row, "run_id bigint, job_name string, start_ms bigint, end_ms bigint, status string, request_date string")
+            row, "run_id bigint, job_name string, start_ms bigint, end_ms bigint, status string, request_date string, "
+                 "write_count bigint")
          .write.mode("append").parquet(run_log_path))
     return result
 
@@ -122,8 +128,8 @@ def step_failure_texts(steps: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECO
         .alias("text"))
 
 
-def observe_counts(df: DataFrame, name: str = "chunk") -> tuple[DataFrame, Observation]:
-    """B4: read count of a batch, collected as a side effect of the action
-    that consumes ``df`` (no second pass)."""
+def observe_counts(df: DataFrame, name: str = "chunk", metric: str = "read_count") -> tuple[DataFrame, Observation]:
+    """B4: row count of a batch, collected as a side effect of the action
+    that consumes ``df`` (no second pass); ``obs.get[metric]`` after it."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("read_count")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias(metric)), obs

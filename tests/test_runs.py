@@ -85,10 +85,12 @@ def test_failure_texts_concatenate_to_step_messages(spark):
 def test_daily_job_appends_run_log(spark, tmpdir_fresh):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     log = tmpdir_fresh + "/runs"
+    d = orders.select(F.to_date("o_orderdate").alias("d")).first().d.isoformat()
     runs.run_daily(orders, "o_orderdate", None, run_log_path=log)
-    runs.run_daily(orders, "o_orderdate", "1997-06-15", run_log_path=log)
-    got = sorted((r.status, r.request_date) for r in spark.read.parquet(log).collect())
-    assert got == [("COMPLETED", "1997-06-15"), ("FAILED", None)]
+    runs.run_daily(orders, "o_orderdate", d, out_path=tmpdir_fresh + "/out", run_log_path=log)
+    got = sorted((r.status, r.request_date, r.write_count) for r in spark.read.parquet(log).collect())
+    expected = runs.date_scope(orders, "o_orderdate", d).count()
+    assert got == [("COMPLETED", d, expected), ("FAILED", None, None)] and expected > 0
     durations = runs.run_durations(spark.read.parquet(log).select("run_id", "job_name", "start_ms", "end_ms"))
     assert all(r.total_ms >= 0 for r in durations.collect())
 
