@@ -24,7 +24,10 @@ def scan_entities(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     """
     reader = spark.read.format(fmt).options(**options)
     if fmt == "jdbc":
-        return reader.load()
+        # The database decides the column types; bring them to the declared schema.
+        from pyspark.sql import functions as F
+
+        return reader.load().select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     return reader.schema(schema).load(path)
 
 

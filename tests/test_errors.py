@@ -29,3 +29,9 @@ def test_routing(spark):
     # internal details are hidden behind the default message
     assert got["boom"] == ("INTERNAL_ERROR", 500, errors.ERROR_CATALOGUE[0][3])
     assert {got[k][0] for k in ["missing_parameter", "unreadable_body", "input_error"]} == {"BAD_REQUEST"}
+
+
+def test_catalogue_table(spark):
+    rows = {r.error_type: (r.status, r.code, r.message) for r in errors.catalogue_df(spark).collect()}
+    assert rows == {t: (s, c, m) for t, s, c, m in errors.ERROR_CATALOGUE}
+    assert sorted(s for s, _, _ in rows.values()) == [400, 404, 409, 500]
