@@ -38,6 +38,11 @@ def _case(error_type: Column, field: int) -> Column:
     return out
 
 
+def default_message(error_type: str) -> str:
+    """The catalogue's default message for a known type (driver-side constant)."""
+    return {t: m for t, _, _, m in ERROR_CATALOGUE}[error_type]
+
+
 def status_of(error_type: Column) -> Column:
     return _case(error_type, 1)
 

@@ -194,10 +194,10 @@ def quoted_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.functions.text import quoted_token as token_of
 
     r = spread(inputs.reason_texts(spark, sf_dir))
-    t = F.lit("BAD_REQUEST")
+    message = F.coalesce(validate.missing_value_message(F.col("reason")), F.lit(errors.default_message("BAD_REQUEST")))
     return r.select(
-        "id", "reason", token_of(F.col("reason")).alias("token"), t.alias("error_type"),
-        errors.resolve_message(t, validate.missing_value_message(F.col("reason"))).alias("message"),
+        "id", "reason", token_of(F.col("reason")).alias("token"), F.lit("BAD_REQUEST").alias("error_type"),
+        message.alias("message"),
     )
 
 
