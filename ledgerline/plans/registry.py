@@ -504,14 +504,15 @@ def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def _run_stream(spark: SparkSession, sf_dir: str, with_counts: bool) -> tuple[str, str | None]:
     """Write the records as files, consume them as a stream through the
-    idempotent batch writer; returns (output path, counts path)."""
+    idempotent batch writer; returns (output path, counts path or None)."""
     from ledgerline.session import scratch_path
     from ledgerline.streaming import ingest
 
     src, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
-    counts, ckpt = scratch_path(spark, "stream-counts"), scratch_path(spark, "stream-ckpt")
+    counts = scratch_path(spark, "stream-counts") if with_counts else None
+    ckpt = scratch_path(spark, "stream-ckpt")
     ingest.write_records(_stream_records(spark, sf_dir), src, n_files=4)
 
     def transform(batch: DataFrame) -> DataFrame:
@@ -531,7 +532,7 @@ SELECT id, accepted, k, level, meta_source, reject_kind FROM ({JSON_DECODE_SQL})
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records consumed in micro-batches (2 files per trigger) equal the
     batch decode of the whole input."""
-    out, _ = _run_stream(spark, sf_dir)
+    out, _ = _run_stream(spark, sf_dir, with_counts=False)
     return spark.read.parquet(out).select("id", "accepted", "k", "level", "meta_source", "reject_kind")
 
 
@@ -539,7 +540,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B4: rows read and written per micro-batch (batch boundaries depend on
     file arrival, so there is no SQL twin; the totals are tested)."""
-    _, counts = _run_stream(spark, sf_dir)
+    _, counts = _run_stream(spark, sf_dir, with_counts=True)
     return spark.read.parquet(counts).select("batch_id", "read_count", "write_count")
 
 
