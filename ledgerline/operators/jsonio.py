@@ -9,7 +9,8 @@ whole-stage codegen. Policy for a declared field:
 * ``""`` where an object or enum is declared reads as null;
 * a scalar where an array is declared becomes a one-element array;
 * numbers truncate to int and numeric text (``"7"``) is accepted as a number;
-* an enum value outside the allowed set is a reject that lists the set.
+* an enum value outside the allowed set is a reject that lists the set;
+* a repeated key keeps its last value (``duplicate_keys="last"``).
 
 Rejects (V4), most specific first: ``wrong_type`` (path, value, expected type,
 allowed values for an enum); ``missing_field`` (path; also any other shape
