@@ -94,24 +94,27 @@ def step_status(steps: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS) ->
     """B3: per step, FAILED if any row failed, with the failures' non-null
     messages joined by newline in (ts, event_id) order; else COMPLETED.
 
-    Two levels so a step holding a large share of the log is not sorted in
-    one task: messages are ordered and joined per (step, time slice), then
-    the slices' texts are joined in slice order. Only failed rows with a
-    message travel past the first aggregation.
+    One pass, two levels, so a step holding a large share of the log is not
+    sorted in one task: per (step, time slice) the rows are counted and the
+    failure messages ordered and joined; then per step the counts are summed
+    and the slices' texts joined in slice order.
     """
-    part = step_failure_texts(steps, grain_seconds).select(
-        "step_id", F.col("slice").alias("_slice"), F.col("text").alias("_text"))
-    texts = part.groupBy("step_id").agg(
-        F.array_join(F.sort_array(F.collect_list(F.struct("_slice", "_text")))["_text"], "\n").alias("messages"))
-    counts = steps.groupBy("step_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("failed")).alias("n_failures"),
+    failure = F.when(F.col("failed") & F.col("message").isNotNull(), F.struct("ts", "event_id", "message"))
+    per_slice = steps.groupBy("step_id", time_slice(F.col("ts"), grain_seconds).alias("_slice")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("failed")).alias("_failed"),
+        F.sort_array(F.collect_list(failure))["message"].alias("_messages"),  # collect_list skips nulls
     )
-    out = counts.join(texts, "step_id", "left")
-    return out.select(
+    text = F.when(F.size("_messages") > 0, F.struct("_slice", F.array_join("_messages", "\n").alias("_text")))
+    per_step = per_slice.groupBy("step_id").agg(
+        F.sum("_n").alias("n_rows"),
+        F.sum("_failed").alias("n_failures"),
+        F.sort_array(F.collect_list(text))["_text"].alias("_texts"),
+    )
+    return per_step.select(
         "step_id", "n_rows", "n_failures",
         F.when(F.col("n_failures") > 0, F.lit(FAILED)).otherwise(F.lit(COMPLETED)).alias("status"),
-        F.coalesce(F.col("messages"), F.lit("")).alias("messages"),
+        F.array_join("_texts", "\n").alias("messages"),
     )
 
 
