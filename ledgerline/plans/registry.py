@@ -161,6 +161,28 @@ def error_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return errors.route_errors(inputs.error_events(spark, sf_dir))
 
 
+def _catalogue_values_sql() -> str:
+    rows = ", ".join(f"({_q(t)}, {st}, {_q(c)}, {_q(m)})" for t, st, c, m in errors.ERROR_CATALOGUE)
+    return f"SELECT * FROM (VALUES {rows}) AS c(error_type, status, code, message)"
+
+
+@register("error_catalogue", sql=f"""
+WITH e AS ({inputs.ERROR_EVENTS_SQL}),
+t AS (
+  SELECT CASE WHEN kind = 'domain' THEN domain_type
+              WHEN kind IN ('type_mismatch', 'missing_parameter', 'unreadable_body', 'input_error') THEN 'BAD_REQUEST'
+              WHEN kind = 'no_resource' THEN 'NOT_FOUND' ELSE 'INTERNAL_ERROR' END AS error_type
+  FROM e
+),
+n AS (SELECT error_type, count(*) AS n_errors FROM t GROUP BY error_type)
+SELECT c.error_type, CAST(c.status AS INTEGER) AS status, c.code, c.message, coalesce(n.n_errors, 0) AS n_errors
+FROM ({_catalogue_values_sql()}) c LEFT JOIN n ON c.error_type = n.error_type
+""")
+def error_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: the catalogue with the number of routed errors of each type."""
+    return errors.catalogue_counts(errors.route_errors(inputs.error_events(spark, sf_dir)))
+
+
 # --- step 3: blank rule, quoted token ------------------------------------------
 
 @register("blank_guard", sql=f"""
