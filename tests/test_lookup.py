@@ -29,11 +29,12 @@ def test_find_returns_row_including_soft_deleted(spark):
     assert lookup.find(ents, 3).count() == 0
 
 
-def test_find_many_hits_only(spark):
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_find_many_hits_only(spark, max_rows):
     ents = entities(spark, [(1, "a", "x", None), (2, "b", "y", T0)])
-    keys = spark.createDataFrame([(2,), (2,), (9,)], "id long")
-    got = sorted(r.id for r in lookup.find_many(ents, keys).collect())
-    assert got == [2]
+    keys = spark.createDataFrame([(2,), (2,), (9,), (None,)], "id long")
+    got = sorted(r.id for r in lookup.find_many(ents, keys, max_broadcast_rows=max_rows).collect())
+    assert got == [2]  # once, although requested twice; soft-deleted rows are found
 
 
 @pytest.mark.parametrize("max_rows,strategy", [(0, "auto"), (1000, "auto"), (1000, "broadcast_requests"),
