@@ -36,19 +36,19 @@ def word_array(text: Column) -> Column:
 
 
 def with_shingles(df: DataFrame, width: int) -> DataFrame:
-    """(id, text) -> (id, shingles): hashes of all runs of ``width`` words."""
+    """(id, text) -> (id, shingles): distinct hashes of all runs of ``width`` words."""
     words = df.select("id", word_array(F.col("text")).alias("words"))
     hashed = words.select("id", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
     h = F.col("h")
     runs = F.transform(F.slice("h", 1, F.greatest(F.size("h") - (width - 1), F.lit(0))), lambda first, i: F.xxhash64(
         first, *[F.get(h, i + k) for k in range(1, width)]))
-    return hashed.select("id", runs.alias("shingles"))
+    return hashed.select("id", F.array_distinct(runs).alias("shingles"))
 
 
 def item_table(benchmark: DataFrame, width: int, percent: int) -> DataFrame:
     """(item_id, n_item, shingles, samples) of the items long enough."""
     items = with_shingles(benchmark.select(F.col("item_id").cast("bigint").alias("id"), "text"), width)
-    items = items.select(F.col("id").alias("item_id"), F.array_sort(F.array_distinct("shingles")).alias("shingles"))
+    items = items.select(F.col("id").alias("item_id"), F.array_sort("shingles").alias("shingles"))
     items = items.filter((F.size("shingles") > 0) & F.col("item_id").isNotNull())
     n = F.size("shingles")
     partition = F.floor(F.log2(n.cast("double")) + 1e-9).cast("int")

@@ -85,11 +85,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 # DuckDB SQL, where SQL can state the whole result.
 ORACLE: dict[str, str] = {
     "op8_decontamination": r"""
-WITH w AS (SELECT 'd' AS side, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+WITH w AS (SELECT 'd' AS side, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
            FROM documents
            UNION ALL
-           SELECT 'b', item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') FROM benchmark),
-g AS (SELECT DISTINCT side, id, unnest(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) AS gram FROM w
+           SELECT 'b', item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') FROM benchmark),
+g AS (SELECT DISTINCT side, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS gram FROM w
       WHERE len(w) >= 5),
 i AS (SELECT id AS item_id, gram, count(*) OVER (PARTITION BY id) AS n_item FROM g WHERE side = 'b')
 SELECT d.id AS doc_id, item_id, any_value(n_item) AS n_item, count(*) AS n_common, count(*) / any_value(n_item) AS containment
