@@ -6,13 +6,15 @@
    bit, so that the XOR of two sketches counts the samples that differ.
 2. Documents with equal sets form a class; only one representative of each
    goes on, so thousands of exact copies cost one row.
-3. Bands with two or more representatives give candidate pairs. First each
-   representative is paired with the one band centre (smallest id in a
-   shared band) whose sketch is nearest; then, band by band in blocks,
-   every pair whose ends are still in different components and whose
-   sketches and set sizes allow the threshold. Sketches only discard pairs
-   whose estimate lies ``SIGMAS`` standard errors below the threshold.
-4. Each pair left is confirmed on its full sets before it counts as a link.
+3. Bands with two or more representatives give candidate pairs, in three
+   rounds. First each representative is paired with the one band centre
+   (smallest id in a shared band) whose sketch is nearest. Then, band by band
+   in blocks, with the nearest sketch in another component. Last, whatever
+   bands and sketches still connect across components forms clusters, and in
+   each, block by block, every pair that sketches and set sizes allow.
+   Sketches only discard pairs whose estimate lies ``SIGMAS`` standard errors
+   below the threshold. No round emits more pairs than it reads rows.
+4. Each pair is confirmed on its full sets before it counts as a link.
 5. Connected components over the links; the smallest doc_id names each.
 
 A pair between documents that are already connected needs no check: it
@@ -27,7 +29,7 @@ columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,6 +45,7 @@ SAMPLES = 120  # MinHash samples per document
 SKETCH_WORDS = 8  # odd sketch of 8 x 64 bits
 SIGMAS = 5.0
 BLOCK_ROWS = 256  # rows of one band compared with as many others at a time
+TEXT_ROWS = 512  # the same where whole texts are compared
 MISS = 2e-6  # highest chance that a pair at the threshold shares no band
 
 
@@ -147,57 +150,132 @@ def _sizes_allow(small, large, rule: Rule):
     return F.least(small, large) * 100 >= F.greatest(small, large) * rule.percent
 
 
-def block_pairs(rows: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b), a < b: pairs of one band (``band``, ``rep``, ``label``, ``n``,
-    ``sketch``) with different labels that sizes and sketches allow.
+def in_blocks(rows: DataFrame, key: str, size: int, run_group: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray],
+              columns: list[str], out: list[str]) -> DataFrame:
+    """Compare the rows of each ``key`` block by block.
 
-    A band's rows are dealt to blocks of about BLOCK_ROWS; a task compares
-    two blocks at a time, so no task ever holds a whole band."""
-    most, percent = rule.most_bits, rule.percent
-    counts = rows.groupBy("band").agg(F.count(F.lit(1)).alias("m"))
-    nb = F.ceil(F.col("m") / BLOCK_ROWS)
-    dealt = rows.join(counts, "band").withColumn("own", F.pmod(F.xxhash64("rep"), nb))
+    A key's rows are dealt to blocks of about ``size``; ``run_group`` gets the
+    rows of two blocks (or of one), and the indices of either side, and
+    returns its result columns (bigint). No task ever holds a whole key."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("m"))
+    nb = F.ceil(F.col("m") / size)
+    dealt = rows.join(counts, key).withColumn("own", F.pmod(F.xxhash64("rep"), nb))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), (nb - 1).cast("bigint"))))
-    dealt = dealt.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                         "own", "rep", "label", "n", "sketch")
-    dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-
-    def one(t: pa.Table) -> np.ndarray:
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        own, rep, label, n = (t.column(c).to_numpy() for c in ("own", "rep", "label", "n"))
-        sk = t.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_WORDS)
-        left = np.flatnonzero(own == i)
-        right = left if i == j else np.flatnonzero(own == j)
-        found = []
-        for p in left:
-            q = right[(label[right] != label[p]) & (rep[right] > rep[p] if i == j else True)]
-            q = q[np.minimum(n[q], n[p]) * 100 >= np.maximum(n[q], n[p]) * percent]
-            q = q[np.bitwise_count(sk[q] ^ sk[p]).sum(axis=1) <= most] if len(q) else q
-            found.append(np.stack([np.minimum(rep[q], rep[p]), np.maximum(rep[q], rep[p])]))
-        return np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    dealt = dealt.select(F.col(key).alias("key"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                         "own", *columns)
+    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def group(t: pa.Table) -> pa.RecordBatch:
+        i, j, own = t.column("i")[0].as_py(), t.column("j")[0].as_py(), t.column("own").to_numpy()
+        found = run_group(t, np.flatnonzero(own == i), np.flatnonzero(own == j))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-
-        def out(t: pa.Table) -> pa.RecordBatch:
-            a, b = one(t)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(c).to_numpy() for c in ("band", "i", "j")])
+            keys = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
             cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1), batch.num_rows]
             for s, e in zip(cuts[:-1], cuts[1:], strict=True):
                 part = pa.Table.from_batches([batch.slice(s, e - s)])
-                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in ("band", "i", "j")):
-                    yield out(pa.concat_tables(held))
+                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in ("key", "i", "j")):
+                    yield group(pa.concat_tables(held))
                     held = []
                 held.append(part)
         if held:
-            yield out(pa.concat_tables(held))
+            yield group(pa.concat_tables(held))
+
+    return dealt.mapInArrow(run, ", ".join(f"{c} bigint" for c in out))
+
+
+class _Group:
+    """The rows of one comparison as arrays."""
+
+    def __init__(self, t: pa.Table, rule: Rule):
+        self.rep, label, self.n = (t.column(c).to_numpy() for c in ("rep", "label", "n"))
+        self.sketch = t.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_WORDS)
+        self.label = np.unique(label, return_inverse=True)[1]
+        self.part = self.label.copy()  # rows known to be connected
+        self.most, self.percent = rule.most_bits, rule.percent
+
+    def near(self, p: int, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of q with another label, not connected with p, that sizes
+        and sketches allow, and their differing bits."""
+        q = q[(self.part[q] != self.part[p]) & (self.label[q] != self.label[p]) & (self.rep[q] != self.rep[p])]
+        q = q[np.minimum(self.n[q], self.n[p]) * 100 >= np.maximum(self.n[q], self.n[p]) * self.percent]
+        bits = np.bitwise_count(self.sketch[q] ^ self.sketch[p]).sum(axis=1)
+        return q[bits <= self.most], bits[bits <= self.most]
+
+    def join(self, p: int, q: np.ndarray) -> np.ndarray:
+        """Connect p with q; of each part that is new to p one row is returned."""
+        parts, first = np.unique(self.part[q], return_index=True)
+        self.part[np.isin(self.part, parts)] = self.part[p]
+        return q[first]
+
+
+def nearest_partners(rows: DataFrame, rule: Rule) -> DataFrame:
+    """(rep, bits, partner): for each row of a band (``band``, ``rep``,
+    ``label``, ``n``, ``sketch``) its nearest sketch with another label in each
+    block that it is compared with: as many rows as it reads at most."""
+    def run(t: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        g, found = _Group(t, rule), []
+        for side, other in ((left, right), (right, left))[:1 if left is right or np.array_equal(left, right) else 2]:
+            for p in side:
+                q, bits = g.near(p, other)
+                if len(q):
+                    k = np.lexsort((g.rep[q], bits))[0]
+                    found.append((g.rep[p], bits[k], g.rep[q[k]]))
+        return np.array(found, np.int64).reshape(-1, 3).T
+
+    return in_blocks(rows, "band", BLOCK_ROWS, run, ["rep", "label", "n", "sketch"], ["rep", "bits", "partner"])
+
+
+def clusters(rows: DataFrame, rule: Rule) -> DataFrame:
+    """(node, cluster): rows that a band and sketches connect across labels.
+    Each comparison returns a spanning forest, so fewer edges than rows."""
+    def run(t: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        g, found = _Group(t, rule), []
+        g.part = np.unique(g.rep, return_inverse=True)[1]  # every row needs an edge, those of one label too
+        for p in left:
+            q, _ = g.near(p, right)
+            if len(q):
+                found += [(g.rep[p], x) for x in g.rep[g.join(p, q)]]
+        return np.array(found, np.int64).reshape(-1, 2).T
+
+    edges = in_blocks(rows, "band", BLOCK_ROWS, run, ["rep", "label", "n", "sketch"], ["a", "b"])
+    return components(edges).withColumnRenamed("label", "cluster")
+
+
+def confirm_all(rows: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): links between the labels of each cluster (``cluster``, ``rep``,
+    ``label``, ``n``, ``sketch``), confirmed on full sets where they are
+    compared: every pair that sketches allow, unless already connected."""
+    width, percent = rule.width, rule.percent
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    def run(t: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        g, found = _Group(t, rule), []
+        sets, at = shingle_sets(*text_bytes(t.column("text").combine_chunks()), width)
+        for p in left:
+            q, _ = g.near(p, right)
+            own = sets[at[p]:at[p + 1]]
+            if not len(q) or not len(own):
+                continue
+            others = [sets[at[k]:at[k + 1]] for k in q]
+            x, sizes = np.concatenate(others), np.array([len(o) for o in others])
+            hit = own[np.minimum(np.searchsorted(own, x), len(own) - 1)] == x
+            total = np.concatenate([[0], np.cumsum(hit)])
+            end = np.cumsum(sizes)
+            common = total[end] - total[end - sizes]
+            linked = q[(common > 0) & (100 * common >= percent * (sizes + len(own) - common))]
+            if len(linked):
+                found += [(g.rep[p], k) for k in g.rep[g.join(p, linked)]]
+        return np.array(found, np.int64).reshape(-1, 2).T
+
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), F.col("text").cast("string").alias("text"))
+    # The texts stream past the ids: a hash table of ids, no sort of texts.
+    full = stored(texts.join(rows.hint("shuffle_hash"), "rep"), "cluster-texts")
+    return stored(in_blocks(full, "cluster", TEXT_ROWS, run, ["rep", "label", "n", "sketch", "text"], ["a", "b"]).distinct(), "links")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -250,20 +328,25 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     links = confirm(best.select(F.col("best.centre").alias("a"), F.col("rep").alias("b")), docs, rule)
     labels = components(links)
 
-    # Rounds 2 and 3: what is still apart inside a band; first the smallest
-    # partner of each, then every pair left, so that no link is missed.
-    tried = best.select(F.col("best.centre").alias("a"), F.col("rep").alias("b"))
-    for last_round in (False, True):
+    def apart() -> DataFrame:
+        """The bands that still hold more than one label, with what their rows need to be compared."""
         labelled = shared.select("rep", "band").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
             "rep", "band", F.coalesce("label", "rep").alias("label"))
-        apart = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-        rows = labelled.join(apart.select("band"), "band").join(nodes, "rep")
-        pairs = block_pairs(rows, rule).join(tried, ["a", "b"], "left_anti")
-        if not last_round:
-            pairs = stored(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried")
-            tried = tried.union(pairs)
-        links = links.union(confirm(pairs, docs, rule))
-        labels = components(links)
+        mixed = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+        return stored(labelled.join(mixed.select("band"), "band").join(nodes, "rep"), "apart")
+
+    # Round 2: each representative with its nearest sketch in another component.
+    near = nearest_partners(apart(), rule).groupBy("rep").agg(F.min(F.struct("bits", "partner")).alias("best"))
+    links = links.union(confirm(near.select(F.least("rep", "best.partner").alias("a"), F.greatest("rep", "best.partner").alias("b")
+                                            ).distinct(), docs, rule))
+    labels = components(links)
+
+    # Round 3: every pair left, so that no link is missed.
+    rows = apart()
+    of = clusters(rows, rule).withColumnRenamed("node", "rep")
+    rows = rows.select("rep", "label", "n", "sketch").distinct().join(of, "rep")
+    links = links.union(confirm_all(rows, docs, rule))
+    labels = components(links)
 
     classes = reps.select(*digest, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         *digest, F.coalesce("label", "rep").alias("label"))

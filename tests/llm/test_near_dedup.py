@@ -79,6 +79,7 @@ def test_components_match_all_pairs(spark, which, width, percent):
 
 def test_bands_split_in_blocks_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(near_dedup, "TEXT_ROWS", 4)
     docs = cases.documents(spark, family(5))
     want = brute({(r["doc_id"]): r["text"] for r in docs.collect() if r["doc_id"] is not None}.items(), 3, 85)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in
