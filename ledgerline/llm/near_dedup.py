@@ -44,7 +44,7 @@ from ledgerline.llm.shingles import mix, shingle_sets
 SAMPLES = 120  # MinHash samples per document
 SKETCH_WORDS = 8  # odd sketch of 8 x 64 bits
 SIGMAS = 5.0
-BLOCK_ROWS = 256  # rows of one band compared with as many others at a time
+BLOCK_ROWS = 4096  # rows of one band whose sketches are compared with as many others at a time
 TEXT_ROWS = 512  # the same where whole texts are compared
 MISS = 2e-6  # highest chance that a pair at the threshold shares no band
 
