@@ -4,65 +4,49 @@
 order. A global ``row_number()`` would sort everything in one task and
 ``monotonically_increasing_id()`` leaves gaps that depend on partitioning, so:
 
-1. cut the leading ordering column into ranges: one aggregate returns the row
-   count and a grid of 1,024 approximate quantiles, and the cut points are
-   picked from the grid (a second quantile pass only when more than 1,024
-   ranges are needed); a bounded list of cut points is all that reaches the
-   driver. ``Bucketizer`` places each row in its range (binary search in the
-   JVM);
-2. count rows per range (partial aggregation, one row per range) and turn
-   the counts into offsets with a window over those few rows;
-3. number rows inside each range with ``row_number()`` partitioned by range.
-
-Every step is a deterministic function of the data and the cut points, so a
-lost executor recomputes the same ids. The leading ordering column must be
-numeric; order by a unique key (a source key) so no range can grow hot.
+1. Spark's range partitioner deals the rows by all ordering columns, with the
+   row's place in its input as the last one, so that neither a hot leading
+   key nor rows that tie in every column pile up in one range. Any orderable
+   type will do; nulls come first. The ranged rows are written to the
+   shared checkpoint folder, which fixes the ranges for every later step and
+   retry;
+2. rows per range are counted and turned into offsets by a window over one
+   row per range;
+3. ``row_number()`` inside each range.
+
+Rows that tie in all ordering columns get neighbouring ids in any order.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.session import scratch_path
+
 DEFAULT_ROWS_PER_RANGE = 4_000_000
-MAX_RANGES = 100_000
-GRID = 1024
 
 
 def assign_ids(df: DataFrame, order_by: list[str], start: int, id_col: str = "id",
                rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
-    """Add ``id_col`` = ``start`` + 1, 2, ... in ``order_by`` order."""
-    lead = order_by[0]
-    grid_probs = [i / GRID for i in range(1, GRID)]
-    n, grid = df.agg(F.count(F.lit(1)), F.percentile_approx(F.col(lead).cast("double"), grid_probs, 4 * GRID)).first()
-    n_ranges = max(1, min(MAX_RANGES, math.ceil(n / rows_per_range)))
-    cuts: list[float] = []
-    if 1 < n_ranges <= GRID:
-        cuts = sorted({grid[i * GRID // n_ranges - 1] for i in range(1, n_ranges)} - {None})
-    elif n_ranges > GRID:
-        probs = [i / n_ranges for i in range(1, n_ranges)]
-        cuts = sorted(set(df.approxQuantile(lead, probs, 1.0 / (4 * n_ranges))))
-    if cuts:
-        keyed = df.withColumn("_lead", F.col(lead).cast("double"))
-        bucketizer = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_lead", outputCol="_range",
-                                handleInvalid="keep")
-        ranged = bucketizer.transform(keyed).drop("_lead")
-    else:
-        ranged = df.withColumn("_range", F.lit(0.0))
+    """Add ``id_col`` = ``start`` + 1, 2, ... in ``order_by`` order; every row keeps its place, nulls first."""
+    n_ranges = max(1, -(-df.count() // rows_per_range))
+    order = [*order_by, "_place"]
+    path = scratch_path(df.sparkSession, "ranged")
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    placed.repartitionByRange(n_ranges, *order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
+    # One row per range: rows / rows_per_range of them, a size fixed by the count above.
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_range",
         F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_before"),
     )
-    within = Window.partitionBy("_range").orderBy(*order_by)
-    # offsets has at most MAX_RANGES + 1 rows: a proven bound, safe to broadcast.
+    within = Window.partitionBy("_range").orderBy(*order)
     out = ranged.join(F.broadcast(offsets), "_range").withColumn(
         id_col, (F.lit(start) + F.col("_before") + F.row_number().over(within)).cast("bigint"))
-    return out.drop("_range", "_before")
+    return out.drop("_range", "_before", "_place")
 
 
 def max_id(existing: DataFrame, id_col: str = "id") -> int:

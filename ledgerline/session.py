@@ -6,6 +6,7 @@ session the cluster gives it. ``local_session`` exists for tests and the bench.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -58,7 +59,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (tests, a laptop) do we create one.
+    Where the session leaves it unset, a local master (tests, a laptop) gets a
+    temporary folder; on a cluster that would be a different disk on every
+    machine, so it is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -67,6 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     d = d or (sc.getCheckpointDir() if sc is not None else None)
     if not d:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
@@ -82,4 +87,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/ledgerline/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/ledgerline/{name}-{uuid.uuid4().hex[:12]}"
+    if not _written:
+        atexit.register(remove_scratch, spark)
+    _written.append(path)
+    return path
+
+
+_written: list[str] = []
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders this process asked for. Runs at exit; a
+    result may read them until then."""
+    try:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        while _written:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+            target.getFileSystem(conf).delete(target, True)
+    except Exception:  # the session is gone: nothing can be deleted through it
+        pass

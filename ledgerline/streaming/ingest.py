@@ -3,8 +3,8 @@
 Consumption (S2) is a Structured Streaming source; delivery (S3) is
 ``foreachBatch`` with a checkpoint: offsets are committed only after the
 batch function returns, so a crash redelivers the batch (at-least-once), and
-the batch function writes idempotently, keyed by ``batch_id``, so a
-redelivered batch replaces its own output instead of duplicating it.
+the batch function writes idempotently, keyed by stream and ``batch_id``, so
+a redelivered batch replaces its own output instead of duplicating it.
 
 No Kafka connector ships with this PySpark install, so the tests drive the
 same code with a Parquet file stream carrying the Kafka record schema
@@ -92,42 +92,84 @@ def decode_value(records: DataFrame) -> DataFrame:
 BatchFn = Callable[[DataFrame, int], None]
 
 
-def idempotent_batch_writer(transform: Callable[[DataFrame], DataFrame], out_path: str,
+def stream_path(out_path: str, stream: str) -> str:
+    """Where ``stream`` writes below ``out_path``: no other stream's output is there."""
+    return f"{out_path.rstrip('/')}/stream={stream}"
+
+
+def idempotent_batch_writer(transform: Callable[[DataFrame], DataFrame], out_path: str, stream: str,
                             counts_path: str | None = None, partition_by: tuple[str, ...] = ()) -> BatchFn:
     """A ``foreachBatch`` function: ``transform`` the batch and overwrite the
-    batch's own ``batch_id=<id>`` partition (dynamic partition overwrite), so
-    replaying a batch leaves the output unchanged.
+    whole folder ``stream=<name>/batch_id=<id>`` of the output. A replayed
+    batch replaces all of its own output, in every partition below it, and
+    nothing else. ``stream`` names one checkpoint's output.
 
-    With ``counts_path`` (B4) the batch's read count (observed during the same
-    pass) and the written counts per ``accepted`` value are recorded per batch.
+    With ``counts_path`` (B4) the counts observed during the same pass are
+    recorded per batch: rows read, rows written, and, if the output has an
+    ``accepted`` column, how many of them were accepted and rejected.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        seen, kept = Observation(f"read_{batch_id}"), Observation(f"written_{batch_id}")
-        observed = batch.observe(seen, F.count(F.lit(1)).alias("n"))
-        out = transform(observed).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        out = out.observe(kept, F.count(F.lit(1)).alias("n"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", *partition_by).parquet(out_path))
+        folder = f"batch_id={batch_id}"
+        if counts_path is None:
+            out = transform(batch)
+        else:
+            seen, kept = Observation(f"read_{batch_id}"), Observation(f"written_{batch_id}")
+            out = transform(batch.observe(seen, F.count(F.lit(1)).alias("n")))
+            accepted = F.count_if("accepted") if "accepted" in out.columns else F.count(F.lit(1))
+            out = out.observe(kept, F.count(F.lit(1)).alias("n"), accepted.alias("accepted"))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(
+            f"{stream_path(out_path, stream)}/{folder}")
         if counts_path is not None:
-            row = [(batch_id, seen.get.get("n", 0), kept.get.get("n", 0))]
-            counts = batch.sparkSession.createDataFrame(row, "batch_id bigint, read_count bigint, write_count bigint")
-            (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(counts_path))
-
+            n, ok = kept.get.get("n", 0), kept.get.get("accepted", 0)
+            counts = batch.sparkSession.createDataFrame(
+                [(seen.get.get("n", 0), n, ok, n - ok)],
+                "read_count bigint, write_count bigint, accepted_count bigint, rejected_count bigint")
+            counts.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+                f"{stream_path(counts_path, stream)}/{folder}")
+
+    run.output = stream_path(out_path, stream)
     return run
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def ingest_available(spark: SparkSession, source: DataFrame, batch_fn: BatchFn, checkpoint: str,
                      timeout_s: float | None = None) -> None:
     """Run a streaming source through ``batch_fn`` until all available input
     is consumed (``availableNow``), then stop. Restarting with the same
-    checkpoint resumes after the last committed batch."""
+    checkpoint resumes after the last committed batch. A new checkpoint would
+    number its batches from 0 again, so it is refused where the stream's
+    output already exists. Past ``timeout_s`` the stream is stopped and
+    ``TimeoutError`` raised; a later call resumes."""
+    _refuse_restart(spark, batch_fn, checkpoint)
     q = (source.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination() or True)
     if q.exception() is not None:
         raise q.exception()
+    if not finished:
+        q.stop()
+        raise TimeoutError(f"the stream did not finish in {timeout_s} s")
+
+
+def _refuse_restart(spark: SparkSession, batch_fn: BatchFn, checkpoint: str) -> None:
+    output = getattr(batch_fn, "output", None)
+    if output and _exists(spark, output) and not _exists(spark, checkpoint):
+        raise ValueError(f"{output} holds another checkpoint's batches; name a new stream")
+
+
+def ingest_continuously(spark: SparkSession, source: DataFrame, batch_fn: BatchFn, checkpoint: str,
+                        every: str = "5 seconds"):
+    """Start a running stream with a micro-batch every ``every`` (the longest
+    wait for a batch); returns the query. This is the mode for a source that
+    starts at its latest offsets."""
+    _refuse_restart(spark, batch_fn, checkpoint)
+    return (source.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=every).start())
 
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 2) -> DataFrame:

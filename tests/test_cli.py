@@ -4,7 +4,7 @@ from ledgerline.__main__ import main
 def test_list(capsys):
     assert main(["list"]) == 0
     out = capsys.readouterr().out.split("\n")
-    assert "api_lookup" in out and "chunk_counts  (no SQL twin)" in out
+    assert "api_lookup" in out and "chunk_counts" in out
 
 
 def test_run_writes_output(spark, tmpdir_fresh):

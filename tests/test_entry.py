@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as ent
+from ledgerline.plans import registry
 from tools.compare import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -15,8 +16,8 @@ def test_entry_runs(spark):
     assert {"request_id", "result", "status", "message"} <= set(df.columns)
 
 
-def test_every_query_but_batch_accounting_has_an_oracle():
-    assert set(ent.queries()) - set(ent.oracle_sql()) == {"chunk_counts"}
+def test_every_job_has_an_oracle():
+    assert set(registry.JOBS) == set(registry.ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +28,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(ent.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     got = digest(ent.queries()[name](spark, SF).toPandas())
     want = digest(duck.sql(ent.oracle_sql()[name]).df())

@@ -30,3 +30,12 @@ def test_more_ranges_than_the_grid(spark):
     out = keys.assign_ids(df, ["src"], start=0, rows_per_range=3)  # ~1667 ranges > 1024 grid points
     got = sorted((r.src, r.id) for r in out.collect())
     assert [i for _, i in got] == list(range(1, 5001))
+
+
+def test_null_text_and_hot_leading_keys_keep_every_row(spark):
+    rows = [(None if i % 11 == 0 else "hot" if i % 3 else f"k{i % 7}", i % 50) for i in range(600)] + [("hot", 1)] * 30
+    df = spark.createDataFrame(rows, "lead string, second int")
+    for per_range in (7, 1000):
+        got = keys.assign_ids(df, ["lead", "second"], start=5, rows_per_range=per_range).orderBy("id").collect()
+        assert [r.id for r in got] == list(range(6, 6 + len(rows)))
+        assert [(r.lead or "", r.second) for r in got] == sorted((a or "", b) for a, b in rows)

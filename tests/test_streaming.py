@@ -1,4 +1,7 @@
 import os
+import time
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -23,7 +26,7 @@ def transform(batch):
 def test_stream_delivers_everything_once_per_batch(spark, tmpdir_fresh):
     src, out, counts, ckpt = (os.path.join(tmpdir_fresh, x) for x in ["in", "out", "counts", "ckpt"])
     ingest.write_records(records(spark, 500), src, n_files=5)
-    fn = ingest.idempotent_batch_writer(transform, out, counts)
+    fn = ingest.idempotent_batch_writer(transform, out, "s", counts)
     ingest.ingest_available(spark, ingest.file_stream(spark, src, files_per_trigger=2), fn, ckpt)
     back = spark.read.parquet(out)
     assert back.count() == 500 and back.select("id").distinct().count() == 500
@@ -35,7 +38,7 @@ def test_replaying_a_batch_leaves_output_unchanged(spark, tmpdir_fresh):
     src, out = os.path.join(tmpdir_fresh, "in"), os.path.join(tmpdir_fresh, "out")
     ingest.write_records(records(spark, 100), src, n_files=2)
     batch = spark.read.schema(schemas.STREAM_RECORD).parquet(src)
-    fn = ingest.idempotent_batch_writer(transform, out)
+    fn = ingest.idempotent_batch_writer(transform, out, "s")
     fn(batch, 0)
     first = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     fn(batch, 0)  # redelivered after a crash before the offsets were committed
@@ -45,12 +48,42 @@ def test_replaying_a_batch_leaves_output_unchanged(spark, tmpdir_fresh):
 def test_restart_resumes_after_committed_batches(spark, tmpdir_fresh):
     src, out, ckpt = (os.path.join(tmpdir_fresh, x) for x in ["in", "out", "ckpt"])
     ingest.write_records(records(spark, 60), src, n_files=2)
-    fn = ingest.idempotent_batch_writer(transform, out)
+    fn = ingest.idempotent_batch_writer(transform, out, "s")
     ingest.ingest_available(spark, ingest.file_stream(spark, src), fn, ckpt)
     ingest.ingest_available(spark, ingest.file_stream(spark, src), fn, ckpt)  # nothing new
     assert spark.read.parquet(out).count() == 60
 
 
+def test_streams_do_not_erase_each_other(spark, tmpdir_fresh):
+    src, out, one, two = (os.path.join(tmpdir_fresh, x) for x in ["in", "out", "one", "two"])
+    ingest.write_records(records(spark, 20), src, n_files=1)
+    ingest.ingest_available(spark, ingest.file_stream(spark, src), ingest.idempotent_batch_writer(transform, out, "a"), one)
+    with pytest.raises(ValueError):  # a new checkpoint would start at batch 0 again
+        ingest.ingest_available(spark, ingest.file_stream(spark, src), ingest.idempotent_batch_writer(transform, out, "a"), two)
+    ingest.ingest_available(spark, ingest.file_stream(spark, src), ingest.idempotent_batch_writer(transform, out, "b"), two)
+    assert spark.read.parquet(out).count() == 40
+
+
+def test_replay_replaces_every_partition_of_its_batch(spark, tmpdir_fresh):
+    out = os.path.join(tmpdir_fresh, "out")
+    ingest.write_records(records(spark, 2), os.path.join(tmpdir_fresh, "in"), n_files=1)
+    batch = spark.read.schema(schemas.STREAM_RECORD).parquet(os.path.join(tmpdir_fresh, "in"))
+    for limit in (1, 5):  # the second attempt, with other code, sends every row to one verdict
+        fn = ingest.idempotent_batch_writer(lambda b, limit=limit: transform(b).withColumn(
+            "verdict", F.when(F.col("id") < limit, "accepted").otherwise("rejected")), out, "s", partition_by=("verdict",))
+        fn(batch, 0)
+    assert [(r.id, r.verdict) for r in spark.read.parquet(out).orderBy("id").collect()] == [(0, "accepted"), (1, "accepted")]
+
+
+def test_timeout_stops_the_stream(spark, tmpdir_fresh):
+    src = os.path.join(tmpdir_fresh, "in")
+    ingest.write_records(records(spark, 5), src, n_files=1)
+    with pytest.raises(TimeoutError):
+        ingest.ingest_available(spark, ingest.file_stream(spark, src), lambda b, i: time.sleep(8),
+                                os.path.join(tmpdir_fresh, "ckpt"), timeout_s=1)
+    assert not spark.streams.active
+
+
 def test_kafka_options():
     src = ingest.kafka_source_options("b:9092", "topic")
     assert src["maxOffsetsPerTrigger"] == "9000" and src["minPartitions"] == "3"
