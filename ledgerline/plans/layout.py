@@ -1,4 +1,5 @@
-"""Input layout checks made while planning (no job runs)."""
+"""Input layout checks for plans that only scan; a plan with a shuffle would
+run its stages here under adaptive execution."""
 
 from __future__ import annotations
 
