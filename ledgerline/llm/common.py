@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +41,17 @@ def spans_text(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices with about ``size`` bytes of text in ``column`` (and
+    the rest of the last text): bounds what a worker derives from them."""
+    if not batch.num_rows:
+        return
+    _, off = text_bytes(batch.column(column))
+    cuts = [*np.flatnonzero(np.diff(off[:-1] // size, prepend=-1)), batch.num_rows]
+    for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+        yield batch.slice(start, end - start)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and its n + 1 offsets, without a copy;
     a null row is empty."""

@@ -25,11 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import slices, stored
 
 SIZE = 2048
 END_ID = 1
-CACHE = 400_000  # chunks, and as many parts of chunks, whose ids a worker remembers
+CACHE = 200_000  # chunks, and as many parts of chunks, whose ids a worker remembers
+STRETCH = 1 << 20  # bytes of text split at a time
 
 _known: dict[str, Memory] = {}
 
@@ -104,8 +105,7 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for whole in batches:
-            for k in range(0, whole.num_rows, 4000):
-                some = whole.slice(k, 4000)
+            for some in slices(whole, 1, STRETCH):
                 ids = token_bytes(some.column(1).to_pylist(), path)
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 small = [np.frombuffer(x, "<u4") for x in ids]
