@@ -57,9 +57,9 @@ def duration_parts(total_ms: Column) -> dict[str, Column]:
     """
     ms = total_ms.cast("bigint")
     return {
-        "hours": F.floor(ms / F.lit(3_600_000)).cast("bigint"),
-        "minutes": F.pmod(F.floor(ms / F.lit(60_000)), F.lit(60)).cast("bigint"),
-        "seconds": F.pmod(F.floor(ms / F.lit(1_000)), F.lit(60)).cast("bigint"),
+        "hours": F.call_function("div", ms, F.lit(3_600_000)),
+        "minutes": F.pmod(F.call_function("div", ms, F.lit(60_000)), F.lit(60)).cast("bigint"),
+        "seconds": F.pmod(F.call_function("div", ms, F.lit(1_000)), F.lit(60)).cast("bigint"),
     }
 
 

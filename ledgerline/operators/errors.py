@@ -111,10 +111,10 @@ def catalogue_counts(routed: DataFrame, error_type: str = "error_type") -> DataF
     """Q6 as a table: every catalogue type with its status, reason phrase,
     default message and how many rows of ``routed`` carry it (0 if none).
 
-    The counts are partial-aggregated; the catalogue has four fixed rows, so
-    it is broadcast.
+    The counts are partial-aggregated to at most one row per type, and both
+    sides of the join are that small.
     """
     counts = routed.groupBy(F.col(error_type).alias("error_type")).agg(F.count(F.lit(1)).alias("n_errors"))
-    cat = F.broadcast(catalogue_df(routed.sparkSession))
+    cat = catalogue_df(routed.sparkSession)
     return cat.join(counts, "error_type", "left").select(
         "error_type", "status", "code", "message", F.coalesce("n_errors", F.lit(0)).alias("n_errors"))

@@ -118,19 +118,31 @@ def _summarise(rows: DataFrame) -> DataFrame:
         F.max_by(F.when(is_value, F.col("x")), F.when(is_value, k)).alias("description"),
         F.max_by(F.when(eff_mark, F.col("op")), F.when(eff_mark, k)).alias("last_mark"),
         F.max(F.when(eff_mark, F.col("ts"))).alias("last_mark_ts"),
+        F.bool_or(F.col("op") == "CREATE").alias("has_create"),
+        F.bool_or(is_value).alias("has_value"),
     )
     return agg.select(
         "id", "description",
         F.coalesce("created_at", "first_ts").alias("created_at"),
         "updated_at",
         F.when(F.col("last_mark") == "DELETE", F.col("last_mark_ts")).alias("deleted_at"),
-        "last_mark",
+        "last_mark", "has_create", "has_value",
     )
 
 
-def fold(changes: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS) -> DataFrame:
-    """Snapshot ``(id, description, created_at, updated_at, deleted_at)``."""
-    return _summarise(_with_effective(changes, grain_seconds, None)).drop("last_mark")
+def fold(changes: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS, resumable: bool = False) -> DataFrame:
+    """Snapshot ``(id, description, created_at, updated_at, deleted_at)``.
+
+    ``resumable`` adds ``has_create``: whether created_at is a CREATE's time or
+    only the first change's, which a later CREATE replaces. The incremental
+    fold needs it for logs in which an id's first change is not a CREATE."""
+    out = _summarise(_with_effective(changes, grain_seconds, None)).drop("last_mark", "has_value")
+    return out if resumable else out.drop("has_create")
+
+
+def _few_ids(changes: DataFrame, most: int) -> bool:
+    """Whether about ``most`` ids or fewer change: one sketch per task, a few per cent off."""
+    return most > 0 and changes.agg(F.approx_count_distinct("id")).first()[0] <= most
 
 
 def fold_incremental(snapshot: DataFrame, changes: DataFrame,
@@ -138,15 +150,17 @@ def fold_incremental(snapshot: DataFrame, changes: DataFrame,
     """Apply a slice of later changes to an existing snapshot.
 
     The snapshot seeds each id's previous value and mark; ids untouched by
-    the slice pass through. When the slice touches at most
-    ``max_broadcast_ids`` ids (checked), those ids are broadcast and the
+    the slice pass through. Equal to the fold of the whole log for a snapshot
+    of ``fold(resumable=True)``; one without ``has_create`` is taken to be made
+    from CREATEs. When the slice touches about ``max_broadcast_ids`` ids or
+    fewer (checked), those ids are broadcast and the
     snapshot is split into touched and untouched rows while it is scanned, so
     the snapshot is never shuffled and only the touched rows are merged.
     Otherwise the whole snapshot is merged with a shuffle join on id.
     Changes older than the snapshot need :func:`apply_late_changes` instead.
     """
     ids = changes.select("id").distinct()
-    if ids.limit(max_broadcast_ids + 1).count() <= max_broadcast_ids:
+    if _few_ids(changes, max_broadcast_ids):
         keep = F.broadcast(ids)
         untouched = snapshot.join(keep, "id", "left_anti")
         touched = snapshot.join(keep, "id", "left_semi")
@@ -161,16 +175,23 @@ def _merge(snapshot: DataFrame, changes: DataFrame, grain_seconds: int) -> DataF
         F.when(F.col("deleted_at").isNotNull(), F.lit("DELETE")).otherwise(F.lit("RESTORE")).alias("prev_mark"),
     )
     delta = _summarise(_with_effective(changes, grain_seconds, prior))
+    state = "has_create" in snapshot.columns
+    if not state:
+        snapshot = snapshot.withColumn("has_create", F.lit(True))
     s, d = snapshot.alias("s"), delta.alias("d")
     merged = s.join(d, "id", "full_outer")
-    return merged.select(
+    before, now = (F.coalesce(F.col(f"{side}.has_create"), F.lit(False)) for side in "sd")
+    out = merged.select(
         "id",
-        F.coalesce(F.col("d.description"), F.col("s.description")).alias("description"),
-        F.coalesce(F.col("s.created_at"), F.col("d.created_at")).alias("created_at"),
+        F.when(F.col("d.has_value"), F.col("d.description")).otherwise(F.col("s.description")).alias("description"),
+        F.when(now & ~before, F.col("d.created_at"))
+        .otherwise(F.coalesce(F.col("s.created_at"), F.col("d.created_at"))).alias("created_at"),
         F.greatest(F.col("s.updated_at"), F.col("d.updated_at")).alias("updated_at"),
         F.when(F.col("d.last_mark").isNotNull(), F.col("d.deleted_at")).otherwise(F.col("s.deleted_at"))
         .alias("deleted_at"),
+        (before | now).alias("has_create"),
     )
+    return out if state else out.drop("has_create")
 
 
 def apply_late_changes(snapshot: DataFrame, log: DataFrame, late: DataFrame,
@@ -180,12 +201,11 @@ def apply_late_changes(snapshot: DataFrame, log: DataFrame, late: DataFrame,
     swap them into the snapshot. Untouched ids are carried over as they are.
 
     The affected id set is broadcast to filter the log while it is scanned
-    when it has at most ``max_broadcast_ids`` ids (checked); otherwise the
+    when it has about ``max_broadcast_ids`` ids or fewer (checked); otherwise the
     semi and anti joins shuffle on id.
     """
     ids = late.select("id").distinct()
-    small = ids.limit(max_broadcast_ids + 1).count() <= max_broadcast_ids
-    keep = F.broadcast(ids) if small else ids
+    keep = F.broadcast(ids) if _few_ids(late, max_broadcast_ids) else ids
     history = log.unionByName(late).join(keep, "id", "left_semi")
-    refolded = fold(history, grain_seconds)
+    refolded = fold(history, grain_seconds, resumable="has_create" in snapshot.columns)
     return snapshot.join(keep, "id", "left_anti").unionByName(refolded.select(*snapshot.columns))

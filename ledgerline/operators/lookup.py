@@ -3,21 +3,21 @@
 Set-at-a-time: a batch of requests is answered by one join against the
 entity table instead of one point query per key.
 
-Join strategy (checked, not assumed):
-* If the request batch has at most ``max_broadcast_rows`` rows (default 1M; counted with a
-  bounded ``limit(n + 1).count()``), the requests' keys (one BIGINT each) are
-  broadcast and the entity table is filtered by a left-semi join while it is
-  scanned: the entity table is never shuffled. The hits are at most one per
-  request key, but their width depends on the entity columns, so the join back
-  to the requests is left to AQE, which broadcasts them only if their measured
-  size is under its threshold and otherwise joins two small shuffled sides.
-* Otherwise both sides are shuffled on the key (sort-merge join). AQE's skew
+Join strategy:
+* ``auto``: the entity table is first reduced to the requested keys by a
+  left-semi join, then joined to the requests. Both joins carry no hint: Spark
+  broadcasts the keys (then the entity table is filtered while it is scanned,
+  never shuffled) and the hits where their sizes are under its threshold, and
+  shuffles on the key otherwise; the second join reuses the first one's layout.
+* ``shuffle``: both sides are shuffled on the key (sort-merge join). AQE's skew
   join splits a request key that holds a large share of the batch; the entity
   side has one row per key so nothing on it can be hot. An entity table saved
   with ``sources.tables.save_bucketed`` is not shuffled at all.
+* ``broadcast_requests``: the keys are broadcast, after their number was
+  counted and found within ``max_broadcast_rows``.
 
-The check reads at most ``n + 1`` rows per partition of the requests' key
-column; a caller who knows the sizes passes ``strategy`` and skips it.
+Requests without a key match nothing; they are dealt over all partitions of
+the join by a hash of their columns instead of meeting in the null key's.
 """
 
 from __future__ import annotations
@@ -32,11 +32,6 @@ PROJECTION = ("id", "name", "description")
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
-def at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows. Reads at most n + 1 rows per partition."""
-    return df.limit(n + 1).count() <= n
-
-
 def project(entities: DataFrame) -> DataFrame:
     """Q3: keep id, name, description; audit columns are pruned from the scan."""
     return entities.select(*PROJECTION)
@@ -52,11 +47,10 @@ def find(entities: DataFrame, key: int) -> DataFrame:
 
 def find_many(entities: DataFrame, keys: DataFrame, key: str = "id",
               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Q1 for a batch: every entity whose id is among ``keys`` (hits only)."""
+    """Q1 for a batch: every entity whose id is among ``keys`` (hits only).
+    With ``max_broadcast_rows=0`` the keys are never broadcast."""
     k = keys.select(F.col(key).alias("id")).where(F.col("id").isNotNull())
-    if at_most(k, max_broadcast_rows):
-        k = F.broadcast(k)
-    return entities.join(k, "id", "left_semi")
+    return entities.join(k if max_broadcast_rows else k.hint("merge"), "id", "left_semi")
 
 
 STRATEGIES = ("auto", "broadcast_requests", "shuffle")
@@ -67,18 +61,22 @@ def lookup(requests: DataFrame, entities: DataFrame, key: str = "id",
     """Q2: one output row per request (duplicates kept) with the entity's
     projected columns as ``entity`` (null on a miss) and ``found``.
 
-    ``strategy``: ``auto`` checks the request count; ``broadcast_requests``
-    asserts the batch is small (at most ``max_broadcast_rows``); ``shuffle``
-    always joins on shuffled keys.
+    ``strategy``: see above; ``auto`` with ``max_broadcast_rows=0`` is ``shuffle``.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     ents = entities.select(F.col("id").alias("_eid"), F.struct(*PROJECTION).alias("entity"))
-    small = strategy == "broadcast_requests" or (strategy == "auto" and at_most(requests, max_broadcast_rows))
-    if small:
-        keys = F.broadcast(requests.select(F.col(key).alias("_eid")).where(F.col("_eid").isNotNull()))
+    if strategy == "broadcast_requests" or (strategy == "auto" and max_broadcast_rows):
+        keys = requests.select(F.col(key).alias("_eid")).where(F.col("_eid").isNotNull())
+        if strategy == "broadcast_requests":
+            n = keys.count()
+            if n > max_broadcast_rows:
+                raise ValueError(f"{n} requests are more than max_broadcast_rows={max_broadcast_rows}")
+            keys = F.broadcast(keys)
         ents = ents.join(keys, "_eid", "left_semi")
-    out = requests.join(ents, F.col(key) == F.col("_eid"), "left")
+    hashable = [F.col(c) for c, t in requests.dtypes if not ("map<" in t or "variant" in t)]
+    spread_key = F.coalesce(F.col(key), F.xxhash64(*hashable) if hashable else F.lit(0))
+    out = requests.join(ents, (spread_key == F.col("_eid")) & F.col(key).isNotNull(), "left")
     return out.withColumn("found", F.col("_eid").isNotNull()).drop("_eid")
 
 

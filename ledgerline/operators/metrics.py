@@ -15,15 +15,18 @@ def bound_name(b: float) -> str:
 
 
 def latency_histogram(df: DataFrame, value: str, by: list[str], application: str,
-                      bounds: tuple[float, ...] = DEFAULT_BOUNDS) -> DataFrame:
-    """Per group: ``le_<b>`` = count of values <= b, plus count and sum.
+                      bounds: tuple[float, ...] = DEFAULT_BOUNDS, scale: int = 12) -> DataFrame:
+    """Per group: ``le_<b>`` = count of values <= b, ``le_inf`` = all values,
+    plus count and sum.
 
     One aggregate with partial aggregation: each task ships one row per
     group, so a group holding most of the data is no hotter than any other.
-    The sum is exact (DECIMAL) before it is returned as DOUBLE.
+    Each value is rounded to ``scale`` decimals and summed as DECIMAL(38), so
+    the sum does not depend on the order of rows; it is returned as DOUBLE.
+    Sums of up to 38 - ``scale`` whole digits fit.
     """
     v = F.col(value)
     aggs = [F.count_if(v <= F.lit(b)).alias(bound_name(b)) for b in sorted(bounds)]
-    aggs += [F.count(v).alias("count"),
-             F.sum(v.cast("decimal(20,6)")).cast("double").alias("sum")]
+    aggs += [F.count(v).alias("le_inf"), F.count(v).alias("count"),
+             F.sum(v.cast(f"decimal(38,{scale})")).cast("double").alias("sum")]
     return df.groupBy(*by).agg(*aggs).withColumn("application", F.lit(application))

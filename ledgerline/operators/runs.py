@@ -40,35 +40,41 @@ def date_scope(df: DataFrame, date_col: str, request_date: str | dt.date) -> Dat
 def run_daily(df: DataFrame, date_col: str, request_date: str | dt.date | None,
               columns: list[str] | None = None, out_path: str | None = None,
               run_log_path: str | None = None, job_name: str = "daily") -> JobResult:
-    """B1: the job needs ``request_date``; without it the run FAILS.
+    """B1: the job needs ``request_date``; without it, with a text that is no
+    date, or when the write raises, the run FAILS and says why.
 
     With ``out_path`` the slice is written with dynamic partition overwrite,
     so re-running a date replaces only that date; the rows written are
     counted during the write (B4). With ``run_log_path`` the run appends one
     row (run_id, job_name, start_ms, end_ms, status, request_date,
-    write_count) that B2 and B3 read. Only written rows are observed: an
+    write_count) that B2 and B3 read, whatever its outcome. Without ``out_path``
+    nothing is run here: COMPLETED then only says that the slice is defined. Only written rows are observed: an
     observation on the scan would stop the date filter reaching the reader.
     """
     import time
+    import uuid
 
     start_ms = int(time.time() * 1000)
     write_count = None
     if request_date is None:
         result = JobResult(FAILED, None, "Required job parameter 'requestDate' is missing.")
     else:
-        rows = date_scope(df, date_col, request_date)
-        if columns:
-            rows = rows.select(*columns)
-        if out_path is not None:
-            observed, obs = observe_counts(rows.withColumn("request_date", F.lit(str(request_date))), "written",
-                                           metric="write_count")
-            (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("request_date").parquet(out_path))
-            write_count = obs.get.get("write_count", 0)
-        result = JobResult(COMPLETED, rows)
+        try:
+            rows = date_scope(df, date_col, request_date)
+            if columns:
+                rows = rows.select(*columns)
+            if out_path is not None:
+                observed, obs = observe_counts(rows.withColumn("request_date", F.lit(str(request_date))), "written",
+                                               metric="write_count")
+                (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("request_date").parquet(out_path))
+                write_count = obs.get.get("write_count", 0)
+            result = JobResult(COMPLETED, rows)
+        except Exception as error:  # the outcome of a run, not swallowed: in the result and the run log
+            result = JobResult(FAILED, None, f"{type(error).__name__}: {error}")
     if run_log_path is not None:
         end_ms = int(time.time() * 1000)
-        row = [(start_ms, job_name, start_ms, end_ms, result.status,
+        row = [(uuid.uuid4().int >> 65, job_name, start_ms, end_ms, result.status,
                 None if request_date is None else str(request_date), write_count)]
         (df.sparkSession.createDataFrame(
             row, "run_id bigint, job_name string, start_ms bigint, end_ms bigint, status string, request_date string, "

@@ -62,6 +62,14 @@ def lookup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.project(lookup.find_many(inputs.entities_from_part(spark, sf_dir), wanted))
 
 
+@register("find_one", sql=f"""
+SELECT id, name, description FROM ({inputs.ENTITIES_PART_SQL}) e WHERE id = 42
+""")
+def find_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 for one key: the predicate is pushed into the scan."""
+    return lookup.project(lookup.find(inputs.entities_from_part(spark, sf_dir), 42))
+
+
 # --- step 2: lookup with typed miss, envelope, typed keys, routing -----------
 
 def _answer(requests: DataFrame, entities: DataFrame) -> DataFrame:
@@ -261,8 +269,8 @@ def lifecycle_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = inputs.change_log(spark, sf_dir)
     cut = F.lit(inputs.INCREMENTAL_CUT).cast("timestamp_ntz")
     path = scratch_path(spark, "snapshot")
-    lifecycle.fold(log.where(F.col("ts") < cut)).write.parquet(path)
-    return lifecycle.fold_incremental(spark.read.parquet(path), log.where(F.col("ts") >= cut))
+    lifecycle.fold(log.where(F.col("ts") < cut), resumable=True).write.parquet(path)
+    return lifecycle.fold_incremental(spark.read.parquet(path), log.where(F.col("ts") >= cut)).drop("has_create")
 
 
 @register("lifecycle_late", sql=_fold_sql(inputs.CHANGE_LOG_SQL))
@@ -338,6 +346,23 @@ def daily_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.rows
 
 
+@register("daily_runs", sql=f"""
+SELECT 'COMPLETED' AS status, '{inputs.DAILY_REQUEST_DATE}' AS request_date, count(*) AS write_count FROM orders
+WHERE o_orderdate >= DATE '{inputs.DAILY_REQUEST_DATE}' AND o_orderdate < DATE '{inputs.DAILY_REQUEST_DATE}' + INTERVAL 1 DAY
+UNION ALL SELECT 'FAILED', NULL, NULL
+UNION ALL SELECT 'FAILED', 'no date', NULL
+""")
+def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1's run log: a run with a date, one without, one whose date is none."""
+    from ledgerline.session import scratch_path
+
+    out, log = scratch_path(spark, "daily"), scratch_path(spark, "daily-runs")
+    orders = inputs.read_table(spark, sf_dir, "orders")
+    for date in (inputs.DAILY_REQUEST_DATE, None, "no date"):
+        runs.run_daily(orders, "o_orderdate", date, columns=ORDER_COLUMNS, out_path=out, run_log_path=log)
+    return spark.read.parquet(log).select("status", "request_date", "write_count")
+
+
 @register("run_durations", sql=f"""
 WITH r AS ({inputs.RUN_LOG_SQL})
 SELECT run_id, job_name,
@@ -368,8 +393,8 @@ def _histogram_sql() -> str:
     les = ", ".join(f"count(*) FILTER (WHERE value <= {b}) AS {metrics.bound_name(b)}"
                     for b in sorted(metrics.DEFAULT_BOUNDS))
     return f"""
-SELECT event_type, {les}, count(value) AS count,
-  CAST(sum(CAST(value AS DECIMAL(20,6))) AS DOUBLE) AS sum, 'ledgerline' AS application
+SELECT event_type, {les}, count(value) AS le_inf, count(value) AS count,
+  CAST(sum(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) AS sum, 'ledgerline' AS application
 FROM events GROUP BY event_type
 """
 

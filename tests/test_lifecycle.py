@@ -147,3 +147,26 @@ def test_hot_id_is_spread_over_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert tasks >= 4
+
+
+def any_log(n_ids, n_rows, seed):
+    """Any change may come first; CREATE repeats, at times without a description."""
+    rnd = random.Random(seed)
+    rows = []
+    for eid in range(n_rows):
+        op = rnd.choice(["CREATE", "UPDATE", "UPDATE", "DELETE", "RESTORE"])
+        desc = rnd.choice(["d0", "d1", None, " "]) if op in ("CREATE", "UPDATE") else None
+        rows.append((rnd.randrange(n_ids), eid, at(rnd.randint(0, 3000)), op, desc))
+    return rows
+
+
+@pytest.mark.parametrize("cut", [60, 1000, 2500])
+@pytest.mark.parametrize("max_ids", [0, 1000])
+def test_incremental_equals_full_fold_of_any_log(spark, cut, max_ids):
+    rows = [(99, 5000, at(0), "DELETE", None), (99, 5001, at(2900), "CREATE", "late")] + any_log(40, 300, seed=cut)
+    log = spark.createDataFrame(rows, schemas.CHANGE)
+    t = F.lit(at(cut))
+    snap = lifecycle.fold(log.where(F.col("ts") < t), resumable=True)
+    inc = lifecycle.fold_incremental(snap, log.where(F.col("ts") >= t), max_broadcast_ids=max_ids)
+    assert inc.columns == snap.columns
+    assert as_dict(inc) == as_dict(lifecycle.fold(log))

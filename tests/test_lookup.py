@@ -146,3 +146,26 @@ def test_random_requests_match_brute_force(spark, strategy):
             want = (404, "FAIL", f"No item was found for id {int(raw)}.", None)
         assert (row.status, row.result, row.message, row.data_name) == want, raw
         assert row.error_code == (None if want[0] == 200 else {400: "Bad Request", 404: "Not Found"}[want[0]])
+
+
+def test_requests_without_a_key_are_spread(spark):
+    ents = entities(spark, [(i, "n", "d", None) for i in range(20)])
+    req = spark.range(4000).select(F.col("id").alias("request_id"), F.when(F.col("id") % 40 == 0, F.col("id") % 20).alias("id"))
+    out = lookup.lookup(req, ents, strategy="shuffle")
+    assert out.where("found").count() == 100 and out.count() == 4000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup.lookup(req, ents, strategy="shuffle")
+        parts = out.where("id IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == 8 and max(r["count"] for r in parts) < 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_broadcast_of_requests_checks_their_number(spark):
+    ents = entities(spark, [(1, "a", "x", None)])
+    req = spark.range(10).select(F.col("id").alias("request_id"), "id")
+    with pytest.raises(ValueError):
+        lookup.lookup(req, ents, max_broadcast_rows=9, strategy="broadcast_requests")

@@ -111,3 +111,21 @@ def test_epoch_millis_is_zone_free(spark):
             assert [r.back for r in got] == [t.replace(microsecond=t.microsecond // 1000 * 1000) for t in ts]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_daily_job_logs_every_failure(spark, tmpdir_fresh):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    log, blocked = tmpdir_fresh + "/runs", tmpdir_fresh + "/file"
+    open(blocked, "w").close()
+    bad = runs.run_daily(orders, "o_orderdate", "15.06.1997", run_log_path=log)
+    assert bad.status == runs.FAILED and "15.06.1997" in bad.message
+    unwritten = runs.run_daily(orders, "o_orderdate", "1997-06-15", out_path=blocked + "/x", run_log_path=log)
+    assert unwritten.status == runs.FAILED and unwritten.rows is None
+    got = spark.read.parquet(log)
+    assert [r.status for r in got.collect()] == [runs.FAILED] * 2 and got.select("run_id").distinct().count() == 2
+
+
+def test_histogram_sum_of_small_and_large_values(spark):
+    df = spark.createDataFrame([("s", 4e-7)] * 1000 + [("l", 1e15)] * 3, "t string, v double")
+    got = {r.t: r for r in metrics.latency_histogram(df, "v", ["t"], "app").collect()}
+    assert (got["s"]["sum"], got["l"]["sum"]) == (0.0004, 3e15) and got["l"].le_inf == 3 and got["l"].le_250 == 0
