@@ -5,10 +5,12 @@ reads every declared field with variant functions, all JVM-side and inside
 whole-stage codegen. Policy for a declared field:
 
 * unknown properties are ignored;
-* a required primitive (``int``) that is missing or JSON null is a reject;
+* a required number or boolean (a primitive) that is missing or JSON null is a
+  reject; one that is not required reads null as null;
 * ``""`` where an object or enum is declared reads as null;
 * a scalar where an array is declared becomes a one-element array;
-* numbers truncate to int and numeric text (``"7"``) is accepted as a number;
+* numbers truncate to int and long, numeric text (``"7"``) is accepted as a
+  number, and ``"true"``, ``"false"`` and numbers (0 is false) as a boolean;
 * an enum value outside the allowed set is a reject that lists the set;
 * a repeated key keeps its last value (``duplicate_keys="last"``).
 
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import functools
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark import SparkContext
@@ -38,15 +41,21 @@ from pyspark.sql import types as T
 @dataclass(frozen=True)
 class Field:
     name: str
-    kind: str  # "int" | "string" | "enum" | "string_array" | "object"
+    kind: str  # "int" | "long" | "double" | "decimal" | "boolean" | "string" | "enum" | "string_array" | "object"
     required: bool = False
     values: tuple[str, ...] = ()
     fields: tuple["Field", ...] = field(default_factory=tuple)
+    precision: tuple[int, int] = (38, 12)  # of a decimal
 
     @property
     def type_name(self) -> str:
-        return {"int": "Integer", "string": "String", "enum": "Enum", "string_array": "List",
-                "object": "Object"}[self.kind]
+        return {"int": "Integer", "long": "Long", "double": "Double", "decimal": "BigDecimal", "boolean": "Boolean",
+                "string": "String", "enum": "Enum", "string_array": "List", "object": "Object"}[self.kind]
+
+    @property
+    def sql_type(self) -> str:
+        """Spark type of a number or boolean."""
+        return {"long": "bigint", "decimal": "decimal({},{})".format(*self.precision)}.get(self.kind, self.kind)
 
 
 # Reject kinds.
@@ -105,12 +114,18 @@ def _decode_field(v: Column, f: Field, prefix: str, probes: dict[str, Column]
     as_string = probe("str", F.try_variant_get(sub, "$", "string"))
     rejects: list[Column] = []
     late: list[Column] = []
-    if f.kind == "int":
-        num = probe("int", F.try_variant_get(sub, "$", "int"))
-        ok = cat.isin("number", "string") & num.isNotNull()
-        cols = {col_name: F.when(ok, num)}
-        rejects.append(F.when(cat.isin("number", "string") & num.isNull(), _wrong_type(path, as_string, f)))
-        rejects.append(F.when(cat.isin("boolean", "array", "object", "null"), _missing(path)))
+    if f.kind in ("int", "long", "double", "decimal", "boolean"):
+        num = probe("num", F.try_variant_get(sub, "$", f.sql_type))
+        scalar, other = ["number", "string"], ["array", "object"] + ["null"] * f.required
+        if f.kind == "boolean":
+            scalar.append("boolean")
+            # Text reads as a boolean only where it says so; Spark alone would also take "t" or "yes".
+            num = F.when((cat != "string") | as_string.isin("true", "false"), num)
+        else:
+            other.append("boolean")
+        cols = {col_name: F.when(cat.isin(*scalar), num)}
+        rejects.append(F.when(cat.isin(*scalar) & num.isNull(), _wrong_type(path, as_string, f)))
+        rejects.append(F.when(cat.isin(*other), _missing(path)))
         if f.required:
             late.append(F.when(cat == "missing", _missing(path)))
     elif f.kind == "string":
@@ -161,6 +176,17 @@ def _decode_field(v: Column, f: Field, prefix: str, probes: dict[str, Column]
     return cols, rejects, late
 
 
+def _names(schema: tuple[Field, ...], prefix: str = "") -> Iterator[str]:
+    """The output columns of ``schema``."""
+    for f in schema:
+        if "." in f.name:
+            raise ValueError(f"field name {f.name!r} holds a dot, which separates levels")
+        if f.kind == "object":
+            yield from _names(f.fields, f"{prefix}{f.name}_")
+        else:
+            yield prefix + f.name
+
+
 @dataclass(frozen=True)
 class _Plan:
     subs: dict
@@ -173,6 +199,9 @@ class _Plan:
 def _compile(schema: tuple[Field, ...], context_key: int) -> _Plan:
     """The decode expressions for ``schema``, built once and reused for every
     call and every micro-batch (building them is most of the planning cost)."""
+    names = list(_names(schema))
+    if len(set(names)) < len(names):
+        raise ValueError(f"two fields would share a column: {sorted(names)}")
     v = F.col("_v")
     cols: dict[str, Column] = {}
     rejects: list[Column] = []
@@ -203,15 +232,21 @@ def decode(df: DataFrame, payload: str, schema: tuple[Field, ...], duplicate_key
     text and number from that; then the rules, which only read those columns.
 
     ``duplicate_keys``: ``"last"`` (the last value of a repeated key wins, as
-    in the service) or ``"reject"`` (the payload is unreadable). Spark reads
-    this from the session when the plan runs, so it is set on the session.
+    in the service) or ``"reject"`` (the payload is unreadable). Spark takes
+    this from the session when the plan is built, so it is set meanwhile.
     """
     if duplicate_keys not in ("last", "reject"):
         raise ValueError("duplicate_keys must be 'last' or 'reject'")
-    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", str(duplicate_keys == "last").lower())
     plan = _compile(tuple(schema), id(SparkContext._active_spark_context))
-    out = (df.withColumn("_v", F.try_parse_json(F.col(payload)))
-           .withColumns(plan.subs).withColumns(plan.probes)
+    conf, key = df.sparkSession.conf, "spark.sql.variant.allowDuplicateKeys"
+    before = conf.get(key)
+    conf.set(key, str(duplicate_keys == "last").lower())
+    try:
+        parsed = df.withColumn("_v", F.try_parse_json(F.col(payload)))
+        parsed.schema  # analysed here at the latest
+    finally:
+        conf.set(key, before)
+    out = (parsed.withColumns(plan.subs).withColumns(plan.probes)
            .withColumn("reject", plan.reject)
            .withColumns(plan.outputs))
     return out.drop("_v", *plan.subs.keys(), *plan.probes.keys())
@@ -238,6 +273,16 @@ def rejects(decoded: DataFrame) -> DataFrame:
 
 # --- J2 ---------------------------------------------------------------------------
 
+def _has_decimal(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_has_decimal(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _has_decimal(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _has_decimal(dtype.valueType)
+    return isinstance(dtype, T.DecimalType)
+
+
 def _value_json(c: Column, dtype: T.DataType) -> Column:
     """JSON text of one value; null stays null so the field can be omitted."""
     if isinstance(dtype, T.DecimalType):
@@ -247,6 +292,14 @@ def _value_json(c: Column, dtype: T.DataType) -> Column:
         return F.translate(F.format_number(c, dtype.scale), ",", "")
     if isinstance(dtype, T.StructType):
         return _object_json([(f.name, c[f.name], f.dataType) for f in dtype.fields], c.isNull())
+    if _has_decimal(dtype) and isinstance(dtype, T.ArrayType):
+        items = F.transform(c, lambda x: F.coalesce(_value_json(x, dtype.elementType), F.lit("null")))
+        return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+    if _has_decimal(dtype) and isinstance(dtype, T.MapType):
+        items = F.transform(F.map_entries(c), lambda e: F.concat(
+            _value_json(e["key"].cast("string"), T.StringType()), F.lit(":"),
+            F.coalesce(_value_json(e["value"], dtype.valueType), F.lit("null"))))
+        return F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}"))
     wrapped = F.to_json(F.struct(c.alias("v")))
     # '{"v":<json>}' -> '<json>': drop the 5-character head and the closing brace.
     return F.when(c.isNotNull(), wrapped.substr(F.lit(6), F.length(wrapped) - F.lit(6)))

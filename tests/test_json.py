@@ -93,3 +93,44 @@ def test_duplicate_keys_last_wins_or_reject(spark):
     r = jsonio.decode(df, "payload", PAYLOAD_SCHEMA, duplicate_keys="reject").first()
     assert r.reject.kind == "unreadable"
     jsonio.decode(df, "payload", PAYLOAD_SCHEMA)  # back to the default for later tests
+
+
+def test_more_kinds_and_nulls(spark):
+    from decimal import Decimal
+
+    F_ = jsonio.Field
+    schema = (F_("id", "long", required=True), F_("n", "int"), F_("x", "double"), F_("d", "decimal", precision=(20, 4)),
+              F_("b", "boolean"))
+    texts = ['{"id": 5000000000, "n": null, "x": 1.5, "d": 12.3456, "b": true}', '{"id": "7", "x": "2", "d": "0.5", "b": "false"}',
+             '{"id": null}', '{"n": 1}', '{"id": 1, "b": "yes"}', '{"id": 1, "x": true}', '{"id": 1, "b": 0}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, payload string")
+    got = [r for r in jsonio.decode(df, "payload", schema).orderBy("i").collect()]
+    assert (got[0].id, got[0].n, got[0].x, got[0].d, got[0].b) == (5000000000, None, 1.5, Decimal("12.3456"), True)
+    assert (got[1].id, got[1].x, got[1].d, got[1].b) == (7, 2.0, Decimal("0.5"), False)
+    assert [r.accepted for r in got] == [True, True, False, False, False, False, True] and got[6].b is False
+    assert [got[k].reject.path for k in (2, 3, 4, 5)] == ["id", "id", "b", "x"]
+
+
+def test_clashing_field_names_are_refused(spark):
+    df = spark.createDataFrame([("{}",)], "payload string")
+    for schema in [(jsonio.Field("a_b", "int"), jsonio.Field("a", "object", fields=(jsonio.Field("b", "int"),))),
+                   (jsonio.Field("a.b", "int"),)]:
+        with pytest.raises(ValueError):
+            jsonio.decode(df, "payload", schema)
+
+
+def test_duplicate_keys_leave_the_session_alone(spark):
+    key = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(key)
+    df = spark.createDataFrame([('{"k": 1, "k": 2}',)], "payload string")
+    last = jsonio.decode(df, "payload", (jsonio.Field("k", "int"),))
+    reject = jsonio.decode(df, "payload", (jsonio.Field("k", "int"),), duplicate_keys="reject")
+    assert spark.conf.get(key) == before
+    assert last.first().k == 2 and reject.first().reject.kind == jsonio.UNREADABLE
+
+
+def test_nested_decimals_are_plain(spark):
+    df = spark.sql("""SELECT array(1.23e-8BD, NULL) AS a, map('k"', 1.23e-8BD) AS m,
+                      array(named_struct('d', 1.23e-8BD, 'n', CAST(NULL AS INT))) AS s, CAST(NULL AS array<decimal(9,8)>) AS z""")
+    assert jsonio.encode(df).first().json == (
+        '{"a":[0.0000000123,null],"m":{"k\\"":0.0000000123},"s":[{"d":0.0000000123}]}')
