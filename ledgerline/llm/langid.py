@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import text_bytes
+from ledgerline.llm.common import slices, text_bytes
 
 UNDETERMINED = "und"
 SAMPLE_CHARS = 2_000_000  # about so many characters of each language train the model
 SYMBOLS = 127  # most frequent bytes; the others share one symbol
 CONTEXTS = 16_384  # three-byte contexts kept in the tree, the most frequent ones
 UNIT = 1024  # frozen lengths are in 1/1024 bits
-PIECE = 1 << 20  # bytes scored at a time
+PIECE = 1 << 18  # bytes counted or scored at a time
 
 
 def held_out(doc_id="doc_id"):
@@ -55,7 +55,7 @@ def gram_counts(docs: DataFrame, sample_chars: int) -> DataFrame:
     drawn = drawn.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("rate") * 1_000_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, 1, PIECE)):
             langs = np.array(b.column(0).to_pylist(), object)
             raw, off = text_bytes(b.column(1))
             gram = grams(raw, off)
@@ -205,7 +205,8 @@ def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
     def name(texts: pa.Array) -> pa.Array:
         return label(shared.value, texts)[0]
 
-    return name(F.when(text.rlike(r"\p{L}"), text))
+    # So marked, a filter on the result is not merged with it: texts go to Python once.
+    return name.asNondeterministic()(F.when(text.rlike(r"\p{L}"), text))
 
 
 def identify(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
