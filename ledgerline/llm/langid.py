@@ -36,6 +36,7 @@ SYMBOLS = 127  # most frequent bytes; the others share one symbol
 CONTEXTS = 16_384  # three-byte contexts kept in the tree, the most frequent ones
 UNIT = 1024  # frozen lengths are in 1/1024 bits
 PIECE = 1 << 18  # bytes counted or scored at a time
+ROWS = 2048  # contexts frozen at a time
 
 
 def held_out(doc_id="doc_id"):
@@ -108,9 +109,10 @@ class Model:
         return out
 
 
-def freeze(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
-    """Context trees of all languages from the summed counts."""
-    langs = sorted(set(lang))
+def freeze(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
+    """Context trees of all languages (``lang`` has places in ``langs``) from
+    the summed counts. Long tables of probabilities are only made ``ROWS``
+    contexts at a time."""
     each = np.stack([gram >> 24 & 255, gram >> 16 & 255, gram >> 8 & 255, gram & 255])
     by_byte = np.bincount(each[3], weights=n, minlength=256)
     by_byte[0] += 1  # stands before each text
@@ -121,10 +123,9 @@ def freeze(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
     a = len(top) + 1
     others = max(1, 256 - len(top))
     s = symbol[each]
-    c3 = (s[0] * a + s[1]) * a + s[2]
-    total3 = np.bincount(c3, weights=n, minlength=a**3)
-    deep = np.sort(np.argsort(-total3, kind="stable")[:CONTEXTS])
-    deep = deep[total3[deep] > 0]
+    c3, place = np.unique((s[0] * a + s[1]) * a + s[2], return_inverse=True)
+    total3 = np.bincount(place, weights=n, minlength=len(c3))
+    deep = np.sort(c3[np.argsort(-total3, kind="stable")[:CONTEXTS]])
     row3 = np.full(a**3, -1, np.int32)
     row3[deep] = a * a + np.arange(len(deep))
     cost = np.zeros((a * a + len(deep), a, len(langs)), np.uint16)
@@ -135,31 +136,51 @@ def freeze(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
         weight = np.maximum(total + kinds, 1)
         return np.where(total == 0, p, np.where(counts > 0, counts / weight, kinds / weight * p))
 
-    for k, name in enumerate(langs):
-        own = lang == name
+    def frozen(p: np.ndarray) -> np.ndarray:
+        # A byte outside the symbols also pays for which of them it is.
+        p = p / np.where(np.arange(a) == a - 1, others, 1)
+        return np.minimum(np.rint(-np.log2(np.maximum(p, 2.0**-60)) * UNIT), 65_535)
+
+    def in_rows(context: np.ndarray, last: np.ndarray, w: np.ndarray, rows: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Counts of ``last`` by context, ``ROWS`` contexts at a time."""
+        order = np.argsort(context, kind="stable")
+        context, last, w = context[order], last[order], w[order]
+        for at in range(0, rows, ROWS):
+            size = min(ROWS, rows - at)
+            here = slice(*np.searchsorted(context, [at, at + size]))
+            yield at, np.bincount((context[here] - at) * a + last[here], weights=w[here], minlength=size * a).reshape(size, a)
+
+    for k in range(len(langs)):
+        own = lang == k
         w, (s0, s1, s2, s3) = n[own], s[:, own]
-        p = np.full((1, a), 1 / 256)
-        p[0, -1] = others / 256
-        p = refine(p, np.bincount(s3, weights=w, minlength=a)[None])
-        p = refine(p, np.bincount(s2 * a + s3, weights=w, minlength=a * a).reshape(a, a))
-        p = refine(np.tile(p, (a, 1)), np.bincount((s1 * a + s2) * a + s3, weights=w, minlength=a**3).reshape(a * a, a))
+        p0 = np.full((1, a), 1 / 256)
+        p0[0, -1] = others / 256
+        p0 = refine(p0, np.bincount(s3, weights=w, minlength=a)[None])
+        p1 = refine(p0, np.bincount(s2 * a + s3, weights=w, minlength=a * a).reshape(a, a))
+        p2 = np.empty((a * a, a))
+        for at, counts in in_rows(s1 * a + s2, s3, w, a * a):
+            end = at + len(counts)
+            p2[at:end] = refine(p1[np.arange(at, end) % a], counts)
+            cost[at:end, :, k] = frozen(p2[at:end])
         row = row3[(s0 * a + s1) * a + s2]
         kept = row >= 0
-        c = np.bincount((row[kept] - a * a) * a + s3[kept], weights=w[kept], minlength=len(deep) * a).reshape(len(deep), a)
-        p = np.concatenate([p, refine(p[deep % (a * a)], c)])
-        # A byte outside the symbols also pays for which of them it is.
-        p[:, -1] /= others
-        cost[:, :, k] = np.minimum(np.rint(-np.log2(np.maximum(p, 2.0**-60)) * UNIT), 65_535)
+        for at, counts in in_rows(row[kept] - a * a, s3[kept], w[kept], len(deep)):
+            end = at + len(counts)
+            cost[a * a + at:a * a + end, :, k] = frozen(refine(p2[deep[at:end] % (a * a)], counts))
     return Model(langs, symbol, row3, cost, a)
 
 
 def train(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model | None:
     """The model of ``docs`` (doc_id, text, lang), None if nothing can be
     learned. The counts that reach the driver are bounded by the sample."""
-    rows = gram_counts(docs, sample_chars).toPandas().sort_values(["lang", "gram"])
-    if rows.empty:
+    rows = gram_counts(docs, sample_chars).toArrow()
+    if not rows.num_rows:
         return None
-    return freeze(rows["lang"].to_numpy(object), rows["gram"].to_numpy(np.int64), rows["n"].to_numpy(np.float64))
+    names = rows.column("lang").combine_chunks().dictionary_encode()
+    langs = names.dictionary.to_pylist()
+    rank = np.argsort(np.argsort(np.array(langs, object), kind="stable"), kind="stable")
+    return freeze(sorted(langs), rank[names.indices.to_numpy()], rows.column("gram").to_numpy(),
+                  rows.column("n").to_numpy().astype(np.float64))
 
 
 PREDICTION = "doc_id bigint, held_out boolean, lang_pred string, score double, bits_per_byte double"

@@ -93,7 +93,7 @@ def test_code_lengths_match_the_escape_method(monkeypatch):
         return np.array([int.from_bytes(padded[i:i + 4], "big") for i in range(len(b))], np.int64)
 
     g, n = np.unique(grams(train), return_counts=True)
-    model = langid.freeze(np.array(["x"] * len(g), object), g, n.astype(float))
+    model = langid.freeze(["x"], np.zeros(len(g), np.int64), g, n.astype(float))
     known = sorted(set(train) | {0})
     counts = [{} for _ in range(4)]
     padded = b"\0\0\0" + train
