@@ -318,12 +318,13 @@ JSON_PAYLOADS_SQL = "SELECT event_id AS id, " + _sql_case("event_id", [
 ]) + " AS payload FROM events"
 
 
-def encodable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def encodable_rows(spark: SparkSession, sf_dir: str, *also: str) -> DataFrame:
     """Rows to encode: a small decimal that would print with an exponent,
-    a note that is null for every fourth event, and a nested object."""
+    a note that is null for every fourth event, and a nested object; and the
+    columns ``also`` of events."""
     ev = read_table(spark, sf_dir, "events")
     return ev.select(
-        "event_id", "event_type",
+        "event_id", "event_type", *also,
         (F.col("value") / F.lit(1e9)).cast("decimal(20,12)").alias("amount"),
         F.when(F.pmod(F.col("event_id"), F.lit(4)) != 0, F.col("props")).alias("note"),
         F.struct(F.col("user_id").alias("user"), F.lit(None).cast("string").alias("tag")).alias("meta"),

@@ -543,6 +543,33 @@ def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonio.encode(spread(inputs.encodable_rows(spark, sf_dir))).select("event_id", "json")
 
 
+TYPED_SCHEMA = (
+    jsonio.Field("event_id", "long", required=True),
+    jsonio.Field("event_type", "string"),
+    jsonio.Field("value", "double"),
+    jsonio.Field("amount", "decimal", precision=(20, 12)),
+    jsonio.Field("even", "boolean", required=True),
+    jsonio.Field("note", "string"),
+    jsonio.Field("meta", "object", fields=(jsonio.Field("user", "long"), jsonio.Field("tag", "string"))),
+)
+
+
+@register("json_typed", sql="""
+SELECT event_id, event_type, value, CAST(CAST(value / 1e9 AS DECIMAL(20,12)) AS DOUBLE) AS amount,
+  event_id % 2 = 0 AS even, CASE WHEN event_id % 4 <> 0 THEN props END AS note, user_id AS meta_user,
+  CAST(NULL AS VARCHAR) AS meta_tag, true AS accepted
+FROM events
+""")
+def json_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 then J1: events encoded and decoded again as long, double, decimal,
+    boolean and text fields, with fields left out, are what they were."""
+    rows = inputs.encodable_rows(spark, sf_dir, "value").withColumn("even", F.col("event_id") % 2 == 0)
+    sent = jsonio.encode(rows).select("json")
+    return jsonio.decode(sent, "json", TYPED_SCHEMA).select(
+        "event_id", "event_type", "value", F.col("amount").cast("double").alias("amount"), "even", "note", "meta_user",
+        "meta_tag", "accepted")
+
+
 # --- step 7: streaming ingestion, chunk counts, Kafka shaping, append -----------------
 
 def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -619,36 +646,53 @@ def kafka_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_kafka_records(inputs.entities_from_part(spark, sf_dir), "id", as_binary=False)
 
 
+def _append(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """S5: guard (V1) -> identity keys (L6) -> stamp (L1) -> append. Returns
+    the paths of the entity table and of the split candidates."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources.tables import write_append
+
+    table, checked = scratch_path(spark, "entities"), scratch_path(spark, "candidates")
+    stamp = F.current_timestamp().cast("timestamp_ntz")
+    stamps = {"created_at": stamp, "updated_at": stamp, "deleted_at": F.lit(None).cast("timestamp_ntz")}
+    write_append(inputs.entities_from_part(spark, sf_dir).withColumns(stamps), table)
+    validate.write_split(inputs.blank_candidates(spark, sf_dir), validate.entity_rules(), checked)
+    accepted = spark.read.parquet(checked).where(F.col("verdict") == "accepted").select(
+        F.col("id").alias("source_id"), "name", "description")
+    new = keys.next_ids(accepted, spark.read.parquet(table), ["source_id"], rows_per_range=1000)
+    write_append(new.withColumns(stamps).select("id", "name", "description", *stamps), table)
+    return table, checked
+
+
 @register("append_entities", sql=f"""
 WITH c AS ({inputs.BLANK_CANDIDATES_SQL}),
 ok AS (
   SELECT * FROM c
   WHERE NOT regexp_matches(name, {_q(BLANK_PATTERN)}) AND NOT regexp_matches(description, {_q(BLANK_PATTERN)})
 )
-SELECT id, name, description FROM ({inputs.ENTITIES_PART_SQL}) e
+SELECT id, name, description, true AS stamped FROM ({inputs.ENTITIES_PART_SQL}) e
 UNION ALL
-SELECT (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY id) AS id, name, description FROM ok
+SELECT (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY id) AS id, name, description, true AS stamped FROM ok
 """)
 def append_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S5: guard (V1) -> identity keys (L6) -> stamp (L1) -> append; the
-    table read back holds the old entities and the accepted new ones."""
-    from ledgerline.session import scratch_path
-    from ledgerline.sources.tables import write_append
-
-    table = scratch_path(spark, "entities")
-    existing = inputs.entities_from_part(spark, sf_dir)
-    stamp = F.current_timestamp().cast("timestamp_ntz")
-    stamped = existing.withColumns({"created_at": stamp, "updated_at": stamp,
-                                    "deleted_at": F.lit(None).cast("timestamp_ntz")})
-    write_append(stamped, table)
-    accepted, _ = validate.split(inputs.blank_candidates(spark, sf_dir), validate.entity_rules())
-    target = spark.read.parquet(table)
-    new = keys.next_ids(accepted.withColumnRenamed("id", "source_id"), target, ["source_id"],
-                        rows_per_range=1000).drop("source_id")
-    write_append(new.withColumns({"created_at": stamp, "updated_at": stamp,
-                                  "deleted_at": F.lit(None).cast("timestamp_ntz")})
-                 .select("id", "name", "description", "created_at", "updated_at", "deleted_at"), table)
-    return spark.read.parquet(table).select("id", "name", "description")
+    """The table read back holds the old entities and the accepted new ones;
+    ``stamped``: created and updated at the same time, not deleted."""
+    table, _ = _append(spark, sf_dir)
+    stamped = F.col("created_at").eqNullSafe(F.col("updated_at")) & F.col("created_at").isNotNull() & F.col("deleted_at").isNull()
+    return spark.read.parquet(table).select("id", "name", "description", stamped.alias("stamped"))
+
+
+@register("append_rejects", sql=f"""
+WITH c AS ({inputs.BLANK_CANDIDATES_SQL})
+SELECT id, name, description,
+  CASE WHEN coalesce(regexp_matches(name, {_q(BLANK_PATTERN)}), true) THEN 'name_blank' ELSE 'description_blank' END AS rule
+FROM c
+WHERE coalesce(regexp_matches(name, {_q(BLANK_PATTERN)}), true) OR coalesce(regexp_matches(description, {_q(BLANK_PATTERN)}), true)
+""")
+def append_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates that the guard keeps out of the appended table."""
+    _, checked = _append(spark, sf_dir)
+    return spark.read.parquet(checked).where(F.col("verdict") == "rejected").select("id", "name", "description", "rule")
 
 
 @register("step_failures", sql=f"""
