@@ -3,12 +3,16 @@
 Vectors are cut in two halves, each quantised by its own codebook, so a cell
 of the index is a pair of centroids. A query walks the cells by the sum of
 its squared distances to the two centroids, smallest first, with a heap over
-the two sorted lists, until the cells hold enough entries; the entries of
+the two sorted lists, until the cells hold enough vec_ids; the entries of
 the visited cells are then reranked by the exact Euclidean distance.
 
-How many entries are enough is measured: for a bounded sample of the queries
-the true neighbours are found by brute force over all rows, and the number
-is the smallest that reaches ``RECALL`` on that sample.
+A vec_id may have many rows. Equal rows are indexed once, and a walk counts
+a vec_id only in its first cell, so the cells visited hold at least as many
+different vec_ids as were counted, however often one repeats.
+
+How many vec_ids are enough is measured: for a bounded sample of the queries
+the true neighbours (different vec_ids) are found by brute force over all
+rows, and the number is the smallest that reaches ``RECALL`` on that sample.
 
 The codebooks are fitted on a bounded sample; every row is indexed. Cells
 are packed into blocks of about ``BLOCK`` entries (a hot cell is dealt to
@@ -75,9 +79,10 @@ def codebook(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def walk(da: np.ndarray, db: np.ndarray, counts: np.ndarray, enough: float) -> list[int]:
+def walk(da: np.ndarray, db: np.ndarray, counts: np.ndarray, enough: float, ids: np.ndarray | None = None) -> list[int]:
     """Cells (row * columns + column) in order of da + db until they hold
-    ``enough`` entries; equal sums all belong."""
+    ``enough`` of ``ids`` (without it, entries); equal sums all belong."""
+    ids = counts if ids is None else ids
     ia, ib = np.argsort(da, kind="stable"), np.argsort(db, kind="stable")
     heap, cells, held, last = [(da[ia[0]] + db[ib[0]], 0, 0)], [], 0, -1.0
     while heap:
@@ -87,7 +92,7 @@ def walk(da: np.ndarray, db: np.ndarray, counts: np.ndarray, enough: float) -> l
         cell = int(ia[i]) * len(db) + int(ib[j])
         if counts[cell]:
             cells.append(cell)
-            held += counts[cell]
+            held += ids[cell]
         last = s
         if j + 1 < len(ib):
             heapq.heappush(heap, (da[ia[i]] + db[ib[j + 1]], i, j + 1))
@@ -102,6 +107,7 @@ class Index:
     def __init__(self, a: np.ndarray, b: np.ndarray):
         self.a, self.b, self.half = a, b, a.shape[1]
         self.counts = np.zeros(len(a) * len(b), np.int64)
+        self.ids = np.zeros(len(a) * len(b), np.int64)  # vec_ids by their first cell
 
     def halves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return squared(x[:, :self.half], self.a), squared(x[:, self.half:], self.b)
@@ -147,10 +153,10 @@ def exact(queries: np.ndarray, entries: np.ndarray, pairs: tuple[np.ndarray, np.
 
 
 def build(rows: DataFrame) -> tuple[Index, DataFrame]:
-    """The index of ``rows`` (vec_id, v) and its stored entries."""
-    n = rows.count()
+    """The index of ``rows`` (vec_id, v) and its stored entries, equal rows once."""
+    n = rows.select("vec_id", F.xxhash64("v").alias("h")).distinct().count()
     part = rows.filter(F.pmod(F.xxhash64("vec_id", "v"), F.lit(1_000_000)) < min(1.0, SAMPLE / max(n, 1)) * 1_000_000)
-    table = part.select("v").toArrow().column("v").combine_chunks() if n else None
+    table = part.dropDuplicates(["vec_id", "v"]).select("v").toArrow().column("v").combine_chunks() if n else None
     x = _matrix(table if isinstance(table, pa.Array) else table.chunk(0)) if table is not None and len(table) else None
     if x is None or not len(x):
         head = rows.select("v").limit(256).collect()
@@ -159,14 +165,26 @@ def build(rows: DataFrame) -> tuple[Index, DataFrame]:
     k = int(min(CENTROIDS, max(1, 2 ** round(math.log2(max(1, math.sqrt(n)))))))
     other = x[:, half:] if x.shape[1] > half else np.zeros((len(x), 1))[:, :0]
     index = Index(codebook(x[:, :half], k), codebook(other, k) if other.shape[1] else np.zeros((1, 0)))
-    entries = stored(assigned(rows, index), "ann-entries")
+    entries = stored(assigned(rows.dropDuplicates(["vec_id", "v"]), index), "ann-entries")
     for r in entries.groupBy("cell").count().collect():  # one row a cell, at most CENTROIDS squared
         index.counts[r["cell"]] = r["count"]
+    for r in entries.groupBy("vec_id").agg(F.min("cell").alias("cell")).groupBy("cell").count().collect():
+        index.ids[r["cell"]] = r["count"]
     return index, entries
 
 
+def by_id(vec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that puts rows of one vec_id together, and where each begins."""
+    order = np.argsort(vec, kind="stable")
+    return order, first_places(vec[order])
+
+
+def first_places(ordered: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+
+
 def nearest_by_brute_force(entries: DataFrame, queries: np.ndarray, ids: np.ndarray, k: int) -> DataFrame:
-    """(q, cell): the cells of the k nearest other rows of a few queries."""
+    """(q, cell): the cells of the k nearest other vec_ids of a few queries."""
     shared = entries.sparkSession.sparkContext.broadcast((queries, ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,28 +192,32 @@ def nearest_by_brute_force(entries: DataFrame, queries: np.ndarray, ids: np.ndar
         for b in batches:
             if not b.num_rows:
                 continue
-            x, vec = _matrix(b.column(1)), b.column(0).to_numpy()
+            order, starts = by_id(b.column(0).to_numpy())
+            x, vec = _matrix(b.column(1))[order], b.column(0).to_numpy()[order]
             d = squared(q, x)
             d[qid[:, None] == vec[None]] = np.inf
-            m = min(k, len(x))
-            best = np.argpartition(d, m - 1, axis=1)[:, :m]
+            m = min(k, len(starts))
+            best = np.argpartition(np.minimum.reduceat(d, starts, axis=1), m - 1, axis=1)[:, :m]
             which = np.repeat(np.arange(len(q)), m)
-            flat = best.ravel()
+            ends = np.append(starts[1:], len(vec))
+            flat = np.array([starts[g] + d[i, starts[g]:ends[g]].argmin() for i, g in zip(which, best.ravel())])
             dist = d[which, flat]
             ok = np.isfinite(dist)
             yield pa.RecordBatch.from_arrays([pa.array(which[ok]), pa.array(dist[ok]), pa.array(vec[flat][ok]),
-                                              b.column(2).take(pa.array(flat[ok]))], names=["q", "d", "vec_id", "cell"])
+                                              b.column(2).take(pa.array(order[flat[ok]]))], names=["q", "d", "vec_id", "cell"])
 
     found = entries.select("vec_id", "v", "cell").mapInArrow(run, "q bigint, d double, vec_id bigint, cell bigint")
+    once = found.groupBy("q", "vec_id").agg(F.min(F.struct("d", "cell")).alias("m")).select("q", "vec_id", "m.d", "m.cell")
     order = Window.partitionBy("q").orderBy("d", "vec_id")
-    return found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).select("q", "cell")
+    return once.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).select("q", "cell")
 
 
 def enough_entries(index: Index, entries: DataFrame, queries: DataFrame, k: int) -> int:
-    """Entries a walk must cover to reach RECALL on sampled queries."""
-    n = queries.count()
-    some = queries.filter(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1_000_000)) < min(1.0, TESTED / max(n, 1)) * 1_000_000)
-    some = some.select("vec_id", "v").orderBy("vec_id").limit(4 * TESTED).collect() or queries.select("vec_id", "v").limit(TESTED).collect()
+    """vec_ids a walk must cover to reach RECALL on sampled queries."""
+    each = queries.groupBy("vec_id").agg(F.min("v").alias("v"))  # a vec_id of many rows is tested by one
+    n = each.count()
+    some = each.filter(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1_000_000)) < min(1.0, TESTED / max(n, 1)) * 1_000_000)
+    some = some.select("vec_id", "v").orderBy("vec_id").limit(4 * TESTED).collect() or each.select("vec_id", "v").limit(TESTED).collect()
     if not some:
         return 0
     q, ids = np.array([r["v"] for r in some]), np.array([r["vec_id"] for r in some])
@@ -208,9 +230,9 @@ def enough_entries(index: Index, entries: DataFrame, queries: DataFrame, k: int)
     for i, cells in by_query.items():
         sums = (da[i][:, None] + db[i][None]).ravel()
         order = np.sort(sums)
-        held = np.cumsum(index.counts[np.argsort(sums, kind="stable")])
-        # Entries in cells not farther than the neighbour's own.
-        need += [int(held[np.searchsorted(order, sums[c], "right") - 1]) for c in cells]
+        held = np.concatenate([[0], np.cumsum(index.ids[np.argsort(sums, kind="stable")])])
+        # vec_ids in cells not farther than the neighbour's own, which may be the first of none.
+        need += [int(max(held[np.searchsorted(order, sums[c], "right")], held[np.searchsorted(order, sums[c])] + 1)) for c in cells]
     return int(np.quantile(need, RECALL, method="higher")) if need else 0
 
 
@@ -236,7 +258,7 @@ def search(vectors: DataFrame, every: int = 100, k: int = NEIGHBOURS) -> DataFra
             da, db = ix.halves(_matrix(b.column(1)))
             at, blocks, reach = [], [], []
             for i in range(b.num_rows):
-                cells = np.array(walk(da[i], db[i], ix.counts, enough), np.int64)
+                cells = np.array(walk(da[i], db[i], ix.counts, enough, ix.ids), np.int64)
                 all_blocks = np.unique(np.concatenate([np.arange(first[c], first[c] + parts[c]) for c in cells]))
                 at += [i] * len(all_blocks)
                 blocks += all_blocks.tolist()
@@ -247,11 +269,11 @@ def search(vectors: DataFrame, every: int = 100, k: int = NEIGHBOURS) -> DataFra
                                               pa.array(reach, pa.float64())], names=["block", "query_id", "q", "reach"])
 
     spread = max(1, spark.sparkContext.defaultParallelism)
-    visited = stored(queries.repartition(spread, "vec_id").mapInArrow(
+    visited = stored(queries.repartition(spread, "vec_id", "v").mapInArrow(
         visits, "block bigint, query_id bigint, q array<double>, reach double"), "ann-visits")
     # Blocks that many queries visit are compared in parts of the queries.
     load = visited.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("bigint").alias("splits"))
-    left = visited.join(load, "block").withColumn("split", F.pmod(F.xxhash64("query_id"), F.col("splits")))
+    left = visited.join(load, "block").withColumn("split", F.pmod(F.xxhash64("query_id", "q"), F.col("splits")))
 
     def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, first, parts, _ = shared.value
@@ -271,6 +293,8 @@ def search(vectors: DataFrame, every: int = 100, k: int = NEIGHBOURS) -> DataFra
         if len(queries) and len(entries):
             q, x = np.stack(queries["q"].to_numpy()), np.stack(entries["v"].to_numpy())
             qid, vec, cell = queries["query_id"].to_numpy(), entries["vec_id"].to_numpy(), entries["cell"].to_numpy()
+            order, _ = by_id(vec)
+            x, vec, cell = x[order], vec[order], cell[order]
             da, db = ix.halves(q)
             for i in range(len(q)):
                 sums = da[i][cell // len(ix.b)] + db[i][cell % len(ix.b)]
@@ -278,9 +302,12 @@ def search(vectors: DataFrame, every: int = 100, k: int = NEIGHBOURS) -> DataFra
                 if not len(at):
                     continue
                 near = squared(q[i][None], x[at])[0]
-                if len(at) > k:  # the k nearest and all that rounding might rank among them
-                    cut = np.partition(near, k - 1)[k - 1]
-                    at = at[near <= cut + 1e-6 * (1 + abs(cut))]
+                if len(at) > k:  # the k nearest vec_ids and all that rounding might rank among them
+                    starts = first_places(vec[at])
+                    least = np.minimum.reduceat(near, starts)
+                    cut = np.partition(least, k - 1)[k - 1] if len(least) > k else np.inf
+                    cuts = np.minimum(cut, np.repeat(least, np.diff(np.append(starts, len(at)))))
+                    at = at[near <= cuts + 1e-6 * (1 + np.abs(cuts))]
                 d = exact(q[i][None], x[at], (np.zeros(len(at), int), np.arange(len(at))))
                 found["query_id"].append(np.full(len(at), qid[i]))
                 found["vec_id"].append(vec[at])

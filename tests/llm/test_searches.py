@@ -116,6 +116,45 @@ def test_hot_cells_and_small_blocks(spark, monkeypatch):
     assert got.keys() == want.keys() and hits / (10 * len(want)) >= 0.9
 
 
+def distinct_truth(rows, every, k=10):
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    out = {}
+    for q in sorted({i for i in ids.tolist() if i % every == 0}):
+        best: dict[int, float] = {}
+        for at in np.flatnonzero(ids == q):
+            for j, d in zip(ids.tolist(), np.sqrt(((x - x[at]) ** 2).sum(1)).tolist()):
+                if j != q:
+                    best[j] = min(best.get(j, np.inf), d)
+        out[q] = {j for _, j in sorted((d, j) for j, d in best.items())[:k]}
+    return out
+
+
+@pytest.mark.parametrize("case", ["one row", "near rows", "spread rows", "evenly"])
+def test_repeated_ids_do_not_fill_the_places(spark, monkeypatch, case):
+    """One vec_id holds a third of the table, as one row, close together or
+    all over; or every vec_id has 30 rows close together."""
+    monkeypatch.setattr(ann, "BLOCK", 256)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2000, 6))
+    if case == "evenly":
+        rows = [(i, x[i] + rng.normal(size=6) * 1e-3 * (r > 0)) for i in range(100) for r in range(30)]
+    else:
+        width = {"one row": 0, "near rows": 0.05, "spread rows": 1}[case]
+        rows = [(i, v) for i, v in enumerate(x)] + [(7, x[0] + rng.normal(size=6) * width) for _ in range(1000)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id bigint, embedding array<double>").repartition(4)
+    want = distinct_truth(rows, 50 if case != "evenly" else 20)
+    got: dict[int, list] = {}
+    for r in ann.search(df, every=50 if case != "evenly" else 20).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got.keys() == want.keys() and all(len(set(v)) == 10 == len(v) for v in got.values())
+    assert sum(len(set(got[q]) & want[q]) for q in want) / (10 * len(want)) >= 0.9
+
+
+def test_walk_counts_ids_in_one_cell_only():
+    da, db, rows, ids = np.array([0.0, 1, 2, 3]), np.zeros(1), np.array([5, 0, 9, 4]), np.array([3, 0, 0, 4])
+    assert ann.walk(da, db, rows, 3, ids) == [0] and ann.walk(da, db, rows, 4, ids) == [0, 2, 3]
+
+
 def test_walk_visits_cells_in_order():
     rng = np.random.default_rng(2)
     da, db = rng.random(7), rng.random(5)
