@@ -7,7 +7,11 @@ finds, and joins the ledger's findings back to every path.
 
 Kinds ``assign``, ``access`` and ``hex`` are the base rules; ``pem``,
 ``jwt``, ``github`` and ``slack`` are further formats. Matches are leftmost
-and non-overlapping for each kind, and may overlap between kinds.
+and non-overlapping for each kind, and may overlap between kinds. ``pem``
+spans the whole private key: from its BEGIN line through the first END line
+of a private key, or, where the text or another BEGIN line comes first, over
+what follows and can be of the key (its fields, lines of a single base64
+piece, pieces of 16 or more on a line and a shorter one after them).
 
 Defined results: null text is the empty blob, without findings; repeated
 rows and copies each get the blob's findings; other columns pass through
@@ -32,11 +36,20 @@ FINDINGS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("e
 # The patterns to find; at equal starts, kinds rank in this order.
 ASSIGN = (r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
           re.ASCII | re.IGNORECASE)
+PEM_BEGIN, PEM_END = r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----END [A-Z ]*PRIVATE KEY-----"
+# Without an END line. Line breaks may be written as \\n, lines quoted or indented; possessive, so that time is linear.
+_BREAK, _BETWEEN, _BASE64 = r"(?:[\r\n]|\\+[rn])", r"[\x20\t>#|*\"'`,]", r"(?:[A-Za-z0-9+/=]|\\/)"
+_SPACE = rf"(?:{_BETWEEN}|{_BREAK})*+"
+_FIELD = r"(?:(?:Proc-Type|DEK-Info|Key-Info):\x20*+[^\s\\]++|(?:Comment|Version):(?:(?!\\+[rn])[^\r\n])*+)"
+_LONG = rf"{_SPACE}{_BASE64}{{16,}}+"
+_LINE = rf"{_BETWEEN}*+{_BREAK}{_SPACE}{_BASE64}{{1,15}}+(?={_BETWEEN}*+(?:{_BREAK}|\Z))"
+_LAST = rf"(?:{_BETWEEN}++{_BASE64}{{1,15}}+(?=[\s\\\"'`,-]|\Z))?+"
+PEM = rf"{PEM_BEGIN}(?:(?:(?!{PEM_BEGIN})[\s\S])*?{PEM_END}|(?:{_SPACE}{_FIELD})*+(?:(?:{_LINE})*+{_LONG}(?:{_LINE}|{_LONG})*+{_LAST}|(?:{_LINE})*+))"
 RULES: dict[str, tuple[re.Pattern, object]] = {
     "assign": (re.compile(*ASSIGN), lambda m: len(m[2]) >= 12),
     "access": (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
     "hex": (re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 16),
-    "pem": (re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----"), lambda m: True),
+    "pem": (re.compile(PEM), lambda m: True),
     "jwt": (re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), lambda m: True),
     "github": (re.compile(r"gh[pousr]_[A-Za-z0-9]+"), lambda m: len(m[0]) >= 40),
     "slack": (re.compile(r"xox[abprs]-[A-Za-z0-9-]+"), lambda m: len(m[0]) >= 20),

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,6 +122,44 @@ def test_redaction_masks_and_keeps_everything_else(spark):
     assert secret_scan.masked("ab cd ef", [{"start": 0, "end": 4}, {"start": 3, "end": 5}, {"start": 6, "end": 8}]) == "[SECRET] [SECRET]"
 
 
+BODY = ["MIIEowIBAAKCAQEAxQ+/" + f"{i:02d}" * 22 for i in range(5)] + ["Zq9/Kw=="]
+BEGIN, END = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+FIELDS = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011AABB\n\n"
+
+
+@pytest.mark.parametrize("joined", ["\n", "\r\n", " ", "\\n", "\n    ", "\n> ", "\\r\\n", "\n\n"])
+@pytest.mark.parametrize("end", [END, "", "-----END RSA PRIV", END.replace("RSA ", "")])
+@pytest.mark.parametrize("fields", ["", FIELDS])
+def test_no_part_of_a_private_key_survives(joined, end, fields):
+    key = joined.join([BEGIN, *([fields.replace("\n", joined)] if fields else []), *BODY, *([end] if end else [])])
+    out = secret_scan.masked(t := f"before it\n{key}\nand prose after it", secret_scan.find(t))
+    assert not any(line[k:k + 6] in out for line in [*BODY, *(["4,ENCRYPTED", "0011AABB"] if fields else [])] for k in range(0, len(line) - 5, 6))
+    assert out.startswith("before it\n[SECRET]") and out.endswith("prose after it") and ("PRIVATE" not in out)
+
+
+def test_private_keys_end_where_they_should(spark):
+    key = "\n".join([BEGIN, *BODY, END])
+    cut = "\n".join([BEGIN, *BODY])
+    short = "\n".join([BEGIN, *(BODY[0][k:k + 8] for k in range(0, 64, 8))])
+    for text, want in [(f"{key} a word {key}", "[SECRET] a word [SECRET]"), (f"{cut}\nsome prose\n{key}!", "[SECRET]\nsome prose\n[SECRET]!"),
+                       (f"{BEGIN} is the header", "[SECRET] is the header"), (f"{short}\nmore words", "[SECRET]\nmore words"), (END, END)]:
+        assert secret_scan.masked(text, secret_scan.find(text)) == want
+    docs = cases.documents(spark, [key, cut, f"x {key} y"])
+    assert {r["text"] for r in secret_scan.redacted(docs).collect()} <= {"[SECRET]", "x [SECRET] y"}
+
+
+@pytest.mark.parametrize("unit", [BEGIN, BEGIN + "\n", "-----BEGIN ", BEGIN + "-----END ", "\n", "A\n", "A" * 20 + " ", "\\", "\\n", " ", "A", "> a\n", "\\/",
+                                  "Comment: x\n", "Version:\\"])
+def test_private_keys_take_linear_time(unit):
+    def seconds(n):
+        text = BEGIN + unit * (n // len(unit))
+        began = time.perf_counter()
+        secret_scan.RULES["pem"][0].findall(text)
+        return time.perf_counter() - began
+
+    assert seconds(400_000) < 20 * min(seconds(50_000) for _ in range(3)) + 0.1
+
+
 @pytest.mark.parametrize("scan", [license_scan.scan, secret_scan.scan, secret_scan.redacted, pii.scan])
 def test_empty_table(spark, scan):
     assert scan(cases.empty(spark)).count() == 0
