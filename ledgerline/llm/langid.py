@@ -9,9 +9,12 @@ context, down to a uniform code. Lengths are frozen in 1/1024 bits, so a
 text's length is an exact integer sum. The language with the shortest code
 wins; ties go to the name that sorts first.
 
-Only the classifier is fitted on a sample: documents drawn by a hash of
-doc_id at a rate that makes a language's share about ``sample_chars``
-characters. Prediction covers whole texts of all rows.
+Only the classifier is fitted on a sample: stretches of ``STRETCH``
+characters (shorter texts whole) drawn by a hash of doc_id and the stretch's
+number, at a rate that makes a language's share about ``sample_chars``
+characters however long its documents are, and at least one stretch of every
+language. A stretch is learned as a text of its own. Prediction covers whole
+texts of all rows.
 
 Defined results: null text or text without a letter is ``und`` with score 0,
 and so is every text where nothing was learned; a null doc_id is not held
@@ -32,9 +35,11 @@ from ledgerline.llm.common import slices, text_bytes
 
 UNDETERMINED = "und"
 SAMPLE_CHARS = 2_000_000  # about so many characters of each language train the model
+STRETCH = 4096  # characters drawn together
 SYMBOLS = 127  # most frequent bytes; the others share one symbol
 CONTEXTS = 16_384  # three-byte contexts kept in the tree, the most frequent ones
 UNIT = 1024  # frozen lengths are in 1/1024 bits
+DRAWS = 1_000_000_000_000  # steps of the rate of drawing
 PIECE = 1 << 18  # bytes counted or scored at a time
 ROWS = 2048  # contexts frozen at a time
 
@@ -50,10 +55,19 @@ def gram_counts(docs: DataFrame, sample_chars: int) -> DataFrame:
                          & ~held_out())
     usable = usable.select(F.col("doc_id").cast("string").alias("id"), F.col("lang").cast("string").alias("lang"),
                            F.col("text").cast("string").alias("text"))
-    sizes = usable.groupBy("lang").agg(F.sum(F.char_length("text")).alias("chars"))  # one row a language
-    rate = F.least(F.lit(1.0), F.lit(float(sample_chars)) / F.greatest("chars", F.lit(1)))
-    drawn = usable.join(F.broadcast(sizes.select(F.col("lang").alias("of"), rate.alias("rate"))), F.col("lang") == F.col("of"))
-    drawn = drawn.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("rate") * 1_000_000)
+    usable = usable.withColumn("chars", F.char_length("text")).filter(F.col("chars") > 0)
+
+    def draw(stretch: Column) -> Column:
+        return F.pmod(F.xxhash64("id", stretch), F.lit(DRAWS))
+
+    sizes = usable.groupBy("lang").agg(F.sum("chars").alias("all"), F.min(draw(F.lit(0))).alias("least"))  # one row a language
+    rate = F.least(F.lit(1.0), F.lit(float(sample_chars)) / F.col("all"))
+    drawn = usable.join(F.broadcast(sizes.select(F.col("lang").alias("of"), rate.alias("rate"), "least")), F.col("lang") == F.col("of"))
+    numbers = F.sequence(F.lit(0), F.floor((F.col("chars") - 1) / STRETCH).cast("int"))
+    numbers = F.filter(numbers, lambda k: (draw(k) < F.col("rate") * DRAWS) | ((k == 0) & (draw(k) == F.col("least"))))
+    parts = F.transform(numbers, lambda k: F.substring(F.col("text"), k * STRETCH + 1, F.lit(STRETCH)))
+    # The outer form: the plain one adds a filter that draws once more.
+    drawn = drawn.select("lang", F.explode_outer(parts).alias("text")).filter(F.col("text").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (part for whole in batches for part in slices(whole, 1, PIECE)):

@@ -121,6 +121,30 @@ def test_code_lengths_match_the_escape_method(monkeypatch):
     assert got[:, 0].tolist() == [0, want, want]
 
 
+def test_languages_of_few_long_documents_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "STRETCH", 200, raising=False)
+    rng = random.Random(3)
+    prose = lambda letters, n: "".join(rng.choice(letters + " ") for _ in range(n))
+    rows = [(i, f"l{i % 6}", prose("abcdefgh"[i % 6:][:3] + "xé", 60_000)) for i in range(24)]
+    rows += [(100 + i, "short", prose("mnop", 100)) for i in range(3000)] + [(5000, "rare", "qrs"), (5001, "rare", "qrst"), (5002, "rare", "qr")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string").repartition(4)
+    learned = docs.filter(~langid.held_out())
+    sample = {r["lang"]: r["n"] for r in langid.gram_counts(docs, 8000).groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    assert sample.keys() == {r["lang"] for r in learned.select("lang").distinct().collect()}
+    assert all(4000 < n < 16_000 for lang, n in sample.items() if lang != "rare") and sample["rare"] <= 9
+    out = langid.identify(docs, 8000).join(docs.select("doc_id", "lang"), "doc_id").filter("doc_id < 100")
+    assert all(r["lang_pred"] == r["lang"] for r in out.collect())
+    one = {r["lang"]: r["n"] for r in langid.gram_counts(docs, 1).groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    assert one.keys() == sample.keys()
+
+
+def test_short_documents_are_counted_whole(spark):
+    docs = cases.documents(spark, [t for t in cases.TEXTS if t and len(t) < langid.STRETCH])
+    used = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~langid.held_out()).collect()
+    counted = langid.gram_counts(docs, 10**9).agg(F.sum("n")).first()[0]
+    assert counted == sum(len(r["text"].encode()) for r in used)
+
+
 def test_grams_start_afresh_in_each_text():
     g = langid.grams(np.frombuffer(b"abab", np.uint8), np.array([0, 2, 2, 4]))
     assert g.tolist() == [97, 97 << 8 | 98] * 2
