@@ -20,7 +20,7 @@ are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -146,8 +146,9 @@ class _Lines:
             self.lines.append("")
 
 
-def _table(node: Node) -> list[str]:
-    """Rows with their cells padded into columns; a caption stands above."""
+def _table(node: Node) -> Generator[Generator, list[str], list[str]]:
+    """Rows with their cells padded into columns; a caption and text outside
+    of cells stand above. Yields what is to be rendered first (see ``render``)."""
     rows, above, todo = [], [], list(reversed(node.children))
     while todo:
         c = todo.pop()
@@ -157,9 +158,15 @@ def _table(node: Node) -> list[str]:
         elif not c.hidden and c.tag in ("thead", "tbody", "tfoot"):
             todo += reversed(c.children)
         elif not c.hidden and c.tag == "tr":
-            rows.append([render(x) for x in c.children if isinstance(x, Node) and not x.hidden])
+            rows.append([])
+            for x in c.children:
+                if isinstance(x, str):
+                    if x.strip():
+                        above.append(_white.sub(" ", x).strip())
+                elif not x.hidden:
+                    rows[-1].append((yield _lines(x)))
         elif not c.hidden:
-            above += [line for line in render(c) if line]
+            above += [line for line in (yield _lines(c)) if line]
     widths: list[int] = []
     for cells in rows:
         for k, cell in enumerate(cells):
@@ -174,7 +181,23 @@ def _table(node: Node) -> list[str]:
 
 
 def render(node: Node) -> list[str]:
-    """Visible lines of ``node``. Walks with its own stack, so deep markup is no danger."""
+    """Visible lines of ``node``. Walks with its own stacks, so deep markup and
+    tables in tables are no danger."""
+    stack, lines = [_lines(node)], None
+    while stack:
+        try:
+            inner = stack[-1].send(lines)
+        except StopIteration as done:
+            stack.pop()
+            lines = done.value
+        else:
+            stack.append(inner)
+            lines = None
+    return lines
+
+
+def _lines(node: Node) -> Generator[Generator, list[str], list[str]]:
+    """Lines of ``node``; yields the tables in it, to be sent their lines."""
     out = _Lines()
     # (node, next child, indent before, number of the next item)
     stack: list[list] = [[node, 0, node.start]]
@@ -209,7 +232,7 @@ def render(node: Node) -> list[str]:
             out.end(always=bool(out.open))
         elif c.tag == "table":
             out.space()
-            out.lines += _table(c)
+            out.lines += yield _table(c)
             out.space()
         else:
             if c.tag in SPACED and not (c.tag in ("ul", "ol", "dl") and any(s[0].tag == "li" for s in stack)):

@@ -201,6 +201,14 @@ def test_page_text(html, text):
     assert html_text.page_text(html).replace("\xa0", "").rstrip() == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("<table><tr>stray<td>a<td>b</tr>more<tr><td>c</td> be\ntween <td>d</table>", "stray\nmore\nbe tween\na  b\nc  d"),
+    ("<table><tr hidden>no<td>no</tr><tr>yes</tr></table>", "yes"), ("<table><tr><td>" * 3000 + "deep", "deep"),
+    ("<table><caption>" * 3000 + "deep", "deep"), ("<table><tr><td>a<table><tr>x<td>b<td>c</table><td>d</table>", "a     d\n\nx\nb  c")])
+def test_text_outside_cells_and_tables_in_tables(html, text):
+    assert re.sub(" +$", "", html_text.page_text(html), flags=re.M) == text
+
+
 def test_broken_markup_never_fails():
     rng = random.Random(6)
     parts = ["<p>", "</p>", "<table>", "<tr>", "<td>", "</td>", "<li>", "<ul>", "</ul>", "<", ">", "&", "\"", "'", "<!--", "-->", "x ", "\n",
