@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (ann, decontaminate, html_text, langid, license_scan, near_dedup, packing, pii, secret_scan,
-                            token_count)
+from ledgerline.llm import (ann, decontaminate, html_text, langid, license_scan, lm_score, merkle, near_dedup, packing, pii,
+                            secret_scan, spelling, token_count)
 from ledgerline.llm.common import read, spans_text
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -72,6 +72,18 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_digest(F.col("spans"), pii.BASE))
 
 
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.without_line_ends(read(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +92,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_near_dedup, op3_packing, op4_html_text, op5_secret_scan, op6_language_id, op7_token_count,
-    op8_decontamination, op9_nearest, op10_personal_data, pipeline)}
+    op8_decontamination, op9_nearest, op10_personal_data, op11_lm_score, op12_merkle_manifest, op13_spelling_variants, pipeline)}
 
 # DuckDB SQL, where SQL can state the whole result.
 ORACLE: dict[str, str] = {
