@@ -75,8 +75,8 @@ def tokenised(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 32
         for part in (p for whole in batches for p in slices(whole, 3, SLICE)):
-            texts = part.column(3).cast(pa.large_string()).fill_null("")
-            lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+            # Not cast to large strings first: ascii_lower misreads a slice that was.
+            lists = pc.ascii_split_whitespace(pc.ascii_lower(part.column(3).fill_null("")))
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
             words, owner = lists.flatten(), np.repeat(np.arange(len(sizes)), sizes)
             filled = pc.not_equal(pc.binary_length(words), 0)  # splitting leaves "" at a text's blank ends

@@ -69,14 +69,20 @@ def cuts(size: int) -> tuple[np.ndarray, np.ndarray]:
     return at[:-1], at[1:]
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    """``base`` to the power of 0 to ``n``, modulo 2^64."""
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
 def keys(points: np.ndarray, size: int) -> np.ndarray:
     """(words, pieces) hashes of the chunks around each piece of a word of
     ``size`` code points, found in ``points``, equally long words or words
     longer by one. There the piece is longer by one, too."""
     extra = points.shape[1] - size
     n = points.shape[1]
-    up = np.multiply.accumulate(np.concatenate([[1], np.full(n, BASE)]).astype(np.uint64))
-    down = np.multiply.accumulate(np.concatenate([[1], np.full(n, pow(int(BASE), -1, 2**64))]).astype(np.uint64))
+    up, down = powers(int(BASE), n), powers(pow(int(BASE), -1, 2**64), n)
     total = np.zeros((len(points), n + 1), np.uint64)
     np.cumsum(mix(points.astype(np.uint64) + BASE) * up[:n], axis=1, out=total[:, 1:])
     start, end = cuts(size)
@@ -127,8 +133,8 @@ def variants(docs: DataFrame) -> DataFrame:
     """(word, form, root, n, n_near, form_n), one row a word."""
     found = stored(words(docs), "words")
     pairs = near_pairs(found)
-    both = pairs.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("b_n").alias("near_n")).union(
-        pairs.select("b", "a", "a_n"))
+    both = pairs.select(F.inline(F.array(*[F.struct(F.col(x).alias("word"), F.col(y).alias("near"), F.col(f"{y}_n").alias("near_n"))
+                                           for x, y in ("ab", "ba")])))
     # The most frequent near word; of equally frequent ones the smallest.
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct(-F.col("near_n"), "near")).alias("best"))
     best = best.select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.col1")).alias("near_n"))
