@@ -127,7 +127,9 @@ def proofs(m: Manifest) -> DataFrame:
         return m.leaves.sparkSession.createDataFrame([], "tree bigint, idx bigint, path array<struct<left: binary, right: binary>>")
     now, distance = stored(edges, "pointers"), 1
     while True:
-        ahead = now.filter(at_step(distance)).select(F.col("node").alias("to"), F.col("to").alias("far"), F.col("path").alias("more"))
+        # No pointer leads to a source's leaves.
+        ahead = now.filter(at_step(distance) & ((F.col("node.tree") == TOP) | (F.col("node.level") > 0))).select(
+            F.col("node").alias("to"), F.col("to").alias("far"), F.col("path").alias("more"))
         on = ["to"]
         left = now.filter(at_step(2 * distance))
         if distance >= FAR:
