@@ -2,8 +2,9 @@
 
 1. Every text is tokenised once, in slices of about ``SLICE`` bytes; a slice's
    distinct words and its tokens' places among them are stored.
-2. Word counts of the training texts are exact: each slice asks for its
-   distinct words only, by a join on the word. They give the base score.
+2. Word counts of the training texts are exact: each slice sends its distinct
+   words, with how often it has them, to hash ranges of words; these sum up
+   and send the totals back. They give the base score.
 3. The training n-grams of each slice are counted, then summed up by
    segments, hash ranges of about ``SEGMENT`` n-grams. A segment becomes a
    Bloom filter that holds, for an n-gram of count c, one entry for each level
@@ -38,21 +39,22 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import slices, stored, text_bytes
+from ledgerline.llm.common import slices, stored
 from ledgerline.llm.shingles import mix, word_hashes
 
 ORDER = 2  # words of the longest n-gram
-STEP = 1.5  # ratio of neighbouring levels' counts
-PROBES, BITS = 4, 8  # places of an entry, bits for each entry: a false entry has a chance of 2.4 %
+STEP = 2.0  # ratio of neighbouring levels' counts
+PROBES, BITS = 4, 7  # places of an entry, bits for each entry: a false entry has a chance of 3.6 %
 PRIOR = 4.0  # weight of the shorter context, in occurrences
 ADD = 0.1  # added to each word's count
-SLICE = 8 << 20  # bytes of text tokenised together
-SEGMENT = 1 << 20  # n-grams of a segment, each counted once a slice
-FILTER_BYTES = 128 << 20  # largest filter that is broadcast
+SLICE = 2 << 20  # bytes of text tokenised together
+SEGMENT = 1 << 19  # words or n-grams of a hash range, each counted once a slice
+MERGED = 1 << 20  # n-grams that a task sums up before it sends them
+FILTER_BYTES = 96 << 20  # largest filter that is broadcast
 END = 0x656E64  # hash of the end token
 
 # The smallest count of each level; a level stands for the middle of its counts.
-LEAST = np.unique(np.ceil(STEP ** np.arange(100)).astype(np.int64))
+LEAST = np.unique(np.ceil(STEP ** np.arange(62)).astype(np.int64))
 VALUE = np.concatenate([[0.0], (LEAST[:-1] + LEAST[1:] - 1) / 2, LEAST[-1:]])
 _U = np.uint64
 
@@ -64,13 +66,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 # --- tokens -----------------------------------------------------------------------
 
 SLICES = ("slice bigint, doc_ids array<bigint>, held array<boolean>, learn array<boolean>, sizes array<int>, "
-          "codes binary, words array<string>, seen array<bigint>")
+          "codes binary, words string, seen binary, n_words bigint, n_seen bigint")
 
 
 def tokenised(docs: DataFrame) -> DataFrame:
     """One row a slice: its documents, their numbers of words, all words as
-    32-bit places among the slice's distinct ``words``, and how often the
-    training documents have each (``seen``)."""
+    places among the slice's distinct ``words`` (16 bits if that will do, else
+    32), these joined by blanks, and how often the training documents have each
+    (``seen``); how many distinct words there are, and tokens of training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 32
@@ -84,14 +87,16 @@ def tokenised(docs: DataFrame) -> DataFrame:
             codes = words.indices.to_numpy().astype("<u4")
             learn = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
             seen = np.bincount(codes[learn[owner]], minlength=len(words.dictionary))
+            small = "<u2" if len(words.dictionary) <= 1 << 16 else "<u4"
             row = [at, part.column(0).to_pylist(), part.column(1).to_pylist(), learn.tolist(),
-                   np.bincount(owner, minlength=len(sizes)).tolist(), codes.tobytes()]
+                   np.bincount(owner, minlength=len(sizes)).tolist(), codes.astype(small).tobytes()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x], t) for x, t in zip(row, [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.bool_()),
                                                        pa.list_(pa.int32()), pa.binary()], strict=True)]
-                + [pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()), words.dictionary.cast(pa.string())),
-                   pa.array([seen], pa.list_(pa.int64()))],
-                names=["slice", "doc_ids", "held", "learn", "sizes", "codes", "words", "seen"])
+                + [pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(seen)], pa.int32()), words.dictionary), " ").cast(pa.string()),
+                   pa.array([seen.astype("<u4").tobytes()]), pa.array([len(seen)], pa.int64()),
+                   pa.array([int(seen.sum() + learn.sum())], pa.int64())],
+                names=["slice", "doc_ids", "held", "learn", "sizes", "codes", "words", "seen", "n_words", "n_seen"])
             at += 1
 
     learn = ~held_out() & F.col("doc_id").isNotNull()
@@ -101,6 +106,7 @@ def tokenised(docs: DataFrame) -> DataFrame:
 
 def each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """The rows of ``batches``, one at a time, lists as Arrow arrays."""
+    pa.default_memory_pool().release_unused()  # what earlier tasks of this worker left
     for batch in batches:
         for k in range(batch.num_rows):
             cells = {name: batch.column(name)[k] for name in batch.schema.names}
@@ -130,10 +136,16 @@ def gram_keys(tokens: np.ndarray, before: np.ndarray, hashes: np.ndarray, order:
     return out
 
 
+def hashes_of(words: str) -> np.ndarray:
+    raw = np.frombuffer(words.encode(), np.uint8)
+    return word_hashes(raw, np.array([0, len(raw)]))[0]
+
+
 def slice_keys(row: dict, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     sizes = row["sizes"].to_numpy().astype(np.int64)
-    tokens, before = windows(np.frombuffer(row["codes"], "<u4"), sizes)
-    hashes = np.append(word_hashes(*text_bytes(row["words"]))[0], _U(END))
+    hashes = np.append(hashes_of(row["words"]), _U(END))
+    codes = np.frombuffer(row["codes"], "<u2" if len(hashes) <= (1 << 16) + 1 else "<u4")
+    tokens, before = windows(codes, sizes)
     return tokens, before, sizes, hashes, gram_keys(tokens, before, hashes, order)
 
 
@@ -144,13 +156,13 @@ def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
 
 # --- filter -----------------------------------------------------------------------
 
-def places(rest: np.ndarray, level: np.ndarray | int, bits: int) -> list[np.ndarray]:
-    """The bits of an entry in a segment of ``bits``; ``rest`` is what of the
+def places(rest: np.ndarray, level: int, bits: np.ndarray | np.uint64) -> list[np.ndarray]:
+    """The bits of an entry in its segment of ``bits``; ``rest`` is what of the
     key the segment does not tell."""
     with np.errstate(over="ignore"):
-        h = mix(rest.astype(np.uint64) + np.asarray(level, np.uint64) * _U(0xD1B54A32D192ED03))
+        h = mix(rest.astype(np.uint64) + _U(level * 0xD1B54A32D192ED03 % 2**64))
         a, b = h & _U(0xFFFFFFFF), (h >> _U(32)) | _U(1)
-        return [((a + _U(k) * b) & _U(0xFFFFFFFF)) * _U(bits) >> _U(32) for k in range(PROBES)]
+        return [((a + _U(k) * b) & _U(0xFFFFFFFF)) * bits >> _U(32) for k in range(PROBES)]
 
 
 def fill(rest: np.ndarray, n: np.ndarray) -> bytes:
@@ -159,63 +171,138 @@ def fill(rest: np.ndarray, n: np.ndarray) -> bytes:
     bits = max(64, -(-int(levels.sum()) * BITS // 64) * 64)
     hit = np.zeros(bits, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        for p in places(rest[levels >= level], level, bits):
+        for p in places(rest[levels >= level], level, _U(bits)):
             hit[p] = True
     return np.packbits(hit, bitorder="little").tobytes()
 
 
-def levels_in(filter_bits: np.ndarray, rest: np.ndarray) -> np.ndarray:
-    """The level of each n-gram, by probes until one fails."""
-    out, left, level = np.zeros(len(rest), np.int64), np.arange(len(rest)), 1
-    while len(left) and level < len(LEAST):
-        held = np.ones(len(left), bool)
-        for p in places(rest[left], level, len(filter_bits) * 8):
-            held &= (filter_bits[p >> _U(3)] >> (p & _U(7)).astype(np.uint8) & 1).astype(bool)
-        left = left[held]
-        out[left] = level
-        level += 1
-    return out
+@dataclass(frozen=True)
+class Filter:
+    """Segments' filters one after the other."""
+
+    data: np.ndarray  # bytes
+    start: np.ndarray  # by segment: the first bit
+    bits: np.ndarray  # by segment: how many (0: nothing was learned there)
+
+    @classmethod
+    def of(cls, found: dict[int, bytes], segments: int) -> Filter:
+        sizes = np.array([len(found.get(k, b"")) for k in range(segments)], np.uint64)
+        data = b"".join(found[k] for k in sorted(found))
+        return cls(np.frombuffer(data, np.uint8), (np.cumsum(sizes) - sizes) * _U(8), sizes * _U(8))
+
+    def levels(self, rest: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        """The level of each n-gram, by probes until one fails."""
+        out, level = np.zeros(len(rest), np.int64), 1
+        left = np.flatnonzero(self.bits[segment])
+        rest, start, bits = rest[left], self.start[segment[left]], self.bits[segment[left]]
+        while len(left) and level < len(LEAST):
+            held = np.ones(len(left), bool)
+            for p in places(rest, level, bits):
+                p += start
+                held &= (self.data[p >> _U(3)] >> (p & _U(7)).astype(np.uint8) & 1).astype(bool)
+            left, rest, start, bits = left[held], rest[held], start[held], bits[held]
+            out[left] = level
+            level += 1
+        return out
+
+
+def blocks(keys: np.ndarray, segments: int, *columns: np.ndarray) -> tuple[pa.Array, list[pa.Array]]:
+    """The segments of ascending ``keys``, and each column's bytes by segment."""
+    segment = segment_of(keys, segments)
+    cut = np.flatnonzero(np.diff(segment, prepend=-1))
+    return pa.array(segment[cut]), [pa.array([x.tobytes() for x in np.split(c, cut[1:])][:len(cut)], pa.binary()) for c in columns]
 
 
 @dataclass
 class Model:
-    """What was learned: scalars, exact word counts and the filter's segments, as stored tables."""
+    """What was learned: scalars, the words' counts and the filter's segments, as stored tables."""
 
     order: int
     tokens: int  # N: training tokens, ends included
     distinct: int  # V: distinct ones, the end included
     ends: int  # training texts
     mass: float  # sum of the distinct tokens' counts as the filter gives them
-    words: DataFrame  # word, c
+    word_segments: int
+    words: DataFrame  # segment, slice, counts: of the slice's words in this segment, in the order of their hashes
     segments: int
     filter: DataFrame  # segment, bits
     filter_bytes: int
 
 
+def in_order(hashes: np.ndarray) -> np.ndarray:
+    """The order in which a slice's words are sent."""
+    return np.argsort(hashes, kind="stable")
+
+
+def count_words(texts: DataFrame, segments: int) -> DataFrame:
+    """(segment, slice, counts, distinct, mass): for each slice the training
+    counts of its words; in a row without a slice, the segment's totals."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in each(batches):
+            hashes = hashes_of(row["words"])
+            order = in_order(hashes)
+            words = pa.array(row["words"].split(" ") if row["words"] else [], pa.string()).take(pa.array(order))
+            seen = np.frombuffer(row["seen"], "<u4")[order]
+            segment = segment_of(hashes[order], segments)
+            cut = [*np.flatnonzero(np.diff(segment, prepend=-1)), len(order)]
+            offsets = pa.array(cut, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(segment[cut[:-1]]), pa.array([row["slice"]] * (len(cut) - 1), pa.int64()),
+                 pc.binary_join(pa.ListArray.from_arrays(offsets, words), " "),  # no word has a blank
+                 pa.array([x.tobytes() for x in np.split(seen, cut[1:-1])][:len(cut) - 1],
+                          pa.binary())], names=["segment", "slice", "words", "seen"])
+
+    def add_up(rows: pa.Table) -> pa.Table:
+        lists = pc.split_pattern(rows["words"], " ").combine_chunks()
+        words = lists.flatten().dictionary_encode()
+        codes = words.indices.to_numpy()
+        seen = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in rows["seen"]])
+        total = np.bincount(codes, weights=seen, minlength=len(words.dictionary)).astype("<i8")
+        cut = np.cumsum(lists.value_lengths().to_numpy())[:-1]
+        counts = [x.tobytes() for x in np.split(total[codes], cut)]
+        segment = rows["segment"][0].as_py()
+        total = total[total > 0]
+        return pa.table({"segment": pa.array([segment] * (len(counts) + 1), pa.int64()),
+                         "slice": pa.array([*rows["slice"].to_pylist(), None], pa.int64()),
+                         "counts": pa.array([*counts, None], pa.binary()),
+                         "distinct": pa.array([None] * len(counts) + [len(total)], pa.int64()),
+                         "mass": pa.array([None] * len(counts) + [VALUE[np.searchsorted(LEAST, total, "right")].sum()], pa.float64())})
+
+    asked = texts.select("slice", "words", "seen").mapInArrow(ask, "segment bigint, slice bigint, words string, seen binary")
+    return stored(asked.groupBy("segment").applyInArrow(add_up, "segment bigint, slice bigint, counts binary, distinct bigint, mass double"),
+                  "words")
+
+
 def train(texts: DataFrame, order: int = ORDER) -> Model:
     """A model of the stored slices' training documents."""
-    words = texts.select(F.explode(F.arrays_zip("words", "seen")).alias("w")).select("w.words", "w.seen")
-    words = stored(words.filter("seen > 0").groupBy(F.col("words").alias("word")).agg(F.sum("seen").alias("c")), "words")
-    ends = texts.select(F.coalesce(F.sum(F.size(F.filter("learn", lambda x: x))), F.lit(0))).first()[0]
-    level_value = F.element_at(F.array(*[F.lit(float(v)) for v in VALUE[1:]]), F.size(F.filter(
-        F.array(*[F.lit(int(x)) for x in LEAST]), lambda x: x <= F.col("c"))))
-    n, v, mass = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(level_value), F.lit(0.0))).first()
+    asked, n, ends = texts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (
+        "n_words", "n_seen", F.size(F.filter("learn", lambda x: x)))]).first()
+    word_segments, segments = max(1, math.ceil(asked / SEGMENT)), max(1, math.ceil(n * order / SEGMENT))
+    words = count_words(texts, word_segments)
+    v, mass = words.agg(F.coalesce(F.sum("distinct"), F.lit(0)), F.coalesce(F.sum("mass"), F.lit(0.0))).first()
     if ends:
         v, mass = v + 1, mass + float(VALUE[np.searchsorted(LEAST, ends, "right")])
-    segments = max(1, math.ceil((n + ends) * order / SEGMENT))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def send() -> pa.RecordBatch:
+            keys, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            counts = np.bincount(place, weights=np.concatenate([n for _, n in held]))
+            held.clear()
+            segment, columns = blocks(keys, segments, (keys & _U(0xFFFFFFFF)).astype("<u4"), counts.astype("<u4"))
+            return pa.RecordBatch.from_arrays([segment, *columns], names=["segment", "rest", "n"])
+
         for row in each(batches):
-            tokens, before, sizes, _, keys = slice_keys(row, order)
+            _, before, sizes, _, keys = slice_keys(row, order)
             learn = np.repeat(row["learn"].to_numpy(zero_copy_only=False).astype(bool), sizes + 1)
-            every = np.concatenate([k[learn & (before >= n)] for n, k in enumerate(keys)])
-            keys, counts = np.unique(every, return_counts=True)
-            segment = segment_of(keys, segments)
-            cut = np.flatnonzero(np.diff(segment, prepend=-1))
-            rest, counts = (keys & _U(0xFFFFFFFF)).astype("<u4"), counts.astype("<u4")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(segment[cut]), pa.array([x.tobytes() for x in np.split(rest, cut[1:])][:len(cut)], pa.binary()),
-                 pa.array([x.tobytes() for x in np.split(counts, cut[1:])][:len(cut)], pa.binary())], names=["segment", "rest", "n"])
+            for n, k in enumerate(keys):
+                held.append(np.unique(k[learn & (before >= n)], return_counts=True))
+            if sum(len(k) for k, _ in held) >= MERGED:
+                yield send()
+        if held:
+            yield send()
 
     def build(rows: pa.Table) -> pa.Table:
         rest = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in rows.column("rest")])
@@ -227,21 +314,13 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     grams = texts.select("learn", "sizes", "codes", "words").mapInArrow(count, "segment bigint, rest binary, n binary")
     table = stored(grams.groupBy("segment").applyInArrow(build, "segment bigint, bits binary"), "filter")
     size = table.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
-    return Model(order, n + ends, v, ends, mass, words, segments, table, size)
+    return Model(order, n, v, ends, mass, word_segments, words, segments, table, size)
 
 
 # --- scores -----------------------------------------------------------------------
 
-def levels_of(keys: np.ndarray, segments: int, bits: dict[int, np.ndarray]) -> np.ndarray:
-    """Levels of ascending distinct ``keys``; a segment without a filter has none."""
-    out = np.zeros(len(keys), np.int64)
-    segment = segment_of(keys, segments)
-    cut = [*np.flatnonzero(np.diff(segment, prepend=-1)), len(keys)]
-    for lo, hi in zip(cut[:-1], cut[1:], strict=True):
-        part = bits.get(int(segment[lo]))
-        if part is not None:
-            out[lo:hi] = levels_in(part, keys[lo:hi] & _U(0xFFFFFFFF))
-    return out
+def levels_of(keys: np.ndarray, bits: Filter) -> np.ndarray:
+    return bits.levels(keys & _U(0xFFFFFFFF), segment_of(keys, len(bits.bits)))
 
 
 @dataclass(frozen=True)
@@ -268,6 +347,11 @@ def log_probabilities(before: np.ndarray, counts: list[np.ndarray], model: Scala
     return np.log10(p)
 
 
+def joined(blocks: pa.Array, column: str, kind: str | type) -> list[np.ndarray]:
+    """The segments' numbers, in the order of segments."""
+    return [np.frombuffer(b[column], kind) for b in sorted(blocks.to_pylist(), key=lambda b: b["segment"])]
+
+
 def score(docs: DataFrame, order: int = ORDER, filter_bytes: int | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     of every row, learned from the rows that are not held out."""
@@ -276,35 +360,31 @@ def score(docs: DataFrame, order: int = ORDER, filter_bytes: int | None = None)
     limit = FILTER_BYTES if filter_bytes is None else filter_bytes
     scalars = Scalars(order, model.tokens, model.distinct, model.ends, model.mass, model.segments)
 
-    asked = texts.select("slice", F.posexplode("words").alias("at", "word"))
-    # One row for each distinct word of a slice, at most SLICE bytes of them together.
-    known = asked.join(model.words, "word").groupBy("slice").agg(F.collect_list(F.struct("at", "c")).alias("known"))
+    # One number for each distinct word of a slice, which has SLICE bytes of text.
+    known = model.words.filter(F.col("slice").isNotNull()).groupBy("slice").agg(F.collect_list(F.struct("segment", "counts")).alias("known"))
     rows = texts.select("slice", "doc_ids", "held", "sizes", "codes", "words").join(known, "slice", "left")
     if model.filter_bytes <= limit:
         table = model.filter.select("segment", "bits").toArrow()
-        sent = docs.sparkSession.sparkContext.broadcast(dict(zip(table["segment"].to_pylist(), table["bits"].to_pylist(), strict=True)))
+        sent = docs.sparkSession.sparkContext.broadcast(
+            Filter.of(dict(zip(table["segment"].to_pylist(), table["bits"].to_pylist(), strict=True)), model.segments))
     else:
         sent = None
         rows = rows.join(answers(texts, model), "slice")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = {k: np.frombuffer(b, np.uint8) for k, b in sent.value.items()} if sent is not None else {}
         for row in each(batches):
-            tokens, before, sizes, _, keys = slice_keys(row, scalars.order)
+            tokens, before, sizes, hashes, keys = slice_keys(row, scalars.order)
             if sent is not None:
                 counts = []
                 for k in keys:
                     distinct, place = np.unique(k, return_inverse=True)
-                    counts.append(VALUE[levels_of(distinct, scalars.segments, bits)][place])
+                    counts.append(VALUE[levels_of(distinct, sent.value)][place])
             else:
                 distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-                told = sorted(row["answers"].to_pylist(), key=lambda a: a["segment"])
-                levels = np.concatenate([np.frombuffer(a["levels"], np.uint8) for a in told])
-                counts = list(VALUE[levels][place].reshape(len(keys), -1))
-            c = np.zeros(len(row["words"]) + 1, np.int64)
-            c[-1] = scalars.ends
+                counts = list(VALUE[np.concatenate(joined(row["answers"], "levels", np.uint8))][place].reshape(len(keys), -1))
+            c = np.full(len(hashes), scalars.ends)
             if row["known"] is not None:
-                c[row["known"].field("at").to_numpy()] = row["known"].field("c").to_numpy()
+                c[in_order(hashes[:-1])] = np.concatenate(joined(row["known"], "counts", "<i8"))
             base = np.log10((c + ADD) / (scalars.tokens + ADD * (scalars.distinct + 1)))
             first = np.cumsum(sizes + 1) - sizes - 1
             n = len(sizes)
@@ -328,26 +408,28 @@ def answers(texts: DataFrame, model: Model) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in each(batches):
             keys = np.unique(np.concatenate(slice_keys(row, order)[-1]))
-            segment = segment_of(keys, segments)
-            cut = np.flatnonzero(np.diff(segment, prepend=-1))
-            rest = [x.tobytes() for x in np.split((keys & _U(0xFFFFFFFF)).astype("<u4"), cut[1:])][:len(cut)]
-            yield pa.RecordBatch.from_arrays([pa.array(segment[cut]), pa.array([row["slice"]] * len(cut), pa.int64()),
-                                              pa.array(rest, pa.binary())], names=["segment", "slice", "data"])
+            segment, (rest,) = blocks(keys, segments, (keys & _U(0xFFFFFFFF)).astype("<u4"))
+            yield pa.RecordBatch.from_arrays([segment, pa.array([row["slice"]] * len(segment), pa.int64()), rest],
+                                             names=["segment", "slice", "data"])
 
     def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, bits = None, None
         for batch in batches:
-            out = []
-            for segment, slice_, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if slice_ is None:
-                    now, bits = segment, np.frombuffer(data, np.uint8)
+            segment = batch.column(0).to_numpy()
+            cut = [*np.flatnonzero(np.diff(segment, prepend=-1)), len(segment)]
+            for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+                part = batch.slice(lo, hi - lo)
+                if part.column(1)[0].as_py() is None:
+                    now, bits = segment[lo], Filter.of({0: part.column(2)[0].as_py()}, 1)
+                    part = part.slice(1)
+                rest = [np.frombuffer(x.as_py(), "<u4") for x in part.column(2)]
+                if not rest:
                     continue
-                rest = np.frombuffer(data, "<u4")
-                levels = levels_in(bits, rest) if now == segment else np.zeros(len(rest), np.int64)
-                out.append((slice_, segment, levels.astype(np.uint8).tobytes()))
-            columns = list(zip(*out, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.binary()], strict=True)],
-                                             names=["slice", "segment", "levels"])
+                every = np.concatenate(rest)
+                levels = bits.levels(every, np.zeros(len(every), np.int64)) if now == segment[lo] else np.zeros(len(every), np.int64)
+                told = np.split(levels.astype(np.uint8), np.cumsum([len(x) for x in rest])[:-1])
+                yield pa.RecordBatch.from_arrays([part.column(1), part.column(0), pa.array([x.tobytes() for x in told], pa.binary())],
+                                                 names=["slice", "segment", "levels"])
 
     asked = texts.select("slice", "sizes", "codes", "words").mapInArrow(ask, "segment bigint, slice bigint, data binary")
     filters = model.filter.select("segment", F.lit(None).cast("bigint").alias("slice"), F.col("bits").alias("data"))
