@@ -41,16 +41,17 @@ from pyspark.sql import types as T
 @dataclass(frozen=True)
 class Field:
     name: str
-    kind: str  # "int" | "long" | "double" | "decimal" | "boolean" | "string" | "enum" | "string_array" | "object"
+    kind: str  # "int" | "long" | "double" | "decimal" | "boolean" | "string" | "enum" | "string_array" | "object" | "array" (jsontree)
     required: bool = False
     values: tuple[str, ...] = ()
     fields: tuple["Field", ...] = field(default_factory=tuple)
     precision: tuple[int, int] = (38, 12)  # of a decimal
+    items: "Field | None" = None  # the elements of an array; required: none of them is null
 
     @property
     def type_name(self) -> str:
         return {"int": "Integer", "long": "Long", "double": "Double", "decimal": "BigDecimal", "boolean": "Boolean",
-                "string": "String", "enum": "Enum", "string_array": "List", "object": "Object"}[self.kind]
+                "string": "String", "enum": "Enum", "string_array": "List", "array": "List", "object": "Object"}[self.kind]
 
     @property
     def sql_type(self) -> str:
