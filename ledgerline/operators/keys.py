@@ -27,15 +27,33 @@ from ledgerline.session import scratch_path
 DEFAULT_ROWS_PER_RANGE = 4_000_000
 
 
-def assign_ids(df: DataFrame, order_by: list[str], start: int, id_col: str = "id",
-               rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
-    """Add ``id_col`` = ``start`` + 1, 2, ... in ``order_by`` order; every row keeps its place, nulls first."""
+def _ranged(df: DataFrame, order_by: list[str], rows_per_range: int) -> tuple[DataFrame, list[str]]:
+    """``df`` dealt to written ranges (``_range``) of about ``rows_per_range``, and the columns that order all rows."""
     n_ranges = max(1, -(-df.count() // rows_per_range))
     order = [*order_by, "_place"]
     path = scratch_path(df.sparkSession, "ranged")
     placed = df.withColumn("_place", F.monotonically_increasing_id())
     placed.repartitionByRange(n_ranges, *order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    ranged = df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), order
+
+
+def running_totals(df: DataFrame, order_by: list[str], weight: str, out: str,
+                   rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
+    """Add ``out``, the sum of ``weight`` over all rows before this one in
+    ``order_by`` order, in parallel as ``assign_ids`` numbers them."""
+    ranged, order = _ranged(df, order_by, rows_per_range)
+    sums = ranged.groupBy("_range").agg(F.sum(weight).alias("_sum"))  # one row per range
+    offsets = sums.select("_range", F.coalesce(F.sum("_sum").over(
+        Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    within = F.coalesce(F.sum(weight).over(Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    summed = ranged.join(F.broadcast(offsets), "_range").withColumn(out, (F.col("_before") + within).cast("bigint"))
+    return summed.drop("_range", "_before", "_place")
+
+
+def assign_ids(df: DataFrame, order_by: list[str], start: int, id_col: str = "id",
+               rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
+    """Add ``id_col`` = ``start`` + 1, 2, ... in ``order_by`` order; every row keeps its place, nulls first."""
+    ranged, order = _ranged(df, order_by, rows_per_range)
     # One row per range: rows / rows_per_range of them, a size fixed by the count above.
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

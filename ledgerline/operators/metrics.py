@@ -30,3 +30,20 @@ def latency_histogram(df: DataFrame, value: str, by: list[str], application: str
     aggs += [F.count(v).alias("le_inf"), F.count(v).alias("count"),
              F.sum(v.cast(f"decimal(38,{scale})")).cast("double").alias("sum")]
     return df.groupBy(*by).agg(*aggs).withColumn("application", F.lit(application))
+
+
+def histogram_state(df: DataFrame, value: str, by: list[str], bounds: tuple[float, ...] = DEFAULT_BOUNDS, scale: int = 12) -> DataFrame:
+    """M1 in parts: the histogram of some rows as a state that can be stored
+    and merged: cumulative counts and ``total``, the exact sum of the values
+    rounded to ``scale`` decimals, as DECIMAL(38)."""
+    v = F.col(value)
+    counts = [F.count_if(v <= F.lit(b)).alias(bound_name(b)) for b in sorted(bounds)]
+    return df.groupBy(*by).agg(*counts, F.count(v).alias("count"), F.sum(v.cast(f"decimal(38,{scale})")).alias("total"))
+
+
+def merge_histograms(states: DataFrame, by: list[str], application: str, bounds: tuple[float, ...] = DEFAULT_BOUNDS) -> DataFrame:
+    """The histogram of all rows behind ``states``, which may come from any
+    batches, in any order and number; the same columns as ``latency_histogram``."""
+    names = [bound_name(b) for b in sorted(bounds)]
+    merged = states.groupBy(*by).agg(*[F.sum(n).alias(n) for n in (*names, "count")], F.sum("total").cast("double").alias("sum"))
+    return merged.select(*by, *names, F.col("count").alias("le_inf"), "count", "sum", F.lit(application).alias("application"))

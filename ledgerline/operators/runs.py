@@ -5,16 +5,20 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.functions.timefmt import duration_parts, render_local, time_slice
+from ledgerline.operators import keys
 
 # Run outcomes.
 COMPLETED = "COMPLETED"
 FAILED = "FAILED"
 
 DEFAULT_GRAIN_SECONDS = 3600
+DEFAULT_CHUNK_ROWS = 1000
+DEFAULT_PART_BYTES = 16 << 20
+DEFAULT_PART_MESSAGES = 100_000
 
 
 @dataclass
@@ -139,3 +143,39 @@ def observe_counts(df: DataFrame, name: str = "chunk", metric: str = "read_count
     that consumes ``df`` (no second pass); ``obs.get[metric]`` after it."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias(metric)), obs
+
+
+def chunk_log(df: DataFrame, order_by: list[str], written: Column, rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """B4 per chunk: ``df`` in chunks of ``rows`` rows in ``order_by`` order
+    (the last may be shorter), one row a chunk: ``chunk`` (from 0),
+    ``read_count`` and ``write_count``, the rows that ``written`` holds for.
+
+    Rows are numbered in parallel (ranges and offsets), so no task sees more
+    than its range; the counts are partial aggregates."""
+    marked = df.withColumn("_written", F.coalesce(written, F.lit(False))).select(*order_by, "_written")
+    numbered = keys.assign_ids(marked, order_by, -1, "_n")
+    return numbered.groupBy(F.expr(f"_n div {int(rows)}").alias("chunk")).agg(
+        F.count(F.lit(1)).alias("read_count"), F.count_if("_written").alias("write_count"))
+
+
+def step_parts(steps: DataFrame, max_bytes: int = DEFAULT_PART_BYTES, max_messages: int = DEFAULT_PART_MESSAGES) -> DataFrame:
+    """B3 bounded by size: each step's failure messages in (ts, event_id)
+    order, cut into numbered parts by running bytes, whatever share of the log
+    one step or one hour holds. (step_id, part, n_messages, text): a part has
+    at most ``max_bytes`` and one more message, and at most ``max_messages``
+    (and one more); numbers ascend, with gaps after messages longer than a
+    part. Concatenated by newline in their order they are ``step_status``'s
+    ``messages``.
+
+    The log is read once. A message weighs its bytes and line end, but at
+    least its share of a part, and the weights before it are added up in
+    parallel; only parts are grouped."""
+    failed = steps.where(F.col("failed") & F.col("message").isNotNull()).select("step_id", "ts", "event_id", "message")
+    least = -(-max_bytes // max_messages)
+    weighed = failed.withColumn("_weight", F.greatest(F.octet_length("message") + 1, F.lit(least)).cast("bigint"))
+    placed = keys.running_totals(weighed, ["step_id", "ts", "event_id"], "_weight", "_at")
+    first = placed.groupBy("step_id").agg(F.min("_at").alias("_first"))
+    placed = placed.join(first, "step_id").withColumn("part", F.expr(f"(_at - _first) div {int(max_bytes)}"))
+    return placed.groupBy("step_id", "part").agg(
+        F.count(F.lit(1)).alias("n_messages"),
+        F.array_join(F.sort_array(F.collect_list(F.struct("ts", "event_id", "message")))["message"], "\n").alias("text"))

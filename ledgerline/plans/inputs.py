@@ -329,3 +329,35 @@ def encodable_rows(spark: SparkSession, sf_dir: str, *also: str) -> DataFrame:
         F.when(F.pmod(F.col("event_id"), F.lit(4)) != 0, F.col("props")).alias("note"),
         F.struct(F.col("user_id").alias("user"), F.lit(None).cast("string").alias("tag")).alias("meta"),
     )
+
+
+NESTED_ITEMS = "sort_array(collect_list(struct(l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag)))"
+
+
+def nested_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, payload): each order's line items as one JSON body, by
+    order_id % 8: all items; the first item without its array; text for the
+    first quantity; an unknown flag in the last item; an item without its part;
+    a first quantity beyond an int; an object inside a nested array of
+    numbers; two failures, in either order."""
+    lines = read_table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(F.expr(NESTED_ITEMS).alias("items"))
+    variant = F.pmod(F.col("order_id"), F.lit(8))
+
+    def item(x, i):
+        qty = (F.when((i == 0) & (variant == 2), F.lit('"x"')).when((i == 0) & (variant == 5), F.lit("99999999999"))
+               .otherwise(x["l_quantity"].cast("int").cast("string")))
+        flag = F.when((i == F.size("items") - 1) & (variant == 3), F.lit("Q")).otherwise(x["l_returnflag"])
+        price = x["l_extendedprice"].cast("decimal(20,2)").cast("string")
+        return F.concat(F.lit('{"part": '), x["l_partkey"].cast("string"), F.lit(', "qty": '), qty, F.lit(', "price": "'), price,
+                        F.lit('", "flag": "'), flag, F.lit('", "grid": [['), x["l_linenumber"].cast("string"), F.lit(", "),
+                        x["l_suppkey"].cast("string"), F.lit("], "), x["l_linenumber"].cast("string"), F.lit("]}"))
+
+    texts = F.transform("items", item)
+    more = (F.when(variant == 4, F.array(F.lit('{"qty": 1}')))
+            .when(variant == 6, F.array(F.lit('{"part": 1, "qty": 1, "grid": [[1], [{}]]}'))).otherwise(F.array().cast("array<string>")))
+    body = F.when(variant == 1, texts[0]).otherwise(F.concat(F.lit("["), F.array_join(F.concat(texts, more), ", "), F.lit("]")))
+    key, sizes = F.concat(F.lit('"id": '), F.col("order_id").cast("string")), F.concat(F.lit('"sizes": '), F.size("items").cast("string"))
+    bad_key, bad_sizes = F.lit('"id": "no"'), F.lit('"sizes": [1, "x"]')
+    head = (F.when((variant == 7) & (F.expr("order_id div 8") % 2 == 0), F.concat(bad_key, F.lit(", "), bad_sizes))
+            .when(variant == 7, F.concat(bad_sizes, F.lit(", "), bad_key)).otherwise(F.concat(sizes, F.lit(", "), key)))
+    return lines.select("order_id", F.concat(F.lit("{"), head, F.lit(', "items": '), body, F.lit("}")).alias("payload"))

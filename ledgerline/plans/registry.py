@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import BLANK_PATTERN, QUOTED_TOKEN_PATTERN
 from ledgerline.functions.timefmt import to_service_zone
-from ledgerline.operators import errors, jsonio, keys, lifecycle, lookup, metrics, runs, validate
+from ledgerline.operators import errors, jsonio, jsontree, keys, lifecycle, lookup, metrics, runs, validate
 from ledgerline.operators.envelope import flatten_envelope
 from ledgerline.plans import inputs
 from ledgerline.plans.layout import spread
@@ -564,7 +564,7 @@ def json_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 then J1: events encoded and decoded again as long, double, decimal,
     boolean and text fields, with fields left out, are what they were."""
     rows = inputs.encodable_rows(spark, sf_dir, "value").withColumn("even", F.col("event_id") % 2 == 0)
-    sent = jsonio.encode(rows).select("json")
+    sent = jsonio.encode(spread(rows)).select("json")
     return jsonio.decode(sent, "json", TYPED_SCHEMA).select(
         "event_id", "event_type", "value", F.col("amount").cast("double").alias("amount"), "even", "note", "meta_user",
         "meta_tag", "accepted")
@@ -586,6 +586,26 @@ def _stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+STREAM_FILES, STREAM_BATCHES = 8, 3
+
+
+def _write_files(df: DataFrame, path: str) -> int:
+    """Write a stream's input as several files; returns how many of them make a third of the stream."""
+    df = spread(df, STREAM_FILES)
+    files = df.rdd.getNumPartitions()
+    df.write.mode("append").parquet(path)
+    return -(-files // STREAM_BATCHES)
+
+
+def _decode_batch(batch: DataFrame) -> DataFrame:
+    from ledgerline.streaming import ingest
+
+    recs = ingest.decode_value(batch).select(F.col("key").cast("bigint").alias("id"), F.col("value").alias("payload"))
+    d = jsonio.decode(recs, "payload", PAYLOAD_SCHEMA)
+    return d.select("id", "accepted", "k", "level", "meta_source", F.col("reject")["kind"].alias("reject_kind"),
+                    validate.verdict(F.col("accepted")).alias("verdict"))
+
+
 def _run_stream(spark: SparkSession, sf_dir: str, with_counts: bool) -> tuple[str, str | None]:
     """Write the records as files, consume them as a stream through the
     idempotent batch writer; returns (output path, counts path or None)."""
@@ -595,17 +615,8 @@ def _run_stream(spark: SparkSession, sf_dir: str, with_counts: bool) -> tuple[st
     src, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     counts = scratch_path(spark, "stream-counts") if with_counts else None
     ckpt = scratch_path(spark, "stream-ckpt")
-    # As many files as the input has splits, and a trigger's share in proportion to the cluster's cores.
-    _stream_records(spark, sf_dir).write.parquet(src)
-    per_trigger = max(1, spark.sparkContext.defaultParallelism // 2)
-
-    def transform(batch: DataFrame) -> DataFrame:
-        recs = ingest.decode_value(batch).select(F.col("key").cast("bigint").alias("id"), F.col("value").alias("payload"))
-        d = jsonio.decode(recs, "payload", PAYLOAD_SCHEMA)
-        return d.select("id", "accepted", "k", "level", "meta_source", F.col("reject")["kind"].alias("reject_kind"),
-                        validate.verdict(F.col("accepted")).alias("verdict"))
-
-    fn = ingest.idempotent_batch_writer(transform, out, "payloads", counts, partition_by=("verdict",))
+    per_trigger = _write_files(_stream_records(spark, sf_dir), src)
+    fn = ingest.idempotent_batch_writer(_decode_batch, out, "payloads", counts, partition_by=("verdict",))
     ingest.ingest_available(spark, ingest.file_stream(spark, src, files_per_trigger=per_trigger), fn, ckpt)
     return out, counts
 
@@ -704,3 +715,146 @@ FROM s WHERE failed AND message IS NOT NULL GROUP BY 1, 2
 def step_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B3 in its bounded form: failure messages per (step, hour)."""
     return runs.step_failure_texts(inputs.step_log(spark, sf_dir))
+
+
+# --- step 8: bodies of any shape, streams that stop and fail, chunks, parts, merged states ----
+
+_LINES_SQL = """
+SELECT l_orderkey AS order_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+  l_extendedprice, l_returnflag) - 1 AS pos, count(*) OVER (PARTITION BY l_orderkey) AS n, * FROM lineitem
+"""
+
+NESTED_SCHEMA = (
+    jsonio.Field("id", "long", required=True),
+    jsonio.Field("sizes", "array", items=jsonio.Field("", "int")),
+    jsonio.Field("items", "array", required=True, items=jsonio.Field("", "object", required=True, fields=(
+        jsonio.Field("part", "long", required=True), jsonio.Field("qty", "int", required=True),
+        jsonio.Field("price", "decimal", precision=(20, 2)), jsonio.Field("flag", "enum", values=("A", "N", "R")),
+        jsonio.Field("grid", "array", items=jsonio.Field("", "array", items=jsonio.Field("", "int")))))),
+)
+
+
+def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jsontree.decode(spread(inputs.nested_payloads(spark, sf_dir)), "payload", NESTED_SCHEMA)
+
+
+@register("json_nested", sql=f"""
+SELECT order_id, n AS n_sizes, pos, l_partkey AS part, CAST(l_quantity AS BIGINT) AS qty, CAST(CAST(l_extendedprice AS DECIMAL(20,2)) AS DOUBLE) AS price,
+  l_returnflag AS flag, l_linenumber || ',' || l_suppkey || ';' || l_linenumber AS grid
+FROM ({_LINES_SQL}) WHERE order_id % 8 = 0 OR order_id % 8 = 1 AND pos = 0
+""")
+def json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1: arrays of ints, decimals, enums and objects two levels deep; single
+    values and objects taken as arrays of one."""
+    body = _nested(spark, sf_dir).select("order_id", F.col("body.sizes")[0].alias("n_sizes"), F.posexplode("body.items").alias("pos", "item"))
+    return body.select("order_id", F.col("n_sizes").cast("bigint").alias("n_sizes"), F.col("pos").cast("bigint").alias("pos"), "item.part",
+                       F.col("item.qty").cast("bigint").alias("qty"), F.col("item.price").cast("double").alias("price"), "item.flag",
+                       F.array_join(F.transform("item.grid", lambda r: F.array_join(r.cast("array<string>"), ",")), ";").alias("grid"))
+
+
+def _nested_rejects_sql() -> str:
+    wrong = "Field '{}' has value '{}', which does not match the expected type ({})."
+    lost = "Required field '{}' is missing or has the wrong shape."
+    cases = [  # condition on the order's id, kind, path, message
+        ("v = 2", "wrong_type", "items.?.qty", wrong.format("items.?.qty", "x", "Integer")),
+        ("v = 3", "wrong_type", "items.?.flag", wrong.format("items.?.flag", "Q", "Enum") + " Allowed values: [A, N, R]"),
+        ("v = 4", "missing_field", "items.?.part", lost.format("items.?.part")),
+        ("v = 5", "mapping_error", "items.?.qty", "Field 'items.?.qty': the number 99999999999 is out of the range of Integer."),
+        ("v = 6", "missing_field", "items.?.grid.?.?", lost.format("items.?.grid.?.?")),
+        ("v = 7 AND order_id // 8 % 2 = 0", "wrong_type", "id", wrong.format("id", "no", "Long")),
+        ("v = 7 AND order_id // 8 % 2 = 1", "wrong_type", "sizes.?", wrong.format("sizes.?", "x", "Integer")),
+    ]
+    orders = "(SELECT DISTINCT l_orderkey AS order_id, l_orderkey % 8 AS v FROM lineitem)"
+    return " UNION ALL ".join(f"SELECT order_id, {_q(k)} AS reject_kind, {_q(p)} AS reject_path, {_q(m)} AS message, "
+                              f"'BAD_REQUEST' AS error_type FROM {orders} WHERE {c}" for c, k, p, m in cases)
+
+
+@register("json_nested_rejects", sql=_nested_rejects_sql())
+def json_nested_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4: failures of array elements, mapping errors, and of two failures the one written first."""
+    return jsontree.rejects(_nested(spark, sf_dir)).select("order_id", "reject_kind", "reject_path", "message", "error_type")
+
+
+@register("stream_waves", sql=f"""
+SELECT id, accepted, k, level, meta_source, reject_kind FROM ({JSON_DECODE_SQL}) x
+""")
+def stream_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 continuous: a running stream takes a first wave of files in several
+    batches, is stopped, and after a second wave has arrived goes on where it
+    was: nothing lost, nothing doubled."""
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming import ingest
+
+    src, out, ckpt = (scratch_path(spark, f"waves-{x}") for x in ("in", "out", "ckpt"))
+    fn = ingest.idempotent_batch_writer(_decode_batch, out, "waves", partition_by=("verdict",))
+    records = _stream_records(spark, sf_dir)
+    for wave in (0, 1):
+        per_trigger = _write_files(records.filter(F.pmod(F.col("offset"), F.lit(2)) == wave), src)
+        ingest.catch_up(ingest.ingest_continuously(spark, ingest.file_stream(spark, src, per_trigger), fn, ckpt, every="0 seconds"))
+    return spark.read.parquet(out).select("id", "accepted", "k", "level", "meta_source", "reject_kind")
+
+
+@register("redelivery_audit", sql="""
+SELECT 'ledger-events' AS topic, event_id % 3 AS partition, count(*) AS n_records, min(event_id // 3) AS first_offset,
+  max(event_id // 3) AS last_offset, 0 AS gaps, 0 AS repeats, 1 AS redelivered_batches
+FROM events GROUP BY event_id % 3
+""")
+def redelivery_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the second of at least three batches is written, fails before its
+    commit and is delivered again; the output has no gap and no repeat."""
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming import ingest
+
+    src, out, log, ckpt = (scratch_path(spark, f"audit-{x}") for x in ("in", "out", "log", "ckpt"))
+    ids = F.col("event_id")
+    records = inputs.read_table(spark, sf_dir, "events").select(
+        ids.cast("string").cast("binary").alias("key"), F.col("props").cast("binary").alias("value"), F.lit("ledger-events").alias("topic"),
+        F.pmod(ids, F.lit(3)).cast("int").alias("partition"), F.expr("event_id div 3").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+    per_trigger = _write_files(records, src)
+    keep = ingest.idempotent_batch_writer(lambda batch: batch.select("topic", "partition", "offset"), out, "audit")
+    ingest.ingest_through_failure(spark, lambda: ingest.file_stream(spark, src, per_trigger), ingest.FailOnce(keep, 1, log), ckpt)
+    again = ingest.redelivered(spark.read.parquet(log)).agg(F.count(F.lit(1)).alias("redelivered_batches"))
+    return ingest.audit_offsets(spark.read.parquet(out).select("topic", "partition", "offset")).crossJoin(F.broadcast(again))  # one row
+
+
+@register("chunk_log", sql=f"""
+SELECT chunk, count(*) AS read_count, count_if(accepted) AS write_count
+FROM (SELECT accepted, (row_number() OVER (ORDER BY id) - 1) // {runs.DEFAULT_CHUNK_ROWS} AS chunk FROM ({JSON_DECODE_SQL}) x) GROUP BY chunk
+""")
+def chunk_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4: rows read and written by each chunk of a fixed number of rows."""
+    return runs.chunk_log(_decoded(spark, sf_dir).select("id", "accepted"), ["id"], F.col("accepted"))
+
+
+PART_BYTES, PART_MESSAGES = 2048, 64  # small, so that the given logs have steps of many parts
+
+
+@register("step_parts", sql=f"""
+WITH s AS ({inputs.STEP_LOG_SQL}),
+w AS (SELECT *, greatest(strlen(message) + 1, {-(-PART_BYTES // PART_MESSAGES)}) AS weight FROM s WHERE failed AND message IS NOT NULL),
+p AS (SELECT *, CAST(coalesce(sum(weight) OVER (PARTITION BY step_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+  AS BIGINT) // {PART_BYTES} AS part FROM w)
+SELECT step_id, part, count(*) AS n_messages, string_agg(message, chr(10) ORDER BY ts, event_id) AS text FROM p GROUP BY step_id, part
+""")
+def step_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 in parts of bounded size, cut by running bytes instead of hours."""
+    return runs.step_parts(inputs.step_log(spark, sf_dir), PART_BYTES, PART_MESSAGES)
+
+
+@register("latency_histogram_merged", sql=_histogram_sql())
+def latency_histogram_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: states written by micro-batches, one of them delivered twice, merge
+    to the histogram of one pass."""
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming import ingest
+
+    src, out, log, ckpt = (scratch_path(spark, f"histogram-{x}") for x in ("in", "out", "log", "ckpt"))
+    events = inputs.read_table(spark, sf_dir, "events").select("event_type", "value")
+    per_trigger = _write_files(events, src)
+    keep = ingest.idempotent_batch_writer(lambda batch: metrics.histogram_state(batch, "value", ["event_type"]), out, "latency")
+
+    def source() -> DataFrame:
+        return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", per_trigger).parquet(src)
+
+    ingest.ingest_through_failure(spark, source, ingest.FailOnce(keep, 1, log), ckpt)
+    return metrics.merge_histograms(spark.read.parquet(out), ["event_type"], application="ledgerline")

@@ -28,6 +28,12 @@ CONSUMERS = 3
 PRODUCER_RETRIES = 3
 
 
+def waiting_options(least_records: int, longest_wait: str = "5 seconds") -> dict[str, str]:
+    """Overrides for :func:`kafka_source_options`: a batch waits for
+    ``least_records``, but no longer than ``longest_wait``."""
+    return {"minOffsetsPerTrigger": str(least_records), "maxTriggerDelay": longest_wait}
+
+
 def kafka_source_options(bootstrap_servers: str, topic: str, **overrides: str) -> dict[str, str]:
     """Options for ``spark.readStream.format("kafka")``.
 
@@ -172,6 +178,65 @@ def ingest_continuously(spark: SparkSession, source: DataFrame, batch_fn: BatchF
             .trigger(processingTime=every).start())
 
 
+def catch_up(query) -> int:
+    """Let a running stream take all that has arrived, then stop it; returns
+    the id of its last batch that had rows (-1: none). A later start with the
+    same checkpoint goes on after that batch."""
+    try:
+        query.processAllAvailable()
+        batches = [p["batchId"] for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+    return max(batches, default=-1)
+
+
+class FailOnce:
+    """A batch function that writes batch ``batch_id`` and then fails, once:
+    the crash between writing and committing after which a batch is delivered
+    again. Every delivery is appended to ``log_path`` (batch_id)."""
+
+    def __init__(self, batch_fn: BatchFn, batch_id: int, log_path: str):
+        self.batch_fn, self.batch_id, self.log_path, self.failed = batch_fn, batch_id, log_path, False
+        self.output = getattr(batch_fn, "output", None)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.batch_fn(batch, batch_id)
+        batch.sparkSession.createDataFrame([(batch_id,)], "batch_id bigint").write.mode("append").parquet(self.log_path)
+        if batch_id == self.batch_id and not self.failed:
+            self.failed = True
+            raise RuntimeError(f"stopped after writing batch {batch_id}, before its commit")
+
+
+def ingest_through_failure(spark: SparkSession, source: Callable[[], DataFrame], batch_fn: FailOnce, checkpoint: str) -> None:
+    """Consume everything available through ``batch_fn``; after its failure
+    start again from the checkpoint, as a supervisor would."""
+    try:
+        ingest_available(spark, source(), batch_fn, checkpoint)
+    except Exception:
+        if not batch_fn.failed:
+            raise
+        ingest_available(spark, source(), batch_fn, checkpoint)
+
+
+def audit_offsets(records: DataFrame) -> DataFrame:
+    """S3: per (topic, partition) of delivered records: how many there are,
+    their first and last offset, how many offsets between those are missing
+    (``gaps``) and how many records repeat one (``repeats``). Offsets are made
+    distinct across tasks first, so a hot partition is no hot task."""
+    each = records.groupBy("topic", "partition", "offset").agg(F.count(F.lit(1)).alias("n"))
+    found = each.groupBy("topic", "partition").agg(
+        F.sum("n").alias("n_records"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        F.count(F.lit(1)).alias("distinct"))
+    return found.select("topic", "partition", "n_records", "first_offset", "last_offset",
+                        (F.col("last_offset") - F.col("first_offset") + 1 - F.col("distinct")).alias("gaps"),
+                        (F.col("n_records") - F.col("distinct")).alias("repeats"))
+
+
+def redelivered(log: DataFrame) -> DataFrame:
+    """S3: (batch_id, deliveries) of the batches delivered more than once."""
+    return log.groupBy("batch_id").agg(F.count(F.lit(1)).alias("deliveries")).filter("deliveries > 1")
+
+
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 2) -> DataFrame:
     """Stand-in for the Kafka source: Parquet files with the record schema."""
     return (spark.readStream.schema(schemas.STREAM_RECORD).option("maxFilesPerTrigger", files_per_trigger)
