@@ -21,9 +21,10 @@ A pair between documents that are already connected needs no check: it
 cannot change a component. Everything else found is confirmed, without a cap.
 
 Defined results: null or wordless text has no shingles and links with
-nothing; a text of fewer than ``width`` words is one shingle; the texts of rows that
-share a doc_id are linked with whatever any of them is linked with; other
-columns are ignored.
+nothing; a text of fewer than ``width`` words is one shingle; rows that share
+a doc_id are one document, which is linked with whatever any of its texts is
+linked with (a row without words stays by itself); other columns are ignored.
+``keep_one`` goes by texts: it removes a text only where a linked one stays.
 """
 
 from __future__ import annotations
@@ -109,7 +110,7 @@ def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
     return key
 
 
-SIGNATURE = "doc_id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>"
+SIGNATURE = "doc_id bigint, text_hash bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>"
 
 
 def _lists(rows: np.ndarray) -> pa.Array:
@@ -134,11 +135,12 @@ def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
                     digest[0, some] = np.add.reduceat(mix(sets), at[some])
                     digest[1, some] = np.add.reduceat(mix(sets ^ np.uint64(0x5851F42D4C957F2D)), at[some])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)),
+                    [part.column(0), part.column(2), pa.array(n), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)),
                      _lists(band_keys(samples, rows)), _lists(odd_sketch(samples))],
-                    names=["doc_id", "n", "d1", "d2", "bands", "sketch"])
+                    names=["doc_id", "text_hash", "n", "d1", "d2", "bands", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, SIGNATURE)
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint"), text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(run, SIGNATURE)
 
 
 def sketch_bits(a: str, b: str):
@@ -306,11 +308,15 @@ def confirm(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     return stored(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint").distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+DIGEST = ["d1", "d2", "n"]
+
+
+def search(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' signatures, the classes of equal sets with their
+    representatives, and confirmed links (a, b) between representatives that
+    connect all that is linked."""
     sig = stored(signatures(docs, rule), "signatures")
-    digest = ["d1", "d2", "n"]
-    reps = stored(sig.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*digest).agg(
+    reps = stored(sig.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*DIGEST).agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
     nodes = reps.select("rep", "n", "sketch")
 
@@ -345,19 +351,41 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     rows = apart()
     of = clusters(rows, rule).withColumnRenamed("node", "rep")
     rows = rows.select("rep", "label", "n", "sketch").distinct().join(of, "rep")
-    links = links.union(confirm_all(rows, docs, rule))
+    return sig, reps, links.union(confirm_all(rows, docs, rule))
+
+
+def labelled(sig: DataFrame, reps: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of ``sig`` with the smallest document that they are connected with by ``links``."""
     labels = components(links)
+    classes = reps.select(*DIGEST, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+        *DIGEST, F.coalesce("label", "rep").alias("label"))
+    return sig.select("doc_id", "text_hash", *DIGEST).join(classes, DIGEST, "left").withColumn("label", F.coalesce("label", "doc_id"))
 
-    classes = reps.select(*digest, "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        *digest, F.coalesce("label", "rep").alias("label"))
-    out = sig.select("doc_id", *digest).join(classes, digest, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+def by_document(sig: DataFrame, reps: DataFrame) -> DataFrame:
+    """(a, b): each document of several texts with the representatives of their classes."""
+    rows = sig.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", *DIGEST)
+    sets = F.struct(*DIGEST)
+    several = rows.groupBy("doc_id").agg(F.min(sets).alias("lo"), F.max(sets).alias("hi")).filter("lo < hi").select("doc_id")
+    edges = rows.join(several, "doc_id").distinct().join(reps.select("rep", *DIGEST), DIGEST)
+    return edges.filter("rep < doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+
+
+def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+    sig, reps, links = search(docs, rule)
+    out = labelled(sig, reps, links.union(by_document(sig, reps)))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("label").alias("component_id"),
+                      F.col("doc_id").eqNullSafe(F.col("label")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the
-    document with the smallest doc_id stays, with all its columns. Rows that
-    repeat a doc_id stay or go together; rows without a doc_id stay."""
-    gone = near_duplicates(docs, rule).filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """The rows of ``docs`` without near-duplicates: of each group of linked
+    texts the one with the smallest doc_id stays, with all its columns. Rows
+    with equal doc_id and text stay or go together; rows without a doc_id stay.
+    A doc_id with several texts does not link them here: a text goes only
+    where one that it is connected with by links stays."""
+    rows = labelled(*search(docs, rule))
+    gone = rows.filter("doc_id <> label").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct()
+    same = (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["gone_text"])
+    return docs.join(gone, same, "left_anti")

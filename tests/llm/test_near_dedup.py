@@ -135,3 +135,16 @@ def test_rule_keeps_the_chance_of_a_miss_low():
     for percent in (80, 85, 90):
         r = near_dedup.Rule(5, percent).rows
         assert (1 - (percent / 100) ** r) ** (near_dedup.SAMPLES // r) <= near_dedup.MISS
+
+
+def test_a_doc_id_with_several_texts(spark):
+    """Documents are connected through all their texts; no text loses all its copies."""
+    texts = {k: " ".join(f"{k}{i}" for i in range(12)) for k in "ABCDE"}
+    rows = [(5, "A"), (9, "A"), (9, "B"), (12, "B"), (20, "C"), (20, "D"), (7, "D"), (7, "E"), (3, "E"), (40, "C"), (9, "A")]
+    docs = spark.createDataFrame([(i, texts[k]) for i, k in rows] + [(9, None), (30, "")], "doc_id bigint, text string").repartition(3)
+    rule = near_dedup.Rule(width=3, percent=85)
+    got = {(r["doc_id"], r["n_shingles"] > 0, r["component_id"]) for r in near_dedup.near_duplicates(docs, rule).collect()}
+    assert got == {(5, True, 5), (9, True, 5), (12, True, 5), (20, True, 3), (7, True, 3), (3, True, 3), (40, True, 3),
+                   (9, False, 9), (30, False, 30)}
+    kept = sorted((r["doc_id"], r["text"]) for r in near_dedup.keep_one(docs, rule).filter("text LIKE '% %'").collect())
+    assert kept == sorted([(5, texts["A"]), (9, texts["B"]), (20, texts["C"]), (7, texts["D"]), (3, texts["E"])])
