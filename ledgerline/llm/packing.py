@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,27 +30,18 @@ from ledgerline.llm.common import slices, stored
 
 SIZE = 2048
 END_ID = 1
-CACHE = 200_000  # chunks, and as many parts of chunks, whose ids a worker remembers
-STRETCH = 1 << 20  # bytes of text split at a time
+CACHE = 200_000  # strings of a generation whose ids a worker remembers
+STRETCH = 4 << 20  # bytes of text split at a time
 
 _known: dict[str, Memory] = {}
 
 
-class _Chunks(dict):
-    """Ids by chunk; ``others`` has those of the present texts only."""
-
-    def __missing__(self, chunk: str) -> bytes:
-        return self.others[chunk]
-
-
 class Memory:
-    """A tokenizer and the ids of blank-free chunks it has met.
+    """A tokenizer and the ids of strings it has met lately.
 
-    The tokenizer drops white space and no token spans it, so a text's ids
-    are those of its chunks in order. It lower-cases, and cuts between
-    letters and marks, so a plain word and the marks behind it are looked up
-    apart: far fewer new strings to encode. Kept for the life of the worker;
-    past CACHE entries nothing more is remembered."""
+    Two generations of at most CACHE strings: what is used moves to the young
+    one; when that is full, it becomes the old one, and what was only in the
+    old one is forgotten. Kept for the life of the worker."""
 
     def __init__(self, path: str):
         import os
@@ -58,44 +50,66 @@ class Memory:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[str, bytes] = {"": b""}
-        self.chunks = _Chunks()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids(self, strings: list[str]) -> dict[str, bytes]:
+        """The ids of distinct ``strings``, as 32-bit words."""
+        young, old = self.young, self.old
+        found = {x: ids for x in strings if (ids := young.get(x)) is not None}
+        if len(found) < len(strings):
+            moved = {x: ids for x in strings if x not in found and (ids := old.get(x)) is not None}
+            new = [x for x in strings if x not in found and x not in moved]
+            for k in range(0, len(new), 20_000):
+                some = new[k:k + 20_000]
+                for x, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                    moved[x] = np.array(e.ids, "<u4").tobytes()
+            found |= moved
+            if len(young) + len(moved) > CACHE:
+                self.old, self.young = young, {}
+            self.young.update(moved if len(moved) <= CACHE else {})
+        return found
 
-    def learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """The ids of chunks not remembered, as 32-bit words."""
+    def chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct blank-free chunks. The tokenizer lower-cases,
+        and cuts between letters and marks, so a plain word and the marks
+        behind it are looked up apart: far fewer different strings."""
         split = _word_and_marks.fullmatch
-        halves = {c: (m[1].lower(), m[2]) if (m := split(c)) else (c, "") for c in chunks}
-        new = list({x for pair in halves.values() for x in pair}.difference(self.pieces))
-        known = {}
-        for k in range(0, len(new), 20_000):
-            some = new[k:k + 20_000]
-            for x, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[x] = np.array(e.ids, "<u4").tobytes()
-        keep = CACHE - len(self.pieces)
-        self.pieces.update(known if keep >= len(known) else list(known.items())[:max(0, keep)])
-        if keep >= len(known):
-            known = self.pieces
-        else:
-            known |= {x: self.pieces[x] for pair in halves.values() for x in pair if x in self.pieces}
-        found = {c: known[word] + known[marks] if marks else known[word] for c, (word, marks) in halves.items()}
-        keep = CACHE - len(self.chunks)
-        self.chunks.update(found if keep >= len(found) else list(found.items())[:max(0, keep)])
-        return found
+        halves = [(m[1].lower(), m[2]) if (m := split(c)) else (c, "") for c in chunks]
+        known = self.ids(list({x for pair in halves for x in pair}))
+        return [known[word] + known[marks] if marks else known[word] for word, marks in halves]
 
 
 # Letters of which lower case and composed form are plain, and marks behind them.
 _word_and_marks = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
 
 
-def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit words, with the end id."""
+def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts, each text's with the end id behind them, and the
+    n + 1 offsets of the texts.
+
+    The tokenizer drops white space and no token spans it, so a text's ids are
+    those of its chunks between blanks. Each distinct chunk is looked up once,
+    and the ids of all places are gathered at once."""
     if path not in _known:
         _known[path] = Memory(path)
-    memory = _known[path]
-    split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-    memory.chunks.others = memory.learn(set().union(*split).difference(memory.chunks))
-    end = np.array([END_ID], "<u4").tobytes()
-    return [b"".join(map(memory.chunks.__getitem__, chunks)) + end for chunks in split]
+    lists = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+    chunks = lists.flatten().dictionary_encode()
+    ids = [*_known[path].chunk_ids(chunks.dictionary.to_pylist()), np.array([END_ID], "<u4").tobytes()]
+    size = np.array([len(x) // 4 for x in ids], np.int64)
+    every, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+    codes = np.insert(chunks.indices.to_numpy().astype(np.int64), ends, len(ids) - 1)
+    n = size[codes]
+    after = np.cumsum(n)
+    place = np.arange(after[-1] if len(after) else 0) + np.repeat(first[codes] - after + n, n)
+    return every[place], np.concatenate([[0], after[ends + np.arange(len(ends))]])
+
+
+def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit words, with the end id."""
+    ids, at = token_ids(pa.array(texts, pa.string()), path)
+    return [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 def tokenised(docs: DataFrame, path: str) -> DataFrame:
@@ -106,12 +120,12 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
         part, before = TaskContext.get().partitionId(), 0
         for whole in batches:
             for some in slices(whole, 1, STRETCH):
-                ids = token_bytes(some.column(1).to_pylist(), path)
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                small = [np.frombuffer(x, "<u4") for x in ids]
-                small = [x.astype("<u2").tobytes() if x.max() < 1 << 16 else b"\0" + x.tobytes() for x in small]
+                ids, at = token_ids(some.column(1), path)
+                n = np.diff(at)
+                cut = [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+                small = [x.astype("<u2").tobytes() if x.max() < 1 << 16 else b"\0" + x.tobytes() for x in cut]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part)), some.column(0), pa.array(before + np.cumsum(n) - n), pa.array(n),
+                    [pa.array(np.full(len(n), part)), some.column(0), pa.array(before + np.cumsum(n) - n), pa.array(n),
                      pa.array(small, pa.binary())], names=["part", "doc_id", "before", "n", "ids"])
                 before += int(n.sum())
 
