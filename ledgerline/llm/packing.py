@@ -30,7 +30,7 @@ from ledgerline.llm.common import slices, stored
 
 SIZE = 2048
 END_ID = 1
-CACHE = 200_000  # strings of a generation whose ids a worker remembers
+CACHE = 500_000  # strings of a generation whose ids a worker remembers
 STRETCH = 4 << 20  # bytes of text split at a time
 
 _known: dict[str, Memory] = {}
