@@ -1,0 +1,85 @@
+"""Chunk counts, bounded step texts, running totals, merged histograms, streams that stop and fail."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.operators import keys, metrics, runs
+from ledgerline.streaming import ingest
+from tests.test_streaming import records, transform
+
+
+def test_running_totals_over_many_ranges(spark):
+    df = spark.range(3000).select((F.col("id") * 7 % 3001).alias("k"), (F.col("id") % 5).alias("w"))
+    got = sorted((r.k, r.w, r.before) for r in keys.running_totals(df, ["k"], "w", "before", rows_per_range=170).collect())
+    total = 0
+    for _, w, before in got:
+        assert before == total
+        total += w
+    assert keys.running_totals(df.limit(0), ["k"], "w", "before").count() == 0
+
+
+def test_chunks_of_a_fixed_number_of_rows(spark):
+    df = spark.range(25).select("id", F.when(F.col("id") % 4 != 3, F.col("id") % 2 == 0).alias("ok"))
+    got = sorted(tuple(r) for r in runs.chunk_log(df, ["id"], F.col("ok"), rows=10).collect())
+    assert got == [(0, 10, 5), (1, 10, 5), (2, 5, 3)]
+    assert runs.chunk_log(df.limit(0), ["id"], F.col("ok")).collect() == []
+
+
+def test_step_texts_stay_within_their_size_in_a_hot_hour(spark):
+    """A third of the log is one step in one hour; a message is longer than a part."""
+    steps = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("step_id"), F.col("id").alias("event_id"),
+        F.lit("2024-01-01 05:00:00").cast("timestamp_ntz").alias("ts"), (F.col("id") % 2 == 0).alias("failed"),
+        F.when(F.col("id") == 600, F.repeat(F.lit("x"), 5000)).when(F.col("id") % 7 != 0, F.concat(F.lit("é "), F.col("id"))).alias("message"))
+    parts = runs.step_parts(steps, max_bytes=1000, max_messages=40)
+    rows = parts.collect()
+    assert max(len(r["text"].encode()) for r in rows if "x" not in r["text"]) <= 1000 + 12 and max(r["n_messages"] for r in rows) <= 41
+    assert len([r for r in rows if r["step_id"] == 1]) > 5
+    joined = {}
+    for r in sorted(rows, key=lambda r: (r["step_id"], r["part"])):
+        joined.setdefault(r["step_id"], []).append(r["text"])
+    whole = {r["step_id"]: r["messages"] for r in runs.step_status(steps).collect() if r["messages"]}
+    assert {k: "\n".join(v) for k, v in joined.items()} == whole
+
+
+def test_histogram_states_merge_in_any_parts(spark):
+    df = spark.range(500).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 11 != 0, F.col("id") / 7).alias("v"), "id")
+    parts = [metrics.histogram_state(df.filter(F.col("id") % 4 == k), "v", ["g"]) for k in range(4)]
+    merged = metrics.merge_histograms(parts[2].union(parts[0]).union(parts[3]).union(parts[1]), ["g"], "app")
+    one = metrics.latency_histogram(df, "v", ["g"], application="app")
+    assert merged.columns == one.columns and sorted(map(tuple, merged.collect())) == sorted(map(tuple, one.collect()))
+
+
+def test_offsets_are_audited(spark):
+    df = spark.createDataFrame([("t", 0, 5), ("t", 0, 6), ("t", 0, 9), ("t", 0, 9), ("t", 1, 1)], "topic string, partition int, offset bigint")
+    assert sorted(map(tuple, ingest.audit_offsets(df).collect())) == [("t", 0, 4, 5, 9, 2, 1), ("t", 1, 1, 1, 1, 0, 0)]
+
+
+def test_a_batch_that_fails_before_its_commit_is_delivered_again(spark, tmpdir_fresh):
+    src, out, log, ckpt = (os.path.join(tmpdir_fresh, x) for x in ["in", "out", "log", "ckpt"])
+    ingest.write_records(records(spark, 90), src, n_files=6)
+    fn = ingest.FailOnce(ingest.idempotent_batch_writer(transform, out, "s"), 1, log)
+    ingest.ingest_through_failure(spark, lambda: ingest.file_stream(spark, src), fn, ckpt)
+    assert sorted(r.id for r in spark.read.parquet(out).select("id").collect()) == list(range(90))
+    assert [tuple(r) for r in ingest.redelivered(spark.read.parquet(log)).collect()] == [(1, 2)]
+
+    def broken(batch, batch_id):
+        raise ValueError("not the injected fault")
+
+    other = ingest.FailOnce(broken, 5, log)
+    with pytest.raises(Exception, match="not the injected fault"):
+        ingest.ingest_through_failure(spark, lambda: ingest.file_stream(spark, src), other, ckpt + "2")
+
+
+def test_a_running_stream_goes_on_after_a_stop(spark, tmpdir_fresh):
+    src, out, ckpt = (os.path.join(tmpdir_fresh, x) for x in ["in", "out", "ckpt"])
+    fn = ingest.idempotent_batch_writer(transform, out, "s")
+    last = []
+    for wave in (0, 1):
+        records(spark, 60).filter(F.col("offset") % 2 == wave).repartition(4).write.mode("append").parquet(src)
+        last.append(ingest.catch_up(ingest.ingest_continuously(spark, ingest.file_stream(spark, src), fn, ckpt, every="0 seconds")))
+    assert last[1] > last[0] >= 1
+    assert sorted(r.id for r in spark.read.parquet(out).select("id").collect()) == list(range(60))
+    assert ingest.waiting_options(500) == {"minOffsetsPerTrigger": "500", "maxTriggerDelay": "5 seconds"}
