@@ -8,6 +8,11 @@ paragraphs, headings, lists and tables, list items carry their mark and
 indent, table cells are padded into columns, ``pre`` keeps its blanks, and
 all other white space collapses.
 
+Time and output are linear in the page: indents stop growing at INDENT
+characters, a cell line wider than CELL does not widen its column, a row that
+would be mostly padding has its cells one below another, and in tables nested
+deeper than TABLES every cell stands on lines of its own.
+
 Visibility: ``head``, scripts, styles, templates and form values do not
 show; neither do elements with ``hidden``, ``aria-hidden=true`` or an inline
 style of ``display:none`` or ``visibility:hidden``.
@@ -20,6 +25,8 @@ are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -47,6 +54,20 @@ SCOPE = set("table td th caption ul ol dl div section article body html blockquo
 PARENT_SCOPE = {"li": {"ul", "ol", "menu", "table"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
                 "thead": {"table"}, "tbody": {"table"}, "option": {"select"}, "head": {"html"}, "p": SCOPE}
 COLUMN_GAP = "  "
+INDENT = 64  # widest indent of list items, in characters
+CELL = 200  # widest column that cells are padded to
+PADDED, PADDED_FLOOR = 32, 2000  # a row may take that many times its text, or the floor, as padded columns
+TABLES = 16  # tables nested deeper are not laid out in columns
+
+# By start tag: what it ends, and how far out that reaches.
+_ENDS = defaultdict(set)
+for _tag, _by in ENDED_BY.items():
+    for _next in _by:
+        _ENDS[_next].add(_tag)
+_ENDS = dict(_ENDS)
+_REACH = {tag: PARENT_SCOPE.get(tag, SCOPE) - ends for tag, ends in _ENDS.items()}
+_CELLS = ("td", "th", "table")
+_THROUGH_CELLS = set("tr table tbody thead tfoot body".split())  # end tags that leave a cell
 
 _token = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)"
                     r"|<([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"']|[\"'])*?)(/?)(?:>|\Z)", re.S)
@@ -67,10 +88,35 @@ def _attributes(source: str) -> dict[str, str]:
     return {k.lower(): unescape(v[1:-1] if v[:1] in "\"'" and v else v) for k, v in reversed(_attribute.findall(source))}
 
 
+class _Open:
+    """The open elements, and the places of each tag among them (the root has none)."""
+
+    def __init__(self, root: Node):
+        self.stack, self.places = [root], defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, k: int) -> None:
+        while len(self.stack) > k:
+            self.places[self.stack.pop().tag].pop()
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element of ``tags``; 0 if there is none."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def first_within(self, tags, outer: int) -> int | None:
+        """Place of the outermost open element of ``tags`` inside of ``outer``."""
+        inside = (p[k] for t in tags if (p := self.places.get(t)) and (k := bisect_right(p, outer)) < len(p))
+        return min(inside, default=None)
+
+
 def parse(html: str) -> Node:
     """The element tree of ``html``."""
     root = Node("html")
-    stack, at = [root], 0
+    opened, at = _Open(root), 0
+    stack = opened.stack
     while at < len(html):
         m = _token.search(html, at)
         text = html[at:m.start() if m else len(html)]
@@ -81,18 +127,12 @@ def parse(html: str) -> Node:
         at = m.end()
         end, tag, source = (m[1] or "").lower(), (m[2] or "").lower(), m[3] or ""
         if end:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == end:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("td", "th", "table") and end not in ("tr", "table", "tbody", "thead", "tfoot", "body"):
-                    break
+            k = opened.last((end,))
+            if k and (end in _THROUGH_CELLS or k >= opened.last(_CELLS)):
+                opened.cut(k)
         elif tag:
-            for k in range(len(stack) - 1, 0, -1):
-                if tag in ENDED_BY.get(stack[k].tag, ()):
-                    del stack[k:]
-                elif stack[k].tag in PARENT_SCOPE.get(tag, SCOPE):
-                    break
+            if tag in _ENDS and (k := opened.first_within(_ENDS[tag], opened.last(_REACH[tag]))):
+                opened.cut(k)
             a = _attributes(source) if source.strip() else {}
             unseen = tag in HIDDEN or "hidden" in a or a.get("aria-hidden", "").lower() == "true" \
                 or bool(_unseen.search(a.get("style", ""))) or tag == "input" and a.get("type", "").lower() == "hidden"
@@ -107,7 +147,7 @@ def parse(html: str) -> Node:
                 node.children.append(inner)
                 at = html.find(">", close.start()) + 1 or len(html) if close else len(html)
             elif tag not in VOID and not m[4]:
-                stack.append(node)
+                opened.push(node)
     return root
 
 
@@ -117,6 +157,8 @@ class _Lines:
     def __init__(self):
         self.lines: list[str] = []
         self.open, self.gap = [], False
+        # Marks of open list items without a line so far, and the indent of the others.
+        self.marks, self.indent = [], 0
 
     def add(self, text: str, keep: bool = False) -> None:
         if keep:
@@ -137,18 +179,32 @@ class _Lines:
     def end(self, always: bool = False) -> None:
         line = "".join(self.open).rstrip(" ")
         if line or always:
-            self.lines.append(line)
+            self.put(line)
         self.open, self.gap = [], False
 
+    def put(self, line: str) -> None:
+        if line:
+            line = " " * min(self.indent, INDENT) + "".join(self.marks) + line
+            self.indent += sum(map(len, self.marks))
+            self.marks = []
+        self.lines.append(line)
+
+    def close_item(self, mark: str) -> None:
+        if self.marks:
+            self.marks.pop()
+        else:
+            self.indent -= len(mark)
+
     def space(self) -> None:
         self.end()
         if self.lines and self.lines[-1]:
             self.lines.append("")
 
 
-def _table(node: Node) -> Generator[Generator, list[str], list[str]]:
+def _table(node: Node, depth: int) -> Generator[Generator, list[str], list[str]]:
     """Rows with their cells padded into columns; a caption and text outside
-    of cells stand above. Yields what is to be rendered first (see ``render``)."""
+    of cells stand above. ``depth``: the tables around it. Yields what is to be
+    rendered first (see ``render``)."""
     rows, above, todo = [], [], list(reversed(node.children))
     while todo:
         c = todo.pop()
@@ -164,18 +220,23 @@ def _table(node: Node) -> Generator[Generator, list[str], list[str]]:
                     if x.strip():
                         above.append(_white.sub(" ", x).strip())
                 elif not x.hidden:
-                    rows[-1].append((yield _lines(x)))
+                    rows[-1].append((yield _lines(x, depth + 1)))
         elif not c.hidden:
-            above += [line for line in (yield _lines(c)) if line]
+            above += [line for line in (yield _lines(c, depth + 1)) if line]
     widths: list[int] = []
     for cells in rows:
         for k, cell in enumerate(cells):
             if k == len(widths):
                 widths.append(0)
-            widths[k] = max(widths[k], *map(len, cell or [""]))
+            widths[k] = max([widths[k], *(len(line) for line in cell if len(line) <= CELL)])
     out = above
     for cells in rows:
-        for k in range(max(map(len, cells), default=0)):
+        high = max(map(len, cells), default=0)
+        text = sum(len(line) + 1 for cell in cells for line in cell) + len(cells)
+        if high * sum(w + len(COLUMN_GAP) for _, w in zip(cells, widths)) > max(PADDED * text, PADDED_FLOOR):
+            out += [line for cell in cells for line in cell]
+            continue
+        for k in range(high):
             out.append(COLUMN_GAP.join((c[k] if k < len(c) else "").ljust(w) for c, w in zip(cells, widths)).rstrip())
     return out
 
@@ -196,23 +257,24 @@ def render(node: Node) -> list[str]:
     return lines
 
 
-def _lines(node: Node) -> Generator[Generator, list[str], list[str]]:
-    """Lines of ``node``; yields the tables in it, to be sent their lines."""
+def _lines(node: Node, depth: int = 0) -> Generator[Generator, list[str], list[str]]:
+    """Lines of ``node``, which stands in ``depth`` tables; yields the tables in
+    it, to be sent their lines."""
     out = _Lines()
-    # (node, next child, indent before, number of the next item)
+    # (node, next child, number of the next item)
     stack: list[list] = [[node, 0, node.start]]
-    marks: list[tuple[int, str]] = []  # where items begin and their marks
+    marks: list[str] = []  # of the open items
+    inside = {"pre": int(node.tag == "pre"), "li": int(node.tag == "li")}  # how many are open
 
     def close(n: Node) -> None:
         if n.tag in SPACED:
             out.space()
         elif n.tag in BLOCK:
             out.end()
-        if n.tag == "li" and marks:
-            begin, mark = marks.pop()
-            for k in range(begin, len(out.lines)):
-                if out.lines[k]:
-                    out.lines[k] = (mark if k == begin else " " * len(mark)) + out.lines[k]
+        if n.tag in inside:
+            inside[n.tag] -= 1
+        if n.tag == "li":
+            out.close_item(marks.pop())
 
     while stack:
         top = stack[-1]
@@ -225,17 +287,18 @@ def _lines(node: Node) -> Generator[Generator, list[str], list[str]]:
         top[1] += 1
         c = n.children[k]
         if isinstance(c, str):
-            out.add(c, keep=any(s[0].tag == "pre" for s in stack))
+            out.add(c, keep=inside["pre"] > 0)
         elif c.hidden:
             continue
         elif c.tag == "br":
             out.end(always=bool(out.open))
-        elif c.tag == "table":
+        elif c.tag == "table" and depth < TABLES:
             out.space()
-            out.lines += yield _table(c)
+            for line in (yield _table(c, depth)):
+                out.put(line)
             out.space()
         else:
-            if c.tag in SPACED and not (c.tag in ("ul", "ol", "dl") and any(s[0].tag == "li" for s in stack)):
+            if c.tag in SPACED and not (c.tag in ("ul", "ol", "dl") and inside["li"]):
                 out.space()
             elif c.tag in BLOCK:
                 out.end()
@@ -243,7 +306,10 @@ def _lines(node: Node) -> Generator[Generator, list[str], list[str]]:
                 mark = "- "
                 if n.tag == "ol":
                     mark, top[2] = f"{top[2]}. ", top[2] + 1
-                marks.append((len(out.lines), mark))
+                marks.append(mark)
+                out.marks.append(mark)
+            if c.tag in inside:
+                inside[c.tag] += 1
             stack.append([c, 0, c.start])
     out.end()
     lines = out.lines

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -209,6 +210,33 @@ def test_text_outside_cells_and_tables_in_tables(html, text):
     assert re.sub(" +$", "", html_text.page_text(html), flags=re.M) == text
 
 
+@pytest.mark.parametrize("unit", ["<b>x", "<ul><li>", "<ul><li>a", "<table><tr><td>x<td>", "<table><tr><td>x<tr><td>", "</i><b>", "<p><b>",
+                                  "<pre>\n a", "<table><tr><td>x<td>y<br>z", "<dl><dd>q", "<tr><td>a<td>b", "<a \"", "<a '", "<select><option>a"])
+def test_time_and_output_grow_with_the_page(unit):
+    def run(n):
+        began = time.perf_counter()
+        out = html_text.page_text(unit * (n // len(unit)))
+        return time.perf_counter() - began, len(out)
+
+    small, large = min(run(20_000) for _ in range(3)), run(160_000)
+    assert large[0] < 24 * small[0] + 0.2 and large[1] <= 10 * small[1] + 100
+
+
+def test_wide_cells_and_deep_items_keep_their_text():
+    wide = html_text.page_text("<table><tr><td>" + "w" * 50_000 + "<td>" + "a<br>" * 2000 + "</table>")
+    assert wide.count("w") == 50_000 and wide.count("a") == 2000 and len(wide) < 1_000_000
+    many = html_text.page_text("<table><tr>" + "<td>c" * 500 + "<td>" + "a<br>" * 2000 + "</table>")
+    assert many.split() == ["c"] * 500 + ["a"] * 2000 and len(many) < 10_000
+    deep = html_text.page_text("<ul><li>a" * 100).split("\n")
+    assert [len(line) - 3 for line in deep] == [min(2 * k, html_text.INDENT) for k in range(100)]
+    nested = html_text.page_text("<table><tr><td>x<td>" * 40)
+    assert nested.split() == ["x"] * 40
+
+
+def test_an_item_that_begins_with_a_paragraph_has_its_mark():
+    assert html_text.page_text("<ul><li>a<li><p>b<p>c</ul>") == "- a\n\n- b\n\n  c"
+
+
 def test_broken_markup_never_fails():
     rng = random.Random(6)
     parts = ["<p>", "</p>", "<table>", "<tr>", "<td>", "</td>", "<li>", "<ul>", "</ul>", "<", ">", "&", "\"", "'", "<!--", "-->", "x ", "\n",
