@@ -32,6 +32,13 @@ from ledgerline.llm.common import stored
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "ssn", "iban")
 
+# How many characters an account number has after its country and check digits.
+IBAN_REST = {11: "NO", 12: "BE", 14: "DK FI FK FO GL NL SD", 15: "MK SI", 16: "AT BA EE KZ LT LU MN XK", 17: "CH CR HR LI LV",
+             18: "BG BH DE GB GE IE ME RS VA", 19: "AE GI IL IQ OM SO TL", 20: "AD CZ ES MD PK RO SA SE SK TN VG", 21: "LY PT ST",
+             22: "IS TR", 23: "BI DJ FR GR IT MC MR SM", 24: "AL AZ BY CY DO GT HN HU LB NI PL SV", 25: "BR EG PS QA UA",
+             26: "JO KW MU YE", 27: "MT SC", 28: "LC", 29: "RU"}
+_IBAN = "|".join(rf"(?:{'|'.join(c.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n}}}" for n, c in IBAN_REST.items())
+
 # Fixed values. Each pattern finds the leftmost, non-overlapping matches of the plain form beside it.
 _LOCAL = r"A-Za-z0-9._%+-"
 PATTERNS = {
@@ -44,7 +51,7 @@ PATTERNS = {
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "iban": r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Z0-9])",
+    "iban": rf"(?<![A-Z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBAN})(?![A-Z0-9])",
 }
 # A cheap test that a text may hold the kind at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]", "ssn": r"[0-9]-[0-9]",
