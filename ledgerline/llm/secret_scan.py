@@ -2,8 +2,12 @@
 
 Every version of a text is addressed by the SHA-256 of its bytes. The ledger
 holds the findings of each (blob, rule version) pair scanned so far. A run
-scans only the pairs the ledger lacks, one copy of each blob, appends what it
-finds, and joins the ledger's findings back to every path.
+scans only the pairs the ledger lacks, one copy of each blob, and joins the
+ledger's findings back to every path. A ledger kept between runs is a Parquet
+folder, named by ``ledger`` or, without it, by the session's setting
+``spark.ledgerline.secretLedger``: it is made where it is missing, and each run
+appends what it scanned. A run that fails before its append leaves the ledger
+as it was; blobs that two runs appended at the same time count once.
 
 Kinds ``assign``, ``access`` and ``hex`` are the base rules; ``pem``,
 ``jwt``, ``github`` and ``slack`` are further formats. Matches are leftmost
@@ -25,7 +29,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import stored
@@ -44,24 +48,30 @@ _FIELD = r"(?:(?:Proc-Type|DEK-Info|Key-Info):\x20*+[^\s\\]++|(?:Comment|Version
 _LONG = rf"{_SPACE}{_BASE64}{{16,}}+"
 _LINE = rf"{_BETWEEN}*+{_BREAK}{_SPACE}{_BASE64}{{1,15}}+(?={_BETWEEN}*+(?:{_BREAK}|\Z))"
 _LAST = rf"(?:{_BETWEEN}++{_BASE64}{{1,15}}+(?=[\s\\\"'`,-]|\Z))?+"
+# Three runs with dots between, the first two from "eyJ" on; only the start of a run is tried, so that time is linear.
+_RUN = r"[A-Za-z0-9_-]"
+JWT = rf"(?<!{_RUN})(?:(?!eyJ{_RUN}){_RUN})*+(?P<span>eyJ{_RUN}++\.eyJ{_RUN}++\.{_RUN}++)"
 PEM = rf"{PEM_BEGIN}(?:(?:(?!{PEM_BEGIN})[\s\S])*?{PEM_END}|(?:{_SPACE}{_FIELD})*+(?:(?:{_LINE})*+{_LONG}(?:{_LINE}|{_LONG})*+{_LAST}|(?:{_LINE})*+))"
 RULES: dict[str, tuple[re.Pattern, object]] = {
     "assign": (re.compile(*ASSIGN), lambda m: len(m[2]) >= 12),
     "access": (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
     "hex": (re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 16),
     "pem": (re.compile(PEM), lambda m: True),
-    "jwt": (re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), lambda m: True),
+    "jwt": (re.compile(JWT), lambda m: True),
     "github": (re.compile(r"gh[pousr]_[A-Za-z0-9]+"), lambda m: len(m[0]) >= 40),
     "slack": (re.compile(r"xox[abprs]-[A-Za-z0-9-]+"), lambda m: len(m[0]) >= 20),
 }
 BASE = ("assign", "access", "hex")
+LEDGER_SETTING = "spark.ledgerline.secretLedger"
 RULE_VERSION = "1:" + hashlib.sha256(repr([(k, r.pattern, r.flags) for k, (r, _) in RULES.items()]).encode()).hexdigest()[:12]
 
 
 def find(text: str) -> list[dict]:
     """All findings by start, then in the order of RULES; code points, end exclusive."""
-    found = [(m.start(), rank, kind, m.end()) for rank, (kind, (rx, ok)) in enumerate(RULES.items())
-             for m in rx.finditer(text) if ok(m)]
+    found = []
+    for rank, (kind, (rx, ok)) in enumerate(RULES.items()):
+        group = "span" if "span" in rx.groupindex else 0
+        found += [(m.start(group), rank, kind, m.end(group)) for m in rx.finditer(text) if ok(m)]
     return [{"kind": kind, "start": start, "end": end} for start, _, kind, end in sorted(found)]
 
 
@@ -98,11 +108,34 @@ def update_ledger(versions: DataFrame, ledger: DataFrame | None = None) -> DataF
     return stored(scan_blobs(one).groupBy("blob", "rule_version").agg(F.first("findings").alias("findings")), "ledger")
 
 
-def scan(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """(doc_id, blob, findings) of every row, through the ledger."""
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger kept at ``path`` as it is now, empty at first."""
+    spark.createDataFrame([], LEDGER).write.mode("ignore").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
+
+
+def hits_of(docs: DataFrame, ledger: DataFrame | str | None = None) -> DataFrame:
+    """(blob, findings) of the blobs with findings, one row each, after the
+    unseen blobs of ``docs`` were scanned. ``ledger``: its rows, which are only
+    read, or its path, where the scanned blobs are appended."""
+    spark = docs.sparkSession
+    path = ledger if isinstance(ledger, str) else spark.conf.get(LEDGER_SETTING, None) if ledger is None else None
+    if path:
+        ledger = read_ledger(spark, path)
     new = update_ledger(docs, ledger)
-    book = new if ledger is None else new.unionByName(ledger.filter(F.col("rule_version") == RULE_VERSION))
-    hits = book.filter(F.size("findings") > 0).select("blob", "findings")
+    if path:
+        new.write.mode("append").parquet(path)
+    some = F.size("findings") > 0
+    hits = new.filter(some).select("blob", "findings")
+    if ledger is None:
+        return hits
+    old = ledger.filter((F.col("rule_version") == RULE_VERSION) & some)
+    return hits.unionByName(old.select("blob", "findings").dropDuplicates(["blob"]))
+
+
+def scan(docs: DataFrame, ledger: DataFrame | str | None = None) -> DataFrame:
+    """(doc_id, blob, findings) of every row, through the ledger."""
+    hits = hits_of(docs, ledger)
     paths = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), blob_id().alias("blob"))
     none = F.from_json(F.lit("[]"), "array<struct<kind: string, start: bigint, end: bigint>>")
     return paths.join(hits, "blob", "left").select("doc_id", "blob", F.coalesce("findings", none).alias("findings"))
@@ -121,12 +154,10 @@ def masked(text: str, findings: list[dict]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redacted(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+def redacted(docs: DataFrame, ledger: DataFrame | str | None = None) -> DataFrame:
     """``docs`` with secrets masked in ``text`` and ``n_chars`` counted anew
     where a text changed; every row stays, all other columns unchanged."""
-    new = update_ledger(docs, ledger)
-    book = new if ledger is None else new.unionByName(ledger.filter(F.col("rule_version") == RULE_VERSION))
-    hits = book.filter(F.size("findings") > 0).select("blob", "findings")
+    hits = hits_of(docs, ledger)
     # The row travels as one struct, so no column of docs can clash.
     marked = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), blob_id().alias("key")).join(
         hits, F.col("key") == F.col("blob"), "left")

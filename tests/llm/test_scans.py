@@ -1,6 +1,7 @@
 """License, secret and personal-data scans against plain Python."""
 
 import hashlib
+import random
 import re
 import time
 
@@ -85,6 +86,17 @@ def test_personal_spans_of_the_method(spark):
     assert ("ssn", "123-45-6789") in got[15] and ("iban", "GB82 WEST 1234 5698 7654 32") in got[15]
 
 
+@pytest.mark.parametrize(("text", "iban"), [
+    ("DE89370400440532013000 Bank", "DE89370400440532013000"), ("pay DE89 3704 0044 0532 0130 00 Bank", "DE89 3704 0044 0532 0130 00"),
+    ("GB82WEST12345698765432 A B", "GB82WEST12345698765432"), ("GB82 WEST 1234 5698 7654 32, LONDON", "GB82 WEST 1234 5698 7654 32"),
+    ("NO93 8601 1117 947 AND MORE", "NO93 8601 1117 947"), ("FR1420041010050500013M02606 X", "FR1420041010050500013M02606"),
+    ("DE89370400440532013000X", None), ("DE88370400440532013000", None), ("ZZ89370400440532013000", None), ("XDE89370400440532013000", None)])
+def test_account_numbers_end_by_their_country(spark, text, iban):
+    row = pii.candidates(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).filter("kind = 'iban'").filter(
+        pii.checked(F.col("kind"), F.col("match"))).select("match", "start").collect()
+    assert [tuple(r) for r in row] == ([(iban, text.index(iban))] if iban else [])
+
+
 def test_reliabilities_follow_agreement():
     post = pii.reliabilities([("ip", 1, 1, None, 1, 90), ("ip", 0, 0, None, 0, 10), ("ip", 1, 0, None, 1, 5)])
     assert post["ip", 1, 1, None, 1] > 0.9 > 0.5 > post["ip", 0, 0, None, 0]
@@ -106,6 +118,29 @@ def test_ledger_scans_only_unseen_blobs(spark):
     assert both == cases.rows(secret_scan.scan(docs), "doc_id", "blob", "findings")
 
 
+def test_kept_ledger_grows_by_unseen_blobs(spark, tmp_path, monkeypatch):
+    docs = cases.documents(spark)
+    first, path = docs.filter("doc_id < 12"), str(tmp_path / "kept")
+    scanned = []
+    plain = secret_scan.scan_blobs
+    monkeypatch.setattr(secret_scan, "scan_blobs", lambda b: (scanned.append({r["blob"] for r in b.select("blob").collect()}), plain(b))[1])
+    want = cases.rows(secret_scan.scan(docs), "doc_id", "blob", "findings")
+    secret_scan.scan(first, path).count()
+    spark.conf.set(secret_scan.LEDGER_SETTING, path)
+    try:
+        assert cases.rows(secret_scan.scan(docs), "doc_id", "blob", "findings") == want
+        masked = cases.rows(secret_scan.redacted(docs), *docs.columns)
+    finally:
+        spark.conf.unset(secret_scan.LEDGER_SETTING)
+    assert masked == cases.rows(secret_scan.redacted(docs), *docs.columns)
+    everything, begun, more, nothing = scanned[:4]
+    assert begun and more and not begun & more and begun | more == everything and not nothing
+    book = spark.read.parquet(path)
+    assert book.count() == len(everything)
+    # Two runs that appended the same blobs.
+    assert cases.rows(secret_scan.scan(docs, book.unionByName(book)), "doc_id", "blob", "findings") == want
+
+
 def test_redaction_masks_and_keeps_everything_else(spark):
     docs = cases.documents(spark)
     got = secret_scan.redacted(docs)
@@ -160,6 +195,26 @@ def test_private_keys_take_linear_time(unit):
     assert seconds(400_000) < 20 * min(seconds(50_000) for _ in range(3)) + 0.1
 
 
+JWT = r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"
+
+
+def test_web_tokens_are_those_of_the_plain_pattern():
+    rng = random.Random(8)
+    for _ in range(20_000):
+        text = "".join(rng.choice(["eyJ", "ey", ".", "a", "J", " ", "-"]) for _ in range(rng.randrange(25)))
+        assert [(f["start"], f["end"]) for f in secret_scan.find(text) if f["kind"] == "jwt"] == [m.span() for m in re.finditer(JWT, text)]
+
+
+@pytest.mark.parametrize("unit", ["eyJ", "eyJ.", "eyJa.", "a", "eyJa.eyJb.", "password ", "ghp_", "xoxb-", "AKIA", "0a"])
+def test_every_rule_takes_linear_time(unit):
+    def seconds(n):
+        began = time.perf_counter()
+        secret_scan.find(unit * (n // len(unit)))
+        return time.perf_counter() - began
+
+    assert seconds(800_000) < 20 * min(seconds(100_000) for _ in range(3)) + 0.2
+
+
 @pytest.mark.parametrize("scan", [license_scan.scan, secret_scan.scan, secret_scan.redacted, pii.scan])
 def test_empty_table(spark, scan):
     assert scan(cases.empty(spark)).count() == 0
