@@ -22,6 +22,12 @@ task. Instead the "previous element" is found in two levels:
    many tasks as it has slices);
 2. the first row of each slice takes the last value of the id's previous
    slice from a per-slice summary (one row per slice, tiny next to the log).
+A log with bursts (many changes of one id within a slice) is folded with
+``max_slice_rows``: the changes of every (id, slice) with more rows are dealt by
+Spark's range partitioner on ``(id, slice, ts, event_id)`` into written ranges of about
+that many rows, and each range is a slice of its own, so slices are bounded
+by count however dense the log is. It costs a count of the rows of each slice.
+
 The final per-id aggregate is partial-aggregated before its shuffle. The log
 itself is shuffled once.
 
@@ -39,6 +45,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import is_blank
 from ledgerline.functions.timefmt import time_slice
+from ledgerline.session import scratch_path
 
 MARKS = ["DELETE", "RESTORE"]
 DEFAULT_GRAIN_SECONDS = 3600
@@ -54,7 +61,31 @@ def rejected_changes(changes: DataFrame) -> DataFrame:
         {"error_type": F.lit("BAD_REQUEST"), "message": F.lit("Description must not be blank.")})
 
 
-def _with_effective(changes: DataFrame, grain_seconds: int, prior: DataFrame | None) -> DataFrame:
+def _cut_bursts(rows: DataFrame, max_slice_rows: int, max_broadcast: int = 1_000_000) -> DataFrame:
+    """``rows`` with ``bucket`` cut into parts (bucket, part) where one id has
+    more than about ``max_slice_rows`` rows in it; other buckets have one part."""
+    spark, group = rows.sparkSession, ["id", "bucket"]
+    path = scratch_path(spark, "bursts")
+    rows.groupBy(*group).count().where(F.col("count") > max_slice_rows).write.parquet(path)
+    bursts = spark.read.parquet(path)
+    n, total = bursts.agg(F.count(F.lit(1)), F.sum("count")).first()
+    if not n:
+        return rows
+    # Above the bound both joins shuffle, and AQE splits the crowded groups.
+    keep = bursts.select(*group)
+    keep = F.broadcast(keep) if n <= max_broadcast else keep.hint("merge")
+
+    def part(df: DataFrame, c: Column) -> DataFrame:
+        return df.withColumn("bucket", F.struct("bucket", c.alias("part")))
+
+    path = scratch_path(spark, "ranges")
+    part(rows.join(keep, group, "left_semi").repartitionByRange(-(-total // max_slice_rows), *group, "ts", "event_id"),
+         F.spark_partition_id()).write.parquet(path)
+    return part(rows.join(keep, group, "left_anti"), F.lit(0)).unionByName(spark.read.parquet(path))
+
+
+def _with_effective(changes: DataFrame, grain_seconds: int, prior: DataFrame | None,
+                    max_slice_rows: int | None = None) -> DataFrame:
     """Accepted changes with ``kind``, ``x`` (the compared value) and ``effective``.
 
     ``prior`` (id, prev_value, prev_mark) seeds the first slice of each id
@@ -67,6 +98,8 @@ def _with_effective(changes: DataFrame, grain_seconds: int, prior: DataFrame | N
         F.when(op.isin(MARKS), op).otherwise(F.col("description")).alias("x"),
         time_slice(F.col("ts"), grain_seconds).alias("bucket"),
     )
+    if max_slice_rows:
+        rows = _cut_bursts(rows, max_slice_rows)
     in_slice = Window.partitionBy("id", "kind", "bucket").orderBy("ts", "event_id")
     whole_slice = in_slice.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumns({"lag_x": F.lag("x").over(in_slice),
@@ -130,13 +163,15 @@ def _summarise(rows: DataFrame) -> DataFrame:
     )
 
 
-def fold(changes: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS, resumable: bool = False) -> DataFrame:
+def fold(changes: DataFrame, grain_seconds: int = DEFAULT_GRAIN_SECONDS, resumable: bool = False,
+         max_slice_rows: int | None = None) -> DataFrame:
     """Snapshot ``(id, description, created_at, updated_at, deleted_at)``.
 
     ``resumable`` adds ``has_create``: whether created_at is a CREATE's time or
     only the first change's, which a later CREATE replaces. The incremental
-    fold needs it for logs in which an id's first change is not a CREATE."""
-    out = _summarise(_with_effective(changes, grain_seconds, None)).drop("last_mark", "has_value")
+    fold needs it for logs in which an id's first change is not a CREATE.
+    ``max_slice_rows`` (a million is a fair choice): see above."""
+    out = _summarise(_with_effective(changes, grain_seconds, None, max_slice_rows)).drop("last_mark", "has_value")
     return out if resumable else out.drop("has_create")
 
 
@@ -146,7 +181,8 @@ def _few_ids(changes: DataFrame, most: int) -> bool:
 
 
 def fold_incremental(snapshot: DataFrame, changes: DataFrame,
-                     grain_seconds: int = DEFAULT_GRAIN_SECONDS, max_broadcast_ids: int = 1_000_000) -> DataFrame:
+                     grain_seconds: int = DEFAULT_GRAIN_SECONDS, max_broadcast_ids: int = 1_000_000,
+                     max_slice_rows: int | None = None) -> DataFrame:
     """Apply a slice of later changes to an existing snapshot.
 
     The snapshot seeds each id's previous value and mark; ids untouched by
@@ -164,17 +200,17 @@ def fold_incremental(snapshot: DataFrame, changes: DataFrame,
         keep = F.broadcast(ids)
         untouched = snapshot.join(keep, "id", "left_anti")
         touched = snapshot.join(keep, "id", "left_semi")
-        return untouched.unionByName(_merge(touched, changes, grain_seconds).select(*untouched.columns))
-    return _merge(snapshot, changes, grain_seconds)
+        return untouched.unionByName(_merge(touched, changes, grain_seconds, max_slice_rows).select(*untouched.columns))
+    return _merge(snapshot, changes, grain_seconds, max_slice_rows)
 
 
-def _merge(snapshot: DataFrame, changes: DataFrame, grain_seconds: int) -> DataFrame:
+def _merge(snapshot: DataFrame, changes: DataFrame, grain_seconds: int, max_slice_rows: int | None = None) -> DataFrame:
     prior = snapshot.select(
         "id",
         F.col("description").alias("prev_value"),
         F.when(F.col("deleted_at").isNotNull(), F.lit("DELETE")).otherwise(F.lit("RESTORE")).alias("prev_mark"),
     )
-    delta = _summarise(_with_effective(changes, grain_seconds, prior))
+    delta = _summarise(_with_effective(changes, grain_seconds, prior, max_slice_rows))
     state = "has_create" in snapshot.columns
     if not state:
         snapshot = snapshot.withColumn("has_create", F.lit(True))
@@ -195,7 +231,8 @@ def _merge(snapshot: DataFrame, changes: DataFrame, grain_seconds: int) -> DataF
 
 
 def apply_late_changes(snapshot: DataFrame, log: DataFrame, late: DataFrame,
-                       grain_seconds: int = DEFAULT_GRAIN_SECONDS, max_broadcast_ids: int = 1_000_000) -> DataFrame:
+                       grain_seconds: int = DEFAULT_GRAIN_SECONDS, max_broadcast_ids: int = 1_000_000,
+                       max_slice_rows: int | None = None) -> DataFrame:
     """Changes older than the snapshot cannot be applied on top of it: re-fold
     the affected ids from their whole history (``log`` plus ``late``) and
     swap them into the snapshot. Untouched ids are carried over as they are.
@@ -207,5 +244,5 @@ def apply_late_changes(snapshot: DataFrame, log: DataFrame, late: DataFrame,
     ids = late.select("id").distinct()
     keep = F.broadcast(ids) if _few_ids(late, max_broadcast_ids) else ids
     history = log.unionByName(late).join(keep, "id", "left_semi")
-    refolded = fold(history, grain_seconds, resumable="has_create" in snapshot.columns)
+    refolded = fold(history, grain_seconds, "has_create" in snapshot.columns, max_slice_rows)
     return snapshot.join(keep, "id", "left_anti").unionByName(refolded.select(*snapshot.columns))

@@ -13,6 +13,11 @@ Join strategy:
   join splits a request key that holds a large share of the batch; the entity
   side has one row per key so nothing on it can be hot. An entity table saved
   with ``sources.tables.save_bucketed`` is not shuffled at all.
+* ``split_hot``: keys that hold more than ``HOT_SHARE`` of the requests are found by
+  a frequent-items sketch (it misses none and names at most 1 / ``HOT_SHARE``).
+  Their requests are not shuffled: they stay in the tasks that read them and meet
+  the few hot entities by broadcast. All others are joined as in ``shuffle``, so a
+  bucketed entity table still stays in place and no bucket has a hot key.
 * ``broadcast_requests``: the keys are broadcast, after their number was
   counted and found within ``max_broadcast_rows``.
 
@@ -30,6 +35,7 @@ from ledgerline.operators.errors import status_of
 
 PROJECTION = ("id", "name", "description")
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+HOT_SHARE = 0.01
 
 
 def project(entities: DataFrame) -> DataFrame:
@@ -53,7 +59,14 @@ def find_many(entities: DataFrame, keys: DataFrame, key: str = "id",
     return entities.join(k if max_broadcast_rows else k.hint("merge"), "id", "left_semi")
 
 
-STRATEGIES = ("auto", "broadcast_requests", "shuffle")
+STRATEGIES = ("auto", "broadcast_requests", "shuffle", "split_hot")
+
+
+def hot_keys(requests: DataFrame, key: str = "id", share: float = HOT_SHARE) -> list:
+    """Every key with more than ``share`` of the requests that have one, and
+    maybe others; at most 1 / ``share`` of them."""
+    keys = requests.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull())
+    return list(keys.freqItems(["_k"], share).first()[0] or [])
 
 
 def lookup(requests: DataFrame, entities: DataFrame, key: str = "id",
@@ -75,6 +88,12 @@ def lookup(requests: DataFrame, entities: DataFrame, key: str = "id",
             keys = F.broadcast(keys)
         ents = ents.join(keys, "_eid", "left_semi")
     hashable = [F.col(c) for c, t in requests.dtypes if not ("map<" in t or "variant" in t)]
+    if strategy == "split_hot" and (hot := hot_keys(requests, key)):
+        is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+        few = F.broadcast(ents.where(F.col("_eid").isin(hot)))  # one entity a key: at most 1 / HOT_SHARE rows
+        met = requests.where(is_hot).join(few, F.col(key) == F.col("_eid"), "left")
+        met = met.withColumn("found", F.col("_eid").isNotNull()).drop("_eid")
+        return met.unionByName(lookup(requests.where(~is_hot), entities, key, max_broadcast_rows, "shuffle"))
     spread_key = F.coalesce(F.col(key), F.xxhash64(*hashable) if hashable else F.lit(0))
     out = requests.join(ents, (spread_key == F.col("_eid")) & F.col(key).isNotNull(), "left")
     return out.withColumn("found", F.col("_eid").isNotNull()).drop("_eid")

@@ -74,6 +74,14 @@ def document_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DOCUMENT_REQUESTS_SQL = "SELECT doc_id AS request_id, CAST(doc_id AS VARCHAR) AS raw_id FROM documents"
 
+def hot_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per event; every second one asks for the same id, 7."""
+    eid = F.col("event_id")
+    return read_table(spark, sf_dir, "events").select(eid.alias("request_id"), F.when(eid % 2 == 0, F.lit(7)).otherwise(eid).cast("bigint").alias("id"))
+
+
+HOT_REQUESTS_SQL = "SELECT event_id AS request_id, CASE WHEN event_id % 2 = 0 THEN 7 ELSE event_id END AS id FROM events"
+
 # Raw key variants chosen by event_id % 7: plain id, -1, text, decimal form,
 # missing, padded and signed, 20 digits (overflows BIGINT).
 OVERFLOW_KEY = "18446744073709551616"
@@ -227,6 +235,20 @@ SELECT user_id AS id, event_id, ts,
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) t
 """
 
+def burst_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``change_log`` with every third change on id 0, a microsecond apart: a
+    third of the log on one id within one hour."""
+    hot = F.col("event_id") % 3 == 0
+    at = F.timestamp_add("MICROSECOND", F.col("event_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    return change_log(spark, sf_dir).withColumns({"id": F.when(hot, F.lit(0)).otherwise(F.col("id")), "ts": F.when(hot, at).otherwise(F.col("ts"))})
+
+
+BURST_LOG_SQL = f"""
+SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE id END AS id, event_id,
+  CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(event_id) ELSE ts END AS ts, op, description
+FROM ({CHANGE_LOG_SQL}) l
+"""
+
 # Fixed value: where lifecycle_incremental splits the log (snapshot before, slice after).
 INCREMENTAL_CUT = "2024-01-16 00:00:00"
 

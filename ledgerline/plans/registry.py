@@ -70,6 +70,16 @@ def find_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.project(lookup.find(inputs.entities_from_part(spark, sf_dir), 42))
 
 
+@register("lookup_hot_key", sql=f"""
+SELECT request_id, r.id, e.id IS NOT NULL AS found, name, description
+FROM ({inputs.HOT_REQUESTS_SQL}) r LEFT JOIN ({inputs.ENTITIES_PART_SQL}) e ON r.id = e.id
+""")
+def lookup_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 where one key has half of the requests: it is split off by a sketch."""
+    out = lookup.lookup(inputs.hot_requests(spark, sf_dir), inputs.entities_from_part(spark, sf_dir), strategy="split_hot")
+    return out.select("request_id", "id", "found", "entity.name", "entity.description")
+
+
 # --- step 2: lookup with typed miss, envelope, typed keys, routing -----------
 
 def _answer(requests: DataFrame, entities: DataFrame) -> DataFrame:
@@ -260,6 +270,13 @@ def lifecycle_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.fold(inputs.change_log(spark, sf_dir))
 
 
+@register("lifecycle_burst", sql=_fold_sql(inputs.BURST_LOG_SQL))
+def lifecycle_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the log on one id within one hour: slices are cut by count
+    (few rows a slice here, so that small tables have several)."""
+    return lifecycle.fold(inputs.burst_log(spark, sf_dir), max_slice_rows=1000)
+
+
 @register("lifecycle_incremental", sql=_fold_sql(inputs.CHANGE_LOG_SQL))
 def lifecycle_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fold the log before the cut into a stored snapshot, then apply the rest

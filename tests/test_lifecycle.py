@@ -170,3 +170,34 @@ def test_incremental_equals_full_fold_of_any_log(spark, cut, max_ids):
     inc = lifecycle.fold_incremental(snap, log.where(F.col("ts") >= t), max_broadcast_ids=max_ids)
     assert inc.columns == snap.columns
     assert as_dict(inc) == as_dict(lifecycle.fold(log))
+
+
+@pytest.mark.parametrize("cut", [0, 1, 2500, 5001])
+def test_bursts_cut_by_count(spark, cut):
+    """Half of the log is on id 0, all of it in few slices of a whole day."""
+    rows = random_log(8, 3000, seed=21, hot_share=0.5)
+    log = spark.createDataFrame(rows, schemas.CHANGE)
+    want = brute_force(rows)
+    day = 86_400
+    if not cut:
+        assert as_dict(lifecycle.fold(log, day, max_slice_rows=50)) == want
+        return
+    before, after = log.where(F.col("ts") < F.lit(at(cut))), log.where(F.col("ts") >= F.lit(at(cut)))
+    snapshot = lifecycle.fold(before, day, resumable=True, max_slice_rows=50)
+    assert as_dict(lifecycle.fold_incremental(snapshot, after, day, max_slice_rows=50)) == want
+    late = lifecycle.apply_late_changes(lifecycle.fold(after, day, True, 50), after, before, day, max_slice_rows=50)
+    assert as_dict(late) == want
+
+
+def test_no_slice_of_a_burst_is_large(spark):
+    rows = spark.range(40_000).select((F.col("id") % 2 * F.col("id")).alias("id"), F.col("id").alias("event_id"),
+                                      F.lit(T0).cast("timestamp_ntz").alias("ts"), F.lit(7).cast("bigint").alias("bucket"))
+    parts = lifecycle._cut_bursts(rows, 1000)
+    sizes = {(r["id"], r["bucket"]): r["count"] for r in parts.groupBy("id", "bucket").count().collect()}
+    hot = sorted((b["part"], n) for (i, b), n in sizes.items() if i == 0)
+    assert sum(n for _, n in hot) == 20_000 and len(hot) >= 15 and max(n for _, n in hot) <= 3000
+    assert parts.count() == 40_000 and parts.select("event_id").distinct().count() == 40_000
+    order = [tuple(r) for r in parts.where("id = 0").groupBy("bucket").agg(F.min("event_id"), F.max("event_id")).orderBy("bucket").select(
+        "min(event_id)", "max(event_id)").collect()]
+    assert all(a[1] < b[0] for a, b in zip(order, order[1:]))  # parts follow the order of changes
+    assert dict(lifecycle._cut_bursts(rows, 20_000).dtypes)["bucket"] == "bigint"  # nothing to cut

@@ -169,3 +169,35 @@ def test_broadcast_of_requests_checks_their_number(spark):
     req = spark.range(10).select(F.col("id").alias("request_id"), "id")
     with pytest.raises(ValueError):
         lookup.lookup(req, ents, max_broadcast_rows=9, strategy="broadcast_requests")
+
+
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_hot_keys_are_split_off(spark, bucketed):
+    from ledgerline.sources.tables import save_bucketed
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ents = spark.range(1, 2001).select("id", F.lit("n").alias("name"), F.lit("d").alias("description"))
+        if bucketed:
+            save_bucketed(ents, "entities_hot", buckets=8)
+            ents = spark.table("entities_hot")
+        # Half of the requests on key 7, a tenth on a key without an entity, some without a key.
+        key = F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 10 == 1, -5).when(F.col("id") % 10 != 3, F.col("id") % 3000)
+        req = spark.range(0, 8000, numPartitions=8).select(F.col("id").alias("request_id"), key.cast("bigint").alias("id"))
+        assert {7, -5} <= set(lookup.hot_keys(req)) and len(lookup.hot_keys(req)) <= 100
+        out = lookup.lookup(req, ents, strategy="split_hot")
+        got = {r["request_id"]: (r["id"], r["found"], r["entity"] and r["entity"]["id"]) for r in out.collect()}
+        keys = {i: 7 if i % 2 == 0 else -5 if i % 10 == 1 else i % 3000 if i % 10 != 3 else None for i in range(8000)}
+        hit = {i: k is not None and 1 <= k <= 2000 for i, k in keys.items()}
+        assert got == {i: (k, hit[i], k if hit[i] else None) for i, k in keys.items()}
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # tiny partitions would be merged
+        out = lookup.lookup(req, ents, strategy="split_hot")
+        shares = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(shares) < 8000 / 8  # half of the requests met in one task otherwise
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == (1 if bucketed else 2)  # a bucketed table stays in place
+        assert lookup.lookup(req.limit(0), ents, strategy="split_hot").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
