@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import BLANK_PATTERN, QUOTED_TOKEN_PATTERN
 from ledgerline.functions.timefmt import to_service_zone
-from ledgerline.operators import errors, jsonio, jsontree, keys, lifecycle, lookup, metrics, runs, validate
+from ledgerline.operators import errors, guard, jsonio, jsontree, keys, lifecycle, lookup, metrics, runs, validate
 from ledgerline.operators.envelope import flatten_envelope
 from ledgerline.plans import inputs
 from ledgerline.plans.layout import spread
@@ -277,6 +277,62 @@ def lifecycle_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.fold(inputs.burst_log(spark, sf_dir), max_slice_rows=1000)
 
 
+# Rules on the state a change meets; a value's class is the number in it.
+GUARD_RULES = (
+    guard.Rule("not_deleted", "A deleted item cannot be changed.",
+               lambda was: F.lit(was.deleted) & (F.col("op") == "UPDATE")),
+    guard.Rule("small_fall", "The value may fall by one step at most.",
+               lambda was: (F.col("op") == "UPDATE") & (F.col("value_class") < F.lit(was.value).cast("int") - 1)),
+)
+VALUE_CLASSES = 10
+
+
+def _guarded(changes: DataFrame) -> DataFrame:
+    step = F.least(F.substring("description", 2, 9).try_cast("int"), F.lit(VALUE_CLASSES - 1))
+    return guard.guard(changes, GUARD_RULES, step, VALUE_CLASSES)
+
+
+def _guard_sql(changes_sql: str) -> str:
+    """Row by row: a recursion that takes one change of every id at a time."""
+    return f"""
+WITH RECURSIVE c AS ({changes_sql}),
+n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS rn,
+        op = 'UPDATE' AND coalesce(regexp_matches(description, {_q(BLANK_PATTERN)}), true) AS blank,
+        least(TRY_CAST(substr(description, 2, 9) AS INTEGER), {VALUE_CLASSES - 1}) AS cls FROM c),
+m AS (
+  SELECT id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS event_id, false AS deleted, CAST(NULL AS INTEGER) AS val, 0 AS verdict
+  FROM (SELECT DISTINCT id FROM c)
+  UNION ALL
+  SELECT id, rn, event_id,
+    CASE WHEN v = 0 AND op IN ('DELETE', 'RESTORE') THEN op = 'DELETE' ELSE deleted END,
+    CASE WHEN v = 0 AND op IN ('CREATE', 'UPDATE') THEN cls ELSE val END, v
+  FROM (SELECT n.id, n.rn, n.event_id, n.op, n.cls, m.deleted, m.val,
+          CASE WHEN blank THEN 1 WHEN op = 'UPDATE' AND deleted THEN 2 WHEN op = 'UPDATE' AND cls < val - 1 THEN 3 ELSE 0 END AS v
+        FROM m JOIN n ON n.id = m.id AND n.rn = m.rn + 1)),
+g AS (SELECT c.*, m.verdict FROM c JOIN m USING (event_id))
+"""
+
+
+@register("guard_rejects", sql=_guard_sql(inputs.BURST_LOG_SQL) + """
+SELECT id, event_id, ts, op, description,
+  CASE verdict WHEN 1 THEN 'not_blank' WHEN 2 THEN 'not_deleted' ELSE 'small_fall' END AS rule,
+  CASE verdict WHEN 1 THEN 'Description must not be blank.' WHEN 2 THEN 'A deleted item cannot be changed.'
+       ELSE 'The value may fall by one step at most.' END AS message
+FROM g WHERE verdict > 0
+""")
+def guard_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes rejected by rules on the state they meet; a third of the log is on one id."""
+    return _guarded(inputs.burst_log(spark, sf_dir)).where("rule IS NOT NULL")
+
+
+@register("lifecycle_guarded", sql=_guard_sql(inputs.CHANGE_LOG_SQL) + f"""
+SELECT * FROM ({_fold_sql("SELECT id, event_id, ts, op, description FROM g WHERE verdict = 0")}) f
+""")
+def lifecycle_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot of the accepted changes."""
+    return lifecycle.fold(_guarded(inputs.change_log(spark, sf_dir)).where("rule IS NULL"))
+
+
 @register("lifecycle_incremental", sql=_fold_sql(inputs.CHANGE_LOG_SQL))
 def lifecycle_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fold the log before the cut into a stored snapshot, then apply the rest
