@@ -15,8 +15,10 @@ the true neighbours (different vec_ids) are found by brute force over all
 rows, and the number is the smallest that reaches ``RECALL`` on that sample.
 
 The codebooks are fitted on a bounded sample; every row is indexed. Cells
-are packed into blocks of about ``BLOCK`` entries (a hot cell is dealt to
-several), and a task compares one block with at most ``BLOCK`` queries.
+that lie near each other are packed into blocks of at most ``BLOCK`` entries
+by cutting their centroid pairs at weighted medians (a hot cell is dealt to
+several blocks), so a walk over near cells touches few blocks. A task
+compares one block with at most ``BLOCK`` queries.
 
 Defined results: vectors that are null, zero, hold a null or non-finite
 component, or have another length than the commonest (of equally common
@@ -34,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,10 +44,11 @@ from ledgerline.llm.common import stored
 
 NEIGHBOURS = 10
 SAMPLE = 20_000  # about so many vectors fit the codebooks
-CENTROIDS = 256  # per half, fewer for small tables
+CENTROIDS = 1024  # per half at most; they grow with the table up to 16 million rows, then cells do
+CELL = 16  # about so many entries a cell, until CENTROIDS is reached
 TESTED = 100  # about so many queries measure recall
 RECALL = 0.96  # on the tested queries; leaves room above 0.9
-BLOCK = 4096
+BLOCK = 1024
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -117,14 +121,43 @@ class Index:
         return da.argmin(1) * len(self.b) + db.argmin(1)
 
     def layout(self) -> tuple[np.ndarray, np.ndarray]:
-        """First block and number of blocks of each cell: small cells share."""
+        """First block and number of blocks of each cell: small cells that
+        lie near each other share one."""
         parts = np.maximum(1, -(-self.counts // BLOCK))
-        small = np.where(parts == 1, self.counts, 0)
-        shared = (np.cumsum(small) - small) // BLOCK
-        big = parts > 1
-        base = int(shared.max(initial=0)) + 1
-        first = np.where(big, base + np.cumsum(np.where(big, parts, 0)) - parts, shared)
-        return first.astype(np.int64), parts
+        first = np.zeros(len(self.counts), np.int64)
+        blocks = 0
+        for cells in self.groups(np.flatnonzero((self.counts > 0) & (parts == 1))):
+            first[cells] = blocks
+            blocks += 1
+        big = np.flatnonzero(parts > 1)
+        first[big] = blocks + np.cumsum(parts[big]) - parts[big]
+        return first, parts
+
+    def groups(self, cells: np.ndarray) -> Iterator[np.ndarray]:
+        """``cells`` in groups of at most BLOCK entries: whatever holds more
+        is cut in two at the weighted median of the coordinate that varies most."""
+        left = [cells] if len(cells) else []
+        while left:
+            cells = left.pop()
+            weight = self.counts[cells]
+            if len(cells) == 1 or weight.sum() <= BLOCK:
+                yield cells
+                continue
+            at = cells // len(self.b), cells % len(self.b)
+            spread = [_variances(book, place, weight) for book, place in zip((self.a, self.b), at, strict=True)]
+            side = int(spread[1].max(initial=-1) > spread[0].max(initial=-1))
+            order = np.argsort((self.a, self.b)[side][at[side], spread[side].argmax()], kind="stable")
+            cut = int(np.searchsorted(np.cumsum(weight[order]), weight.sum() / 2)) + 1
+            cut = min(cut, len(cells) - 1)
+            left += [cells[order[cut:]], cells[order[:cut]]]
+
+
+def _variances(book: np.ndarray, place: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Variance of each coordinate of the centroids ``place``, weighted."""
+    used, at = np.unique(place, return_inverse=True)
+    share = np.bincount(at, weights=weight) / weight.sum()
+    x = book[used]
+    return share @ (x - share @ x) ** 2
 
 
 def assigned(rows: DataFrame, index: Index) -> DataFrame:
@@ -162,7 +195,7 @@ def build(rows: DataFrame) -> tuple[Index, DataFrame]:
         head = rows.select("v").limit(256).collect()
         x = np.array([r["v"] for r in head])
     half = max(1, x.shape[1] // 2)
-    k = int(min(CENTROIDS, max(1, 2 ** round(math.log2(max(1, math.sqrt(n)))))))
+    k = int(min(CENTROIDS, max(1, 2 ** round(math.log2(max(1, math.sqrt(n / CELL)))))))
     other = x[:, half:] if x.shape[1] > half else np.zeros((len(x), 1))[:, :0]
     index = Index(codebook(x[:, :half], k), codebook(other, k) if other.shape[1] else np.zeros((1, 0)))
     entries = stored(assigned(rows.dropDuplicates(["vec_id", "v"]), index), "ann-entries")
@@ -236,21 +269,11 @@ def enough_entries(index: Index, entries: DataFrame, queries: DataFrame, k: int)
     return int(np.quantile(need, RECALL, method="higher")) if need else 0
 
 
-def search(vectors: DataFrame, every: int = 100, k: int = NEIGHBOURS) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest rows found for each row
-    whose vec_id is divisible by ``every``."""
-    spark = vectors.sparkSession
-    rows = usable(vectors)
-    result = "query_id bigint, rank int, vec_id bigint, score double"
-    if rows.isEmpty():
-        return spark.createDataFrame([], result)
-    index, entries = build(rows)
-    queries = entries.filter(F.col("vec_id") % every == 0).select("vec_id", "v").dropDuplicates(["vec_id", "v"])
-    enough = enough_entries(index, entries, queries, k)
-    first, parts = index.layout()
-    shared = spark.sparkContext.broadcast((index, first, parts, max(enough, 4 * k)))
+def visits(queries: DataFrame, shared: Broadcast) -> DataFrame:
+    """(block, query_id, q, reach): the blocks that each query's walk touches
+    and the largest sum of distances of its cells."""
 
-    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix, first, parts, enough = shared.value
         for b in batches:
             if not b.num_rows:
@@ -260,17 +283,24 @@ def search(vectors: DataFrame, every: int = 100, k: int = NEIGHBOURS) -> DataFra
             for i in range(b.num_rows):
                 cells = np.array(walk(da[i], db[i], ix.counts, enough, ix.ids), np.int64)
                 all_blocks = np.unique(np.concatenate([np.arange(first[c], first[c] + parts[c]) for c in cells]))
-                at += [i] * len(all_blocks)
-                blocks += all_blocks.tolist()
                 last = cells[-1]
-                reach += [float(da[i][last // len(ix.b)] + db[i][last % len(ix.b)])] * len(all_blocks)
-            pick = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), b.column(0).take(pick), b.column(1).take(pick),
-                                              pa.array(reach, pa.float64())], names=["block", "query_id", "q", "reach"])
-
-    spread = max(1, spark.sparkContext.defaultParallelism)
-    visited = stored(queries.repartition(spread, "vec_id", "v").mapInArrow(
-        visits, "block bigint, query_id bigint, q array<double>, reach double"), "ann-visits")
+                at.append(np.full(len(all_blocks), i))
+                blocks.append(all_blocks)
+                reach.append(np.full(len(all_blocks), da[i][last // len(ix.b)] + db[i][last % len(ix.b)]))
+                if i + 1 == b.num_rows or sum(map(len, at)) >= BLOCK:  # each visit carries its query
+                    pick = pa.array(np.concatenate(at))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(blocks)), b.column(0).take(pick), b.column(1).take(pick),
+                         pa.array(np.concatenate(reach))], names=["block", "query_id", "q", "reach"])
+                    at, blocks, reach = [], [], []
+
+    spread = max(1, queries.sparkSession.sparkContext.defaultParallelism)
+    return queries.repartition(spread, "vec_id", "v").mapInArrow(
+        run, "block bigint, query_id bigint, q array<double>, reach double")
+
+
+def compared(entries: DataFrame, visited: DataFrame, shared: Broadcast, k: int) -> DataFrame:
+    """The k nearest vec_ids of each query among the entries of its cells."""
     # Blocks that many queries visit are compared in parts of the queries.
     load = visited.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("bigint").alias("splits"))
     left = visited.join(load, "block").withColumn("split", F.pmod(F.xxhash64("query_id", "q"), F.col("splits")))
@@ -321,3 +351,18 @@ def search(vectors: DataFrame, every: int = 100, k: int = NEIGHBOURS) -> DataFra
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
+
+
+def search(vectors: DataFrame, every: int = 100, k: int = NEIGHBOURS) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest rows found for each row
+    whose vec_id is divisible by ``every``."""
+    spark = vectors.sparkSession
+    rows = usable(vectors)
+    result = "query_id bigint, rank int, vec_id bigint, score double"
+    if rows.isEmpty():
+        return spark.createDataFrame([], result)
+    index, entries = build(rows)
+    queries = entries.filter(F.col("vec_id") % every == 0).select("vec_id", "v").dropDuplicates(["vec_id", "v"])
+    enough = enough_entries(index, entries, queries, k)
+    shared = spark.sparkContext.broadcast((index, *index.layout(), max(enough, 4 * k)))
+    return compared(entries, stored(visits(queries, shared), "ann-visits"), shared, k)

@@ -164,3 +164,52 @@ def test_walk_visits_cells_in_order():
     assert ann.walk(da, db, counts, 1e9) == order
     some = ann.walk(da, db, counts, 10)
     assert some == order[:len(some)] and counts[some].sum() >= 10 > counts[some[:-1]].sum()
+
+
+def test_blocks_hold_near_cells(monkeypatch):
+    """Every cell lies in one block (a hot one in several of its own), no block
+    is overfull, and on clustered cells a walk touches few of them."""
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(100, 8))
+    x = centres[rng.integers(0, 100, 12_000)] + 0.05 * rng.normal(size=(12_000, 8))
+    index = ann.Index(ann.codebook(x[:, :4], 32), ann.codebook(x[:, 4:], 32))
+    cells = index.cells(x)
+    index.counts = np.bincount(cells, minlength=32 * 32)
+    index.counts[cells[0]] += 1000
+    first, parts = index.layout()
+    assert parts[cells[0]] == -(-index.counts[cells[0]] // 64)
+    load, owner = {}, {}
+    for c in np.flatnonzero(index.counts):
+        for b in range(first[c], first[c] + parts[c]):
+            load[b] = load.get(b, 0) + index.counts[c] / parts[c]
+            owner.setdefault(b, []).append(c)
+    assert max(load.values()) <= 64 and sorted(load) == list(range(len(load)))
+    assert all(len(cs) == 1 for cs in owner.values() if parts[cs[0]] > 1)
+    da, db = index.halves(x[:200])
+    visited = [len({first[c] for c in ann.walk(da[i], db[i], index.counts, 20)}) for i in range(200)]
+    assert np.mean(visited) < 0.05 * len(load)
+
+
+def test_share_read_falls_on_clustered_vectors(spark, monkeypatch):
+    """Four times the vectors in the same clusters: a query touches a smaller
+    share of the blocks, at the recall that is promised."""
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    monkeypatch.setattr(ann, "CELL", 4)
+    shares = []
+    for n in (4000, 16_000):
+        rng = np.random.default_rng(6)
+        x = rng.normal(size=(200, 8))[rng.integers(0, 200, n)] + 0.05 * rng.normal(size=(n, 8))
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(4)
+        seen, real = [], ann.compared
+        monkeypatch.setattr(ann, "compared", lambda e, v, s, k: (seen.append((v, s.value)), real(e, v, s, k))[1])  # noqa: B023
+        every = n // 200
+        want = truth(np.arange(n), x, every)
+        got: dict[int, set] = {}
+        for r in ann.search(df, every=every).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        monkeypatch.setattr(ann, "compared", real)
+        assert sum(len(got[q] & {v for _, v in rows}) for q, rows in want.items()) / (10 * len(want)) >= 0.9
+        visited, (index, first, parts, _) = seen[0]
+        shares.append(visited.count() / len(want) / int((first + parts)[index.counts > 0].max()))
+    assert shares[1] < 0.5 * shares[0]
