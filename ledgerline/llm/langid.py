@@ -5,8 +5,9 @@ context tree), then freezes, for every context and next byte, the exact code
 length under escape method C: a byte seen after the context costs
 -log2(count / (total + distinct)), an unseen one costs the escape
 -log2(distinct / (total + distinct)) plus its length in the next shorter
-context, down to a uniform code. Lengths are frozen in 1/1024 bits, so a
-text's length is an exact integer sum. The language with the shortest code
+context, down to a uniform code. Whatever the sample holds stays in the tree,
+in sparse tables of the strings and contexts seen. A byte's length is rounded
+to 1/1024 bits, so a text's length is an exact integer sum. The language with the shortest code
 wins; ties go to the name that sorts first.
 
 Only the classifier is fitted on a sample: stretches of ``STRETCH``
@@ -14,7 +15,8 @@ characters (shorter texts whole) drawn by a hash of doc_id and the stretch's
 number, at a rate that makes a language's share about ``sample_chars``
 characters however long its documents are, and at least one stretch of every
 language. A stretch is learned as a text of its own. Prediction covers whole
-texts of all rows.
+texts of all rows. The tables hold one length for each string of the sample
+and language, so with hundreds of languages ``sample_chars`` has to be lower.
 
 Defined results: null text or text without a letter is ``und`` with score 0,
 and so is every text where nothing was learned; a null doc_id is not held
@@ -25,6 +27,7 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +39,9 @@ from ledgerline.llm.common import slices, text_bytes
 UNDETERMINED = "und"
 SAMPLE_CHARS = 2_000_000  # about so many characters of each language train the model
 STRETCH = 4096  # characters drawn together
-SYMBOLS = 127  # most frequent bytes; the others share one symbol
-CONTEXTS = 16_384  # three-byte contexts kept in the tree, the most frequent ones
-UNIT = 1024  # frozen lengths are in 1/1024 bits
+UNIT = 1024  # lengths are in 1/1024 bits
 DRAWS = 1_000_000_000_000  # steps of the rate of drawing
-PIECE = 1 << 18  # bytes counted or scored at a time
-ROWS = 2048  # contexts frozen at a time
+PIECE = 1 << 18  # bytes counted, or bytes times languages scored, at a time
 
 
 def held_out(doc_id="doc_id"):
@@ -96,92 +96,86 @@ def grams(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-class Model:
-    """Frozen code lengths: ``cost[context row, symbol, language]``."""
+class Level(NamedTuple):
+    """Contexts of one length: sorted strings (context and next byte) with
+    their code lengths, sorted contexts with their escapes, by language."""
+
+    strings: np.ndarray
+    bits: np.ndarray
+    contexts: np.ndarray
+    escapes: np.ndarray
+
+
+def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` in the sorted ``keys``, and which of them are there."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
 
-    def __init__(self, langs: list[str], symbol: np.ndarray, row3: np.ndarray, cost: np.ndarray, size: int):
-        self.langs, self.symbol, self.row3, self.cost, self.size = langs, symbol, row3, cost, size
+
+class Model:
+    """Frozen code lengths in bits: of each byte without context, and of each
+    context length the strings and contexts of the sample."""
+
+    def __init__(self, langs: list[str], single: np.ndarray, levels: list[Level]):
+        self.langs, self.single, self.levels = langs, single, levels
+
+    def bits(self, gram: np.ndarray, depth: int) -> np.ndarray:
+        """(grams, languages) code lengths of the last byte of each gram after
+        the ``depth`` bytes before it."""
+        if depth == 0:
+            return self.single[gram & 255]
+        level = self.levels[depth - 1]
+        gram = gram & ((1 << 8 * (depth + 1)) - 1)
+        at, seen = find(level.strings, gram)
+        out = level.bits[at]
+        if not seen.all():
+            rest = gram[~seen]
+            at, known = find(level.contexts, rest >> 8)
+            out[~seen] = self.bits(rest, depth - 1) + np.where(known[:, None], level.escapes[at], 0.0)
+        return out
 
     def lengths(self, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
         """(texts, languages) code lengths in 1/UNIT bits."""
         out = np.zeros((len(off) - 1, len(self.langs)), np.int64)
-        a = self.size
-        for at in range(0, len(raw), PIECE):
-            end = min(at + PIECE, len(raw))
+        step = max(1, PIECE // len(self.langs))
+        for at in range(0, len(raw), step):
+            end = min(at + step, len(raw))
             lo = max(0, at - 3)
-            s = self.symbol[raw[lo:end]].astype(np.int32)
-            place = np.arange(lo, end) - off[np.searchsorted(off, np.arange(lo, end), "right") - 1]
-            past = [np.where(place >= k, np.concatenate([np.zeros(k, np.int32), s[:-k]])[:len(s)], self.symbol[0])
-                    for k in (1, 2, 3)]
-            short = past[1] * a + past[0]
-            deep = self.row3[past[2] * (a * a) + short]
-            row = np.where(deep >= 0, deep, short)
-            bits = self.cost[row, s][at - lo:]
-            doc = np.searchsorted(off, np.arange(at, end), "right") - 1
+            gram = grams(raw[lo:end], np.clip(off, lo, end) - lo)[at - lo:]
+            units = np.rint(self.bits(gram, len(self.levels)) * UNIT).astype(np.int64)
+            doc = np.repeat(np.arange(len(out)), np.diff(np.clip(off, at, end)))
             first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-            out[doc[first]] += np.add.reduceat(bits.astype(np.int64), first, axis=0)
+            out[doc[first]] += np.add.reduceat(units, first, axis=0)
         return out
 
 
 def freeze(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
     """Context trees of all languages (``lang`` has places in ``langs``) from
-    the summed counts. Long tables of probabilities are only made ``ROWS``
-    contexts at a time."""
-    each = np.stack([gram >> 24 & 255, gram >> 16 & 255, gram >> 8 & 255, gram & 255])
-    by_byte = np.bincount(each[3], weights=n, minlength=256)
-    by_byte[0] += 1  # stands before each text
-    top = np.sort(np.argsort(-by_byte, kind="stable")[:SYMBOLS])
-    top = top[by_byte[top] > 0]
-    symbol = np.full(256, len(top), np.int64)
-    symbol[top] = np.arange(len(top))
-    a = len(top) + 1
-    others = max(1, 256 - len(top))
-    s = symbol[each]
-    c3, place = np.unique((s[0] * a + s[1]) * a + s[2], return_inverse=True)
-    total3 = np.bincount(place, weights=n, minlength=len(c3))
-    deep = np.sort(c3[np.argsort(-total3, kind="stable")[:CONTEXTS]])
-    row3 = np.full(a**3, -1, np.int32)
-    row3[deep] = a * a + np.arange(len(deep))
-    cost = np.zeros((a * a + len(deep), a, len(langs)), np.uint16)
-
-    def refine(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Probabilities after one more byte of context; method C escapes."""
-        total, kinds = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
-        weight = np.maximum(total + kinds, 1)
-        return np.where(total == 0, p, np.where(counts > 0, counts / weight, kinds / weight * p))
-
-    def frozen(p: np.ndarray) -> np.ndarray:
-        # A byte outside the symbols also pays for which of them it is.
-        p = p / np.where(np.arange(a) == a - 1, others, 1)
-        return np.minimum(np.rint(-np.log2(np.maximum(p, 2.0**-60)) * UNIT), 65_535)
-
-    def in_rows(context: np.ndarray, last: np.ndarray, w: np.ndarray, rows: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Counts of ``last`` by context, ``ROWS`` contexts at a time."""
-        order = np.argsort(context, kind="stable")
-        context, last, w = context[order], last[order], w[order]
-        for at in range(0, rows, ROWS):
-            size = min(ROWS, rows - at)
-            here = slice(*np.searchsorted(context, [at, at + size]))
-            yield at, np.bincount((context[here] - at) * a + last[here], weights=w[here], minlength=size * a).reshape(size, a)
-
-    for k in range(len(langs)):
-        own = lang == k
-        w, (s0, s1, s2, s3) = n[own], s[:, own]
-        p0 = np.full((1, a), 1 / 256)
-        p0[0, -1] = others / 256
-        p0 = refine(p0, np.bincount(s3, weights=w, minlength=a)[None])
-        p1 = refine(p0, np.bincount(s2 * a + s3, weights=w, minlength=a * a).reshape(a, a))
-        p2 = np.empty((a * a, a))
-        for at, counts in in_rows(s1 * a + s2, s3, w, a * a):
-            end = at + len(counts)
-            p2[at:end] = refine(p1[np.arange(at, end) % a], counts)
-            cost[at:end, :, k] = frozen(p2[at:end])
-        row = row3[(s0 * a + s1) * a + s2]
-        kept = row >= 0
-        for at, counts in in_rows(row[kept] - a * a, s3[kept], w[kept], len(deep)):
-            end = at + len(counts)
-            cost[a * a + at:a * a + end, :, k] = frozen(refine(p2[deep[at:end] % (a * a)], counts))
-    return Model(langs, symbol, row3, cost, a)
+    the summed counts, from the shortest contexts to the longest."""
+
+    def by_language(keys: np.ndarray, size: int, weights: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        return np.bincount(keys * len(langs) + lang, weights=weights, minlength=size * len(langs)).reshape(size, len(langs))
+
+    def level(depth: int, shorter: Model | None) -> Level:
+        strings, place = np.unique(gram & ((1 << 8 * (depth + 1)) - 1), return_inverse=True)
+        counts = by_language(place, len(strings), n, lang)
+        contexts, row = np.unique(strings >> 8, return_inverse=True)
+        text, own = np.nonzero(counts)
+        total = by_language(row[text], len(contexts), counts[text, own], own)
+        kinds = by_language(row[text], len(contexts), np.ones(len(text)), own)
+        # Method C; a language that never saw the context goes on without an escape.
+        escapes = np.log2(np.where(kinds > 0, (total + kinds) / np.maximum(kinds, 1), 1))
+        lower = shorter.bits(strings, depth - 1) if depth else np.full((len(strings), len(langs)), 8.0)
+        bits = np.where(counts > 0, np.log2(np.maximum(total + kinds, 1)[row] / np.maximum(counts, 1)), lower + escapes[row])
+        return Level(strings, bits, contexts, escapes)
+
+    bottom = level(0, None)
+    single = 8.0 + np.repeat(bottom.escapes, 256, axis=0)
+    single[bottom.strings] = bottom.bits
+    model = Model(langs, single, [])
+    for depth in (1, 2, 3):
+        model.levels.append(level(depth, model))
+    return model
 
 
 def train(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model | None:
@@ -233,12 +227,12 @@ def label(model: Model, texts: pa.Array) -> list[pa.Array]:
 
 
 def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
-    """The language of a text column, for stages that keep their other columns."""
+    """Struct (lang, score) of a text column, for stages that keep their other columns."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("string")
+    @F.arrow_udf("struct<lang:string,score:double>")
     def name(texts: pa.Array) -> pa.Array:
-        return label(shared.value, texts)[0]
+        return pa.StructArray.from_arrays(label(shared.value, texts)[:2], names=["lang", "score"])
 
     # So marked, a filter on the result is not merged with it: texts go to Python once.
     return name.asNondeterministic()(F.when(text.rlike(r"\p{L}"), text))

@@ -83,6 +83,35 @@ def test_language_of_odd_documents(spark):
     assert {r["lang_pred"] for r in langid.identify(nothing).collect()} == {"und"}
 
 
+def test_every_byte_and_context_of_the_sample_is_kept():
+    """Two languages over all 256 bytes, more strings than any fixed table
+    would hold: lengths as PPM written out for each language."""
+    rng = random.Random(9)
+    train = [bytes(rng.randrange(256) for _ in range(30_000)) + b"abab" * 50, bytes(rng.randrange(128, 256) for _ in range(3000))]
+    text = train[0][500:540] + bytes(rng.randrange(256) for _ in range(40)) + b"ababab"
+    parts = [np.unique(langid.grams(np.frombuffer(t, np.uint8), np.array([0, len(t)])), return_counts=True) for t in train]
+    lang = np.concatenate([np.full(len(g), k) for k, (g, _) in enumerate(parts)])
+    model = langid.freeze(["x", "y"], lang, np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts]).astype(float))
+    assert len(model.levels[2].contexts) > 30_000
+    got = model.lengths(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+    for k, t in enumerate(train):
+        counts: dict = {}
+        padded = b"\0\0\0" + t
+        for i in range(len(t)):
+            for d in range(4):
+                seen = counts.setdefault(padded[i + 3 - d:i + 3], {})
+                seen[padded[i + 3]] = seen.get(padded[i + 3], 0) + 1
+        bits, padded = 0, b"\0\0\0" + text
+        for i in range(len(text)):
+            p = 1 / 256
+            for d in range(4):
+                seen = counts.get(padded[i + 3 - d:i + 3], {})
+                if seen:
+                    p = seen.get(padded[i + 3], len(seen) * p) / (sum(seen.values()) + len(seen))
+            bits += round(-np.log2(p) * langid.UNIT)
+        assert abs(bits - got[k]) <= 1
+
+
 def test_code_lengths_match_the_escape_method(monkeypatch):
     """The frozen table against PPM written out for one text."""
     rng = random.Random(2)
