@@ -1,6 +1,7 @@
 """The corpus pipeline: stages one by one, and as a whole."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import decontaminate, secret_scan
@@ -33,6 +34,22 @@ def test_language_stage_rejects_only_what_has_no_language(spark):
     assert all(r["lang"] for r in got)
 
 
+def test_language_stage_corrects_labels_it_is_sure_of(spark):
+    """A wrong label of a learned language goes, a label that nothing was
+    learned of stays, and no clean document is lost."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang, some = F.col("lang"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 40
+    other = F.when(lang == "en", "de").otherwise("en")
+    docs = docs.withColumn("truth", lang)
+    odd = docs.withColumn("lang", F.when(some == 2, other).when(some == 6, "xx").when(some == 10, None).otherwise(lang))
+    got = STAGES["language_id"](spark, odd, SF).select("doc_id", "lang", "truth", some.alias("some")).collect()
+    assert len(got) == docs.filter(F.col("text").rlike(r"\p{L}")).count()
+    assert {r["lang"] for r in got if r["some"] == 6} == {"xx"}
+    for kind in (2, 10):
+        right = [r["lang"] == r["truth"] for r in got if r["some"] == kind]
+        assert len(right) > 10 and sum(right) / len(right) > 0.9
+
+
 def test_run_against_brute_force(spark):
     docs = cases.real_documents(spark)
     texts = {r["doc_id"]: r["text"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
