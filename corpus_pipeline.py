@@ -14,20 +14,25 @@ from ledgerline.llm import decontaminate, langid, near_dedup, packing, secret_sc
 from ledgerline.llm.common import read, stored
 
 TOKENIZER = "word_bpe_49k.json"
+SURE = 0.999  # score from which a prediction replaces the given language
 SHINGLES = near_dedup.Rule(width=5, percent=80)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told (no text, no letter) go; a
-    document without a language is given the predicted one."""
+    """Documents whose language cannot be told (no text, no letter) go. The
+    others carry the predicted language where they have none, and where the
+    prediction is sure that another learned language than theirs is meant."""
     model = langid.train(docs)
     if model is None:  # nothing labelled: only texts without a letter are told apart
         return docs.filter(F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)))
     # The row travels as one struct, so no column of docs can clash.
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     row = F.col("row")
-    kept = rows.withColumn("pred", langid.predicted(spark, model, row["text"])).filter(F.col("pred") != langid.UNDETERMINED)
-    return kept.select(*[(F.coalesce(row[c], F.col("pred")) if c == "lang" else row[c]).alias(c) for c in docs.columns])
+    pred = F.col("pred")
+    kept = rows.withColumn("pred", langid.predicted(spark, model, row["text"])).filter(pred["lang"] != langid.UNDETERMINED)
+    sure = row["lang"].isin(model.langs) & (pred["score"] >= SURE)
+    lang = F.when(row["lang"].isNull() | sure, pred["lang"]).otherwise(row["lang"])
+    return kept.select(*[(lang if c == "lang" else row[c]).alias(c) for c in docs.columns])
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
