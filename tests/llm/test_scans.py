@@ -42,6 +42,33 @@ def test_license_places_on_neighbouring_diagonals_all_count(spark):
     assert (got["n_base"], got["first_word"], got["last_word"]) == (50, 0, 98)
 
 
+def test_license_templates_of_any_length(spark, monkeypatch):
+    """Templates of 63 to 500 words, as broadcast and as joined tables: word
+    for word, with words put in, with words missing, and their first half."""
+    rng = random.Random(8)
+    sizes = (63, 64, 65, 125, 126, 500)
+    texts = [[f"w{rng.randrange(200)}" for _ in range(n)] for n in sizes]
+    listed = [(" ".join(t), f"l{n}", False) for n, t in zip(sizes, texts, strict=True)]
+    rows, want = [], {}
+    for k, (t, n) in enumerate(zip(texts, sizes, strict=True)):
+        longer, shorter = list(t), list(t)
+        for at in (n // 4, n // 2, 3 * n // 4):
+            longer.insert(at, "other")
+            del shorter[at - 3]
+        for j, (w, found, score) in enumerate([(t, True, 1.0), (longer, True, None), (shorter, True, None), (t[:n // 2], False, None),
+                                               (["x", *t, "y"] * 3, True, 1.0)]):
+            rows.append((10 * k + j, "so " * j + " ".join(w).upper()))
+            want[10 * k + j] = (f"l{n}" if found else "", score)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for bound in (license_scan.MAX_BROADCAST, 0):
+        monkeypatch.setattr(license_scan, "MAX_BROADCAST", bound)
+        got = {r["doc_id"]: r for r in license_scan.scan(docs, listed).collect()}
+        assert got.keys() == want.keys()
+        for d, (label, score) in want.items():
+            assert got[d]["labels"] == label, d
+            assert got[d]["score"] == score if score else 0.4 < got[d]["score"] < 1, d
+
+
 def finish(found, base):
     """counts, digest of base spans, from (start, kind, end)."""
     found = sorted(found, key=lambda f: (f[0], base.index(f[1])))
