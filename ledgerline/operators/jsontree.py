@@ -15,11 +15,14 @@ Each payload gets one reject (V4):
 Which one: the first in the order in which the document has them, as a parser
 that stops at the first failure reports it; fields that are missing come after
 all that are there, in declared order. VARIANT sorts its keys, so the order is
-taken from the raw text, only for objects with more than one failure. A path
-segment of an array element prints as ``?``.
+taken from the raw text. The first pass reads the VARIANT alone and marks
+payloads in which one object has several failures; only these are read again
+beside their text. A path segment of an array element prints as ``?``.
 
 Everything is built-in expressions; nested levels are bound once by one-element
-``transform``s, so no level is evaluated twice.
+``transform``s, so no level is evaluated twice in a pass. Objects and arrays are
+told by a cast of one level: a variant's schema is derived from all that lies
+below, so it is asked for scalars only, once each.
 """
 
 from __future__ import annotations
@@ -30,8 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.jsonio import (MAPPING_ERROR, UNREADABLE, UNREADABLE_MESSAGE, Field, _category, _fence, _missing, _reject,
-                                         _wrong_type)
+from ledgerline.operators.jsonio import MAPPING_ERROR, UNREADABLE, UNREADABLE_MESSAGE, Field, _fence, _missing, _reject, _wrong_type
 
 NUMBERS = ("int", "long", "double", "decimal")
 REJECT = T.StructType([T.StructField(c, T.StringType()) for c in ("kind", "path", "message")])
@@ -46,46 +48,62 @@ def _first(rejects: list[Column]) -> Column:
     return F.coalesce(*rejects, F.lit(None).cast(REJECT))
 
 
-def _out(value: Column, reject: Column, late: Column) -> Column:
-    """A level's result: ``late`` is its failure if it is a required field that is not there."""
-    return F.struct(value.alias("value"), reject.cast(REJECT).alias("reject"), late.cast(REJECT).alias("late"))
+def _out(value: Column, reject: Column, late: Column, several: Column | None = None) -> Column:
+    """A level's result: ``late`` is its failure if it is a required field that
+    is not there; ``several``: an object in it has more than one failure."""
+    return F.struct(value.alias("value"), reject.cast(REJECT).alias("reject"), late.cast(REJECT).alias("late"),
+                    (F.lit(False) if several is None else several).alias("several"))
+
+
+def _category(v: Column) -> Column:
+    """As in ``jsonio``, with the schema asked once."""
+    return _let(F.schema_of_variant(v), lambda t: F.when(t.isNull(), "missing").when(t == "STRING", "string").when(t == "VOID", "null")
+                .when(t == "BOOLEAN", "boolean").when(t.startswith("ARRAY"), "array").when(t.startswith("OBJECT"), "object").otherwise("number"))
+
+
+def _level(v: Column, kind: str, inner: Column) -> Column:
+    """The category of ``v``, which is a ``kind`` where its cast ``inner`` is not null."""
+    return F.when(v.isNull(), "missing").when(inner.isNotNull(), kind).otherwise(_category(v))
 
 
 def _scalar(v: Column, f: Field, path: str) -> Column:
+    """What a good value needs is read first; the rest is evaluated for the others only."""
+    text = F.try_variant_get(v, "$", "string")
+
     def body(s: Column) -> Column:
-        cat, text = s["cat"], s["text"]
-        late = F.when(cat == "missing", _missing(path)) if f.required else F.lit(None)
+        t, num = s["type"], s["num"]
+        late = F.when(v.isNull(), _missing(path)) if f.required else F.lit(None)
+        is_string, is_null = t == "STRING", t == "VOID"
+        is_nested = t.startswith("ARRAY") | t.startswith("OBJECT")
         if f.kind == "string":
-            bad = ["array", "object"] + ["null"] * f.required
-            return _out(F.when(cat.isin("string", "number", "boolean"), text), F.when(cat.isin(bad), _missing(path)), late)
+            shape = is_nested | is_null if f.required else is_nested
+            return _out(F.when(~is_nested & ~is_null, num), F.when(shape, _missing(path)), late)
         if f.kind == "enum":
-            allowed = F.array(*[F.lit(x) for x in f.values])
-            known = (cat == "string") & text.isin(*f.values)
-            in_range = (cat == "number") & F.coalesce(s["num"].between(0, len(f.values) - 1), F.lit(False))
-            empty = (cat == "string") & (text == "")
-            value = F.when(known, text).when(in_range, F.try_element_at(allowed, s["num"] + 1))
-            wrong = ((cat == "string") & ~known & ~empty) | ((cat == "number") & ~in_range)
-            shape = cat.isin(["boolean", "array", "object"] + ["null"] * f.required)
-            shape = shape | empty if f.required else shape
-            return _out(value, _first([F.when(wrong, _wrong_type(path, text, f)), F.when(shape, _missing(path))]), late)
-        scalar = ["number", "string"] + ["boolean"] * (f.kind == "boolean")
-        num = s["num"]
+            known = is_string & num.isin(*f.values)
+            is_number = ~(is_string | is_null | (t == "BOOLEAN") | is_nested)
+            index = F.when(is_number, F.try_variant_get(v, "$", "int"))  # of a text it would cost an exception inside Spark
+            in_range = F.coalesce(index.between(0, len(f.values) - 1), F.lit(False))
+            value = F.when(known, num).when(in_range, F.try_element_at(F.array(*[F.lit(x) for x in f.values]), index + 1))
+            empty = is_string & (num == "")
+            shape = (t == "BOOLEAN") | is_nested | (is_null | empty if f.required else F.lit(False))
+            bad = _first([F.when((is_string & ~empty) | (is_number & ~in_range), _wrong_type(path, num, f)), F.when(shape, _missing(path))])
+            return _out(value, F.when(known, F.lit(None)).otherwise(bad), late)
         if f.kind == "boolean":
-            num = F.when((cat != "string") | text.isin("true", "false"), num)
-        shape = ["array", "object"] + ["null"] * f.required + ["boolean"] * (f.kind != "boolean")
-        beyond = (cat == "number") & num.isNull() & F.lit(f.kind in NUMBERS)
+            num, shape = F.when(~is_string | text.isin("true", "false"), num), is_nested
+        else:
+            num, shape = F.when(t != "BOOLEAN", num), is_nested | (t == "BOOLEAN")
+        shape = shape | is_null if f.required else shape
+        is_other = is_string | (t == "BOOLEAN") if f.kind == "boolean" else is_string
         detail = F.format_string(f"Field '{path}': the number %s is out of the range of {f.type_name}.", text)
-        return _out(F.when(cat.isin(scalar), num), _first([
-            F.when(beyond, _reject(MAPPING_ERROR, path, detail)),
-            F.when(cat.isin(scalar) & num.isNull(), _wrong_type(path, text, f)),
-            F.when(cat.isin(shape), _missing(path))]), late)
+        bad = _first([F.when(shape, _missing(path)), F.when(is_other, _wrong_type(path, text, f)), F.when(
+            ~is_null, _reject(MAPPING_ERROR, path, detail) if f.kind in NUMBERS else _wrong_type(path, text, f))])
+        return _out(num, F.when(num.isNotNull(), F.lit(None)).otherwise(bad), late)
 
-    kind = "string" if f.kind == "string" else "int" if f.kind == "enum" else f.sql_type
-    return _let(F.struct(_category(v).alias("cat"), F.try_variant_get(v, "$", "string").alias("text"),
-                         F.try_variant_get(v, "$", kind).alias("num")), body)
+    kind = "string" if f.kind in ("string", "enum") else f.sql_type
+    return _let(F.struct(F.schema_of_variant(v).alias("type"), F.try_variant_get(v, "$", kind).alias("num")), body)
 
 
-def _object(v: Column, text: Column, f: Field, path: str, duplicates: bool) -> Column:
+def _object(v: Column, text: Column | None, f: Field, path: str, duplicates: bool) -> Column:
     prefix = f"{path}." if path else ""
 
     def finish(r: Column) -> Column:
@@ -93,15 +111,22 @@ def _object(v: Column, text: Column, f: Field, path: str, duplicates: bool) -> C
         is_obj = cat == "object"
         names = [c.name for c in f.fields]
         value = F.when(is_obj, F.struct(*[r[n]["value"].alias(n) for n in names]))
-        found = F.filter(F.array(*[F.struct(F.lit(n).alias("name"), r[n]["reject"].alias("reject")) for n in names]),
-                         lambda x: x["reject"].isNotNull())
-        keys = F.json_object_keys(text)
+        several = F.lit(False)
+        if text is None:
+            in_order = _first([r[n]["reject"] for n in names])
+            several = F.size(F.array_compact(F.array(*[r[n]["reject"] for n in names]))) > 1
+            for c in f.fields:
+                several = several | r[c.name]["several"] if _has_objects(c) else several
+        else:
+            found = F.filter(F.array(*[F.struct(F.lit(n).alias("name"), r[n]["reject"].alias("reject")) for n in names]),
+                             lambda x: x["reject"].isNotNull())
+            keys = F.json_object_keys(text)
 
-        def placed(x: Column) -> Column:  # the last of equal keys is the one that counts
-            return F.struct((F.size(keys) - F.array_position(F.reverse(keys), x["name"])).alias("at"), x["reject"].alias("reject"))
+            def placed(x: Column) -> Column:  # the last of equal keys is the one that counts
+                return F.struct((F.size(keys) - F.array_position(F.reverse(keys), x["name"])).alias("at"), x["reject"].alias("reject"))
 
-        in_order = _let(found, lambda some: F.when(F.size(some) > 1, F.array_min(F.transform(some, placed))["reject"]).otherwise(
-            F.try_element_at(some, F.lit(1))["reject"]))
+            in_order = _let(found, lambda some: F.when(F.size(some) > 1, F.array_min(F.transform(some, placed))["reject"]).otherwise(
+                F.try_element_at(some, F.lit(1))["reject"]))
         rejects = [F.when(is_obj, in_order), *[F.when(is_obj, r[n]["late"]) for n in names]]
         if duplicates:
             def twice(k: Column) -> Column:
@@ -110,49 +135,54 @@ def _object(v: Column, text: Column, f: Field, path: str, duplicates: bool) -> C
             key = F.try_element_at(twice(keys), F.lit(1))
             message = F.format_string(f"Object '{path}': the key '%s' occurs more than once.", key)
             rejects.insert(0, F.when(is_obj & (F.size(keys) > F.size(F.array_distinct(keys))), _reject(MAPPING_ERROR, path, message)))
-        empty = (cat == "string") & r["empty"]
-        shape = cat.isin(["array", "boolean", "number"] + ["null"] * f.required) | ((cat == "string") & ~r["empty"])
+        blank = F.try_variant_get(v, "$", "string") == ""
+        empty = (cat == "string") & blank
+        shape = cat.isin(["array", "boolean", "number"] + ["null"] * f.required) | ((cat == "string") & ~blank)
         shape = shape | empty if f.required else shape
         late = F.when(cat == "missing", _missing(path)) if f.required else F.lit(None)
-        return _out(value, _first([*rejects, F.when(shape, _missing(path))]), late)
+        return _out(value, _first([*rejects, F.when(shape, _missing(path))]), late, is_obj & several)
 
     def children(s: Column) -> Column:
-        results = [_value(s[c.name], F.get_json_object(text, f"$.{c.name}"), c, prefix + c.name, duplicates).alias(c.name) for c in f.fields]
-        cat = _category(v)
-        empty = F.coalesce(F.try_variant_get(v, "$", "string") == "", F.lit(False))
-        return _let(F.struct(cat.alias("cat"), empty.alias("empty"), *results), finish)
+        results = [_value(s[c.name], None if text is None else F.get_json_object(text, f"$.{c.name}"), c, prefix + c.name, duplicates).alias(c.name)
+                   for c in f.fields]
+        return _let(F.struct(_level(v, "object", s).alias("cat"), *results), finish)
+
+    quoted = [c.name.replace("`", "``") for c in f.fields]
+    return _let(F.try_variant_get(v, "$", "struct<" + ", ".join(f"`{n}`: variant" for n in quoted) + ">"), children)
+
 
-    return _let(F.struct(*[F.try_variant_get(v, f"$.{c.name}", "variant").alias(c.name) for c in f.fields]), children)
+def _has_objects(f: Field) -> bool:
+    return f.kind == "object" or (f.kind == "array" and _has_objects(f.items))
 
 
-def _array(v: Column, text: Column, f: Field, path: str, duplicates: bool) -> Column:
+def _array(v: Column, text: Column | None, f: Field, path: str, duplicates: bool) -> Column:
     item = f.items
-    deep = item.kind in ("object", "array")
 
     def body(s: Column) -> Column:
         cat = s["cat"]
         many = cat == "array"
         single = cat.isin("string", "number", "boolean", "object")
-        elements = F.when(many, F.try_variant_get(v, "$", "array<variant>")).when(single, F.array(v))
-        if deep:  # the elements' raw texts, for the order of keys in them
+        elements = F.when(many, s["items"]).when(single, F.array(v))
+        if text is not None and _has_objects(item):  # the elements' raw texts, for the order of keys in them
             texts = F.when(many, F.from_json(text, "array<string>")).when(single, F.array(text))
             results = F.zip_with(elements, texts, lambda e, t: _value(e, t, item, f"{path}.?", duplicates))
         else:
-            results = F.transform(elements, lambda e: _value(e, F.lit(None).cast("string"), item, f"{path}.?", duplicates))
+            results = F.transform(elements, lambda e: _value(e, None, item, f"{path}.?", duplicates))
 
         def finish(r: Column) -> Column:
             bad = F.filter(r, lambda x: x["reject"].isNotNull() | x["late"].isNotNull())
             first = F.try_element_at(bad, F.lit(1))
             shape = F.when(cat == "null", _missing(path)) if f.required else F.lit(None)
             late = F.when(cat == "missing", _missing(path)) if f.required else F.lit(None)
-            return _out(F.transform(r, lambda x: x["value"]), _first([F.coalesce(first["reject"], first["late"]), shape.cast(REJECT)]), late)
+            several = F.coalesce(F.exists(r, lambda x: x["several"]), F.lit(False)) if _has_objects(item) else None
+            return _out(r["value"], _first([F.coalesce(first["reject"], first["late"]), shape.cast(REJECT)]), late, several)
 
         return _let(results, finish)
 
-    return _let(F.struct(_category(v).alias("cat")), body)
+    return _let(F.try_variant_get(v, "$", "array<variant>"), lambda a: _let(F.struct(_level(v, "array", a).alias("cat"), a.alias("items")), body))
 
 
-def _value(v: Column, text: Column, f: Field, path: str, duplicates: bool) -> Column:
+def _value(v: Column, text: Column | None, f: Field, path: str, duplicates: bool) -> Column:
     if f.kind == "object":
         return _object(v, text, f, path, duplicates)
     if f.kind == "array":
@@ -186,15 +216,21 @@ def decode(df: DataFrame, payload: str, schema: tuple[Field, ...], duplicate_key
         parsed.schema  # analysed here at the latest
     finally:
         conf.set(key, before)
-    out = parsed.withColumn("_r", _value(F.col("_v"), F.col(payload), root, "", duplicate_keys == "reject"))
+    v, duplicates = F.col("_v"), duplicate_keys == "reject"
+    beside_text = _value(v, F.col(payload), root, "", duplicates)
+    out = parsed.withColumn("_r", beside_text if duplicates else _value(v, None, root, "", False))
     unreadable = _reject(UNREADABLE, "", F.lit(UNREADABLE_MESSAGE)).cast(REJECT)
-    out = out.withColumn("reject", F.when(F.col("_v").isNull(), unreadable).otherwise(F.coalesce("_r.reject", "_r.late")))
+    reject = F.when(v.isNull(), unreadable)
+    if not duplicates:
+        reject = reject.when(F.col("_r.several"), _let(beside_text, lambda r: F.coalesce(r["reject"], r["late"])))
+    out = out.withColumn("reject", reject.otherwise(F.coalesce("_r.reject", "_r.late")))
     accepted = F.col("reject").isNull()
-    return out.withColumn("body", F.when(accepted, F.col("_r.value"))).withColumn("accepted", accepted).drop("_v", "_r")
+    # Fenced: a filter on the result would else be evaluated as a copy of the whole decode, below any repartition.
+    return _fence(out.withColumn("body", F.when(accepted, F.col("_r.value"))).withColumn("accepted", accepted).drop("_v", "_r"))
 
 
 def rejects(decoded: DataFrame) -> DataFrame:
     """V4: only the rejected rows, flattened, typed BAD_REQUEST."""
     r = F.col("reject")
-    return _fence(decoded.drop("body")).where(~F.col("accepted")).withColumns({
+    return decoded.drop("body").where(~F.col("accepted")).withColumns({
         "reject_kind": r["kind"], "reject_path": r["path"], "message": r["message"], "error_type": F.lit("BAD_REQUEST")}).drop("reject")

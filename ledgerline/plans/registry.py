@@ -808,7 +808,8 @@ NESTED_SCHEMA = (
 
 
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jsontree.decode(spread(inputs.nested_payloads(spark, sf_dir)), "payload", NESTED_SCHEMA)
+    # The payloads come out of a shuffle, so they are spread already; ``spread`` would run that shuffle once more to count its parts.
+    return jsontree.decode(inputs.nested_payloads(spark, sf_dir), "payload", NESTED_SCHEMA)
 
 
 @register("json_nested", sql=f"""
