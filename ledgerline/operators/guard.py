@@ -25,11 +25,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.keys import DEFAULT_ROWS_PER_RANGE, _ranged
+from ledgerline.operators.keys import _ranged
 from ledgerline.operators.lifecycle import blank_update
 from ledgerline.session import scratch_path
 
 DEFAULT_SLICE_ROWS = 1000
+DEFAULT_ROWS_PER_RANGE = 200_000  # a range is sorted by one task, and its rows carry a map each
 
 
 @dataclass(frozen=True)
@@ -120,7 +121,10 @@ def guard(changes: DataFrame, rules: Sequence[Rule], value_class: Column, n_clas
                 .when(op == "RESTORE", number[State(True, False, was.value)]).otherwise(number[was]))
 
     fields = ["id", "event_id", "ts", "op", "description"]
-    rows = changes.select(*fields, value_class.cast("int").alias("value_class")).select(
+    # Written once: the runs, their count and the ranges' bounds would each derive the log anew.
+    path = scratch_path(changes.sparkSession, "changes")
+    changes.select(*fields, value_class.cast("int").alias("value_class")).write.parquet(path)
+    rows = changes.sparkSession.read.parquet(path).select(
         "id", F.struct("ts", "event_id").alias("ord"), F.array(*[after(s) for s in states]).alias("step"),
         F.struct(*fields, "value_class").alias("row"))
     met = _met(rows, len(states), slice_rows, rows_per_range).select("row.*", "met")
