@@ -15,9 +15,9 @@ as the tokenizer reads them by default.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,8 @@ from ledgerline.llm.common import slices, stored
 SIZE = 2048
 END_ID = 1
 CACHE = 500_000  # strings of a generation whose ids a worker remembers
-STRETCH = 4 << 20  # bytes of text split at a time
+STRETCH = 16 << 20  # bytes of text split at a time
+TOGETHER = 200  # plain words given to the tokenizer in one text
 
 _known: dict[str, Memory] = {}
 
@@ -50,38 +51,89 @@ class Memory:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [(t.content, t.normalized) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
+        self.last[[k for x, k in vocabulary.items() if x.endswith("</w>")]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def ids(self, strings: list[str]) -> dict[str, bytes]:
-        """The ids of distinct ``strings``, as 32-bit words."""
-        young, old = self.young, self.old
-        found = {x: ids for x in strings if (ids := young.get(x)) is not None}
-        if len(found) < len(strings):
-            moved = {x: ids for x in strings if x not in found and (ids := old.get(x)) is not None}
-            new = [x for x in strings if x not in found and x not in moved]
+    def ids(self, strings: list[str]) -> list[bytes]:
+        """The ids of each of ``strings``, as 32-bit words."""
+        found = list(map(self.young.get, strings))
+        if None in found:
+            missing = list({x: None for x, ids in zip(strings, found, strict=True) if ids is None})
+            moved = {x: ids for x, ids in zip(missing, map(self.old.get, missing), strict=True) if ids is not None}
+            new = [x for x in missing if x not in moved]
             for k in range(0, len(new), 20_000):
-                some = new[k:k + 20_000]
-                for x, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                    moved[x] = np.array(e.ids, "<u4").tobytes()
-            found |= moved
-            if len(young) + len(moved) > CACHE:
-                self.old, self.young = young, {}
-            self.young.update(moved if len(moved) <= CACHE else {})
+                moved.update(self.encoded(new[k:k + 20_000]))
+            found = [moved[x] if ids is None else ids for x, ids in zip(strings, found, strict=True)]
+            if len(self.young) + len(moved) > CACHE:
+                self.old, self.young = self.young, {}
+            self.young.update(islice(moved.items(), CACHE))
         return found
 
-    def chunk_ids(self, chunks: list[str]) -> list[bytes]:
-        """The ids of distinct blank-free chunks. The tokenizer lower-cases,
-        and cuts between letters and marks, so a plain word and the marks
-        behind it are looked up apart: far fewer different strings."""
-        split = _word_and_marks.fullmatch
-        halves = [(m[1].lower(), m[2]) if (m := split(c)) else (c, "") for c in chunks]
-        known = self.ids(list({x for pair in halves for x in pair}))
-        return [known[word] + known[marks] if marks else known[word] for word, marks in halves]
-
-
-# Letters of which lower case and composed form are plain, and marks behind them.
-_word_and_marks = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+    def encoded(self, strings: list[str]) -> Iterator[tuple[str, bytes]]:
+        """``strings`` with their ids. Plain words go to the tokenizer many
+        together: each ends with a token that ends a word, and has no other."""
+        plain = pc.match_substring_regex(pa.array(strings, pa.string()), PLAIN).to_pylist()
+        alone = [x for x, p in zip(strings, plain, strict=True) if not p]
+        words = [x for x, p in zip(strings, plain, strict=True) if p]
+        groups = [words[k:k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        for some, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                alone += some
+                continue
+            raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            yield from zip(some, [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], strict=True)
+        for x, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+            yield x, np.array(e.ids, "<u4").tobytes()
+
+    def chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct blank-free chunks, one after another, and how
+        many each has. The tokenizer lower-cases, and cuts between letters and
+        marks, so a plain word and the marks on either side are looked up
+        apart: far fewer different strings."""
+        word, head = pc.utf8_trim(chunks, characters=MARKS), pc.utf8_rtrim(chunks, characters=MARKS)
+        plain = pc.match_substring_regex(word, PLAIN)
+        for token, any_case in self.special:  # such as <|endoftext|>: one piece, marks included
+            plain = pc.and_not(plain, pc.match_substring(chunks, token, ignore_case=any_case))
+        texts = pc.if_else(plain, pc.utf8_lower(word), chunks).dictionary_encode()
+        strings = [*texts.dictionary.to_numpy(zero_copy_only=False).tolist(), ""]
+        code = np.full((len(chunks), 3), len(strings) - 1)
+        code[:, 1] = texts.indices.to_numpy()
+        size = [pc.binary_length(x).to_numpy().astype(np.int64) for x in (word, head, chunks)]
+        plain = plain.to_numpy(zero_copy_only=False)
+        for side, n in ((0, size[1] - size[0]), (2, size[2] - size[1])):
+            n = np.where(plain, n, 0)
+            for k in np.unique(n[n > 0]).tolist():
+                rows = np.flatnonzero(n == k)
+                some = chunks.take(pa.array(rows))
+                marks = (pc.utf8_slice_codeunits(some, -k) if side else pc.utf8_slice_codeunits(some, 0, k)).dictionary_encode()
+                code[rows, side] = len(strings) + marks.indices.to_numpy()
+                strings += marks.dictionary.to_pylist()
+        ids, n = gathered(*joined(self.ids(strings)), code.ravel())
+        return ids, n.reshape(-1, 3).sum(axis=1)
+
+
+# Letters of which lower case and composed form are plain. Marks: all of ASCII but the apostrophe, which can begin a piece of its own ('s).
+PLAIN = r"\A[A-Za-zÀ-ÖØ-öø-ÿ]+\z"
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+
+
+def gathered(ids: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of each of ``codes``, one after another, and how many each has:
+    ``ids`` has those of code 0, 1, ... and ``size`` their numbers."""
+    n = size[codes]
+    after = np.cumsum(n)
+    shift = (np.cumsum(size) - size)[codes] - after + n
+    return ids[np.arange(after[-1] if len(after) else 0) + np.repeat(shift, n)], n
 
 
 def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -95,15 +147,12 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         _known[path] = Memory(path)
     lists = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
     chunks = lists.flatten().dictionary_encode()
-    ids = [*_known[path].chunk_ids(chunks.dictionary.to_pylist()), np.array([END_ID], "<u4").tobytes()]
-    size = np.array([len(x) // 4 for x in ids], np.int64)
-    every, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+    ids, size = _known[path].chunk_ids(chunks.dictionary)
     ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-    codes = np.insert(chunks.indices.to_numpy().astype(np.int64), ends, len(ids) - 1)
-    n = size[codes]
+    codes = np.insert(chunks.indices.to_numpy().astype(np.int64), ends, len(size))
+    ids, n = gathered(np.append(ids, np.uint32(END_ID)), np.append(size, 1), codes)
     after = np.cumsum(n)
-    place = np.arange(after[-1] if len(after) else 0) + np.repeat(first[codes] - after + n, n)
-    return every[place], np.concatenate([[0], after[ends + np.arange(len(ends))]])
+    return ids, np.concatenate([[0], after[ends + np.arange(len(ends))]])
 
 
 def token_bytes(texts: list[str | None], path: str) -> list[bytes]:

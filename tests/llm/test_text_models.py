@@ -63,6 +63,33 @@ def test_packed_ids_and_a_full_memory(spark, monkeypatch):
     assert packing.pack(cases.empty(spark), TOKENIZER).count() == 0
 
 
+def test_words_are_looked_up_without_their_marks(monkeypatch):
+    """One lookup serves a word in all its cases and between any marks; the ids stay those of the whole text."""
+    marks = ["", "(", ")", "&&&", "***", '"', "[[", "--", "'", "!'", "<|", "|>", "_", "`"]
+    texts = [" ".join(f"{a}{w}{b}" for a in marks for b in marks) for w in ("Étude", "étude", "straße", "ÿ")]
+    texts += ["<|endoftext|> a<|endoftext|>b ((<|startoftext|>)) x's 's' it's ... 3.5 -- e\u0301te \u0130x &&&" + "!" * 3000, "", "(" * 50]
+    monkeypatch.setattr(packing, "_known", {})
+    got = packing.token_bytes([*texts, None], TOKENIZER)
+    t = Tokenizer.from_file(TOKENIZER)
+    assert got == [np.array([*t.encode(x, add_special_tokens=False).ids, 1], "<u4").tobytes() for x in [*texts, ""]]
+    known = packing._known[TOKENIZER].young
+    assert "étude" in known and [x for x in known if "tude" in x.lower() and "'" not in x] == ["étude"]
+
+
+def test_words_are_given_to_the_tokenizer_together(monkeypatch):
+    words = [a + b + c for a in ("na", "Ör", "x") for b in "abcdefghijklmnopqrst" for c in ("zz", "ïe", "tion")]
+    monkeypatch.setattr(packing, "_known", {})
+    calls = []
+    encode = Tokenizer.encode_batch_fast
+    memory = packing.Memory(TOKENIZER)
+    memory.tokenizer = type("Counting", (), {"encode_batch_fast": lambda self, x, **k: calls.extend(x) or encode(whole, x, **k)})()
+    whole = Tokenizer.from_file(TOKENIZER)
+    for last in (memory.last, np.zeros_like(memory.last)):  # the second: ends of words not told, so each word goes alone
+        memory.last, memory.young, memory.old = last, {}, {}
+        assert memory.ids(words) == [np.array(whole.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+        assert (len(calls) <= 1 + len(words) // packing.TOGETHER) == bool(last.any())
+
+
 def test_language_of_held_out_documents(spark):
     docs = cases.real_documents(spark, "/root/testdata/sf0.01")
     out = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id")
