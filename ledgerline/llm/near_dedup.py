@@ -233,20 +233,43 @@ def nearest_partners(rows: DataFrame, rule: Rule) -> DataFrame:
     return in_blocks(rows, "band", BLOCK_ROWS, run, ["rep", "label", "n", "sketch"], ["rep", "bits", "partner"])
 
 
+def stars(rows: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): each row's smallest and largest of the band centres that it is
+    near to. A band has two, its first row by label and its last, so every
+    row of a band with several labels meets one of another label. At most two
+    edges for each row, however many bands it is in."""
+    row = F.struct("label", "rep", "n", "sketch")
+    ends = rows.groupBy("band").agg(F.min(row).alias("lo"), F.max(row).alias("hi"))
+    both = rows.join(ends, "band").select("rep", "label", "n", "sketch", F.explode(F.array("lo", "hi")).alias("c"))
+    both = both.select("rep", "n", "sketch", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn"), F.col("c.sketch").alias("cs"),
+                       (F.col("label") != F.col("c.label")).alias("apart"))
+    near = both.filter(F.col("apart") & _sizes_allow(F.col("n"), F.col("cn"), rule) & (sketch_bits("sketch", "cs") <= rule.most_bits))
+    of = near.groupBy("rep").agg(F.min("centre").alias("lo"), F.max("centre").alias("hi"))
+    return stored(of.select(F.explode(F.array("lo", "hi")).alias("a"), F.col("rep").alias("b")), "stars")
+
+
 def clusters(rows: DataFrame, rule: Rule) -> DataFrame:
     """(node, cluster): rows that a band and sketches connect across labels.
-    Each comparison returns a spanning forest, so fewer edges than rows."""
+    Stars connect most of a large group. Then the bands that still hold
+    several parts are compared whole; each comparison returns a spanning
+    forest of the parts it meets, so fewer edges than parts."""
     def run(t: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        g, found = _Group(t, rule), []
-        g.part = np.unique(g.rep, return_inverse=True)[1]  # every row needs an edge, those of one label too
+        g, found, part = _Group(t, rule), [], t.column("part").to_numpy()
+        g.part = np.unique(part, return_inverse=True)[1]  # rows of one label too need an edge
         for p in left:
             q, _ = g.near(p, right)
             if len(q):
-                found += [(g.rep[p], x) for x in g.rep[g.join(p, q)]]
+                found += [(part[p], x) for x in part[g.join(p, q)]]
         return np.array(found, np.int64).reshape(-1, 2).T
 
-    edges = in_blocks(rows, "band", BLOCK_ROWS, run, ["rep", "label", "n", "sketch"], ["a", "b"])
-    return components(edges).withColumnRenamed("label", "cluster")
+    star = components(stars(rows, rule)).select(F.col("node").alias("rep"), F.col("label").alias("part"))
+    parts = rows.join(star, "rep", "left").withColumn("part", F.coalesce("part", "rep"))
+    mixed = parts.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("band")
+    parts = stored(parts.join(mixed, "band"), "parts")
+    edges = in_blocks(parts, "band", BLOCK_ROWS, run, ["rep", "label", "n", "sketch", "part"], ["a", "b"])
+    whole = components(edges).withColumnRenamed("node", "part")
+    nodes = star.union(whole.select(F.col("part").alias("rep"), "part")).distinct()  # a part outside the stars is one row
+    return nodes.join(whole, "part", "left").select(F.col("rep").alias("node"), F.coalesce("label", "part").alias("cluster"))
 
 
 def confirm_all(rows: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:

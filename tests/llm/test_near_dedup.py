@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from ledgerline.llm import components as components_module
 from ledgerline.llm import near_dedup, shingles
 from ledgerline.llm.common import text_bytes
 from ledgerline.llm.components import components
@@ -105,6 +106,51 @@ def test_components_of_chains_stars_and_loops(spark):
     assert got == {**{i: 0 for i in range(61)}, **{k: 100 for k in range(100, 150)}, 200: 200, 300: 300, 301: 300, 302: 300}
 
 
+def test_components_drop_edges_that_are_done(spark, monkeypatch):
+    """A round meets only the edges that still lie between components."""
+    rng = random.Random(4)
+    edges = [(a, b) for g in range(3) for a in range(g * 100, g * 100 + 40) for b in rng.sample(range(g * 100, g * 100 + 40), 20)]
+    edges += [(900 + 2 * k + 1, 900 + 2 * k) for k in range(20)] + [(900 + 2 * k, 903 + 2 * k) for k in range(19)]
+    counts, store = [], components_module.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        counts.extend([out.count()] if name == "cc-edges" else [])
+        return out
+
+    monkeypatch.setattr(components_module, "stored", counted)
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {x: 900 if x >= 900 else x // 100 * 100 for e in edges for x in e}
+    assert counts[0] == len({(min(e), max(e)) for e in edges}) and counts[-1] == 0 and sum(counts[1:]) < 100
+
+
+@pytest.mark.parametrize("block", [7, 4096])
+def test_clusters_of_a_large_group_take_few_edges(spark, monkeypatch, block):
+    """One group in many bands gives edges by its rows, not by its bands; every near pair is connected."""
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**62, near_dedup.SKETCH_WORDS)
+    other = base ^ np.int64(2**40 - 1)  # 320 differing bits: not near
+    rows, nodes = [], 90
+    for rep in range(nodes):
+        sketch = [int(x) for x in (other if rep % 9 == 4 else base)]
+        for band in {0, *rng.integers(1, 24, 12).tolist()}:
+            rows.append((rep, band, rep // 3 * 3, 100 if rep % 10 else 40, sketch))
+    rows += [(rep, 99, 1000 + rep, 100, [int(x) for x in other]) for rep in range(1000, 1003)] + [(1010, 98, 1010, 7, [0] * 8)]
+    rule = near_dedup.Rule(3, 85)
+    near = [(a[0], b[0]) for a in rows for b in rows if a[1] == b[1] and a[2] != b[2] and 100 * min(a[3], b[3]) >= 85 * max(a[3], b[3])
+            and sum(bin((x ^ y) & (2**64 - 1)).count("1") for x, y in zip(a[4], b[4], strict=True)) <= rule.most_bits]
+    want = {}
+    for a, b in near * 4:
+        want[a] = want[b] = min(want.get(a, a), want.get(b, b))
+    given = []
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", block)
+    monkeypatch.setattr(near_dedup, "components", lambda e: (given.append(e.distinct().count()), components(e))[1])
+    table = spark.createDataFrame(rows, "rep bigint, band bigint, label bigint, n bigint, sketch array<bigint>").repartition(5)
+    got = {r["node"]: r["cluster"] for r in near_dedup.clusters(table, rule).collect()}
+    assert got == want and len(set(want.values())) == 4
+    assert max(given) <= 3 * nodes
+
+
 def test_shingle_sets_match_plain_sets(monkeypatch):
     rng = random.Random(1)
     texts = [t for t in cases.TEXTS if t is None or len(t) < 10_000]
